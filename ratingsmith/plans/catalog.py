@@ -111,3 +111,144 @@ DECADE_SQL = f"""decade_stats AS (
 def decade_stats_q(spark, sf_dir):
     return agg.bucket_stats(clean_ratings_df(spark, sf_dir), clean_items_df(spark, sf_dir),
                             min_count=MIN_COUNT)
+
+
+# ---- star schema ------------------------------------------------------------------
+
+from ratingsmith.operators import similarity as sim  # noqa: E402
+from ratingsmith.plans import warehouse as wh  # noqa: E402
+
+
+def fact_df(spark, sf_dir) -> DataFrame:
+    return wh.fact_ratings(clean_ratings_df(spark, sf_dir), clean_items_df(spark, sf_dir))
+
+
+def dim_movies_df(spark, sf_dir) -> DataFrame:
+    return wh.dim_movies(clean_items_df(spark, sf_dir))
+
+
+def fact_base_df(spark, sf_dir) -> DataFrame:
+    base = wh.fact_base(clean_ratings_df(spark, sf_dir), clean_items_df(spark, sf_dir))
+    return base.select(F.col("userId").alias("user_id"), F.col("movieId").alias("movie_id"),
+                       "rating", "rating_date", "rating_year")
+
+
+@register("dim_movies", with_(q.WAREHOUSE_CTES, "SELECT * FROM dim_movies"))
+def dim_movies_q(spark, sf_dir):
+    return dim_movies_df(spark, sf_dir)
+
+
+@register("dim_users", with_(q.WAREHOUSE_CTES, "SELECT * FROM dim_users"))
+def dim_users_q(spark, sf_dir):
+    return wh.dim_users(clean_ratings_df(spark, sf_dir))
+
+
+@register("fact_ratings", with_(q.WAREHOUSE_CTES, "SELECT * FROM fact"))
+def fact_ratings_q(spark, sf_dir):
+    return fact_df(spark, sf_dir)
+
+
+# ---- top-k reports ------------------------------------------------------------------
+
+TOP_ITEMS_SQL = f"""top_items AS (
+  SELECT movieId AS movie_id, count(*) AS rating_count FROM fact_base
+  GROUP BY movieId ORDER BY rating_count DESC, movie_id LIMIT {TOP_N_ITEMS})"""
+
+
+@register("top_n_items", with_(q.WAREHOUSE_CTES + [TOP_ITEMS_SQL], "SELECT * FROM top_items"))
+def top_n_items_q(spark, sf_dir):
+    return agg.top_n_by_count(fact_base_df(spark, sf_dir), "movie_id", TOP_N_ITEMS)
+
+
+@register("top_rated", with_(q.WAREHOUSE_CTES, f"""
+SELECT f.movieId AS movie_id, ci.clean_title, {R("avg(f.rating)", 2)} AS avg_rating,
+       count(*) AS total_ratings
+FROM fact_base f JOIN clean_items ci ON f.movieId = ci.movieId
+GROUP BY f.movieId, ci.clean_title HAVING count(*) >= {MIN_COUNT}
+ORDER BY avg_rating DESC, total_ratings DESC, movie_id LIMIT {TOP_TITLES}"""))
+def top_rated_q(spark, sf_dir):
+    return agg.top_rated(fact_base_df(spark, sf_dir), dim_movies_df(spark, sf_dir),
+                         min_count=MIN_COUNT, n=TOP_TITLES)
+
+
+@register("top_k_per_decade", with_(q.RATINGS_CTES + q.ITEM_CTES + [DECADE_SQL], f"""
+SELECT * FROM (
+  SELECT decade, movie_id, clean_title, avg_rating, total_ratings,
+         CAST(row_number() OVER (PARTITION BY decade
+              ORDER BY avg_rating DESC, total_ratings DESC, movie_id) AS INTEGER) AS rank
+  FROM decade_stats) WHERE rank <= {TOP_PER_DECADE}"""))
+def top_k_per_decade_q(spark, sf_dir):
+    ds = agg.bucket_stats(clean_ratings_df(spark, sf_dir), clean_items_df(spark, sf_dir),
+                          min_count=MIN_COUNT, sort=False)
+    return win.top_k_per_group(
+        ds, ["decade"], [F.col("avg_rating").desc(), F.col("total_ratings").desc(),
+                         F.col("movie_id")], TOP_PER_DECADE).select(
+        "decade", "movie_id", "clean_title", "avg_rating", "total_ratings", "rank")
+
+
+# ---- similarity ------------------------------------------------------------------
+
+def cosine_sql(source: str) -> str:
+    return f"""
+norms AS (SELECT movieId, sqrt(sum(relevance * relevance)) AS norm FROM {source} GROUP BY movieId),
+dots AS (SELECT a.movieId AS ia, b.movieId AS ib, sum(a.relevance * b.relevance) AS dot
+         FROM {source} a JOIN {source} b ON a.tagId = b.tagId AND a.movieId < b.movieId
+         GROUP BY a.movieId, b.movieId),
+sims AS (SELECT ia AS movie_id_a, ib AS movie_id_b,
+                {R("dot / (na.norm * nb.norm)", 4)} AS similarity
+         FROM dots JOIN norms na ON na.movieId = ia JOIN norms nb ON nb.movieId = ib)"""
+
+
+SIM_ALL = "WITH " + q.GENOME + "," + cosine_sql("genome")
+SIM_ALL_BODY = f"SELECT * FROM sims WHERE similarity > {SIM_THRESHOLD}"
+
+
+def vectors_df(spark, sf_dir) -> DataFrame:
+    return adapters.genome_scores(spark, sf_dir)
+
+
+def tag_similarity_df(spark, sf_dir) -> DataFrame:
+    return sim.cosine_pairs(vectors_df(spark, sf_dir), threshold=SIM_THRESHOLD, sort=False)
+
+
+@register("tag_similarity", SIM_ALL + "\n" + SIM_ALL_BODY)
+def tag_similarity_q(spark, sf_dir):
+    return sim.cosine_pairs(vectors_df(spark, sf_dir), threshold=SIM_THRESHOLD)
+
+
+@register("tag_similarity_shared_norms", SIM_ALL.replace(
+    "norms AS (SELECT movieId, sqrt(sum(relevance * relevance)) AS norm FROM genome GROUP BY movieId),", "")
+    .replace("sum(a.relevance * b.relevance) AS dot",
+             "sum(a.relevance * b.relevance) AS dot, sqrt(sum(a.relevance * a.relevance)) AS na, "
+             "sqrt(sum(b.relevance * b.relevance)) AS nb")
+    .replace(f'{R("dot / (na.norm * nb.norm)", 4)} AS similarity', f'{R("dot / (na * nb)", 4)} AS similarity')
+    .replace("FROM dots JOIN norms na ON na.movieId = ia JOIN norms nb ON nb.movieId = ib", "FROM dots")
+    + "\n" + SIM_ALL_BODY)
+def tag_similarity_shared_q(spark, sf_dir):
+    return sim.cosine_pairs(vectors_df(spark, sf_dir), threshold=SIM_THRESHOLD, norms="shared")
+
+
+@register("tag_similarity_top_n", with_(q.WAREHOUSE_CTES + [TOP_ITEMS_SQL, q.GENOME,
+          "top_genome AS (SELECT * FROM genome WHERE movieId IN (SELECT movie_id FROM top_items))",
+          cosine_sql("top_genome").strip().rstrip(",")], SIM_ALL_BODY))
+def tag_similarity_top_n_q(spark, sf_dir):
+    top = agg.top_n_by_count(fact_base_df(spark, sf_dir), "movie_id", TOP_N_ITEMS).select(
+        F.col("movie_id").alias("movieId"))
+    vecs = sim.restrict_to(vectors_df(spark, sf_dir), top, "movieId")
+    return sim.cosine_pairs(vecs, threshold=SIM_THRESHOLD)
+
+
+@register("neighbours", SIM_ALL + ",\n" + q.RAW_MOVIES + ",\n" + q.CLEAN_ITEMS + f"""
+SELECT item AS movie_id, neighbour AS neighbour_id, ci.clean_title AS neighbour_title,
+       similarity, rank
+FROM (SELECT *, CAST(row_number() OVER (PARTITION BY item ORDER BY similarity DESC, neighbour)
+                     AS INTEGER) AS rank
+      FROM (SELECT movie_id_a AS item, movie_id_b AS neighbour, similarity FROM sims
+            WHERE similarity > {SIM_THRESHOLD}
+            UNION ALL
+            SELECT movie_id_b, movie_id_a, similarity FROM sims WHERE similarity > {SIM_THRESHOLD}))
+LEFT JOIN clean_items ci ON ci.movieId = neighbour
+WHERE rank <= {NEIGHBOURS}""")
+def neighbours_q(spark, sf_dir):
+    return sim.neighbours(tag_similarity_df(spark, sf_dir), dim_movies_df(spark, sf_dir),
+                          k=NEIGHBOURS)
