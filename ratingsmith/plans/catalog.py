@@ -252,3 +252,314 @@ WHERE rank <= {NEIGHBOURS}""")
 def neighbours_q(spark, sf_dir):
     return sim.neighbours(tag_similarity_df(spark, sf_dir), dim_movies_df(spark, sf_dir),
                           k=NEIGHBOURS)
+
+
+# ---- quality checks -----------------------------------------------------------------
+
+from ratingsmith.operators import metrics as met  # noqa: E402
+from ratingsmith.operators import quality as qc  # noqa: E402
+from ratingsmith.operators import runlog as rl  # noqa: E402
+from ratingsmith.sources.contracts import (  # noqa: E402
+    WAREHOUSE_KEYS, WAREHOUSE_MAX_LENGTHS, WAREHOUSE_NOT_NULL, WAREHOUSE_TABLES,
+)
+
+STAR_PARAMS = wh.StarParams(min_count=MIN_COUNT, sim_threshold=SIM_THRESHOLD, sim_top_n=None)
+
+
+def star(spark, sf_dir):
+    return wh.star_tables(clean_ratings_df(spark, sf_dir), clean_items_df(spark, sf_dir),
+                          vectors_df(spark, sf_dir), STAR_PARAMS)
+
+
+GENRE_TRENDS_SQL = f"""genre_trends AS (
+  SELECT g.genre, cr.rating_year, {R("avg(cr.rating)", 2)} AS avg_rating,
+         count(cr.rating) AS rating_count
+  FROM clean_ratings cr
+  JOIN (SELECT movieId, unnest(genre_array) AS genre FROM clean_items) g ON cr.movieId = g.movieId
+  GROUP BY g.genre, cr.rating_year)"""
+STAR_CTES = q.WAREHOUSE_CTES + [
+    "fact_ratings AS (SELECT * FROM fact)", GENRE_TRENDS_SQL, DECADE_SQL, q.GENOME,
+    cosine_sql("genome").strip().rstrip(","),
+    f"tag_similarity AS (SELECT * FROM sims WHERE similarity > {SIM_THRESHOLD})"]
+COUNTS_SQL = "counts AS (" + "\n  UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in WAREHOUSE_TABLES) + ")"
+
+
+def D(x) -> str:
+    return f"CAST({x} AS DOUBLE)"
+
+
+def check_sql(check, table, observed, threshold, passed, severity, source) -> str:
+    return (f"SELECT '{check}' AS check_name, '{table}' AS table_name, {D(observed)} AS observed, "
+            f"{D(threshold)} AS threshold, {passed} AS passed, '{severity}' AS severity "
+            f"FROM {source}")
+
+
+def union_sql(parts) -> str:
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("row_counts", with_(STAR_CTES + [COUNTS_SQL], "SELECT * FROM counts"))
+def row_counts_q(spark, sf_dir):
+    return qc.row_counts(star(spark, sf_dir))
+
+
+NULL_COLS = {"dim_movies": ["movie_id"], "dim_users": ["user_id"],
+             "fact_ratings": ["movie_id", "user_id", "rating"]}
+
+
+@register("null_check", with_(STAR_CTES, union_sql([
+    check_sql("null_keys", t, f"count_if({' OR '.join(c + ' IS NULL' for c in cols)})", 0,
+              f"count_if({' OR '.join(c + ' IS NULL' for c in cols)}) = 0", "error", t)
+    for t, cols in NULL_COLS.items()])))
+def null_check_q(spark, sf_dir):
+    s = star(spark, sf_dir)
+    return qc.union_all([qc.null_keys(s[t], t, cols) for t, cols in NULL_COLS.items()])
+
+
+ORPHAN_KEYS = {"movie_id": "dim_movies", "user_id": "dim_users"}
+
+
+@register("orphan_check", with_(STAR_CTES, union_sql([
+    check_sql(f"orphan_{k}", "fact_ratings", "count(*)", 0, "count(*) = 0", "error",
+              f"fact_ratings f WHERE NOT EXISTS (SELECT 1 FROM {d} x WHERE x.{k} = f.{k})")
+    for k, d in ORPHAN_KEYS.items()])))
+def orphan_check_q(spark, sf_dir):
+    s = star(spark, sf_dir)
+    return qc.union_all([qc.orphans(s["fact_ratings"], s[d], k, "fact_ratings")
+                         for k, d in ORPHAN_KEYS.items()])
+
+
+_RANGE_OK = ("(count(*) > 0 AND min(similarity) >= 0 AND max(similarity) <= 1) "
+             "IS NOT DISTINCT FROM TRUE")
+
+
+@register("range_check", with_(STAR_CTES, union_sql([
+    check_sql("similarity_min", "tag_similarity", "min(similarity)", 0, _RANGE_OK, "error",
+              "tag_similarity"),
+    check_sql("similarity_max", "tag_similarity", "max(similarity)", 1, _RANGE_OK, "error",
+              "tag_similarity")])))
+def range_check_q(spark, sf_dir):
+    return qc.value_range(star(spark, sf_dir)["tag_similarity"], "similarity", 0.0, 1.0,
+                          "tag_similarity")
+
+
+@register("pk_check", with_(STAR_CTES, union_sql([
+    check_sql("duplicate_keys", t, "count(*)", 0, "count(*) = 0", "error",
+              f"(SELECT {', '.join(k)} FROM {t} GROUP BY {', '.join(k)} HAVING count(*) > 1)")
+    for t, k in WAREHOUSE_KEYS.items()])))
+def pk_check_q(spark, sf_dir):
+    s = star(spark, sf_dir)
+    return qc.union_all([qc.duplicate_keys(s[t], k, t) for t, k in WAREHOUSE_KEYS.items()])
+
+
+def _contract_cond(t):
+    bad = [f"{c} IS NULL" for c in WAREHOUSE_NOT_NULL[t]] + \
+          [f"length({c}) > {n}" for c, n in WAREHOUSE_MAX_LENGTHS.get(t, {}).items()]
+    return "coalesce(" + " OR ".join(bad) + ", false)"
+
+
+@register("contract_check", with_(STAR_CTES, union_sql([
+    check_sql("contract", t, f"count_if({_contract_cond(t)})", 0,
+              f"count_if({_contract_cond(t)}) = 0", "error", t) for t in WAREHOUSE_TABLES])))
+def contract_check_q(spark, sf_dir):
+    s = star(spark, sf_dir)
+    return qc.union_all([qc.contract_violations(s[t], t, WAREHOUSE_NOT_NULL[t],
+                                                WAREHOUSE_MAX_LENGTHS.get(t, {}))
+                         for t in WAREHOUSE_TABLES])
+
+
+ROW_FLOOR = 0.90
+
+
+@register("row_floor", with_(STAR_CTES + [COUNTS_SQL], union_sql([
+    check_sql("non_empty", "x", "row_count", 1, "row_count >= 1", "warning", "counts")
+    .replace("'x' AS table_name", "table_name"),
+    check_sql("row_floor", "fact_ratings", "(SELECT count(*) FROM fact_ratings)",
+              f"floor(CAST({ROW_FLOOR} AS DOUBLE) * (SELECT count(*) FROM raw_ratings))",
+              f"(SELECT count(*) FROM fact_ratings) >= floor(CAST({ROW_FLOOR} AS DOUBLE) * "
+              "(SELECT count(*) FROM raw_ratings))", "warning", "(SELECT 1)")])))
+def row_floor_q(spark, sf_dir):
+    s = star(spark, sf_dir)
+    return qc.non_empty(qc.row_counts(s)).unionByName(
+        qc.row_floor(s["fact_ratings"], adapters.ratings(spark, sf_dir), "fact_ratings", ROW_FLOOR))
+
+
+INPUT_MIN_ROWS = {"ratings": 1, "movies": 1, "tags": 1, "genome_scores": 1, "genome_tags": 1}
+INPUT_COUNTS_SQL = """input_counts AS (
+  SELECT 'ratings' AS table_name, count(*) AS row_count FROM raw_ratings
+  UNION ALL SELECT 'movies', count(*) FROM raw_movies
+  UNION ALL SELECT 'tags', count(*) FROM raw_tags
+  UNION ALL SELECT 'genome_scores', count(*) FROM genome
+  UNION ALL SELECT 'genome_tags', CAST(max(len(embedding)) AS BIGINT) FROM embeddings)"""
+
+
+@register("input_check", with_(q.RATINGS_CTES + q.ITEM_CTES + [q.RAW_TAGS, q.GENOME,
+                               INPUT_COUNTS_SQL], union_sql([
+    check_sql("min_rows", t, f"coalesce((SELECT row_count FROM input_counts WHERE table_name = '{t}'), 0)",
+              n, f"coalesce((SELECT row_count FROM input_counts WHERE table_name = '{t}'), 0) >= {n}",
+              "error", "(SELECT 1)") for t, n in INPUT_MIN_ROWS.items()])))
+def input_check_q(spark, sf_dir):
+    counts = qc.row_counts(adapters.load_inputs(spark, sf_dir).as_dict())
+    return qc.min_rows(counts, INPUT_MIN_ROWS)
+
+
+# ---- run log ---------------------------------------------------------------------
+
+RUN_LOG_SQL = """run_log AS (
+  SELECT o_orderkey AS run_id, o_orderdate AS run_date,
+         CASE o_orderstatus WHEN 'F' THEN 'success' WHEN 'O' THEN 'skipped' ELSE 'failed' END AS status,
+         o_custkey AS rows_loaded, CAST(floor(o_totalprice) AS BIGINT) % 5400 AS duration_secs
+  FROM orders)"""
+TABLE_STATS_SQL = ("table_stats AS (SELECT r.run_id, t.table_name, "
+                   "CAST(r.run_id * 10 + length(t.table_name) AS BIGINT) AS row_count "
+                   "FROM run_log r CROSS JOIN (VALUES " +
+                   ", ".join(f"('{t}')" for t in WAREHOUSE_TABLES) + ") t(table_name))")
+LAST_SUCCESS_SQL = ("(SELECT run_id FROM run_log WHERE status = 'success' "
+                    "ORDER BY run_date DESC, run_id DESC LIMIT 1)")
+
+
+def run_log_df(spark, sf_dir):
+    return adapters.run_log(spark, sf_dir)
+
+
+def table_stats_df(spark, sf_dir):
+    return adapters.table_stats(run_log_df(spark, sf_dir), WAREHOUSE_TABLES)
+
+
+@register("run_history", with_([RUN_LOG_SQL], f"""
+SELECT run_id, run_date, status, rows_loaded, {R("duration_secs / CAST(60 AS DOUBLE)", 1)} AS duration_mins
+FROM run_log ORDER BY run_date DESC, run_id DESC LIMIT 10"""))
+def run_history_q(spark, sf_dir):
+    return rl.run_history(run_log_df(spark, sf_dir), 10)
+
+
+@register("last_success_stats", with_([RUN_LOG_SQL, TABLE_STATS_SQL], f"""
+SELECT table_name, row_count FROM table_stats WHERE run_id = {LAST_SUCCESS_SQL}"""))
+def last_success_stats_q(spark, sf_dir):
+    return rl.last_success_stats(run_log_df(spark, sf_dir), table_stats_df(spark, sf_dir))
+
+
+@register("run_kpis", with_([RUN_LOG_SQL], f"""
+SELECT max(CASE WHEN status = 'success' THEN run_date END) AS last_success_date,
+       count(*) AS total_runs,
+       {R("CAST(100 AS DOUBLE) * count_if(status = 'success') / count(*)", 2)} AS success_rate,
+       (SELECT duration_secs FROM run_log ORDER BY run_date DESC, run_id DESC LIMIT 1) AS last_duration_secs,
+       (SELECT status FROM run_log ORDER BY run_date DESC, run_id DESC LIMIT 1) AS last_status
+FROM run_log"""))
+def run_kpis_q(spark, sf_dir):
+    return rl.run_kpis(run_log_df(spark, sf_dir))
+
+
+@register("last_run", with_([RUN_LOG_SQL],
+          "SELECT * FROM run_log ORDER BY run_date DESC, run_id DESC LIMIT 1"))
+def last_run_q(spark, sf_dir):
+    return rl.last_run(run_log_df(spark, sf_dir))
+
+
+@register("status_counts", with_([RUN_LOG_SQL],
+          "SELECT status, count(*) AS runs FROM run_log GROUP BY status"))
+def status_counts_q(spark, sf_dir):
+    return rl.status_counts(run_log_df(spark, sf_dir))
+
+
+@register("drift", with_(STAR_CTES + [COUNTS_SQL, RUN_LOG_SQL, TABLE_STATS_SQL], f"""
+SELECT c.table_name, p.row_count AS previous, c.row_count AS current,
+       {R("CASE WHEN p.row_count > 0 THEN abs(c.row_count - p.row_count) / CAST(p.row_count AS DOUBLE) END", 4)} AS pct_change,
+       coalesce(CASE WHEN p.row_count > 0 THEN abs(c.row_count - p.row_count) / CAST(p.row_count AS DOUBLE) END >= 0.2, false) AS flagged
+FROM counts c LEFT JOIN (SELECT table_name, row_count FROM table_stats
+                         WHERE run_id = {LAST_SUCCESS_SQL}) p ON p.table_name = c.table_name"""))
+def drift_q(spark, sf_dir):
+    prev = rl.last_success_stats(run_log_df(spark, sf_dir), table_stats_df(spark, sf_dir))
+    return qc.drift(qc.row_counts(star(spark, sf_dir)), prev, 0.20)
+
+
+# ---- dashboard metrics ---------------------------------------------------------------
+
+def items_mid(spark, sf_dir):
+    return clean_items_df(spark, sf_dir).withColumnRenamed("movieId", "movie_id")
+
+
+GENRE_YEAR_SQL = """gy AS (
+  SELECT g.genre, f.rating_year, count(*) AS rating_count
+  FROM fact_base f JOIN (SELECT movieId, unnest(genre_array) AS genre FROM clean_items) g
+       ON f.movieId = g.movieId
+  GROUP BY g.genre, f.rating_year)"""
+
+
+@register("kpis", with_(q.WAREHOUSE_CTES, f"""
+SELECT (SELECT count(*) FROM fact_base) AS total_ratings,
+       (SELECT count(*) FROM clean_items) AS total_movies,
+       (SELECT count(DISTINCT userId) FROM fact_base) AS unique_reviewers,
+       (SELECT {R("avg(rating)", 2)} FROM fact_base) AS platform_avg_rating"""))
+def kpis_q(spark, sf_dir):
+    return met.kpis(fact_base_df(spark, sf_dir), dim_movies_df(spark, sf_dir))
+
+
+@register("volume_by_year", with_(q.WAREHOUSE_CTES,
+          "SELECT rating_year, count(*) AS rating_count FROM fact_base GROUP BY rating_year"))
+def volume_by_year_q(spark, sf_dir):
+    return met.volume_by(fact_base_df(spark, sf_dir), "rating_year")
+
+
+@register("rating_distribution", with_(q.WAREHOUSE_CTES,
+          "SELECT rating, count(*) AS rating_count FROM fact_base GROUP BY rating"))
+def rating_distribution_q(spark, sf_dir):
+    return met.volume_by(fact_base_df(spark, sf_dir), "rating")
+
+
+@register("genre_summary", with_(q.WAREHOUSE_CTES, f"""
+SELECT *, CAST(row_number() OVER (ORDER BY rating_count DESC, genre) AS INTEGER) AS volume_rank,
+       CAST(row_number() OVER (ORDER BY avg_rating DESC, rating_count DESC, genre) AS INTEGER) AS rating_rank
+FROM (SELECT g.genre, count(*) AS rating_count, {R("avg(f.rating)", 2)} AS avg_rating
+      FROM fact_base f JOIN (SELECT movieId, unnest(genre_array) AS genre FROM clean_items) g
+           ON f.movieId = g.movieId
+      GROUP BY g.genre)"""))
+def genre_summary_q(spark, sf_dir):
+    return met.genre_summary(fact_base_df(spark, sf_dir), items_mid(spark, sf_dir))
+
+
+@register("genre_growth", with_(q.WAREHOUSE_CTES + [GENRE_YEAR_SQL], f"""
+SELECT genre, first_year, first_count, last_year, last_count,
+       {R("(last_count - first_count) / CAST(first_count AS DOUBLE)", 4)} AS growth
+FROM (SELECT genre, min(rating_year) AS first_year, arg_min(rating_count, rating_year) AS first_count,
+             max(rating_year) AS last_year, arg_max(rating_count, rating_year) AS last_count
+      FROM gy
+      WHERE rating_year >= (SELECT CAST(floor(max(rating_year) / 10) * 10 AS INTEGER) FROM fact_base)
+      GROUP BY genre)"""))
+def genre_growth_q(spark, sf_dir):
+    return met.genre_growth(fact_base_df(spark, sf_dir), items_mid(spark, sf_dir))
+
+
+@register("genre_series", with_(q.WAREHOUSE_CTES + [GENRE_YEAR_SQL], """
+SELECT * FROM gy WHERE genre IN (
+  SELECT genre FROM (SELECT genre, sum(rating_count) AS n FROM gy GROUP BY genre
+                     ORDER BY n DESC, genre LIMIT 3))"""))
+def genre_series_q(spark, sf_dir):
+    return met.genre_series(fact_base_df(spark, sf_dir), items_mid(spark, sf_dir), top=3)
+
+
+@register("decade_summary", with_(q.WAREHOUSE_CTES, f"""
+SELECT decade, count(*) AS movie_count, CAST(coalesce(sum(n), 0) AS BIGINT) AS total_ratings,
+       {R("sum(s) / sum(n)", 2)} AS avg_rating
+FROM (SELECT movieId, CAST(floor(release_year / 10) * 10 AS INTEGER) AS decade
+      FROM clean_items WHERE release_year IS NOT NULL) d
+LEFT JOIN (SELECT movieId, count(*) AS n, sum(rating) AS s FROM fact_base GROUP BY movieId) p
+     USING (movieId)
+GROUP BY decade"""))
+def decade_summary_q(spark, sf_dir):
+    return met.decade_summary(fact_base_df(spark, sf_dir), items_mid(spark, sf_dir))
+
+
+# ---- fingerprints (xxhash64 has no SQL twin: rows-only check) ---------------------------
+
+@register("fingerprint")
+def fingerprint_q(spark, sf_dir):
+    return rl.fingerprints(adapters.load_inputs(spark, sf_dir).as_dict())
+
+
+@register("changed_tables")
+def changed_tables_q(spark, sf_dir):
+    from ratingsmith.plans.refresh import saved_fingerprints
+    current = rl.fingerprints(adapters.load_inputs(spark, sf_dir).as_dict())
+    return rl.changed_tables(current, saved_fingerprints(spark, sf_dir))

@@ -9,6 +9,7 @@ replaces exactly the partitions it produces and never duplicates rows.
 from __future__ import annotations
 
 import os
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
@@ -57,24 +58,54 @@ def fact_ratings(ratings: DataFrame, items: DataFrame, user: str = "userId",
                         "cumulative_avg_rating", "rolling_30d_avg", "rolling_30d_count")
 
 
+class LazyTables(Mapping):
+    """Table name -> DataFrame, each plan built on first access.
+
+    Building the similarity plan sizes its blocks with one count, so it is
+    deferred until a caller actually asks for that table.
+    """
+
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
+        self._builders = builders
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
 def star_tables(ratings: DataFrame, items: DataFrame, vectors: DataFrame,
-                params: StarParams = StarParams()) -> dict[str, DataFrame]:
+                params: StarParams = StarParams()) -> LazyTables:
     """All six output tables as lazy DataFrames."""
-    fact = fact_ratings(ratings, items, rolling_days=params.rolling_days)
-    vecs = vectors
-    if params.sim_top_n:
-        top = agg.top_n_by_count(fact, "movie_id", params.sim_top_n).select(
-            F.col("movie_id").alias("movieId"))
-        vecs = sim.restrict_to(vectors, top, "movieId")
-    return {
-        "dim_movies": dim_movies(items),
-        "dim_users": dim_users(ratings),
+
+    def fact():
+        return fact_ratings(ratings, items, rolling_days=params.rolling_days)
+
+    def similarity():
+        vecs = vectors
+        if params.sim_top_n:
+            base = fact_base(ratings, items)
+            top = agg.top_n_by_count(base, "movieId", params.sim_top_n).select("movieId")
+            vecs = sim.restrict_to(vectors, top, "movieId")
+        return sim.cosine_pairs(vecs, threshold=params.sim_threshold,
+                                norms=params.sim_norms, sort=False)
+
+    return LazyTables({
+        "dim_movies": lambda: dim_movies(items),
+        "dim_users": lambda: dim_users(ratings),
         "fact_ratings": fact,
-        "genre_trends": agg.group_trends(ratings, items, sort=False),
-        "decade_stats": agg.bucket_stats(ratings, items, min_count=params.min_count, sort=False),
-        "tag_similarity": sim.cosine_pairs(vecs, threshold=params.sim_threshold,
-                                           norms=params.sim_norms, sort=False),
-    }
+        "genre_trends": lambda: agg.group_trends(ratings, items, sort=False),
+        "decade_stats": lambda: agg.bucket_stats(ratings, items, min_count=params.min_count,
+                                                 sort=False),
+        "tag_similarity": similarity,
+    })
 
 
 def sink_projection(df: DataFrame, table: str) -> DataFrame:
