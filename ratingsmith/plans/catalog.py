@@ -563,3 +563,50 @@ def changed_tables_q(spark, sf_dir):
     from ratingsmith.plans.refresh import saved_fingerprints
     current = rl.fingerprints(adapters.load_inputs(spark, sf_dir).as_dict())
     return rl.changed_tables(current, saved_fingerprints(spark, sf_dir))
+
+
+# ---- sources: CSV ingest and staged Parquet round trips ---------------------------------
+
+import hashlib  # noqa: E402
+import os  # noqa: E402
+
+from ratingsmith.session import workspace  # noqa: E402
+from ratingsmith.sources import csv as csv_src  # noqa: E402
+
+
+def _stage(spark, sf_dir, *parts):
+    key = hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:12]
+    return workspace(spark, "queries", key, *parts)
+
+
+def csv_inputs_dir(spark, sf_dir) -> str:
+    raw = _stage(spark, sf_dir, "raw_csv")
+    csv_src.write_inputs(adapters.load_inputs(spark, sf_dir), raw)
+    return raw
+
+
+@register("csv_ingest", with_(q.RATINGS_CTES + q.ITEM_CTES + [q.RAW_TAGS, q.GENOME], """
+SELECT 'ratings' AS table_name, count(*) AS row_count, CAST(0 AS BIGINT) AS null_required,
+       CAST(0 AS BIGINT) AS malformed FROM raw_ratings
+UNION ALL SELECT 'movies', count(*), count_if(movieId IS NULL OR title IS NULL), 0 FROM raw_movies
+UNION ALL SELECT 'tags', count(*), 0, 0 FROM raw_tags
+UNION ALL SELECT 'genome_scores', count(*), 0, 0 FROM genome
+UNION ALL SELECT 'genome_tags', CAST(max(len(embedding)) AS BIGINT), 0, 0 FROM embeddings"""))
+def csv_ingest_q(spark, sf_dir):
+    return csv_src.ingest_report(spark, csv_inputs_dir(spark, sf_dir))
+
+
+@register("clean_ratings_from_csv", with_(q.RATINGS_CTES, """
+SELECT CAST(userId AS INTEGER) AS userId, CAST(movieId AS INTEGER) AS movieId, rating, "timestamp",
+       rating_date, rating_year FROM clean_ratings"""))
+def clean_ratings_from_csv_q(spark, sf_dir):
+    raw = csv_inputs_dir(spark, sf_dir)
+    return clean.clean_ratings(csv_src.read_inputs(spark, raw).ratings)
+
+
+@register("fact_ratings_staged", with_(q.WAREHOUSE_CTES, "SELECT * FROM fact"))
+def fact_ratings_staged_q(spark, sf_dir):
+    root = _stage(spark, sf_dir, "warehouse")
+    path = wh.write_table(fact_df(spark, sf_dir), root, "fact_ratings", typed=False)
+    back = spark.read.parquet(path)
+    return back.select(*fact_df(spark, sf_dir).columns)
