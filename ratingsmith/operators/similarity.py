@@ -45,16 +45,17 @@ def _pair_kernel(item: str, threshold: float | None, shared_norms: bool, margin:
         import pandas as pd
 
         lo, hi = int(pdf["_blo"].iloc[0]), int(pdf["_bhi"].iloc[0])
-        keys = np.unique(np.concatenate([np.asarray(k) for k in pdf["keys"]])) \
-            if len(pdf) else np.array([])
-        pos = {k: i for i, k in enumerate(keys.tolist())}
-        n, width = len(pdf), len(keys)
-        mat = np.zeros((n, width), dtype=np.float64)
-        mask = np.zeros((n, width), dtype=np.float64)
-        for r, (ks, vs) in enumerate(zip(pdf["keys"], pdf["vals"])):
-            idx = [pos[k] for k in ks]
-            mat[r, idx] = np.asarray(vs, dtype=np.float64)
-            mask[r, idx] = 1.0
+        lens = np.fromiter((len(k) for k in pdf["keys"]), dtype=np.int64, count=len(pdf))
+        flat_k = np.concatenate([np.asarray(k) for k in pdf["keys"]]) if lens.sum() else np.array([], dtype=np.int64)
+        flat_v = np.concatenate([np.asarray(v, dtype=np.float64) for v in pdf["vals"]]) \
+            if lens.sum() else np.array([], dtype=np.float64)
+        keys = np.unique(flat_k)
+        rows = np.repeat(np.arange(len(pdf)), lens)
+        cols = np.searchsorted(keys, flat_k)
+        mat = np.zeros((len(pdf), len(keys)), dtype=np.float64)
+        mask = np.zeros((len(pdf), len(keys)), dtype=np.float64)
+        mat[rows, cols] = flat_v
+        mask[rows, cols] = 1.0
         ids = pdf[item].to_numpy()
         blk = pdf["_blk"].to_numpy()
         a_rows = np.nonzero(blk == lo)[0]
