@@ -119,9 +119,21 @@ def cosine_pairs(vectors: DataFrame, item: str = "movieId", key: str = "tagId",
     return out
 
 
-def restrict_to(vectors: DataFrame, ids: DataFrame, item: str) -> DataFrame:
-    """Keep vectors of the given ids (J4).  ``ids`` must be bounded (a top-N list)."""
-    return vectors.join(F.broadcast(ids.select(item)), item, "left_semi")
+# Largest id list that is broadcast by hint; larger lists use a plain semi-join.
+BROADCAST_ROW_LIMIT = 1_000_000
+
+
+def restrict_to(vectors: DataFrame, ids: DataFrame, item: str, bound: int | None = None) -> DataFrame:
+    """Keep vectors of the given ids.
+
+    ``bound`` is a proven upper limit on the number of ids (the N of a top-N
+    list).  Only then, and only up to ``BROADCAST_ROW_LIMIT``, is the list
+    broadcast; otherwise the semi-join is left to the planner and AQE.
+    """
+    side = ids.select(item)
+    if bound is not None and bound <= BROADCAST_ROW_LIMIT:
+        side = F.broadcast(side)
+    return vectors.join(side, item, "left_semi")
 
 
 def symmetric_pairs(pairs: DataFrame, a: str = "movie_id_a", b: str = "movie_id_b",

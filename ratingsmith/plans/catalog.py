@@ -234,7 +234,7 @@ def tag_similarity_shared_q(spark, sf_dir):
 def tag_similarity_top_n_q(spark, sf_dir):
     top = agg.top_n_by_count(fact_base_df(spark, sf_dir), "movie_id", TOP_N_ITEMS).select(
         F.col("movie_id").alias("movieId"))
-    vecs = sim.restrict_to(vectors_df(spark, sf_dir), top, "movieId")
+    vecs = sim.restrict_to(vectors_df(spark, sf_dir), top, "movieId", bound=TOP_N_ITEMS)
     return sim.cosine_pairs(vecs, threshold=SIM_THRESHOLD)
 
 

@@ -93,7 +93,7 @@ def star_tables(ratings: DataFrame, items: DataFrame, vectors: DataFrame,
         if params.sim_top_n:
             base = fact_base(ratings, items)
             top = agg.top_n_by_count(base, "movieId", params.sim_top_n).select("movieId")
-            vecs = sim.restrict_to(vectors, top, "movieId")
+            vecs = sim.restrict_to(vectors, top, "movieId", bound=params.sim_top_n)
         return sim.cosine_pairs(vecs, threshold=params.sim_threshold,
                                 norms=params.sim_norms, sort=False)
 
