@@ -108,6 +108,10 @@ def refresh(spark: SparkSession, inputs: Inputs, out_dir: str, source: str,
     ratings = spark.read.parquet(os.path.join(stage, "clean_ratings"))
     items = spark.read.parquet(os.path.join(stage, "clean_movies"))
 
+    # An empty fact is an error, checked on the staged layer (cheap limit).
+    if wh.fact_base(ratings, items).limit(1).count() == 0:
+        raise ValueError("fact_ratings: no rows after cleaning and filtering")
+
     tables = wh.star_tables(ratings, items, inputs.genome_scores, params)
     wdir = os.path.join(out_dir, "warehouse")
     paths = wh.write_star(tables, wdir)

@@ -95,3 +95,14 @@ def test_ensure_table_adds_columns(spark, tmp_dir):
     wh.ensure_table(spark, "rs_run_log", path, "run_id bigint, status string, source_url string")
     assert [f.name for f in spark.table("rs_run_log").schema] == ["run_id", "status", "source_url"]
     spark.sql("DROP TABLE rs_run_log")
+
+
+def test_publish_and_defaults(spark, tmp_dir):
+    items = spark.createDataFrame([(1, "A (1999)", "A", "a", 1999)],
+                                  "movie_id long, title string, clean_title string, genres string, release_year int")
+    path = wh.write_table(items, tmp_dir, "dim_movies", typed=False)
+    seen = {}
+    wh.publish(spark, {"dim_movies": path}, lambda df, t: seen.setdefault(t, df))
+    out = seen["dim_movies"]
+    assert dict(out.dtypes)["movie_id"] == "int" and dict(out.dtypes)["release_year"] == "smallint"
+    assert "created_at" in out.columns and out.first().created_at is not None
