@@ -12,7 +12,10 @@ running frame is split by the order columns instead:
   an equi-join on the same keys, which is co-partitioned with that window.
 
 The result equals ``ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW`` ordered
-by ``order`` as long as ``partition + order`` is unique.  Day-range frames
+by ``order`` as long as ``partition + order`` is unique.  The totals are
+joined with LEFT joins on keys they are grouped by: every row has its group,
+and a query that reads none of the statistics lets the optimizer drop the
+joins and windows entirely.  Rows with a NULL key get NULL statistics.  Day-range frames
 (``RANGE BETWEEN n DAYS PRECEDING AND CURRENT ROW``) are computed on the
 per-day aggregate, whose windows hold at most one row per calendar day.
 """
@@ -55,7 +58,7 @@ def _offsets(df: DataFrame, partition: list[str], upper: list[str], measure: str
                 -rolling_days, 0)
             cols += [F.sum(_C).over(rng).alias("_rl_cnt"), F.sum(_S).over(rng).alias("_rl_sum")]
         lvl = lvl.select(*cols)
-        acc = lvl if acc is None else lvl.join(acc, outer)
+        acc = lvl if acc is None else lvl.join(acc, outer, "left")
     return acc
 
 
@@ -89,13 +92,13 @@ def entity_stats(df: DataFrame, partition: Sequence[str], order: Sequence[str],
             Window.unboundedPreceding, Window.currentRow)
         rows = df.select("*", F.count(measure).over(within).alias("_w_cnt"),
                          F.sum(F.col(measure).cast("double")).over(within).alias("_w_sum"))
-        joined = rows.join(offsets, partition + upper)
+        joined = rows.join(offsets, partition + upper, "left")
         cnt = F.col("_w_cnt") + _sum_cols("_off_c", len(upper))
         total = F.coalesce(F.col("_w_sum"), F.lit(0.0)) + _sum_cols("_off_s", len(upper))
         out_cols += [cnt.cast("bigint").alias(running[0]),
                      half_up(safe_divide(total, cnt), scale).alias(running[1])]
     else:
-        joined = df.join(offsets, partition + upper)
+        joined = df.join(offsets, partition + upper, "left")
     if rolling is not None:
         out_cols += [F.col("_rl_cnt").cast("bigint").alias(rolling[0]),
                      half_up(safe_divide(F.col("_rl_sum"), F.col("_rl_cnt")), scale).alias(rolling[1])]
@@ -119,7 +122,7 @@ def rolling_stats(df: DataFrame, partition: Sequence[str], date_col: str, measur
     rng = Window.partitionBy(*partition).orderBy(day_number(date_col)).rangeBetween(-days, 0)
     day = day.select(*partition, date_col, F.sum(_C).over(rng).alias("_rl_cnt"),
                      F.sum(_S).over(rng).alias("_rl_sum"))
-    return df.join(day, partition + [date_col]).select(
+    return df.join(day, partition + [date_col], "left").select(
         *[F.col(c) for c in df.columns],
         F.col("_rl_cnt").cast("bigint").alias(count_name),
         half_up(safe_divide(F.col("_rl_sum"), F.col("_rl_cnt")), scale).alias(avg_name))
