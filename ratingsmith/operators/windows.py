@@ -36,10 +36,12 @@ def _level_totals(df: DataFrame, keys: list[str], measure: str) -> DataFrame:
                                  F.sum(F.col(measure).cast("double")).alias(_S))
 
 
-def _offsets(df: DataFrame, partition: list[str], upper: list[str], measure: str,
+def _offsets(groups: DataFrame, partition: list[str], upper: list[str],
              rolling_days: int | None = None) -> DataFrame:
     """Totals of all rows ordered before each ``partition + upper`` group.
 
+    ``groups`` has one row per ``partition + upper`` with its ``_rs_cnt`` and
+    ``_rs_sum``; coarser levels are rolled up from it, never from the rows.
     With ``rolling_days`` the first level (a date column) also carries the
     day-range totals ``_rl_cnt`` / ``_rl_sum``.
     """
@@ -47,7 +49,8 @@ def _offsets(df: DataFrame, partition: list[str], upper: list[str], measure: str
     for i, col in enumerate(upper):
         keys = partition + upper[: i + 1]
         outer = partition + upper[:i]
-        lvl = _level_totals(df, keys, measure)
+        lvl = groups if i == len(upper) - 1 else groups.groupBy(*keys).agg(
+            F.sum(_C).alias(_C), F.sum(_S).alias(_S))
         before = Window.partitionBy(*outer).orderBy(col).rowsBetween(
             Window.unboundedPreceding, -1)
         cols = [*keys,
@@ -79,26 +82,31 @@ def entity_stats(df: DataFrame, partition: Sequence[str], order: Sequence[str],
     ``order[0]`` must be a DATE column when ``rolling`` is requested; the
     rolling frame covers ``[order[0] - rolling_days, order[0]]`` inclusive and
     includes every row of the same day.
+
+    The rows are shuffled once, by ``partition + order[:-1]``, for the window
+    inside each group; every level of totals is rolled up from one partial
+    aggregate per group.
     """
     partition, order = list(partition), list(order)
     if len(order) < 2:
         raise ValueError("entity_stats needs at least two order columns to split groups")
     upper, last = order[:-1], order[-1]
-    offsets = _offsets(df, partition, upper, measure,
-                       rolling_days if rolling is not None else None)
+    grp = partition + upper
+    # Group totals come from a partial aggregate (map-side combined); the rows
+    # themselves are shuffled once, for the window inside each group.
+    groups = _level_totals(df, grp, measure)
+    offsets = _offsets(groups, partition, upper, rolling_days if rolling is not None else None)
+    within = Window.partitionBy(*grp).orderBy(last).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    rows = df.select("*", F.count(measure).over(within).alias("_w_cnt"),
+                     F.sum(F.col(measure).cast("double")).over(within).alias("_w_sum"))
+    joined = rows.join(offsets, grp, "left")
     out_cols = [F.col(c) for c in df.columns]
     if running is not None:
-        within = Window.partitionBy(*partition, *upper).orderBy(last).rowsBetween(
-            Window.unboundedPreceding, Window.currentRow)
-        rows = df.select("*", F.count(measure).over(within).alias("_w_cnt"),
-                         F.sum(F.col(measure).cast("double")).over(within).alias("_w_sum"))
-        joined = rows.join(offsets, partition + upper, "left")
         cnt = F.col("_w_cnt") + _sum_cols("_off_c", len(upper))
         total = F.coalesce(F.col("_w_sum"), F.lit(0.0)) + _sum_cols("_off_s", len(upper))
         out_cols += [cnt.cast("bigint").alias(running[0]),
                      half_up(safe_divide(total, cnt), scale).alias(running[1])]
-    else:
-        joined = df.join(offsets, partition + upper, "left")
     if rolling is not None:
         out_cols += [F.col("_rl_cnt").cast("bigint").alias(rolling[0]),
                      half_up(safe_divide(F.col("_rl_sum"), F.col("_rl_cnt")), scale).alias(rolling[1])]
