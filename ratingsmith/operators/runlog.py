@@ -6,7 +6,6 @@ The log is an append-only table; reports over it are small aggregates.
 from __future__ import annotations
 
 import datetime as dt
-import os
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -139,12 +138,10 @@ def changed_tables(current: DataFrame, saved: DataFrame | None) -> DataFrame:
 # ---- appends (L1, L2, L6) ----------------------------------------------------------
 
 def read_log(spark: SparkSession, path: str, schema: StructType = RUN_LOG_SCHEMA) -> DataFrame:
-    if os.path.exists(path) or path.startswith(("hdfs:", "s3", "gs:", "abfs")):
-        try:
-            return spark.read.schema(schema).parquet(path)
-        except Exception:  # missing path on a remote store
-            pass
-    return spark.createDataFrame([], schema)
+    """The log table, or an empty one before the first append."""
+    from ratingsmith.session import read_parquet_or_none
+    df = read_parquet_or_none(spark, path, schema)
+    return df if df is not None else spark.createDataFrame([], schema)
 
 
 def append_run(spark: SparkSession, path: str, dataset_hash: str | None, status: str,

@@ -21,7 +21,7 @@ from ratingsmith.operators import clean
 from ratingsmith.operators import quality as qc
 from ratingsmith.operators import runlog as rl
 from ratingsmith.plans import warehouse as wh
-from ratingsmith.session import workspace
+from ratingsmith.session import read_parquet_or_none, workspace
 from ratingsmith.sources.adapters import Inputs
 from ratingsmith.sources.contracts import (
     WAREHOUSE_KEYS, WAREHOUSE_MAX_LENGTHS, WAREHOUSE_NOT_NULL, WAREHOUSE_TABLES,
@@ -36,16 +36,8 @@ def state_path(spark: SparkSession, source: str, *parts: str) -> str:
     return workspace(spark, "state", _key(source), *parts)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
-
-
 def saved_fingerprints(spark: SparkSession, source: str) -> DataFrame | None:
-    path = state_path(spark, source, "fingerprints")
-    return spark.read.parquet(path) if _exists(spark, path) else None
+    return read_parquet_or_none(spark, state_path(spark, source, "fingerprints"))
 
 
 def quality_suite(tables, raw_ratings: DataFrame, previous_stats: DataFrame | None,

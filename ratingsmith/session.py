@@ -42,12 +42,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is unset: name a shared folder for the cluster")
         path = tempfile.mkdtemp(prefix="ratingsmith-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)
     return path
 
 
+def read_parquet_or_none(spark: SparkSession, path: str, schema=None):
+    """The Parquet table at ``path``, or None when nothing was written there yet."""
+    from pyspark.errors import AnalysisException
+    try:
+        reader = spark.read.schema(schema) if schema is not None else spark.read
+        df = reader.parquet(path)
+        if schema is not None:
+            df.limit(0).collect()          # a schema-only read is lazy; touch the path
+        return df
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
+            return None
+        raise
+
+
 def workspace(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder for staged tables."""
     root = ensure_checkpoint_dir(spark)
