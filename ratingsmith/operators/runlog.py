@@ -117,6 +117,32 @@ def metadata_matches(saved: DataFrame, current: DataFrame, key: str = "source",
     return j.select(key, decide.otherwise(F.lit(False)).alias("matches"))
 
 
+def file_metadata(df: DataFrame, source: str) -> DataFrame:
+    """C1 inputs for a file-backed DataFrame: one row (source, etag, last_modified, content_length).
+
+    Built from Spark's per-file ``_metadata`` column, which needs no data
+    columns.  ``etag`` is an order-independent hash of (path, size, mtime)
+    over all files, so any added, removed or rewritten file changes it.
+    """
+    m = df.select(F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_size").alias("s"),
+                  F.col("_metadata.file_modification_time").alias("t"))
+    files = m.groupBy("p").agg(F.max("s").alias("s"), F.max("t").alias("t"))
+    h = F.xxhash64("p", "s", "t").cast(DecimalType(38, 0))
+    return files.agg(F.sum(h).cast("string").alias("etag"),
+                     F.max("t").cast("string").alias("last_modified"),
+                     F.sum("s").cast("string").alias("content_length")).select(
+        F.lit(source).alias("source"), "etag", "last_modified", "content_length")
+
+
+def all_match(saved: DataFrame | None, current: DataFrame) -> bool:
+    """True when every current source has saved metadata that matches."""
+    if saved is None:
+        return False
+    m = metadata_matches(saved, current).join(current.select("source"), "source")
+    row = m.agg(F.count(F.lit(1)).alias("n"), F.count_if("matches").alias("ok")).first()
+    return row["n"] > 0 and row["n"] == row["ok"]
+
+
 def changed_tables(current: DataFrame, saved: DataFrame | None) -> DataFrame:
     """table_name, changed — compared with the last saved fingerprints.
 

@@ -97,7 +97,9 @@ def cosine_pairs(vectors: DataFrame, item: str = "movieId", key: str = "tagId",
     """
     packed = pack_vectors(vectors, item, key, value)
     if num_blocks is None:
-        n_items = packed.count()
+        # Only the block count depends on it, so an approximate distinct count
+        # (one pass, no shuffle of rows) is enough.
+        n_items = vectors.agg(F.approx_count_distinct(item).alias("n")).first()["n"] or 0
         num_blocks = max(1, math.ceil(n_items / block_size))
     nb = int(num_blocks)
     blk = F.pmod(F.xxhash64(F.col(item)), F.lit(nb)).cast("int")

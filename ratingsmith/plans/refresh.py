@@ -71,12 +71,26 @@ class RefreshResult:
 
 def refresh(spark: SparkSession, inputs: Inputs, out_dir: str, source: str,
             params: wh.StarParams = wh.StarParams(), force: bool = False,
-            source_url: str | None = None) -> RefreshResult:
-    """Run the whole batch; skip (and log the skip) when no input changed."""
+            source_url: str | None = None, metadata: DataFrame | None = None) -> RefreshResult:
+    """Run the whole batch; skip (and log the skip) when no input changed.
+
+    ``metadata`` (one row per input: source, etag, last_modified,
+    content_length, e.g. ``sources.csv.input_metadata``) enables the cheap
+    check: when it matches the metadata saved by the last success, the run is
+    skipped without reading any data.  Otherwise content fingerprints decide.
+    """
     started = time.time()
     audit = os.path.join(out_dir, "_audit")
     log_path, stats_path = os.path.join(audit, "pipeline_run_log"), os.path.join(audit, "pipeline_table_stats")
     fp_path = state_path(spark, source, "fingerprints")
+    meta_path = state_path(spark, source, "metadata")
+
+    if metadata is not None:
+        metadata = metadata.checkpoint(eager=True)
+        if not force and rl.all_match(read_parquet_or_none(spark, meta_path), metadata):
+            run_id = rl.append_run(spark, log_path, None, "skipped", 0,
+                                   int(time.time() - started), source_url, __version__)
+            return RefreshResult(run_id, "skipped")
 
     # Fingerprints of the inputs (five rows) against the last saved ones.
     current = rl.fingerprints(inputs.as_dict()).checkpoint(eager=True)
@@ -85,6 +99,8 @@ def refresh(spark: SparkSession, inputs: Inputs, out_dir: str, source: str,
     changed = [r["table_name"] for r in
                rl.changed_tables(current, saved_fingerprints(spark, source)).filter("changed").collect()]
     if not changed and not force:
+        if metadata is not None:          # same content under new file metadata
+            metadata.write.mode("overwrite").parquet(meta_path)
         run_id = rl.append_run(spark, log_path, dataset_hash, "skipped", 0,
                                int(time.time() - started), source_url, __version__)
         return RefreshResult(run_id, "skipped")
@@ -128,4 +144,6 @@ def refresh(spark: SparkSession, inputs: Inputs, out_dir: str, source: str,
     rl.append_table_stats(counts, run_id, stats_path)
     if status == "success":
         current.write.mode("overwrite").parquet(fp_path)
+        if metadata is not None:
+            metadata.write.mode("overwrite").parquet(meta_path)
     return RefreshResult(run_id, status, changed, paths, failed)

@@ -84,3 +84,11 @@ def write_inputs(inputs: Inputs, raw_dir: str) -> None:
     for name, df in inputs.as_dict().items():
         (df.write.mode("overwrite").option("header", "true").option("escape", '"')
          .csv(os.path.join(raw_dir, INPUT_FILES[name])))
+
+
+def input_metadata(spark: SparkSession, raw_dir: str) -> DataFrame:
+    """File metadata (C1) of the five CSV inputs; reads no data columns."""
+    from ratingsmith.operators.runlog import file_metadata
+    frames = [file_metadata(reader(spark, c.schema).csv(os.path.join(raw_dir, INPUT_FILES[name])), name)
+              for name, c in INPUTS.items()]
+    return reduce(lambda a, b: a.unionByName(b), frames)

@@ -44,3 +44,24 @@ def test_refresh_then_skip(spark, tmp_dir):
     assert [r.status for r in log.orderBy("run_id").collect()] == ["success", "skipped", "success"]
     drift = spark.read.parquet(os.path.join(tmp_dir, "_audit", "drift_latest"))
     assert drift.filter("flagged").count() == 0 and drift.filter("previous IS NOT NULL").count() == 6
+
+
+def test_metadata_skip_reads_no_data(spark, tmp_dir):
+    from ratingsmith.sources import csv as csv_src
+    raw = os.path.join(tmp_dir, "raw")
+    csv_src.write_inputs(adapters.load_inputs(spark, SF), raw)
+    params = wh.StarParams(min_count=5, sim_threshold=0.7, sim_top_n=None)
+    out = os.path.join(tmp_dir, "out")
+    first = rf.refresh(spark, csv_src.read_inputs(spark, raw), out, source=raw, params=params,
+                       metadata=csv_src.input_metadata(spark, raw))
+    assert first.status == "success"
+    again = rf.refresh(spark, csv_src.read_inputs(spark, raw), out, source=raw, params=params,
+                       metadata=csv_src.input_metadata(spark, raw))
+    assert again.status == "skipped" and again.changed == []
+    # rewrite one input with identical content: metadata differs, fingerprints match
+    ratings_dir = os.path.join(raw, "ratings.csv")
+    copy = spark.read.option("header", "true").csv(ratings_dir).collect()
+    spark.createDataFrame(copy).write.mode("overwrite").option("header", "true").csv(ratings_dir)
+    third = rf.refresh(spark, csv_src.read_inputs(spark, raw), out, source=raw, params=params,
+                       metadata=csv_src.input_metadata(spark, raw))
+    assert third.status == "skipped"
