@@ -588,7 +588,8 @@ def csv_inputs_dir(spark, sf_dir) -> str:
 @register("csv_ingest", with_(q.RATINGS_CTES + q.ITEM_CTES + [q.RAW_TAGS, q.GENOME], """
 SELECT 'ratings' AS table_name, count(*) AS row_count, CAST(0 AS BIGINT) AS null_required,
        CAST(0 AS BIGINT) AS malformed FROM raw_ratings
-UNION ALL SELECT 'movies', count(*), count_if(movieId IS NULL OR title IS NULL), 0 FROM raw_movies
+UNION ALL SELECT 'movies', count(*), CAST(count_if(movieId IS NULL OR title IS NULL) AS BIGINT), 0
+          FROM raw_movies
 UNION ALL SELECT 'tags', count(*), 0, 0 FROM raw_tags
 UNION ALL SELECT 'genome_scores', count(*), 0, 0 FROM genome
 UNION ALL SELECT 'genome_tags', CAST(max(len(embedding)) AS BIGINT), 0, 0 FROM embeddings"""))

@@ -53,6 +53,23 @@ def canon(cols, rows):
     return sorted(out, key=repr)
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "date": "DATE", "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP",
+                 "boolean": "BOOLEAN", "array<string>": "VARCHAR[]", "smallint": "SMALLINT",
+                 "float": "FLOAT"}
+
+
+def type_mismatches(df, res):
+    duck_types = {d[0]: str(d[1]).upper() for d in res.description}
+    out = []
+    for c, t in df.dtypes:
+        want = SPARK_TO_DUCK.get(t, t.upper())
+        got = duck_types.get(c)
+        if got is not None and got != want:
+            out.append((c, t, got))
+    return out
+
+
 def compare(spark, con, name, fn, sql, sf_dir):
     t = time.time()
     df = fn(spark, sf_dir)
@@ -66,8 +83,11 @@ def compare(spark, con, name, fn, sql, sf_dir):
     drows = res.fetchall()
     ok_cols = sorted(scols) == sorted(dcols)
     a, b = canon(scols, srows), canon(dcols, drows)
-    ok = ok_cols and a == b
+    types = type_mismatches(df, res)
+    ok = ok_cols and a == b and not types
     info = dict(name=name, ok=ok, rows=(len(srows), len(drows)), spark_s=round(ts, 2))
+    if types:
+        info["types"] = types
     if not ok_cols:
         info["cols"] = (sorted(scols), sorted(dcols))
     elif not ok:
