@@ -7,16 +7,28 @@ on absolute embedding values.  Every query reads whole tables.
 
 from __future__ import annotations
 
+import hashlib
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ratingsmith.operators import aggregates as agg
 from ratingsmith.operators import clean
+from ratingsmith.operators import metrics as met
+from ratingsmith.operators import quality as qc
+from ratingsmith.operators import runlog as rl
+from ratingsmith.operators import similarity as sim
 from ratingsmith.operators import windows as win
 from ratingsmith.plans import oracle_sql as q
+from ratingsmith.plans import warehouse as wh
 from ratingsmith.plans.oracle_sql import R, with_
+from ratingsmith.session import workspace
 from ratingsmith.sources import adapters
+from ratingsmith.sources import csv as csv_src
+from ratingsmith.sources.contracts import (
+    WAREHOUSE_KEYS, WAREHOUSE_MAX_LENGTHS, WAREHOUSE_NOT_NULL, WAREHOUSE_TABLES,
+)
 
 # Parameters for the driver data.
 MIN_COUNT = 20
@@ -115,8 +127,6 @@ def decade_stats_q(spark, sf_dir):
 
 # ---- star schema ------------------------------------------------------------------
 
-from ratingsmith.operators import similarity as sim  # noqa: E402
-from ratingsmith.plans import warehouse as wh  # noqa: E402
 
 
 def fact_df(spark, sf_dir) -> DataFrame:
@@ -256,13 +266,6 @@ def neighbours_q(spark, sf_dir):
 
 # ---- quality checks -----------------------------------------------------------------
 
-from ratingsmith.operators import metrics as met  # noqa: E402
-from ratingsmith.operators import quality as qc  # noqa: E402
-from ratingsmith.operators import runlog as rl  # noqa: E402
-from ratingsmith.sources.contracts import (  # noqa: E402
-    WAREHOUSE_KEYS, WAREHOUSE_MAX_LENGTHS, WAREHOUSE_NOT_NULL, WAREHOUSE_TABLES,
-)
-
 STAR_PARAMS = wh.StarParams(min_count=MIN_COUNT, sim_threshold=SIM_THRESHOLD, sim_top_n=None)
 
 
@@ -567,11 +570,7 @@ def changed_tables_q(spark, sf_dir):
 
 # ---- sources: CSV ingest and staged Parquet round trips ---------------------------------
 
-import hashlib  # noqa: E402
-import os  # noqa: E402
 
-from ratingsmith.session import workspace  # noqa: E402
-from ratingsmith.sources import csv as csv_src  # noqa: E402
 
 
 def _stage(spark, sf_dir, *parts):
