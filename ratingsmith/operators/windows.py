@@ -1,23 +1,27 @@
 """Running and rolling statistics per entity.
 
 A plain ``Window.partitionBy(item)`` sends every row of an item to one task,
-so one item holding a third of the data becomes one straggler task.  Here the
-running frame is split by the order columns instead:
-
-* for each prefix ``order[:i+1]`` of the order columns except the last, a
-  partial aggregate (count, sum) per ``partition + order[:i+1]`` is built and a
-  short window over that small table gives the total of all *earlier* groups;
-* the rows are windowed only inside ``partition + order[:-1]`` (for ratings:
-  one item within one second), and the earlier-group totals are added back by
-  an equi-join on the same keys, which is co-partitioned with that window.
-
-The result equals ``ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW`` ordered
-by ``order`` as long as ``partition + order`` is unique.  The totals are
-joined with LEFT joins on keys they are grouped by: every row has its group,
-and a query that reads none of the statistics lets the optimizer drop the
-joins and windows entirely.  Rows with a NULL key get NULL statistics.  Day-range frames
-(``RANGE BETWEEN n DAYS PRECEDING AND CURRENT ROW``) are computed on the
-per-day aggregate, whose windows hold at most one row per calendar day.
+so one item holding a third of the data becomes one straggler task.
+``entity_stats`` therefore counts rows per entity first (a partial
+aggregate) and treats the two kinds of entity differently:
+
+* entities with at most ``hot_rows`` rows use one plain window;
+* hot entities (at most ``rows / hot_rows`` of them, so their list is
+  broadcast) take the split path.  For each prefix ``order[:i+1]`` of the
+  order columns except the last, totals per ``partition + order[:i+1]`` are
+  rolled up from one partial aggregate, and a short window over that small
+  table gives the total of all *earlier* groups.  The rows are windowed only
+  inside ``partition + order[:-1]`` (for ratings: one item within one second),
+  and the earlier-group totals are added back by an equi-join on the same
+  keys, co-partitioned with that window.
+
+Both paths equal ``ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW`` ordered
+by ``order`` as long as ``partition + order`` is unique.  The split path joins
+its totals with LEFT joins on keys they are grouped by, so a query that reads
+no statistics lets the optimizer drop that work.  Day-range frames
+(``RANGE BETWEEN n DAYS PRECEDING AND CURRENT ROW``) on the split path are
+computed on the per-day totals, whose windows hold at most one row per
+calendar day.
 """
 
 from __future__ import annotations
@@ -72,24 +76,11 @@ def _sum_cols(prefix: str, n: int) -> Column:
     return out
 
 
-def entity_stats(df: DataFrame, partition: Sequence[str], order: Sequence[str], measure: str,
-                 running: tuple[str, str] | None = ("cumulative_rating_count",
-                                                    "cumulative_avg_rating"),
-                 rolling: tuple[str, str] | None = None, rolling_days: int = 30,
-                 scale: int = 2) -> DataFrame:
-    """Append running and/or day-range rolling count and average columns.
-
-    ``order[0]`` must be a DATE column when ``rolling`` is requested; the
-    rolling frame covers ``[order[0] - rolling_days, order[0]]`` inclusive and
-    includes every row of the same day.
-
-    The rows are shuffled once, by ``partition + order[:-1]``, for the window
-    inside each group; every level of totals is rolled up from one partial
-    aggregate per group.
-    """
-    partition, order = list(partition), list(order)
-    if len(order) < 2:
-        raise ValueError("entity_stats needs at least two order columns to split groups")
+def _split_stats(df: DataFrame, partition: list[str], order: list[str], measure: str,
+                 running, rolling, rolling_days: int, scale: int) -> DataFrame:
+    """Split form: rows are shuffled once, by ``partition + order[:-1]``, for the
+    window inside each group; every level of totals is rolled up from one
+    partial aggregate per group."""
     upper, last = order[:-1], order[-1]
     grp = partition + upper
     # Group totals come from a partial aggregate (map-side combined); the rows
@@ -113,12 +104,68 @@ def entity_stats(df: DataFrame, partition: Sequence[str], order: Sequence[str],
     return joined.select(*out_cols)
 
 
+# Items with more rows than this take the split path; the rest use one window.
+DEFAULT_HOT_ROWS = 2_000_000
+
+
+def _plain_stats(df: DataFrame, partition: list[str], order: list[str], measure: str,
+                 running, rolling, rolling_days: int, scale: int) -> DataFrame:
+    """One window per entity: right for entities of bounded size."""
+    cols = [F.col(c) for c in df.columns]
+    m = F.col(measure).cast("double")
+    if running is not None:
+        w = Window.partitionBy(*partition).orderBy(*order).rowsBetween(
+            Window.unboundedPreceding, Window.currentRow)
+        cnt = F.count(measure).over(w)
+        cols += [cnt.cast("bigint").alias(running[0]),
+                 half_up(safe_divide(F.sum(m).over(w), cnt), scale).alias(running[1])]
+    if rolling is not None:
+        r = Window.partitionBy(*partition).orderBy(day_number(order[0])).rangeBetween(
+            -rolling_days, 0)
+        cnt = F.count(measure).over(r)
+        cols += [cnt.cast("bigint").alias(rolling[0]),
+                 half_up(safe_divide(F.sum(m).over(r), cnt), scale).alias(rolling[1])]
+    return df.select(*cols)
+
+
+def entity_stats(df: DataFrame, partition: Sequence[str], order: Sequence[str], measure: str,
+                 running: tuple[str, str] | None = ("cumulative_rating_count",
+                                                    "cumulative_avg_rating"),
+                 rolling: tuple[str, str] | None = None, rolling_days: int = 30,
+                 scale: int = 2, hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
+    """Append running and/or day-range rolling count and average columns.
+
+    ``order[0]`` must be a DATE column when ``rolling`` is requested; the
+    rolling frame covers ``[order[0] - rolling_days, order[0]]`` inclusive and
+    includes every row of the same day.
+
+    Entities with at most ``hot_rows`` rows are computed with one plain window
+    (one shuffle by entity).  Hotter entities take the split path.  The hot
+    list comes from one partial aggregate and has at most
+    ``rows / hot_rows`` keys, a proven bound, so it is broadcast.
+    ``hot_rows=None`` sends everything through the split path.
+    """
+    partition, order = list(partition), list(order)
+    if len(order) < 2:
+        raise ValueError("entity_stats needs at least two order columns to split groups")
+    if hot_rows is None:
+        return _split_stats(df, partition, order, measure, running, rolling, rolling_days, scale)
+    counts = df.groupBy(*partition).agg(F.count(F.lit(1)).alias("_n"))
+    hot = F.broadcast(counts.filter(F.col("_n") > hot_rows).select(*partition))
+    cold_part = _plain_stats(df.join(hot, partition, "left_anti"), partition, order, measure,
+                             running, rolling, rolling_days, scale)
+    hot_part = _split_stats(df.join(hot, partition, "left_semi"), partition, order, measure,
+                            running, rolling, rolling_days, scale)
+    return cold_part.unionByName(hot_part)
+
+
 def running_stats(df: DataFrame, partition: Sequence[str], order: Sequence[str], measure: str,
                   count_name: str = "cumulative_rating_count",
-                  avg_name: str = "cumulative_avg_rating", scale: int = 2) -> DataFrame:
+                  avg_name: str = "cumulative_avg_rating", scale: int = 2,
+                  hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
     """Running count and average ordered by ``order``."""
     return entity_stats(df, partition, order, measure, running=(count_name, avg_name),
-                        scale=scale)
+                        scale=scale, hot_rows=hot_rows)
 
 
 def rolling_stats(df: DataFrame, partition: Sequence[str], date_col: str, measure: str,

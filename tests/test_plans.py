@@ -32,15 +32,17 @@ def test_top_k_uses_partial_group_limit(spark):
     assert plan.count("WindowGroupLimit") >= 2          # one before and one after the shuffle
 
 
-def test_running_window_not_partitioned_by_item_alone(spark):
+def test_hot_items_take_the_split_path(spark):
     plan = _plan(catalog.QUERIES["running_stats"](spark, SF))
-    assert "windowspecdefinition(movieId#" in plan
-    assert "Exchange hashpartitioning(movieId#" in plan
-    # the row-level window is keyed by item, day and second, never by item only
-    for line in plan.splitlines():
-        if "Window [count(rating" in line:
-            keys = line.split("windowspecdefinition(")[1]
-            assert "rating_date" in keys and "timestamp" in keys
+    # the hot-item list is broadcast; plain windows see only the anti-joined cold items
+    assert "LeftAnti" in plan and "LeftSemi" in plan and "BroadcastExchange" in plan
+    # the split path windows rows inside (item, day, second), never by item only
+    split_windows = [line for line in plan.splitlines()
+                     if "Window [count(rating" in line and "_w_cnt" in line]
+    assert split_windows
+    for line in split_windows:
+        keys = line.split("windowspecdefinition(")[1]
+        assert "rating_date" in keys and "timestamp" in keys
 
 
 def test_similarity_has_no_cartesian_product(spark):

@@ -47,8 +47,6 @@ def _random_ratings(spark, n=3000, seed=7):
 
 def test_split_running_equals_plain_window(spark):
     df = _random_ratings(spark)
-    got = win.entity_stats(df, ["movieId"], ["rating_date", "timestamp", "userId"], "rating",
-                           rolling=("rc", "ra"))
     w = Window.partitionBy("movieId").orderBy("rating_date", "timestamp", "userId").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     r = Window.partitionBy("movieId").orderBy(F.unix_date("rating_date")).rangeBetween(-30, 0)
@@ -56,12 +54,18 @@ def test_split_running_equals_plain_window(spark):
                      half_up(F.avg("rating").over(w), 2).alias("cumulative_avg_rating"),
                      F.count("rating").over(r).alias("rc"), half_up(F.avg("rating").over(r), 2).alias("ra"))
     cols = sorted(want.columns)
-    assert sorted(got.select(cols).collect()) == sorted(want.select(cols).collect())
+    expected = sorted(want.select(cols).collect())
+    # all split, item 1 hot and the rest plain, and all plain
+    for hot_rows in (None, 500, 10**9):
+        got = win.entity_stats(df, ["movieId"], ["rating_date", "timestamp", "userId"], "rating",
+                               rolling=("rc", "ra"), hot_rows=hot_rows)
+        assert sorted(got.select(cols).collect()) == expected, hot_rows
 
 
 def test_running_max_equals_group_size(spark):
     df = _random_ratings(spark, 500, seed=3)
-    got = win.running_stats(df, ["movieId"], ["rating_date", "timestamp", "userId"], "rating")
+    got = win.running_stats(df, ["movieId"], ["rating_date", "timestamp", "userId"], "rating",
+                            hot_rows=100)
     mx = {r.movieId: r.m for r in got.groupBy("movieId").agg(F.max("cumulative_rating_count").alias("m")).collect()}
     n = {r.movieId: r["count"] for r in df.groupBy("movieId").count().collect()}
     assert mx == n
@@ -70,7 +74,7 @@ def test_running_max_equals_group_size(spark):
 def test_rolling_count_at_most_running_to_end_of_day(spark):
     df = _random_ratings(spark, 800, seed=11)
     out = win.entity_stats(df, ["movieId"], ["rating_date", "timestamp", "userId"], "rating",
-                           rolling=("rc", "ra"))
+                           rolling=("rc", "ra"), hot_rows=100)
     eod = out.groupBy("movieId", "rating_date").agg(F.max("cumulative_rating_count").alias("eod"))
     bad = out.join(eod, ["movieId", "rating_date"]).filter(F.col("rc") > F.col("eod")).count()
     assert bad == 0
