@@ -2,26 +2,25 @@
 
 A plain ``Window.partitionBy(item)`` sends every row of an item to one task,
 so one item holding a third of the data becomes one straggler task.
-``entity_stats`` therefore counts rows per entity first (a partial
-aggregate) and treats the two kinds of entity differently:
-
-* entities with at most ``hot_rows`` rows use one plain window;
-* hot entities (at most ``rows / hot_rows`` of them, so their list is
-  broadcast) take the split path.  For each prefix ``order[:i+1]`` of the
-  order columns except the last, totals per ``partition + order[:i+1]`` are
-  rolled up from one partial aggregate, and a short window over that small
-  table gives the total of all *earlier* groups.  The rows are windowed only
-  inside ``partition + order[:-1]`` (for ratings: one item within one second),
-  and the earlier-group totals are added back by an equi-join on the same
-  keys, co-partitioned with that window.
-
-Both paths equal ``ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW`` ordered
-by ``order`` as long as ``partition + order`` is unique.  The split path joins
-its totals with LEFT joins on keys they are grouped by, so a query that reads
-no statistics lets the optimizer drop that work.  Day-range frames
-(``RANGE BETWEEN n DAYS PRECEDING AND CURRENT ROW``) on the split path are
-computed on the per-day totals, whose windows hold at most one row per
-calendar day.
+``entity_stats`` counts rows per entity first (a partial aggregate) and
+windows the rows once, partitioned by ``(entity, _pk)``:
+
+* ``_pk`` is NULL for an entity with at most ``hot_rows`` rows, so its
+  partition is the plain per-entity window;
+* for a hot entity (at most ``rows / hot_rows`` of them, so their list is
+  broadcast) ``_pk`` is ``struct(order[:-1])``: its rows are windowed only
+  inside one (day, second) group.  The totals of all earlier groups come from
+  partial aggregates rolled up level by level (day, then second) with short
+  windows over those small tables, and are added back by a LEFT join on
+  ``(entity, _pk)``, co-partitioned with the row window.
+
+The result equals ``ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW`` ordered
+by ``order`` as long as ``partition + order`` is unique.  Every join is a
+LEFT join onto keys the right side is grouped by, so a query that reads no
+statistics lets the optimizer drop all of it.  Day-range frames
+(``RANGE BETWEEN n DAYS PRECEDING AND CURRENT ROW``) use the same row window
+for plain entities and the per-day totals (one row per calendar day) for hot
+ones.  Rows with a NULL key get NULL statistics.
 """
 
 from __future__ import annotations
@@ -76,56 +75,9 @@ def _sum_cols(prefix: str, n: int) -> Column:
     return out
 
 
-def _split_stats(df: DataFrame, partition: list[str], order: list[str], measure: str,
-                 running, rolling, rolling_days: int, scale: int) -> DataFrame:
-    """Split form: rows are shuffled once, by ``partition + order[:-1]``, for the
-    window inside each group; every level of totals is rolled up from one
-    partial aggregate per group."""
-    upper, last = order[:-1], order[-1]
-    grp = partition + upper
-    # Group totals come from a partial aggregate (map-side combined); the rows
-    # themselves are shuffled once, for the window inside each group.
-    groups = _level_totals(df, grp, measure)
-    offsets = _offsets(groups, partition, upper, rolling_days if rolling is not None else None)
-    within = Window.partitionBy(*grp).orderBy(last).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    rows = df.select("*", F.count(measure).over(within).alias("_w_cnt"),
-                     F.sum(F.col(measure).cast("double")).over(within).alias("_w_sum"))
-    joined = rows.join(offsets, grp, "left")
-    out_cols = [F.col(c) for c in df.columns]
-    if running is not None:
-        cnt = F.col("_w_cnt") + _sum_cols("_off_c", len(upper))
-        total = F.coalesce(F.col("_w_sum"), F.lit(0.0)) + _sum_cols("_off_s", len(upper))
-        out_cols += [cnt.cast("bigint").alias(running[0]),
-                     half_up(safe_divide(total, cnt), scale).alias(running[1])]
-    if rolling is not None:
-        out_cols += [F.col("_rl_cnt").cast("bigint").alias(rolling[0]),
-                     half_up(safe_divide(F.col("_rl_sum"), F.col("_rl_cnt")), scale).alias(rolling[1])]
-    return joined.select(*out_cols)
-
-
-# Items with more rows than this take the split path; the rest use one window.
+# Entities with more rows than this are split; the rest use one plain window.
 DEFAULT_HOT_ROWS = 2_000_000
-
-
-def _plain_stats(df: DataFrame, partition: list[str], order: list[str], measure: str,
-                 running, rolling, rolling_days: int, scale: int) -> DataFrame:
-    """One window per entity: right for entities of bounded size."""
-    cols = [F.col(c) for c in df.columns]
-    m = F.col(measure).cast("double")
-    if running is not None:
-        w = Window.partitionBy(*partition).orderBy(*order).rowsBetween(
-            Window.unboundedPreceding, Window.currentRow)
-        cnt = F.count(measure).over(w)
-        cols += [cnt.cast("bigint").alias(running[0]),
-                 half_up(safe_divide(F.sum(m).over(w), cnt), scale).alias(running[1])]
-    if rolling is not None:
-        r = Window.partitionBy(*partition).orderBy(day_number(order[0])).rangeBetween(
-            -rolling_days, 0)
-        cnt = F.count(measure).over(r)
-        cols += [cnt.cast("bigint").alias(rolling[0]),
-                 half_up(safe_divide(F.sum(m).over(r), cnt), scale).alias(rolling[1])]
-    return df.select(*cols)
+_PK = "_rs_pk"
 
 
 def entity_stats(df: DataFrame, partition: Sequence[str], order: Sequence[str], measure: str,
@@ -139,24 +91,62 @@ def entity_stats(df: DataFrame, partition: Sequence[str], order: Sequence[str],
     rolling frame covers ``[order[0] - rolling_days, order[0]]`` inclusive and
     includes every row of the same day.
 
-    Entities with at most ``hot_rows`` rows are computed with one plain window
-    (one shuffle by entity).  Hotter entities take the split path.  The hot
-    list comes from one partial aggregate and has at most
-    ``rows / hot_rows`` keys, a proven bound, so it is broadcast.
-    ``hot_rows=None`` sends everything through the split path.
+    One row-level window runs over ``partition + [_pk]``, where ``_pk`` is NULL
+    for an entity with at most ``hot_rows`` rows (a plain per-entity window)
+    and ``struct(order[:-1])`` for a hot entity, whose earlier-group totals are
+    then added by a LEFT join on the same keys (co-partitioned, so the rows
+    are shuffled once).  The hot list comes from one partial aggregate and
+    has at most ``rows / hot_rows`` keys, a proven bound, so it is broadcast.
+    ``hot_rows=None`` splits every entity.
     """
     partition, order = list(partition), list(order)
     if len(order) < 2:
         raise ValueError("entity_stats needs at least two order columns to split groups")
+    upper = order[:-1]
+    m = F.col(measure).cast("double")
     if hot_rows is None:
-        return _split_stats(df, partition, order, measure, running, rolling, rolling_days, scale)
-    counts = df.groupBy(*partition).agg(F.count(F.lit(1)).alias("_n"))
-    hot = F.broadcast(counts.filter(F.col("_n") > hot_rows).select(*partition))
-    cold_part = _plain_stats(df.join(hot, partition, "left_anti"), partition, order, measure,
-                             running, rolling, rolling_days, scale)
-    hot_part = _split_stats(df.join(hot, partition, "left_semi"), partition, order, measure,
-                            running, rolling, rolling_days, scale)
-    return cold_part.unionByName(hot_part)
+        marked = df.withColumn(_PK, F.struct(*upper))
+        hot_rows_df = df
+    else:
+        counts = df.groupBy(*partition).agg(F.count(F.lit(1)).alias("_n"))
+        hot = counts.filter(F.col("_n") > hot_rows).select(*partition)
+        flagged = hot.select(*partition, F.lit(True).alias("_hot"))
+        marked = df.join(F.broadcast(flagged), partition, "left").select(
+            *[F.col(c) for c in df.columns], F.when(F.col("_hot"), F.struct(*upper)).alias(_PK))
+        hot_rows_df = df.join(F.broadcast(hot), partition, "left_semi")
+
+    # Earlier-group totals for hot entities, keyed like the row window.
+    offsets = _offsets(_level_totals(hot_rows_df, partition + upper, measure), partition, upper,
+                       rolling_days if rolling is not None else None)
+    vals = [c for c in offsets.columns if c.startswith(("_off_", "_rl_"))]
+    offsets = offsets.select(*partition, F.struct(*upper).alias(_PK), *vals).groupBy(
+        *partition, _PK).agg(*[F.first(c).alias(c) for c in vals])
+
+    w = Window.partitionBy(*partition, _PK).orderBy(*order).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    extra = [F.count(measure).over(w).alias("_w_cnt"), F.sum(m).over(w).alias("_w_sum")]
+    if rolling is not None:
+        r = Window.partitionBy(*partition, _PK).orderBy(day_number(order[0])).rangeBetween(
+            -rolling_days, 0)
+        extra += [F.count(measure).over(r).alias("_p_cnt"), F.sum(m).over(r).alias("_p_sum")]
+    rows = marked.select("*", *extra)
+    joined = rows.join(offsets, partition + [_PK], "left")
+
+    out_cols = [F.col(c) for c in df.columns]
+    split = F.col(_PK).isNotNull()
+    if running is not None:
+        off_c = F.coalesce(_sum_cols("_off_c", len(upper)), F.lit(0))
+        off_s = F.coalesce(_sum_cols("_off_s", len(upper)), F.lit(0.0))
+        cnt = F.col("_w_cnt") + off_c
+        total = F.coalesce(F.col("_w_sum"), F.lit(0.0)) + off_s
+        out_cols += [cnt.cast("bigint").alias(running[0]),
+                     half_up(safe_divide(total, cnt), scale).alias(running[1])]
+    if rolling is not None:
+        rc = F.when(split, F.col("_rl_cnt")).otherwise(F.col("_p_cnt"))
+        rs = F.when(split, F.col("_rl_sum")).otherwise(F.col("_p_sum"))
+        out_cols += [rc.cast("bigint").alias(rolling[0]),
+                     half_up(safe_divide(rs, rc), scale).alias(rolling[1])]
+    return joined.select(*out_cols)
 
 
 def running_stats(df: DataFrame, partition: Sequence[str], order: Sequence[str], measure: str,

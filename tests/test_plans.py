@@ -32,17 +32,16 @@ def test_top_k_uses_partial_group_limit(spark):
     assert plan.count("WindowGroupLimit") >= 2          # one before and one after the shuffle
 
 
-def test_hot_items_take_the_split_path(spark):
+def test_rows_shuffled_once_by_item_and_split_key(spark):
     plan = _plan(catalog.QUERIES["running_stats"](spark, SF))
-    # the hot-item list is broadcast; plain windows see only the anti-joined cold items
-    assert "LeftAnti" in plan and "LeftSemi" in plan and "BroadcastExchange" in plan
-    # the split path windows rows inside (item, day, second), never by item only
-    split_windows = [line for line in plan.splitlines()
-                     if "Window [count(rating" in line and "_w_cnt" in line]
-    assert split_windows
-    for line in split_windows:
-        keys = line.split("windowspecdefinition(")[1]
-        assert "rating_date" in keys and "timestamp" in keys
+    # one row-level window keyed by (item, split key); cold items have a NULL split key
+    row_windows = [line for line in plan.splitlines()
+                   if "Window [count(rating" in line and "_w_cnt" in line]
+    assert len(row_windows) == 1 and "windowspecdefinition(movieId#" in row_windows[0]
+    assert "_rs_pk" in row_windows[0].split("windowspecdefinition(")[1].split(",")[1]
+    # the offsets meet the rows on the same keys, and the hot list is broadcast
+    assert plan.count("Exchange hashpartitioning(movieId#") >= 2 and "_rs_pk" in plan
+    assert "BroadcastExchange" in plan and "LeftSemi" in plan
 
 
 def test_similarity_has_no_cartesian_product(spark):
