@@ -29,6 +29,10 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from ratingsmith.functions import half_up
 
 
+# Budget for the dense matrices of one block pair inside one task.
+KERNEL_MEMORY_BYTES = 512 * 1024 * 1024
+
+
 def pack_vectors(vectors: DataFrame, item: str, key: str, value: str) -> DataFrame:
     """One row per item: item, keys[], values[] (sorted by key)."""
     packed = vectors.groupBy(item).agg(
@@ -94,12 +98,21 @@ def cosine_pairs(vectors: DataFrame, item: str = "movieId", key: str = "tagId",
     ``'shared'`` uses norms over the keys both items have, as the reference's
     per-pair aggregate does.  A zero norm gives NULL (and no pair under a
     threshold).  ``threshold=None`` returns every pair.
+
+    The kernel is dense over the keys present in a block pair, which suits a
+    bounded key vocabulary such as a tag genome; the block size shrinks as the
+    vocabulary grows so a task's memory stays bounded.
     """
     packed = pack_vectors(vectors, item, key, value)
     if num_blocks is None:
-        # Only the block count depends on it, so an approximate distinct count
-        # (one pass, no shuffle of rows) is enough.
-        n_items = vectors.agg(F.approx_count_distinct(item).alias("n")).first()["n"] or 0
+        # Only the block count depends on these, so approximate distinct counts
+        # (one pass, no shuffle of rows) are enough.  The dense block matrices
+        # take about 4 * block_size * vocabulary * 8 bytes per task, so the
+        # block size is capped to keep them within KERNEL_MEMORY_BYTES.
+        row = vectors.agg(F.approx_count_distinct(item).alias("n"),
+                          F.approx_count_distinct(key).alias("k")).first()
+        n_items, vocab = row["n"] or 0, max(1, row["k"] or 1)
+        block_size = max(16, min(block_size, KERNEL_MEMORY_BYTES // (32 * vocab)))
         num_blocks = max(1, math.ceil(n_items / block_size))
     nb = int(num_blocks)
     blk = F.pmod(F.xxhash64(F.col(item)), F.lit(nb)).cast("int")
