@@ -85,5 +85,5 @@ def clean_tags(df: DataFrame, user: str = "userId", item: str = "movieId",
 
 
 def distinct_values(df: DataFrame, col: str, alias: str | None = None) -> DataFrame:
-    """Distinct non-key-null values of one column."""
+    """Distinct values of one column (D4); a partial aggregate collapses repeats map-side."""
     return df.select(F.col(col).alias(alias or col)).distinct()

@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from ratingsmith.operators import aggregates as agg
+from ratingsmith.operators import clean
 from ratingsmith.operators import similarity as sim
 from ratingsmith.operators import windows as win
 from ratingsmith.sources.contracts import WAREHOUSE_TYPES
@@ -37,7 +38,7 @@ def dim_movies(items: DataFrame, item: str = "movieId") -> DataFrame:
 
 def dim_users(ratings: DataFrame, user: str = "userId") -> DataFrame:
     """One row per user seen in the cleaned ratings."""
-    return ratings.select(F.col(user).alias("user_id")).distinct()
+    return clean.distinct_values(ratings, user, "user_id")
 
 
 def fact_base(ratings: DataFrame, items: DataFrame, item: str = "movieId") -> DataFrame:
