@@ -160,17 +160,16 @@ def running_stats(df: DataFrame, partition: Sequence[str], order: Sequence[str],
 
 def rolling_stats(df: DataFrame, partition: Sequence[str], date_col: str, measure: str,
                   days: int = 30, count_name: str = "rolling_30d_count",
-                  avg_name: str = "rolling_30d_avg", scale: int = 2) -> DataFrame:
-    """Count and average over ``[date - days, date]`` per partition."""
-    partition = list(partition)
-    day = _level_totals(df, partition + [date_col], measure)
-    rng = Window.partitionBy(*partition).orderBy(day_number(date_col)).rangeBetween(-days, 0)
-    day = day.select(*partition, date_col, F.sum(_C).over(rng).alias("_rl_cnt"),
-                     F.sum(_S).over(rng).alias("_rl_sum"))
-    return df.join(day, partition + [date_col], "left").select(
-        *[F.col(c) for c in df.columns],
-        F.col("_rl_cnt").cast("bigint").alias(count_name),
-        half_up(safe_divide(F.col("_rl_sum"), F.col("_rl_cnt")), scale).alias(avg_name))
+                  avg_name: str = "rolling_30d_avg", scale: int = 2,
+                  hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
+    """Count and average over ``[date - days, date]`` per partition.
+
+    Plain entities use one range window; hot entities are split by day and
+    take their frames from the per-day totals (see ``entity_stats``).
+    """
+    return entity_stats(df, partition, [date_col, date_col], measure, running=None,
+                        rolling=(count_name, avg_name), rolling_days=days, scale=scale,
+                        hot_rows=hot_rows)
 
 
 def top_k_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int,

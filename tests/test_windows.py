@@ -18,16 +18,20 @@ def _rows(spark, days_ratings, item=1):
 
 def test_rolling_30_days(spark):
     df = _rows(spark, [(dt.date(2020, 1, 1), 1.0), (dt.date(2020, 1, 20), 2.0), (dt.date(2020, 6, 1), 5.0)])
-    out = win.rolling_stats(df, ["movieId"], "rating_date", "rating").orderBy("rating_date").collect()
-    assert [r.rolling_30d_avg for r in out] == [1.0, 1.5, 5.0]
-    assert [r.rolling_30d_count for r in out] == [1, 2, 1]
+    for hot_rows in (None, 10**6):
+        out = win.rolling_stats(df, ["movieId"], "rating_date", "rating",
+                                hot_rows=hot_rows).orderBy("rating_date").collect()
+        assert [r.rolling_30d_avg for r in out] == [1.0, 1.5, 5.0]
+        assert [r.rolling_30d_count for r in out] == [1, 2, 1]
 
 
 def test_rolling_edges_inclusive(spark):
     d0 = dt.date(2020, 1, 1)
     df = _rows(spark, [(d0, 1.0), (d0 + dt.timedelta(days=30), 1.0), (d0 + dt.timedelta(days=31), 1.0)])
-    out = win.rolling_stats(df, ["movieId"], "rating_date", "rating").orderBy("rating_date").collect()
-    assert [r.rolling_30d_count for r in out] == [1, 2, 2]
+    for hot_rows in (None, 10**6):
+        out = win.rolling_stats(df, ["movieId"], "rating_date", "rating",
+                                hot_rows=hot_rows).orderBy("rating_date").collect()
+        assert [r.rolling_30d_count for r in out] == [1, 2, 2]
 
 
 def _random_ratings(spark, n=3000, seed=7):
@@ -60,6 +64,10 @@ def test_split_running_equals_plain_window(spark):
         got = win.entity_stats(df, ["movieId"], ["rating_date", "timestamp", "userId"], "rating",
                                rolling=("rc", "ra"), hot_rows=hot_rows)
         assert sorted(got.select(cols).collect()) == expected, hot_rows
+        roll = win.rolling_stats(df, ["movieId"], "rating_date", "rating", count_name="rc",
+                                 avg_name="ra", hot_rows=hot_rows)
+        rcols = sorted(df.columns + ["rc", "ra"])
+        assert sorted(roll.select(rcols).collect()) == sorted(want.select(rcols).collect()), hot_rows
 
 
 def test_running_max_equals_group_size(spark):
