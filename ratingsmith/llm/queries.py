@@ -7,12 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, substring_dedup
+from . import bpe, common, substring_dedup, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+#: The public vocabulary files (a package of the box); their place is a parameter of the operators.
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+END_ID = 2
+
+
 def query(fn):
     QUERIES[fn.__name__] = fn
     return fn
@@ -40,3 +49,18 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_re
        sha256(coalesce(t, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (r)
 """
+
+
+@query
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_file("byte_bpe_50k.tiktoken")
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = bpe.decode(bpe.encode(docs, path), path)
+    return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_files.round_trip(docs, tokenizer_file("byte_bpe_50k.json"), END_ID)
