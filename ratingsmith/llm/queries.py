@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, substring_dedup, token_files
+from . import bpe, common, language_id, quality_fm, substring_dedup, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -64,3 +64,26 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_files.round_trip(docs, tokenizer_file("byte_bpe_50k.json"), END_ID)
+
+
+def _fold(n: int):
+    return F.crc32(F.col("doc_id").cast("string")) % n
+
+
+@query
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(_fold(4) == 2, F.lit(False))
+    model = language_id.fit(docs.filter(_fold(4) != 2), order=F.xxhash64("doc_id", "text"))
+    out = language_id.predict(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query
+def op4_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    labels = common.table(spark, sf_dir, "labels").select("doc_id", "quality")
+    model = quality_fm.fit(docs, labels.filter(_fold(3) != 1))
+    out = quality_fm.score(docs, model)
+    return out.select("doc_id", F.coalesce(_fold(3) == 1, F.lit(False)).alias("held_out"), "score",
+                      (F.col("score") >= 0.5).cast("int").alias("predicted"))

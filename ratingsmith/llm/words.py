@@ -117,10 +117,10 @@ def window_hashes(words: np.ndarray, width: int, which: int = 0) -> np.ndarray:
     return np.concatenate(out)
 
 
-def buffers(col: pa.Array, limit: int = SEGMENT) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def buffers(col: pa.Array, limit: int = SEGMENT, most: int = 100_000) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """``(first row, rows, bytes, offsets)`` of consecutive rows of a string column.
 
-    A run holds rows up to ``limit`` bytes, or one longer row.  Rows are separated
+    A run holds up to ``most`` rows of ``limit`` bytes together, or one longer row.  Rows are separated
     by one newline, so no word spans two rows; ``offsets`` has where each row
     starts, and the end.  NULL counts as empty.
     """
@@ -138,7 +138,7 @@ def buffers(col: pa.Array, limit: int = SEGMENT) -> Iterator[tuple[int, int, np.
         size = np.where(np.asarray(col.is_null()), 0, size)
     at, n = 0, len(col)
     while at < n:
-        end = at + max(1, int(np.searchsorted(np.cumsum(size[at:at + 100_000] + 1), limit, side="right")))
+        end = at + max(1, int(np.searchsorted(np.cumsum(size[at:at + most] + 1), limit, side="right")))
         end = min(end, n)
         ends = np.cumsum(size[at:end] + 1)
         starts = np.concatenate(([0], ends))
