@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, language_id, quality_fm, substring_dedup, token_files
+from . import bpe, common, jaccard_join, language_id, quality_fm, substring_dedup, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -87,3 +87,27 @@ def op4_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_fm.score(docs, model)
     return out.select("doc_id", F.coalesce(_fold(3) == 1, F.lit(False)).alias("held_out"), "score",
                       (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard_join.join(docs).select("doc_id", "n_shingles", "component_id")
+
+
+ORACLE["op6_jaccard_join"] = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+hot AS (SELECT g FROM s GROUP BY g HAVING count(*) > 1),
+t AS (SELECT * FROM s WHERE g IN (SELECT g FROM hot)),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS met FROM t a JOIN t b ON a.g = b.g AND a.doc_id <> b.doc_id
+      GROUP BY 1, 2),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+      WHERE 100 * met >= 80 * (x.n + y.n - met)),
+r AS (SELECT doc_id AS a, doc_id AS b FROM n UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(c.c, d.doc_id)::BIGINT AS component_id
+FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN (SELECT a, min(b) AS c FROM r GROUP BY a) c ON d.doc_id = c.a
+"""
