@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, common, jaccard_join, language_id, quality_fm, substring_dedup, token_files
+from . import (bpe, common, fingerprints, jaccard_join, language_id, mixing, quality_fm, quality_rules, substring_dedup,
+               token_files, url_filter)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -111,3 +112,120 @@ r AS (SELECT doc_id AS a, doc_id AS b FROM n UNION SELECT r.a, e.b FROM r JOIN e
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(c.c, d.doc_id)::BIGINT AS component_id
 FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN (SELECT a, min(b) AS c FROM r GROUP BY a) c ON d.doc_id = c.a
 """
+
+
+#: The rules that the URL query is given.
+URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
+             ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+
+
+@query
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = common.table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+@query
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return quality_rules.judge(docs).drop("source")
+
+
+ORACLE["op7_quality_rules"] = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t,
+                  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT r, unnest(range(1, len(w) - 1)) AS i, unnest(list_transform(range(1, len(w) - 1),
+               lambda i: array_to_string(w[i:i + 2], ' '))) AS g FROM d WHERE len(w) >= 3),
+rep AS (SELECT r, count(DISTINCT i + o) AS n FROM
+          (SELECT r, i FROM win WHERE (r, g) IN (SELECT (r, g) FROM win GROUP BY r, g HAVING count(*) > 1)) h,
+          range(0, 3) x(o) GROUP BY r),
+ln AS (SELECT r, unnest(string_split(t, chr(10))) AS l FROM d),
+dup AS (SELECT r, count(*) - count(DISTINCT l) AS n FROM ln WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY r),
+m AS (SELECT d.r, doc_id, source, len(w)::BIGINT AS n_words,
+             coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+             (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+             coalesce(dup.n, 0)::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words
+      FROM d LEFT JOIN rep ON d.r = rep.r LEFT JOIN dup ON d.r = dup.r),
+f AS (SELECT *, n_words < 50 AS short, 100 * n_repeat_words > 50 * n_words AS repeats,
+             10 * n_symbols > word_chars AS symbols, n_dup_lines > 10 AS lines FROM m),
+h AS (SELECT source, rule, sum(hit::INT)::DOUBLE AS bad, count(*) AS n FROM
+        (SELECT source, unnest(['short', 'repeats', 'symbols', 'lines']) AS rule,
+                unnest([short, repeats, symbols, lines]) AS hit FROM f) GROUP BY source, rule),
+p AS (SELECT rule, avg(bad / n) AS mean, var_pop(bad / n) AS v FROM h GROUP BY rule),
+q AS (SELECT rule, mean, CASE WHEN v > 0 THEN least(1e6, greatest(0, mean * (1 - mean) / v - 1)) ELSE 1e6 END AS s FROM p),
+z AS (SELECT source, max((bad + mean * s) / (n + s)) > 0.5 AS rejected FROM h JOIN q USING (rule) GROUP BY source)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, short OR repeats AS base_failed,
+       NOT (short OR repeats) AND NOT rejected AS kept
+FROM f JOIN z ON f.source IS NOT DISTINCT FROM z.source
+"""
+
+
+@query
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = fingerprints.neighbours(docs, derived={"fingerprint": fingerprints.sketch})
+    rows = rows.withColumn("edited", fingerprints.half_edited(F.col("text"), F.col("next_text")))
+    rows = rows.select("doc_id", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+                       "fingerprint", "next_fingerprint", fingerprints.word_array(F.col("edited")).alias("w"))
+    rows = rows.withColumn("edited_fingerprint", fingerprints.sketch(F.col("w")))
+    like = fingerprints.likeness
+    return rows.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+                       like(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+                       like(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
+                       fingerprints.containment(F.col("fingerprint"), F.col("edited_fingerprint")).alias("inside_edited"))
+
+
+ORACLE["op9_fingerprints"] = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+x AS (SELECT doc_id, t, coalesce(lead(t) OVER o, first_value(t) OVER o) AS u,
+             coalesce(lead(doc_id) OVER o, first_value(doc_id) OVER o) AS next_id FROM d WINDOW o AS (ORDER BY doc_id DESC)),
+e AS (SELECT doc_id, next_id, length(t) AS n, t,
+             substr(t, 1, length(t) - length(t) // 2) || substr(u, 1, length(t) // 2) AS s FROM x),
+a AS (SELECT doc_id, 0 AS kind, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM e UNION ALL
+      SELECT doc_id, 1, regexp_extract_all(s, '[^\x20\x09-\x0D]+') FROM e),
+g AS (SELECT doc_id, kind, list_distinct(list_transform(
+        CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+             ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END,
+        lambda y: md5(y))) AS h FROM a),
+k AS (SELECT doc_id, kind, list_sort(list_transform(
+        CASE WHEN len(list_filter(h, lambda y: y < '2')) > 0 THEN list_filter(h, lambda y: y < '2')
+             WHEN len(h) > 0 THEN [list_min(h)] ELSE [] END, lambda y: y[1:12])) AS m FROM g),
+z AS (SELECT e.*, p.m AS p, q.m AS q, r.m AS r FROM e JOIN k p ON p.doc_id = e.doc_id AND p.kind = 0
+      JOIN k q ON q.doc_id = e.doc_id AND q.kind = 1 JOIN k r ON r.doc_id = next_id AND r.kind = 0)
+SELECT doc_id, n::BIGINT AS n_chars, sha256(s) AS edited_sha256, coalesce(array_to_string(p, ''), '') AS fingerprint,
+       coalesce(array_to_string(q, ''), '') AS edited_fingerprint,
+       CASE WHEN p = q THEN 1.0::DOUBLE WHEN len(p) = 0 OR len(q) = 0 THEN 0.0
+            ELSE len(list_intersect(p, q))::DOUBLE / (len(p) + len(q) - len(list_intersect(p, q))) END AS near_edited,
+       CASE WHEN p = r THEN 1.0::DOUBLE WHEN len(p) = 0 OR len(r) = 0 THEN 0.0
+            ELSE len(list_intersect(p, r))::DOUBLE / (len(p) + len(r) - len(list_intersect(p, r))) END AS near_next,
+       CASE WHEN len(p) = 0 THEN 1.0::DOUBLE ELSE len(list_intersect(p, q))::DOUBLE / len(p) END AS inside_edited
+FROM z
+"""
+
+
+@query
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "source", mixing.size_of("text").alias("words"))
+    out = mixing.sample(docs, F.col("words"))
+    return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+ORACLE["op10_mixing"] = r"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
+s AS (SELECT source, count(*) AS docs, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+w AS (SELECT *, [5.0, 2.0, 1.0][1 + (row_number() OVER (ORDER BY source COLLATE C NULLS LAST) - 1) % 3]::DOUBLE AS w,
+             3.0::DOUBLE * source_size AS cap FROM s),
+l AS (SELECT *, row_number() OVER o AS place,
+             (sum(source_size) OVER () - (sum(cap) OVER o - cap)) / (sum(w) OVER () - (sum(w) OVER o - w)) AS lev
+      FROM w WINDOW o AS (ORDER BY cap / w, source NULLS LAST ROWS UNBOUNDED PRECEDING)),
+t AS (SELECT source, docs, source_size,
+             least(cap, w * (SELECT arg_min(lev, place) FROM l WHERE lev * w <= cap))::DOUBLE AS target FROM l),
+p AS (SELECT source, docs, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
+             floor(('0x' || substr(md5('17:' || (source IS NULL)::VARCHAR || ':' || coalesce(source, '')), 1, 8))::BIGINT
+                   / 4194304) / 1024.0::DOUBLE AS shift,
+             ceil(docs / 20000)::BIGINT AS cut FROM t),
+k AS (SELECT d.doc_id, d.size, p.source_size, p.target, p.rate, p.shift, row_number() OVER (PARTITION BY p.source ORDER BY
+             length(bin(d.size)), ('0x' || substr(md5(coalesce(d.doc_id::VARCHAR, '')), 1, 8))::BIGINT % p.cut, d.size, d.doc_id) AS i
+      FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source)
+SELECT doc_id, size, source_size, target, (floor(shift + rate * i) - floor(shift + rate * (i - 1)))::BIGINT * size AS taken FROM k
+"""
