@@ -491,6 +491,31 @@ def _large_groups(members: DataFrame, local: DataFrame, large: DataFrame, n_smal
     return links
 
 
+def representatives(df: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = PERCENT) -> DataFrame:
+    """The rows of ``df`` that stay when one document of each component is kept: that of the smallest id.
+
+    Documents with an empty set stay.  Of equal rows that tie for the smallest id, one stays.
+    """
+    stages = common.Stages(df.sparkSession, "representatives")
+    found = stages.put(components(df, text, percent, stages=stages), "components")
+    ids = df.select(common.text_key(text).alias("k"), F.col(common.quoted(doc_id)).alias("id"))
+    order = F.struct(F.col("id").isNull().alias("unknown"), F.col("id"), F.col("k"))
+    least = (ids.groupBy("k").agg(F.min("id").alias("id")).join(found.filter("n > 0"), "k")
+             .groupBy("comp").agg(F.min(order).alias("least")))
+    chosen = stages.put(least.select(F.col("least.k").alias("k"), F.col("least.id").alias("id"))
+                        .unionAll(found.filter("n = 0").select("k", F.lit(None).cast(df.schema[doc_id].dataType).alias("id")))
+                        .join(found.select("k", "n"), "k"), "chosen")
+    keep = (F.col("n") == 0) | F.col("doc").eqNullSafe(F.col("id"))
+    rows = (df.select(common.others(df).alias("row"), common.text_key(text).alias("k"), F.col(common.quoted(doc_id)).alias("doc"))
+            .join(chosen, "k").filter(keep))
+    ties = stages.put(ids.withColumnRenamed("id", "doc").join(chosen.filter("n > 0"), "k").filter(keep)
+                      .groupBy("k").count().filter("count > 1").select("k"), "ties")
+    if not ties.isEmpty():
+        rows = (rows.join(ties, "k", "left_anti").select("row")
+                .unionAll(rows.join(ties, "k", "left_semi").dropDuplicates(["k"]).select("row")))
+    return common.restore(df, rows.select("row"), {})
+
+
 def join(df: DataFrame, text: str = "text", doc_id: str = "doc_id", n_shingles: str = "n_shingles",
          component: str = "component_id", percent: int = PERCENT) -> DataFrame:
     """``df`` with its set size and component id (the smallest ``doc_id`` reachable by links)."""
