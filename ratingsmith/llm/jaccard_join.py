@@ -377,8 +377,7 @@ def tile_join(percent: int):
         comps, fresh = np.asarray(batch["comp"]), np.asarray(batch["fresh"])
         low = np.empty(len(keys), np.int64)
         order = np.argsort(roots, kind="stable")
-        first = packed.runs(roots[order])
-        for i, j in zip(first, np.append(first[1:], len(order)), strict=True):
+        for i, j in packed.cuts(roots[order]):
             rows = order[i:j]
             forest = Forest(len(rows))
             by: dict[int, int] = {}

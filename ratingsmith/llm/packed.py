@@ -26,12 +26,11 @@ def pack(bucket: np.ndarray, columns: dict[str, np.ndarray]) -> pa.RecordBatch:
     """One row for each bucket that occurs; entries keep their order inside it."""
     order = np.argsort(bucket, kind="stable")
     b = bucket[order]
-    first = np.flatnonzero(np.diff(b, prepend=-1)) if len(b) else np.zeros(0, np.int64)
-    last = np.append(first[1:], len(b))
-    out = [pa.array(b[first], pa.int32())]
+    cut = cuts(b)
+    out = [pa.array([b[i] for i, _ in cut], pa.int32())]
     for col in columns.values():
         c = np.ascontiguousarray(col[order])
-        out.append(pa.array([c[i:j].tobytes() for i, j in zip(first, last, strict=True)], pa.binary()))
+        out.append(pa.array([c[i:j].tobytes() for i, j in cut], pa.binary()))
     return pa.RecordBatch.from_arrays(out, names=["bucket", *columns])
 
 
@@ -40,12 +39,6 @@ def unpack(tbl: pa.Table, name: str, dtype) -> np.ndarray:
     return np.concatenate(blobs) if blobs else np.zeros(0, dtype)
 
 
-def lengths(tbl: pa.Table, name: str, dtype) -> np.ndarray:
-    size = np.dtype(dtype).itemsize
-    return np.array([len(x.as_buffer()) // size for chunk in tbl[name].chunks for x in chunk if x.is_valid],
-                    np.int64)
-
-
 def runs(x: np.ndarray) -> np.ndarray:
     """Start of every run of equal neighbours."""
     if not len(x):
@@ -57,5 +50,7 @@ def run_sizes(starts: np.ndarray, n: int) -> np.ndarray:
     return np.diff(np.append(starts, n))
 
 
-def empty(ddl: dict[str, pa.DataType]) -> pa.Table:
-    return pa.table({k: pa.array([], t) for k, t in ddl.items()})
+def cuts(x: np.ndarray) -> list[tuple[int, int]]:
+    """Start and end of every run of equal neighbours."""
+    first = runs(x)
+    return list(zip(first.tolist(), np.append(first[1:], len(x)).tolist(), strict=True)) if len(x) else []

@@ -108,17 +108,40 @@ class Encoder:
     """Encodes texts by encoding each distinct piece once.
 
     ``encode_new(pieces: list[bytes])`` returns ``(ids, counts)`` for pieces not
-    seen lately.  At most ``keep`` pieces are kept between calls (memory only;
-    the result does not depend on it).
+    seen lately.  At most ``keep`` pieces are kept between calls (memory only, about
+    40 bytes each; the result does not depend on it).  New pieces go to a small
+    sorted table, which is merged into the large one when it has a quarter of its size.
     """
 
-    def __init__(self, encode_new, keep: int = 1_000_000):
+    def __init__(self, encode_new, keep: int = 2_500_000):
         self.encode_new, self.keep = encode_new, keep
         self.forget()
 
     def forget(self) -> None:
-        self.hash, self.at, self.count = np.zeros(0, U), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.int32)
+        none = (np.zeros(0, U), np.zeros(0, np.int32), np.zeros(0, np.int32))
+        self.old, self.young = none, none                 # hash (sorted), place of the ids, their number
+        self.ids, self.used = np.zeros(1 << 16, np.int32), 0
+
+    def _find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place and number of ids per hash; number -1 if unknown."""
+        at, count = np.zeros(len(h), np.int64), np.full(len(h), -1, np.int64)
+        for keys, where, size in (self.old, self.young):
+            if len(keys):
+                i = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+                hit = keys[i] == h
+                at[hit], count[hit] = where[i[hit]], size[i[hit]]
+        return at, count
+
+    def _add(self, h: np.ndarray, ids: np.ndarray, count: np.ndarray) -> None:
+        need = self.used + len(ids)
+        if need > len(self.ids):
+            self.ids = np.concatenate((self.ids, np.zeros(max(need - len(self.ids), len(self.ids) // 2), np.int32)))
+        self.ids[self.used:need] = ids
+        fresh = (h, (self.used + np.cumsum(count) - count).astype(np.int32), count.astype(np.int32))
+        self.used = need
+        self.young = _merged(self.young, fresh)
+        if 4 * len(self.young[0]) > len(self.old[0]):
+            self.old, self.young = _merged(self.old, self.young), tuple(x[:0] for x in fresh)
 
     def encode(self, raw: bytes, row_bytes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """``(ids of all texts, ids per text)``."""
@@ -127,32 +150,30 @@ class Encoder:
             return np.zeros(0, np.int32), per
         buf = np.frombuffer(raw, np.uint8)
         h, where, which = np.unique(piece_hashes(buf, start), return_index=True, return_inverse=True)
-        at = np.searchsorted(self.hash, h)
-        known = np.zeros(len(h), bool)
-        inside = at < len(self.hash)
-        known[inside] = self.hash[at[inside]] == h[inside]
-        fresh = np.flatnonzero(~known)
+        at, count = self._find(h)
+        fresh = np.flatnonzero(count < 0)
         if len(fresh):
-            if len(self.hash) + len(fresh) > self.keep and len(self.hash):
+            if len(self.old[0]) + len(self.young[0]) + len(fresh) > self.keep and self.used:
                 self.forget()
                 fresh = np.arange(len(h))
             end = np.append(start[1:], len(raw))
-            ids, count = self.encode_new([raw[start[w]:end[w]] for w in where[fresh]])
-            first = len(self.ids) + np.cumsum(count) - count
-            self.ids = np.concatenate((self.ids, ids.astype(np.int32)))
-            order = np.argsort(np.concatenate((self.hash, h[fresh])), kind="stable")
-            self.hash = np.concatenate((self.hash, h[fresh]))[order]
-            self.at = np.concatenate((self.at, first))[order]
-            self.count = np.concatenate((self.count, count))[order]
-            at = np.searchsorted(self.hash, h)
-        at = at[which]
-        count = self.count[at]
-        ids = self.ids[np.repeat(self.at[at], count) + words.ragged(count)]
+            ids, n = self.encode_new([raw[a:b] for a, b in zip(start[where[fresh]].tolist(), end[where[fresh]].tolist(), strict=True)])
+            self._add(h[fresh], ids, n)
+            at, count = self._find(h)
+        at, count = at[which], count[which]
+        ids = self.ids[np.repeat(at, count) + words.ragged(count)]
         ends = np.concatenate(([0], np.cumsum(count)))
         cut = np.concatenate(([0], np.cumsum(per)))
         return ids, np.diff(ends[cut])
 
 
+def _merged(a: tuple, b: tuple) -> tuple:
+    if not len(a[0]):
+        return b
+    order = np.argsort(np.concatenate((a[0], b[0])), kind="stable")
+    return tuple(np.concatenate((x, y))[order] for x, y in zip(a, b, strict=True))
+
+
 def raw_runs(col, limit: int = 2 * words.SEGMENT):
     """``(first row, rows, bytes, bytes per row)`` of consecutive rows; NULL counts as empty."""
     import pyarrow as pa

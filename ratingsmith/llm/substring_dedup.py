@@ -75,13 +75,11 @@ def entries(h: np.ndarray, g: np.ndarray, k: np.ndarray, p: np.ndarray, n: int)
     b = packed.bucket_of(h[rep], n)
     order = np.argsort(b, kind="stable")
     rep, b = rep[order], b[order]
-    cut = packed.runs(b)
-    end = np.append(cut[1:], len(b))
     eb = (k[told] % U(n)).astype(np.int32)
     told = told[np.argsort(eb, kind="stable")]
     eb = np.sort(eb)
     rows = []
-    for i, j in zip(cut, end, strict=True):
+    for i, j in packed.cuts(b):
         at = rep[i:j]
         kk = k[at]
         starts = packed.runs(kk)
@@ -89,8 +87,7 @@ def entries(h: np.ndarray, g: np.ndarray, k: np.ndarray, p: np.ndarray, n: int)
                      packed.run_sizes(starts, len(kk)).astype(np.uint32).tobytes(),
                      (p[at] & 0xFFFF).astype(np.uint16).tobytes(), (p[at] >> 16).astype(np.uint16).tobytes(),
                      flag[at].tobytes(), b"", b""))
-    cut = packed.runs(eb)
-    for i, j in zip(cut, np.append(cut[1:], len(eb)), strict=True):
+    for i, j in packed.cuts(eb):
         at = told[i:j]
         rows.append((int(eb[i]), b"", b"", b"", b"", b"", b"", b"",
                      k[at].tobytes(), p[at].astype(np.uint32).tobytes()))
@@ -135,11 +132,9 @@ def unique_places(k: np.ndarray, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 def gather(tbl: pa.Table) -> pa.Table:
     """Bucket of text keys -> one row for each text with its sorted places."""
     k, p = unique_places(packed.unpack(tbl, "k", U), packed.unpack(tbl, "p", np.uint32))
-    first = packed.runs(k)
-    last = np.append(first[1:], len(k))
-    return pa.table({"k": pa.array(k[first].view(np.int64) if len(k) else [], pa.int64()),
-                     "places": pa.array([p[i:j].tobytes() for i, j in zip(first, last, strict=True)],
-                                        pa.binary())})
+    cut = packed.cuts(k)
+    return pa.table({"k": pa.array(k[packed.runs(k)].view(np.int64), pa.int64()),
+                     "places": pa.array([p[i:j].tobytes() for i, j in cut], pa.binary())})
 
 
 def places(sent: DataFrame, n: int) -> DataFrame:
