@@ -16,7 +16,7 @@ table, which Spark broadcasts only if it is small enough by its own size check.
 Judged URLs are staged before they are joined back to the rows, so the partition of
 a hot URL can be split.
 
-Defined cases.  NULL URL, or one without ``://``: host and path are empty, no rule
+Defined cases.  No held-out URL of either kind: the threshold is 0.  NULL URL, or one without ``://``: host and path are empty, no rule
 fits, the score is 0.  No accepted or no rejected URLs: all scores are 0 and the
 threshold is 0, so the verdict is allow.  Repeated rows get equal verdicts.  URLs
 of any length are scored whole.  Other columns pass through; result columns
@@ -80,14 +80,14 @@ def ratios(counts: DataFrame, stages: common.Stages) -> DataFrame:
 
 
 def threshold(scored: DataFrame) -> float:
-    """Best split of held-out accepted and rejected URLs; scores at or above it are accepted."""
+    """Best split of held-out accepted and rejected URLs (0 if there are none of either); scores from it on are accepted."""
     bins = scored.groupBy(F.floor(F.col("score") * BINS).alias("bin")).agg(
         F.count(F.when(F.col("label") == "allow", 1)).alias("a"), F.count(F.when(F.col("label") == "block", 1)).alias("b"))
     bins = bins.filter(F.abs("bin") <= 100 * BINS)
     upto = W.orderBy("bin")                     # at most 200 * BINS bins
     every = W.partitionBy()
-    good = ((F.sum("a").over(every) - F.sum("a").over(upto)) / F.sum("a").over(every)
-            + F.sum("b").over(upto) / F.sum("b").over(every))
+    good = (F.try_divide(F.sum("a").over(every) - F.sum("a").over(upto), F.sum("a").over(every))
+            + F.try_divide(F.sum("b").over(upto), F.sum("b").over(every)))
     marks = bins.filter("a > 0 OR b > 0").withColumns({"good": good, "next": F.lead("bin").over(upto)})
     best = (marks.withColumn("best", F.max("good").over(every)).filter("good = best AND next IS NOT NULL")
             .agg(F.min("bin").alias("low"), F.max("next").alias("high")).first())
