@@ -8,23 +8,14 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import (
-    DecimalType, LongType, StringType, StructField, StructType, TimestampType,
-)
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DecimalType, StructType
 
 from ratingsmith.functions import half_up
+from ratingsmith.sources.contracts import AUDIT_SCHEMAS
 
-RUN_LOG_SCHEMA = StructType([
-    StructField("run_id", LongType()), StructField("run_date", TimestampType()),
-    StructField("dataset_hash", StringType()), StructField("status", StringType()),
-    StructField("rows_loaded", LongType()), StructField("duration_secs", LongType()),
-    StructField("source_url", StringType()), StructField("pipeline_version", StringType()),
-])
-TABLE_STATS_SCHEMA = StructType([
-    StructField("run_id", LongType()), StructField("table_name", StringType()),
-    StructField("row_count", LongType()),
-])
+RUN_LOG_SCHEMA = AUDIT_SCHEMAS["pipeline_run_log"]
+TABLE_STATS_SCHEMA = AUDIT_SCHEMAS["pipeline_table_stats"]
 
 
 def _latest(log: DataFrame, date: str = "run_date", run_id: str = "run_id") -> DataFrame:
@@ -78,15 +69,27 @@ def status_counts(log: DataFrame) -> DataFrame:
 
 # ---- fingerprints and change detection ----------------------------------------
 
+def row_digest(df: DataFrame) -> Column:
+    """The first 60 bits of MD5 over a row's values, as a number.
+
+    Every value is preceded by a mark that tells NULL from a value and by its length,
+    so neither moving a value past a NULL nor shifting text between columns goes unseen.
+    """
+    parts = []
+    for c in df.columns:
+        v = F.col(c).cast("string")
+        parts.append(F.coalesce(F.concat(F.lit("+"), F.length(v).cast("string"), F.lit(":"), v), F.lit("-")))
+    return F.conv(F.substring(F.md5(F.concat(*parts)), 1, 15), 16, 10).cast(DecimalType(38, 0))
+
+
 def fingerprint(df: DataFrame, table: str) -> DataFrame:
-    """Order-insensitive table fingerprint: row count and sum of row hashes.
+    """Order-insensitive table fingerprint: row count and sum of row digests.
 
     A sum (not XOR) so a duplicated row changes the value; DECIMAL(38,0) so
     the sum never overflows.  Stable under repartitioning and row order.
     """
-    h = F.xxhash64(*[F.col(c) for c in df.columns]).cast(DecimalType(38, 0))
     return df.agg(F.count(F.lit(1)).alias("row_count"),
-                  F.sum(h).alias("fingerprint")).select(
+                  F.coalesce(F.sum(row_digest(df)), F.lit(0)).alias("fingerprint")).select(
         F.lit(table).alias("table_name"), "row_count",
         F.col("fingerprint").cast("string").alias("fingerprint"))
 
@@ -103,11 +106,13 @@ def metadata_matches(saved: DataFrame, current: DataFrame, key: str = "source",
                      fields: Sequence[str] = ("etag", "last_modified", "content_length")) -> DataFrame:
     """Per source, does the saved metadata match the current one?
 
-    The first field present on both sides decides (priority in ``fields``);
-    with nothing comparable the answer is False, so the input is reloaded.
+    The first field present on both sides decides (priority in ``fields``); an empty
+    string counts as absent.  With nothing comparable the answer is False, so the
+    input is reloaded.
     """
-    s = saved.select(key, *[F.col(f).cast("string").alias(f"s_{f}") for f in fields])
-    c = current.select(key, *[F.col(f).cast("string").alias(f"c_{f}") for f in fields])
+    given = lambda f: F.nullif(F.col(f).cast("string"), F.lit(""))
+    s = saved.select(key, *[given(f).alias(f"s_{f}") for f in fields])
+    c = current.select(key, *[given(f).alias(f"c_{f}") for f in fields])
     j = s.join(c, key, "full_outer")
     decide = None
     for f in fields:
@@ -117,20 +122,18 @@ def metadata_matches(saved: DataFrame, current: DataFrame, key: str = "source",
     return j.select(key, decide.otherwise(F.lit(False)).alias("matches"))
 
 
-def file_metadata(df: DataFrame, source: str) -> DataFrame:
-    """C1 inputs for a file-backed DataFrame: one row (source, etag, last_modified, content_length).
+def listing_metadata(spark: SparkSession, path: str, source: str) -> DataFrame:
+    """C1 inputs for the files below ``path``: one row (source, etag, last_modified, content_length).
 
-    Built from Spark's per-file ``_metadata`` column, which needs no data
-    columns.  ``etag`` is an order-independent hash of (path, size, mtime)
-    over all files, so any added, removed or rewritten file changes it.
+    Taken from the file listing (the ``binaryFile`` source without its content), so no
+    byte of the data is read.  ``etag`` is an order-independent sum over (path, size,
+    time), so any added, removed or rewritten file changes it.
     """
-    m = df.select(F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_size").alias("s"),
-                  F.col("_metadata.file_modification_time").alias("t"))
-    files = m.groupBy("p").agg(F.max("s").alias("s"), F.max("t").alias("t"))
-    h = F.xxhash64("p", "s", "t").cast(DecimalType(38, 0))
-    return files.agg(F.sum(h).cast("string").alias("etag"),
-                     F.max("t").cast("string").alias("last_modified"),
-                     F.sum("s").cast("string").alias("content_length")).select(
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+             .select("path", "length", F.col("modificationTime").alias("at")))
+    return files.agg(F.coalesce(F.sum(row_digest(files)), F.lit(0)).cast("string").alias("etag"),
+                     F.max("at").cast("string").alias("last_modified"),
+                     F.sum("length").cast("string").alias("content_length")).select(
         F.lit(source).alias("source"), "etag", "last_modified", "content_length")
 
 

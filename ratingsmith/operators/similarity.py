@@ -4,19 +4,21 @@ The reference self-joins the vectors on the tag key, which emits every item
 pair once per tag: with dense vectors each tag group holds every item.  Here
 the exact same cosine is computed as a blocked matrix product:
 
-1. pack each item's (key, value) entries into one row (group size is bounded
-   by the key vocabulary);
-2. hash items into ``nb`` blocks of about ``block_size`` items and replicate
-   each packed item to the ``nb`` unordered block pairs it takes part in
-   (a generator, not a join);
-3. ``groupBy(block pair).applyInPandas``: each group holds at most two blocks,
-   multiplies them with numpy and emits only pairs whose cosine can pass the
-   threshold.
-
-Shuffle volume is ``nb`` times the packed vectors; each task's memory is
-bounded by ``block_size``, never by the data size.  Rounding and the strict
-threshold are applied afterwards with Spark built-ins, in the same order as
-the reference (round to 4 places, then ``> threshold``).
+1. pack each item's (key, value) entries into one row (repeated keys of an item are
+   summed; a row is bounded by the key vocabulary);
+2. hash items into ``nb`` blocks and replicate each packed item to the ``nb`` unordered
+   block pairs it takes part in (a generator, not a join); there are at least as many
+   block pairs as the cluster has task slots;
+3. ``groupBy(block pair).applyInPandas``: each group holds at most two blocks.  It
+   orders the items by their largest key, multiplies tiles of both blocks, and
+   skips a pair of tiles whose bound (the product of the tiles' largest unit-vector
+   entries, summed over keys) is below the threshold.  Only pairs whose cosine can
+   pass are emitted, and on request only those that can be among an item's top k.
+
+Shuffle volume is ``nb`` times the packed vectors; a task's memory is bounded by
+``TILE_BYTES`` for the dense tiles beside the packed rows of two blocks.  Rounding
+and the strict threshold are applied afterwards with Spark built-ins, in the same
+order as the reference (round to 4 places, then ``> threshold``).
 """
 
 from __future__ import annotations
@@ -29,8 +31,10 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from ratingsmith.functions import half_up
 
 
-# Budget for the dense matrices of one block pair inside one task.
-KERNEL_MEMORY_BYTES = 512 * 1024 * 1024
+# Budget for the dense matrices of one pair of tiles.
+TILE_BYTES = 256 * 1024 * 1024
+# Packed entries of one block (12 bytes each, and as much again in the task).
+BLOCK_ENTRIES = 8_000_000
 
 
 def pack_vectors(vectors: DataFrame, item: str, key: str, value: str) -> DataFrame:
@@ -41,7 +45,8 @@ def pack_vectors(vectors: DataFrame, item: str, key: str, value: str) -> DataFra
     return packed.select(item, F.col("e.k").alias("keys"), F.col("e.v").alias("vals"))
 
 
-def _pair_kernel(item: str, threshold: float | None, shared_norms: bool, margin: float):
+def _pair_kernel(item: str, threshold: float | None, shared_norms: bool, margin: float, top_k: int | None,
+                 tile_bytes: int):
     """Build the per-group function; a closure so workers need no package import."""
 
     def kernel(pdf):
@@ -54,66 +59,95 @@ def _pair_kernel(item: str, threshold: float | None, shared_norms: bool, margin:
         flat_v = np.concatenate([np.asarray(v, dtype=np.float64) for v in pdf["vals"]]) \
             if lens.sum() else np.array([], dtype=np.float64)
         keys = np.unique(flat_k)
-        rows = np.repeat(np.arange(len(pdf)), lens)
         cols = np.searchsorted(keys, flat_k)
-        mat = np.zeros((len(pdf), len(keys)), dtype=np.float64)
-        mask = np.zeros((len(pdf), len(keys)), dtype=np.float64)
-        mat[rows, cols] = flat_v
-        mask[rows, cols] = 1.0
+        first = np.cumsum(lens) - lens
         ids = pdf[item].to_numpy()
         blk = pdf["_blk"].to_numpy()
-        a_rows = np.nonzero(blk == lo)[0]
-        b_rows = np.nonzero(blk == hi)[0]
-        a, b = mat[a_rows], mat[b_rows]
-        dot = a @ b.T
-        if shared_norms:
-            na = np.sqrt((a * a) @ mask[b_rows].T)
-            nb = np.sqrt(mask[a_rows] @ (b * b).T)
-            den = na * nb
-        else:
-            den = np.outer(np.sqrt((a * a).sum(axis=1)), np.sqrt((b * b).sum(axis=1)))
-        with np.errstate(divide="ignore", invalid="ignore"):
-            cos = np.where(den > 0, dot / np.where(den > 0, den, 1.0), np.nan)
-        ia, ib = ids[a_rows][:, None], ids[b_rows][None, :]
-        keep = ia < ib if lo == hi else ia != ib
-        if threshold is not None:
-            keep &= cos > threshold - margin
-        r, c = np.nonzero(keep)
-        x, y = ids[a_rows][r], ids[b_rows][c]
-        return pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y),
-                             "cosine": cos[r, c]})
+        # three matrices for each side of a tile pair, two of the pair's own size
+        tile = max(1, min(1024, int(tile_bytes // (8 * 6 * max(1, len(keys))))))
+
+        def main_key(i):
+            part = slice(first[i], first[i] + lens[i])
+            return cols[part][np.abs(flat_v[part]).argmax()] if lens[i] else -1
+
+        def dense(rows):
+            m, used = np.zeros((len(rows), len(keys))), np.zeros((len(rows), len(keys)))
+            at = np.repeat(np.arange(len(rows)), lens[rows])
+            src = np.repeat(first[rows], lens[rows]) + np.arange(len(at)) - np.repeat(np.cumsum(lens[rows]) - lens[rows], lens[rows])
+            np.add.at(m, (at, cols[src]), flat_v[src])
+            used[at, cols[src]] = 1.0
+            norm = np.sqrt((m * m).sum(axis=1))
+            peak = (np.abs(m) / np.where(norm > 0, norm, 1.0)[:, None]).max(axis=0, initial=0.0)
+            return m, used, norm, peak
+
+        def tiles(block):
+            rows = np.nonzero(blk == block)[0]
+            rows = rows[np.argsort([main_key(i) for i in rows], kind="stable")]
+            return [rows[i:i + tile] for i in range(0, len(rows), tile)]
+
+        left = tiles(lo)
+        right = left if lo == hi else tiles(hi)
+        found = []
+        for i, ra in enumerate(left):
+            a, ua, na, pa_ = dense(ra)
+            for rb in right[i if lo == hi else 0:]:
+                b, ub, nb_, pb = (a, ua, na, pa_) if rb is ra else dense(rb)
+                if threshold is not None and not shared_norms and pa_ @ pb <= threshold - margin:
+                    continue
+                dot = a @ b.T
+                if shared_norms:
+                    den = np.sqrt((a * a) @ ub.T) * np.sqrt(ua @ (b * b).T)
+                else:
+                    den = np.outer(na, nb_)
+                cos = np.where(den > 0, dot / np.where(den > 0, den, 1.0), np.nan)
+                ia, ib = ids[ra][:, None], ids[rb][None, :]
+                keep = ia < ib if rb is ra else ia != ib
+                if threshold is not None:
+                    keep &= cos > threshold - margin
+                r, c = np.nonzero(keep)
+                found.append((ids[ra][r], ids[rb][c], cos[r, c]))
+        x, y, v = (np.concatenate(f) for f in zip(*found)) if found else (ids[:0], ids[:0], np.zeros(0))
+        if top_k is not None and len(v):
+            # a pair stays if it can be among the top k of either end
+            ends, at = np.concatenate((x, y)), np.tile(np.arange(len(v)), 2)
+            order = np.lexsort((-v[at], ends))
+            starts = np.concatenate(([True], ends[order][1:] != ends[order][:-1]))
+            rank = np.arange(len(order)) - np.maximum.accumulate(np.where(starts, np.arange(len(order)), 0))
+            group = np.cumsum(starts) - 1
+            floor = np.full(group[-1] + 1, -np.inf)
+            floor[group[rank == top_k - 1]] = v[at[order[rank == top_k - 1]]]
+            stay = np.zeros(len(v), bool)
+            stay[at[order[v[at[order]] >= floor[group] - margin]]] = True
+            x, y, v = x[stay], y[stay], v[stay]
+        return pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y), "cosine": v})
 
     return kernel
 
 
 def cosine_pairs(vectors: DataFrame, item: str = "movieId", key: str = "tagId",
                  value: str = "relevance", threshold: float | None = 0.85,
-                 norms: str = "full", scale: int = 4, block_size: int = 2048,
-                 num_blocks: int | None = None, out_a: str = "movie_id_a",
-                 out_b: str = "movie_id_b", out_sim: str = "similarity",
-                 sort: bool = True) -> DataFrame:
+                 norms: str = "full", scale: int = 4, num_blocks: int | None = None,
+                 out_a: str = "movie_id_a", out_b: str = "movie_id_b", out_sim: str = "similarity",
+                 sort: bool = True, top_k: int | None = None, tile_bytes: int = TILE_BYTES) -> DataFrame:
     """Pairs (a < b) with ``round(cosine, scale) > threshold``.
 
     ``norms='full'`` divides by each item's full L2 norm (true cosine);
     ``'shared'`` uses norms over the keys both items have, as the reference's
     per-pair aggregate does.  A zero norm gives NULL (and no pair under a
-    threshold).  ``threshold=None`` returns every pair.
+    threshold).  ``threshold=None`` returns every pair.  Values of a repeated
+    (item, key) are summed.
 
-    The kernel is dense over the keys present in a block pair, which suits a
-    bounded key vocabulary such as a tag genome; the block size shrinks as the
-    vocabulary grows so a task's memory stays bounded.
+    ``top_k`` drops pairs that cannot be among the ``top_k`` best of either item, so
+    at most about ``2 * top_k`` pairs an item and block pair leave a task; rank the
+    result to get the exact lists (``neighbours``).
     """
     packed = pack_vectors(vectors, item, key, value)
     if num_blocks is None:
-        # Only the block count depends on these, so approximate distinct counts
-        # (one pass, no shuffle of rows) are enough.  The dense block matrices
-        # take about 4 * block_size * vocabulary * 8 bytes per task, so the
-        # block size is capped to keep them within KERNEL_MEMORY_BYTES.
-        row = vectors.agg(F.approx_count_distinct(item).alias("n"),
-                          F.approx_count_distinct(key).alias("k")).first()
-        n_items, vocab = row["n"] or 0, max(1, row["k"] or 1)
-        block_size = max(16, min(block_size, KERNEL_MEMORY_BYTES // (32 * vocab)))
-        num_blocks = max(1, math.ceil(n_items / block_size))
+        # Only the layout depends on this count.  Blocks hold BLOCK_ENTRIES entries at
+        # most, and the block pairs cover the cluster's task slots.
+        entries = vectors.count()
+        slots = vectors.sparkSession.sparkContext.defaultParallelism
+        num_blocks = max(math.ceil(entries / BLOCK_ENTRIES), math.ceil((math.sqrt(8 * slots + 1) - 1) / 2))
     nb = int(num_blocks)
     blk = F.pmod(F.xxhash64(F.col(item)), F.lit(nb)).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.lit(nb - 1))).alias("_oth")
@@ -123,7 +157,7 @@ def cosine_pairs(vectors: DataFrame, item: str = "movieId", key: str = "tagId",
     id_type = vectors.schema[item].dataType
     schema = StructType([StructField("a", id_type), StructField("b", id_type),
                          StructField("cosine", DoubleType())])
-    kernel = _pair_kernel(item, threshold, norms == "shared", margin=10.0 ** (-scale))
+    kernel = _pair_kernel(item, threshold, norms == "shared", 10.0 ** (-scale), top_k, tile_bytes)
     raw = rep.groupBy("_blo", "_bhi").applyInPandas(kernel, schema)
     out = raw.select(F.col("a").alias(out_a), F.col("b").alias(out_b),
                      half_up(F.col("cosine"), scale).alias(out_sim))

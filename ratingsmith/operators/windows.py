@@ -1,26 +1,24 @@
 """Running and rolling statistics per entity.
 
-A plain ``Window.partitionBy(item)`` sends every row of an item to one task,
-so one item holding a third of the data becomes one straggler task.
-``entity_stats`` counts rows per entity first (a partial aggregate) and
-windows the rows once, partitioned by ``(entity, _pk)``:
-
-* ``_pk`` is NULL for an entity with at most ``hot_rows`` rows, so its
-  partition is the plain per-entity window;
-* for a hot entity (at most ``rows / hot_rows`` of them, so their list is
-  broadcast) ``_pk`` is ``struct(order[:-1])``: its rows are windowed only
-  inside one (day, second) group.  The totals of all earlier groups come from
-  partial aggregates rolled up level by level (day, then second) with short
-  windows over those small tables, and are added back by a LEFT join on
-  ``(entity, _pk)``, co-partitioned with the row window.
-
-The result equals ``ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW`` ordered
-by ``order`` as long as ``partition + order`` is unique.  Every join is a
-LEFT join onto keys the right side is grouped by, so a query that reads no
-statistics lets the optimizer drop all of it.  Day-range frames
-(``RANGE BETWEEN n DAYS PRECEDING AND CURRENT ROW``) use the same row window
-for plain entities and the per-day totals (one row per calendar day) for hot
-ones.  Rows with a NULL key get NULL statistics.
+A plain ``Window.partitionBy(item)`` sends every row of an item to one task, so
+an item holding a third of the data becomes one straggler.  Here:
+
+* day-range statistics (``RANGE BETWEEN n DAYS PRECEDING AND CURRENT ROW``) never
+  window the rows: rows are summed up per (entity, day) with a partial aggregate,
+  the window runs over those daily totals (one row per calendar day), and the rows
+  get their day's frame by a join on (entity, day);
+* running statistics window the rows once, partitioned by ``(entity, group)``.  The
+  group is empty for an entity with at most ``hot_rows`` rows, so its partition is
+  the plain per-entity window; for a hot entity it is ``order[:-1]`` (day, second),
+  and the totals of all earlier groups come from partial aggregates rolled up level
+  by level with windows over those small tables.
+
+Both forms give the result of the plain window ``ORDER BY order`` for any
+``hot_rows``, as long as ``partition + order`` is unique; ``hot_rows`` moves work
+only.  Keys are compared as structs, so a NULL entity is an entity like any other
+and a NULL order value sorts first, in either form: a NULL date has a frame of the
+NULL dates only, as in SQL.  No join is forced to broadcast: the sides are grouped
+keys, and Spark's own size check and skew splitting decide.
 """
 
 from __future__ import annotations
@@ -32,52 +30,51 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ratingsmith.functions import day_number, half_up, safe_divide
 
 _C, _S = "_rs_cnt", "_rs_sum"
+_ENTITY, _GROUP, _DAY = "_rs_entity", "_rs_group", "_rs_day"
+
+# Entities with more rows than this are split in running windows.
+DEFAULT_HOT_ROWS = 2_000_000
 
 
-def _level_totals(df: DataFrame, keys: list[str], measure: str) -> DataFrame:
+def _totals(df: DataFrame, keys: Sequence[str], measure: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(measure).alias(_C),
                                  F.sum(F.col(measure).cast("double")).alias(_S))
 
 
-def _offsets(groups: DataFrame, partition: list[str], upper: list[str],
-             rolling_days: int | None = None) -> DataFrame:
-    """Totals of all rows ordered before each ``partition + upper`` group.
+def _key(cols: Sequence[str]) -> Column:
+    """A NULL-safe key: structs with NULL fields compare as equal."""
+    return F.struct(*[F.col(c) for c in cols])
+
 
-    ``groups`` has one row per ``partition + upper`` with its ``_rs_cnt`` and
-    ``_rs_sum``; coarser levels are rolled up from it, never from the rows.
-    With ``rolling_days`` the first level (a date column) also carries the
-    day-range totals ``_rl_cnt`` / ``_rl_sum``.
+def _earlier_totals(groups: DataFrame, upper: Sequence[str]) -> DataFrame:
+    """``entity, group, _off_c, _off_s``: totals of all rows ordered before each group.
+
+    ``groups`` has one row per entity and ``upper`` values; coarser levels are rolled
+    up from it, never from the rows.
     """
     acc = None
     for i, col in enumerate(upper):
-        keys = partition + upper[: i + 1]
-        outer = partition + upper[:i]
-        lvl = groups if i == len(upper) - 1 else groups.groupBy(*keys).agg(
+        outer = [_ENTITY, *upper[:i]]
+        level = groups if i == len(upper) - 1 else groups.groupBy(*outer, col).agg(
             F.sum(_C).alias(_C), F.sum(_S).alias(_S))
-        before = Window.partitionBy(*outer).orderBy(col).rowsBetween(
-            Window.unboundedPreceding, -1)
-        cols = [*keys,
-                F.coalesce(F.sum(_C).over(before), F.lit(0)).alias(f"_off_c{i}"),
-                F.coalesce(F.sum(_S).over(before), F.lit(0.0)).alias(f"_off_s{i}")]
-        if i == 0 and rolling_days is not None:
-            rng = Window.partitionBy(*outer).orderBy(day_number(col)).rangeBetween(
-                -rolling_days, 0)
-            cols += [F.sum(_C).over(rng).alias("_rl_cnt"), F.sum(_S).over(rng).alias("_rl_sum")]
-        lvl = lvl.select(*cols)
-        acc = lvl if acc is None else lvl.join(acc, outer, "left")
-    return acc
-
-
-def _sum_cols(prefix: str, n: int) -> Column:
-    out = F.col(f"{prefix}0")
-    for i in range(1, n):
-        out = out + F.col(f"{prefix}{i}")
-    return out
-
-
-# Entities with more rows than this are split; the rest use one plain window.
-DEFAULT_HOT_ROWS = 2_000_000
-_PK = "_rs_pk"
+        before = Window.partitionBy(*outer).orderBy(col).rowsBetween(Window.unboundedPreceding, -1)
+        level = level.select(*outer, col, F.coalesce(F.sum(_C).over(before), F.lit(0)).alias(f"_c{i}"),
+                             F.coalesce(F.sum(_S).over(before), F.lit(0.0)).alias(f"_s{i}"))
+        if acc is None:
+            acc = level
+        else:
+            prev = acc.select(_key(outer).alias("_k"), *[c for c in acc.columns if c not in outer])
+            acc = level.withColumn("_k", _key(outer)).join(prev, "_k", "left").drop("_k")
+    plus = lambda p: sum((F.col(f"{p}{i}") for i in range(1, len(upper))), F.col(f"{p}0"))
+    return acc.select(_ENTITY, _key(upper).alias(_GROUP), plus("_c").alias("_off_c"), plus("_s").alias("_off_s"))
+
+
+def _daily_frames(df: DataFrame, date_col: str, measure: str, days: int) -> DataFrame:
+    """``entity, day, _roll_c, _roll_s``: totals of the days ``[day - days, day]``."""
+    daily = _totals(df.select(_ENTITY, day_number(date_col).alias(_DAY), measure), [_ENTITY, _DAY], measure)
+    frame = Window.partitionBy(_ENTITY).orderBy(_DAY).rangeBetween(-days, 0)
+    return daily.select(_ENTITY, F.struct(_DAY).alias(_DAY), F.sum(_C).over(frame).alias("_roll_c"),
+                        F.sum(_S).over(frame).alias("_roll_s"))
 
 
 def entity_stats(df: DataFrame, partition: Sequence[str], order: Sequence[str], measure: str,
@@ -87,66 +84,44 @@ def entity_stats(df: DataFrame, partition: Sequence[str], order: Sequence[str],
                  scale: int = 2, hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
     """Append running and/or day-range rolling count and average columns.
 
-    ``order[0]`` must be a DATE column when ``rolling`` is requested; the
-    rolling frame covers ``[order[0] - rolling_days, order[0]]`` inclusive and
-    includes every row of the same day.
-
-    One row-level window runs over ``partition + [_pk]``, where ``_pk`` is NULL
-    for an entity with at most ``hot_rows`` rows (a plain per-entity window)
-    and ``struct(order[:-1])`` for a hot entity, whose earlier-group totals are
-    then added by a LEFT join on the same keys (co-partitioned, so the rows
-    are shuffled once).  The hot list comes from one partial aggregate and
-    has at most ``rows / hot_rows`` keys, a proven bound, so it is broadcast.
-    ``hot_rows=None`` splits every entity.
+    ``order[0]`` must be a DATE column when ``rolling`` is requested; the rolling
+    frame covers ``[order[0] - rolling_days, order[0]]`` inclusive and includes
+    every row of the same day.  ``hot_rows=None`` splits every entity.
+
+    The rows are read once per part of the result (counts, hot groups, days, rows):
+    pass a staged table where ``df`` is costly to compute.
     """
     partition, order = list(partition), list(order)
-    if len(order) < 2:
-        raise ValueError("entity_stats needs at least two order columns to split groups")
-    upper = order[:-1]
-    m = F.col(measure).cast("double")
-    if hot_rows is None:
-        marked = df.withColumn(_PK, F.struct(*upper))
-        hot_rows_df = df
-    else:
-        counts = df.groupBy(*partition).agg(F.count(F.lit(1)).alias("_n"))
-        hot = counts.filter(F.col("_n") > hot_rows).select(*partition)
-        flagged = hot.select(*partition, F.lit(True).alias("_hot"))
-        marked = df.join(F.broadcast(flagged), partition, "left").select(
-            *[F.col(c) for c in df.columns], F.when(F.col("_hot"), F.struct(*upper)).alias(_PK))
-        hot_rows_df = df.join(F.broadcast(hot), partition, "left_semi")
-
-    # Earlier-group totals for hot entities, keyed like the row window.
-    offsets = _offsets(_level_totals(hot_rows_df, partition + upper, measure), partition, upper,
-                       rolling_days if rolling is not None else None)
-    vals = [c for c in offsets.columns if c.startswith(("_off_", "_rl_"))]
-    offsets = offsets.select(*partition, F.struct(*upper).alias(_PK), *vals).groupBy(
-        *partition, _PK).agg(*[F.first(c).alias(c) for c in vals])
-
-    w = Window.partitionBy(*partition, _PK).orderBy(*order).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    extra = [F.count(measure).over(w).alias("_w_cnt"), F.sum(m).over(w).alias("_w_sum")]
-    if rolling is not None:
-        r = Window.partitionBy(*partition, _PK).orderBy(day_number(order[0])).rangeBetween(
-            -rolling_days, 0)
-        extra += [F.count(measure).over(r).alias("_p_cnt"), F.sum(m).over(r).alias("_p_sum")]
-    rows = marked.select("*", *extra)
-    joined = rows.join(offsets, partition + [_PK], "left")
-
+    rows = df.withColumn(_ENTITY, _key(partition))
     out_cols = [F.col(c) for c in df.columns]
-    split = F.col(_PK).isNotNull()
     if running is not None:
-        off_c = F.coalesce(_sum_cols("_off_c", len(upper)), F.lit(0))
-        off_s = F.coalesce(_sum_cols("_off_s", len(upper)), F.lit(0.0))
-        cnt = F.col("_w_cnt") + off_c
-        total = F.coalesce(F.col("_w_sum"), F.lit(0.0)) + off_s
-        out_cols += [cnt.cast("bigint").alias(running[0]),
-                     half_up(safe_divide(total, cnt), scale).alias(running[1])]
+        upper = order[:-1]
+        if not upper:
+            raise ValueError("running statistics need at least two order columns to split groups")
+        if hot_rows is None:
+            marked = rows.withColumn(_GROUP, _key(upper))
+            hot = rows
+        else:
+            counts = rows.groupBy(_ENTITY).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
+            flagged = rows.join(counts, _ENTITY, "left")
+            marked = flagged.withColumn(_GROUP, F.when(F.col("_n").isNotNull(), _key(upper))).drop("_n")
+            hot = rows.join(counts, _ENTITY, "left_semi")
+        earlier = _earlier_totals(_totals(hot, [_ENTITY, *upper], measure), upper)
+        within = Window.partitionBy(_ENTITY, _GROUP).orderBy(*order).rowsBetween(
+            Window.unboundedPreceding, Window.currentRow)
+        rows = marked.select("*", F.count(measure).over(within).alias("_run_c"),
+                             F.sum(F.col(measure).cast("double")).over(within).alias("_run_s"))
+        rows = rows.join(earlier, [_ENTITY, _GROUP], "left")
+        count = F.col("_run_c") + F.coalesce("_off_c", F.lit(0))
+        total = F.coalesce("_run_s", F.lit(0.0)) + F.coalesce("_off_s", F.lit(0.0))
+        out_cols += [count.cast("bigint").alias(running[0]),
+                     half_up(safe_divide(total, count), scale).alias(running[1])]
     if rolling is not None:
-        rc = F.when(split, F.col("_rl_cnt")).otherwise(F.col("_p_cnt"))
-        rs = F.when(split, F.col("_rl_sum")).otherwise(F.col("_p_sum"))
-        out_cols += [rc.cast("bigint").alias(rolling[0]),
-                     half_up(safe_divide(rs, rc), scale).alias(rolling[1])]
-    return joined.select(*out_cols)
+        frames = _daily_frames(df.withColumn(_ENTITY, _key(partition)), order[0], measure, rolling_days)
+        rows = rows.withColumn(_DAY, F.struct(day_number(order[0]).alias(_DAY))).join(frames, [_ENTITY, _DAY], "left")
+        out_cols += [F.col("_roll_c").cast("bigint").alias(rolling[0]),
+                     half_up(safe_divide(F.col("_roll_s"), F.col("_roll_c")), scale).alias(rolling[1])]
+    return rows.select(*out_cols)
 
 
 def running_stats(df: DataFrame, partition: Sequence[str], order: Sequence[str], measure: str,
@@ -160,16 +135,10 @@ def running_stats(df: DataFrame, partition: Sequence[str], order: Sequence[str],
 
 def rolling_stats(df: DataFrame, partition: Sequence[str], date_col: str, measure: str,
                   days: int = 30, count_name: str = "rolling_30d_count",
-                  avg_name: str = "rolling_30d_avg", scale: int = 2,
-                  hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
-    """Count and average over ``[date - days, date]`` per partition.
-
-    Plain entities use one range window; hot entities are split by day and
-    take their frames from the per-day totals (see ``entity_stats``).
-    """
-    return entity_stats(df, partition, [date_col, date_col], measure, running=None,
-                        rolling=(count_name, avg_name), rolling_days=days, scale=scale,
-                        hot_rows=hot_rows)
+                  avg_name: str = "rolling_30d_avg", scale: int = 2) -> DataFrame:
+    """Count and average over ``[date - days, date]`` per partition (W3, W4), from daily totals."""
+    return entity_stats(df, partition, [date_col], measure, running=None,
+                        rolling=(count_name, avg_name), rolling_days=days, scale=scale)
 
 
 def top_k_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int,

@@ -7,12 +7,14 @@ on absolute embedding values.  Every query reads whole tables.
 
 from __future__ import annotations
 
-import hashlib
+import dataclasses
 import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ratingsmith.functions import epoch_to_date
 from ratingsmith.operators import aggregates as agg
 from ratingsmith.operators import clean
 from ratingsmith.operators import metrics as met
@@ -21,13 +23,14 @@ from ratingsmith.operators import runlog as rl
 from ratingsmith.operators import similarity as sim
 from ratingsmith.operators import windows as win
 from ratingsmith.plans import oracle_sql as q
+from ratingsmith.plans import staging
 from ratingsmith.plans import warehouse as wh
 from ratingsmith.plans.oracle_sql import R, with_
 from ratingsmith.session import workspace
 from ratingsmith.sources import adapters
 from ratingsmith.sources import csv as csv_src
 from ratingsmith.sources.contracts import (
-    WAREHOUSE_KEYS, WAREHOUSE_MAX_LENGTHS, WAREHOUSE_NOT_NULL, WAREHOUSE_TABLES,
+    INPUTS, WAREHOUSE_DDL, WAREHOUSE_KEYS, WAREHOUSE_MAX_LENGTHS, WAREHOUSE_NOT_NULL, WAREHOUSE_TABLES,
 )
 
 # Parameters for the driver data.
@@ -62,6 +65,20 @@ def clean_items_df(spark, sf_dir) -> DataFrame:
     return clean.clean_items(adapters.movies(spark, sf_dir))
 
 
+INPUT_TABLES = ["lineitem", "orders", "part", "events", "embeddings"]
+
+
+def staged_ratings(spark, sf_dir) -> DataFrame:
+    """The cleaned ratings, written once for all queries that window, join or check them."""
+    key = staging.input_key(spark, sf_dir, ["lineitem", "orders"])
+    return staging.staged(spark, "clean_ratings", key, lambda: clean_ratings_df(spark, sf_dir))
+
+
+def staged_items(spark, sf_dir) -> DataFrame:
+    key = staging.input_key(spark, sf_dir, ["part"])
+    return staging.staged(spark, "clean_items", key, lambda: clean_items_df(spark, sf_dir))
+
+
 # ---- cleaning -----------------------------------------------------------------
 
 @register("clean_ratings", with_(q.RATINGS_CTES, "SELECT * FROM clean_ratings"))
@@ -87,13 +104,23 @@ ORDER = ["rating_date", "timestamp", "userId"]
 @register("running_stats", with_(q.RATINGS_CTES,
           f"SELECT *, {q.RUNNING_COLS} FROM clean_ratings {q.WINDOWS}"))
 def running_stats_q(spark, sf_dir):
-    return win.running_stats(clean_ratings_df(spark, sf_dir), ["movieId"], ORDER, "rating")
+    return win.running_stats(staged_ratings(spark, sf_dir), ["movieId"], ORDER, "rating")
+
+
+# About half of the driver data's items have more ratings than this.
+SPLIT_ABOVE = 26
+
+
+@register("running_stats_split", with_(q.RATINGS_CTES,
+          f"SELECT *, {q.RUNNING_COLS} FROM clean_ratings {q.WINDOWS}"))
+def running_stats_split_q(spark, sf_dir):
+    return win.running_stats(staged_ratings(spark, sf_dir), ["movieId"], ORDER, "rating", hot_rows=SPLIT_ABOVE)
 
 
 @register("rolling_30d_stats", with_(q.RATINGS_CTES,
           f"SELECT *, {q.ROLLING_COLS} FROM clean_ratings {q.WINDOWS}"))
 def rolling_q(spark, sf_dir):
-    return win.rolling_stats(clean_ratings_df(spark, sf_dir), ["movieId"], "rating_date",
+    return win.rolling_stats(staged_ratings(spark, sf_dir), ["movieId"], "rating_date",
                              "rating", days=30)
 
 
@@ -130,7 +157,7 @@ def decade_stats_q(spark, sf_dir):
 
 
 def fact_df(spark, sf_dir) -> DataFrame:
-    return wh.fact_ratings(clean_ratings_df(spark, sf_dir), clean_items_df(spark, sf_dir))
+    return wh.fact_ratings(staged_ratings(spark, sf_dir), staged_items(spark, sf_dir))
 
 
 def dim_movies_df(spark, sf_dir) -> DataFrame:
@@ -138,7 +165,7 @@ def dim_movies_df(spark, sf_dir) -> DataFrame:
 
 
 def fact_base_df(spark, sf_dir) -> DataFrame:
-    base = wh.fact_base(clean_ratings_df(spark, sf_dir), clean_items_df(spark, sf_dir))
+    base = wh.fact_base(staged_ratings(spark, sf_dir), staged_items(spark, sf_dir))
     return base.select(F.col("userId").alias("user_id"), F.col("movieId").alias("movie_id"),
                        "rating", "rating_date", "rating_year")
 
@@ -260,8 +287,8 @@ FROM (SELECT *, CAST(row_number() OVER (PARTITION BY item ORDER BY similarity DE
 LEFT JOIN clean_items ci ON ci.movieId = neighbour
 WHERE rank <= {NEIGHBOURS}""")
 def neighbours_q(spark, sf_dir):
-    return sim.neighbours(tag_similarity_df(spark, sf_dir), dim_movies_df(spark, sf_dir),
-                          k=NEIGHBOURS)
+    pairs = sim.cosine_pairs(vectors_df(spark, sf_dir), threshold=SIM_THRESHOLD, sort=False, top_k=NEIGHBOURS)
+    return sim.neighbours(pairs, dim_movies_df(spark, sf_dir), k=NEIGHBOURS)
 
 
 # ---- quality checks -----------------------------------------------------------------
@@ -270,8 +297,11 @@ STAR_PARAMS = wh.StarParams(min_count=MIN_COUNT, sim_threshold=SIM_THRESHOLD, si
 
 
 def star(spark, sf_dir):
-    return wh.star_tables(clean_ratings_df(spark, sf_dir), clean_items_df(spark, sf_dir),
-                          vectors_df(spark, sf_dir), STAR_PARAMS)
+    """The six star tables, written once and read by every check over them."""
+    tables = wh.star_tables(staged_ratings(spark, sf_dir), staged_items(spark, sf_dir),
+                            vectors_df(spark, sf_dir), STAR_PARAMS)
+    key = staging.input_key(spark, sf_dir, INPUT_TABLES)
+    return wh.LazyTables({t: (lambda t=t: staging.staged(spark, f"star_{t}", key, lambda: tables[t])) for t in tables})
 
 
 GENRE_TRENDS_SQL = f"""genre_trends AS (
@@ -554,46 +584,184 @@ def decade_summary_q(spark, sf_dir):
     return met.decade_summary(fact_base_df(spark, sf_dir), items_mid(spark, sf_dir))
 
 
-# ---- fingerprints (xxhash64 has no SQL twin: rows-only check) ---------------------------
+# ---- change detection -------------------------------------------------------------------
+
+def _digest_sql(cols) -> str:
+    """The SQL form of ``runlog.row_digest``."""
+    marks = " || ".join(f"coalesce('+' || length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in cols)
+    return f"CAST(('0x' || substr(md5({marks}), 1, 15)) AS BIGINT)"
+
+
+# Engines print small doubles differently, so relevance is compared in millionths.
+GENOME_MICRO = """genome_micro AS (SELECT movieId, tagId, CAST(round(relevance * 1000000) AS BIGINT) AS relevance FROM genome)"""
+GENOME_TAGS_SQL = """raw_genome_tags AS (SELECT tagId, 'tag_' || tagId AS tag FROM
+  (SELECT unnest(range(max(len(embedding)))) AS tagId FROM embeddings))"""
+FINGERPRINTED = {"ratings": ("raw_ratings", ("userId", "movieId", "rating", '"timestamp"')),
+                 "movies": ("raw_movies", ("movieId", "title", "genres")),
+                 "tags": ("raw_tags", ("userId", "movieId", "tag", '"timestamp"')),
+                 "genome_scores": ("genome_micro", ("movieId", "tagId", "relevance")),
+                 "genome_tags": ("raw_genome_tags", ("tagId", "tag"))}
+FINGERPRINT_CTES = q.RATINGS_CTES + q.ITEM_CTES + [q.RAW_TAGS, q.GENOME, GENOME_MICRO, GENOME_TAGS_SQL]
 
-@register("fingerprint")
-def fingerprint_q(spark, sf_dir):
-    return rl.fingerprints(adapters.load_inputs(spark, sf_dir).as_dict())
 
+def exact_inputs(spark, sf_dir) -> dict[str, DataFrame]:
+    tables = adapters.load_inputs(spark, sf_dir).as_dict()
+    micro = F.round(F.col("relevance") * 1_000_000).cast("bigint")
+    return tables | {"genome_scores": tables["genome_scores"].withColumn("relevance", micro)}
 
-@register("changed_tables")
+
+@register("fingerprint", with_(FINGERPRINT_CTES, union_sql([
+    f"SELECT '{t}' AS table_name, count(*) AS row_count, CAST(sum({_digest_sql(cols)}) AS VARCHAR) AS fingerprint FROM {source}"
+    for t, (source, cols) in FINGERPRINTED.items()])))
+def fingerprint_q(spark, sf_dir):
+    return rl.fingerprints(exact_inputs(spark, sf_dir))
+
+
+def _earlier(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """A derived earlier snapshot: ratings lack some rows, a tag is spelt otherwise, a NULL moved between
+    columns of movies, genome scores only lie in another order, genome tags hold one row twice."""
+    r, m, t, g, n = (tables[k] for k in ("ratings", "movies", "tags", "genome_scores", "genome_tags"))
+    moved = F.col("movieId") % 40 == 0
+    return {"ratings": r.filter("userId % 7 <> 0"),
+            "movies": m.withColumns({"title": F.when(moved, F.col("genres")).otherwise(F.col("title")),
+                                     "genres": F.when(moved, F.col("title")).otherwise(F.col("genres"))}),
+            "tags": t.withColumn("tag", F.regexp_replace("tag", "VIEW", "VIEWED")),
+            "genome_scores": g.orderBy("relevance"),
+            "genome_tags": n.unionByName(n.filter("tagId = 3"))}
+
+
+_EARLIER_SQL = {
+    "ratings": "SELECT * FROM raw_ratings WHERE userId % 7 <> 0",
+    "movies": """SELECT movieId, CASE WHEN movieId % 40 = 0 THEN genres ELSE title END AS title,
+                 CASE WHEN movieId % 40 = 0 THEN title ELSE genres END AS genres FROM raw_movies""",
+    "tags": """SELECT userId, movieId, replace(tag, 'VIEW', 'VIEWED') AS tag, "timestamp" FROM raw_tags""",
+    "genome_scores": "SELECT * FROM genome_micro",
+    "genome_tags": "SELECT * FROM raw_genome_tags UNION ALL SELECT * FROM raw_genome_tags WHERE tagId = 3"}
+
+
+@register("changed_tables", with_(FINGERPRINT_CTES, union_sql([
+    f"""SELECT '{t}' AS table_name, EXISTS ((SELECT {', '.join(cols)} FROM {source}) EXCEPT ALL ({_EARLIER_SQL[t]}))
+        OR EXISTS (({_EARLIER_SQL[t]}) EXCEPT ALL (SELECT {', '.join(cols)} FROM {source})) AS changed"""
+    for t, (source, cols) in FINGERPRINTED.items()])))
 def changed_tables_q(spark, sf_dir):
-    from ratingsmith.plans.refresh import saved_fingerprints
-    current = rl.fingerprints(adapters.load_inputs(spark, sf_dir).as_dict())
-    return rl.changed_tables(current, saved_fingerprints(spark, sf_dir))
+    tables = exact_inputs(spark, sf_dir)
+    return rl.changed_tables(rl.fingerprints(tables), rl.fingerprints(_earlier(tables)))
+
+
+# Metadata of one source for each customer: some lack the ETag, some the date, some all.
+_SAVED_META = {"etag": "CASE c_custkey % 4 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE c_name END",
+               "last_modified": "CASE WHEN c_custkey % 5 < 2 THEN NULL ELSE c_mktsegment END",
+               "content_length": "CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE CAST(c_nationkey AS VARCHAR(20)) END"}
+_CURRENT_META = {"etag": "CASE WHEN c_custkey % 7 = 0 THEN '' WHEN c_custkey % 6 = 0 THEN 'other' ELSE c_name END",
+                 "last_modified": "CASE WHEN c_custkey % 2 = 0 THEN 'x' ELSE c_mktsegment END",
+                 "content_length": "CAST(c_nationkey % 5 AS VARCHAR(20))"}
+
+
+def _meta_sql(fields, where) -> str:
+    return "SELECT c_custkey AS source, " + ", ".join(f"{e} AS {f}" for f, e in fields.items()) + f" FROM customer WHERE {where}"
+
+
+@register("metadata_matches", f"""
+WITH s AS ({_meta_sql(_SAVED_META, "c_custkey % 11 <> 0")}), c AS ({_meta_sql(_CURRENT_META, "c_custkey % 13 <> 0")})
+SELECT coalesce(s.source, c.source) AS source,
+       coalesce(CASE WHEN s.etag <> '' AND c.etag <> '' THEN s.etag = c.etag
+                     WHEN s.last_modified IS NOT NULL AND c.last_modified IS NOT NULL THEN s.last_modified = c.last_modified
+                     WHEN s.content_length IS NOT NULL AND c.content_length IS NOT NULL
+                          THEN s.content_length = c.content_length END, FALSE) AS matches
+FROM s FULL JOIN c ON s.source = c.source""")
+def metadata_matches_q(spark, sf_dir):
+    customer = spark.read.parquet(os.path.join(sf_dir, "customer.parquet"))
+    side = lambda fields, where: customer.filter(where).select(
+        F.col("c_custkey").alias("source"), *[F.expr(e).alias(f) for f, e in fields.items()])
+    return rl.metadata_matches(side(_SAVED_META, "c_custkey % 11 <> 0"), side(_CURRENT_META, "c_custkey % 13 <> 0"))
+
+
+# ---- quality checks over dirty data ------------------------------------------------------
+
+DIRTY_FACT = """dirty AS (
+  SELECT CASE WHEN user_id % 50 = 0 THEN NULL ELSE user_id END AS user_id,
+         CASE WHEN user_id % 31 = 0 THEN movie_id + 10000000 ELSE movie_id END AS movie_id,
+         CASE WHEN movie_id % 40 = 1 THEN rating * 3 ELSE rating END AS rating,
+         CASE WHEN user_id % 23 = 0 THEN NULL ELSE rating_date END AS rating_date, rating_year FROM fact_base2
+  UNION ALL SELECT user_id, movie_id, rating, rating_date, rating_year FROM fact_base2 WHERE user_id % 17 = 0)"""
+_DIRTY_RANGE = "count(*) > 0 AND min(rating) >= 0.5 AND max(rating) <= 5"
+
+
+@register("quality_dirty", with_(q.WAREHOUSE_CTES + [
+    "fact_base2 AS (SELECT userId AS user_id, movieId AS movie_id, rating, rating_date, rating_year FROM fact_base)", DIRTY_FACT],
+    union_sql([
+        check_sql("null_keys", "fact_ratings", "count_if(movie_id IS NULL OR user_id IS NULL OR rating IS NULL)", 0,
+                  "count_if(movie_id IS NULL OR user_id IS NULL OR rating IS NULL) = 0", "error", "dirty"),
+        check_sql("orphan_movie_id", "fact_ratings", "count(*)", 0, "count(*) = 0", "error",
+                  "dirty f WHERE NOT EXISTS (SELECT 1 FROM dim_movies x WHERE x.movie_id = f.movie_id)"),
+        check_sql("rating_min", "fact_ratings", "min(rating)", 0.5, _DIRTY_RANGE, "error", "dirty"),
+        check_sql("rating_max", "fact_ratings", "max(rating)", 5, _DIRTY_RANGE, "error", "dirty"),
+        check_sql("duplicate_keys", "fact_ratings", "count(*)", 0, "count(*) = 0", "error",
+                  "(SELECT user_id, movie_id FROM dirty GROUP BY user_id, movie_id HAVING count(*) > 1)"),
+        check_sql("contract", "fact_ratings", f"count_if({_contract_cond('fact_ratings')})", 0,
+                  f"count_if({_contract_cond('fact_ratings')}) = 0", "error", "dirty")])))
+def quality_dirty_q(spark, sf_dir):
+    base = fact_base_df(spark, sf_dir)
+    null_if = lambda cond, c: F.when(F.expr(cond), None).otherwise(F.col(c))
+    dirty = base.select(null_if("user_id % 50 = 0", "user_id").alias("user_id"),
+                        F.expr("if(user_id % 31 = 0, movie_id + 10000000, movie_id)").alias("movie_id"),
+                        F.expr("if(movie_id % 40 = 1, rating * 3, rating)").alias("rating"),
+                        null_if("user_id % 23 = 0", "rating_date").alias("rating_date"), "rating_year")
+    dirty = dirty.unionByName(base.filter("user_id % 17 = 0"))
+    t = "fact_ratings"
+    return qc.union_all([
+        qc.null_keys(dirty, t, ["movie_id", "user_id", "rating"]),
+        qc.orphans(dirty, dim_movies_df(spark, sf_dir), "movie_id", t),
+        qc.value_range(dirty, "rating", 0.5, 5.0, t),
+        qc.duplicate_keys(dirty, WAREHOUSE_KEYS[t], t),
+        qc.contract_violations(dirty, t, WAREHOUSE_NOT_NULL[t], {})])
 
 
 # ---- sources: CSV ingest and staged Parquet round trips ---------------------------------
 
+def _stage(spark, *parts):
+    """A new folder for each call."""
+    return workspace(spark, "queries", uuid.uuid4().hex, *parts)
 
 
-
-def _stage(spark, sf_dir, *parts):
-    key = hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:12]
-    return workspace(spark, "queries", key, *parts)
+# Faulty CSV lines derived from the inputs: (column with a value of the wrong type and that value, its rows),
+# rows repeated with their last required column empty, rows cut off after the first columns.
+CSV_FAULTS = {
+    "ratings": (("timestamp", "soon", "userId % 20 = 3"), ("rating", "movieId % 25 = 4"), (2, "userId % 30 = 5")),
+    "movies": (("movieId", "none", "movieId % 11 = 1"), ("title", "movieId % 13 = 2"), (2, "movieId % 9 = 3")),
+    "tags": (("timestamp", "notanumber", "userId % 12 = 1"), ("tag", "userId % 14 = 2"), (2, "userId % 16 = 3")),
+    "genome_scores": (("relevance", "high", "tagId % 16 = 3"), ("relevance", "tagId % 20 = 4"), (2, "movieId % 30 = 5")),
+    "genome_tags": (("tagId", "one", "tagId % 8 = 1"), ("tag", "tagId % 9 = 2"), (1, "tagId % 10 = 3"))}
 
 
 def csv_inputs_dir(spark, sf_dir) -> str:
-    raw = _stage(spark, sf_dir, "raw_csv")
-    csv_src.write_inputs(adapters.load_inputs(spark, sf_dir), raw)
+    """The inputs as CSV files with faulty lines among the good ones."""
+    raw = _stage(spark, "raw_csv")
+    for name, df in adapters.load_inputs(spark, sf_dir).as_dict().items():
+        (wrong, value, wrong_rows), (empty, empty_rows), (width, cut_rows) = CSV_FAULTS[name]
+        text = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
+        rows = text.unionByName(text.filter(wrong_rows).withColumn(wrong, F.lit(value))).unionByName(
+            text.filter(empty_rows).withColumn(empty, F.lit(None).cast("string")))
+        csv_src.write_csv(rows, raw, name)
+        csv_src.write_csv(text.filter(cut_rows).select(*text.columns[:width]), raw, name, mode="append")
     return raw
 
 
-@register("csv_ingest", with_(q.RATINGS_CTES + q.ITEM_CTES + [q.RAW_TAGS, q.GENOME], """
-SELECT 'ratings' AS table_name, count(*) AS row_count, CAST(0 AS BIGINT) AS null_required,
-       CAST(0 AS BIGINT) AS malformed FROM raw_ratings
-UNION ALL SELECT 'movies', count(*), CAST(count_if(movieId IS NULL OR title IS NULL) AS BIGINT), 0
-          FROM raw_movies
-UNION ALL SELECT 'tags', count(*), 0, 0 FROM raw_tags
-UNION ALL SELECT 'genome_scores', count(*), 0, 0 FROM genome
-UNION ALL SELECT 'genome_tags', CAST(max(len(embedding)) AS BIGINT), 0, 0 FROM embeddings"""))
+def _ingest_sql(table, source, required) -> str:
+    (_, _, wrong), (_, empty), (_, cut) = CSV_FAULTS[table]
+    nulls = " OR ".join(f"{c} IS NULL" for c in required)
+    big = lambda x: f"CAST({x} AS BIGINT)"
+    return (f"SELECT '{table}' AS table_name, {big(f'count(*) + count_if({empty})')} AS row_count, "
+            f"{big(f'count_if({nulls}) + count_if({empty})')} AS null_required, "
+            f"{big(f'count_if({wrong}) + count_if({cut})')} AS malformed FROM {source}")
+
+
+@register("csv_ingest", with_(FINGERPRINT_CTES, union_sql([
+    _ingest_sql(t, source, INPUTS[t].required) for t, source in
+    (("ratings", "raw_ratings"), ("movies", "raw_movies"), ("tags", "raw_tags"), ("genome_scores", "genome"),
+     ("genome_tags", "raw_genome_tags"))])))
 def csv_ingest_q(spark, sf_dir):
-    return csv_src.ingest_report(spark, csv_inputs_dir(spark, sf_dir))
+    return csv_src.ingest_report(csv_src.stage_inputs(spark, csv_inputs_dir(spark, sf_dir), _stage(spark, "split")))
 
 
 @register("clean_ratings_from_csv", with_(q.RATINGS_CTES, """
@@ -601,12 +769,44 @@ SELECT CAST(userId AS INTEGER) AS userId, CAST(movieId AS INTEGER) AS movieId, r
        rating_date, rating_year FROM clean_ratings"""))
 def clean_ratings_from_csv_q(spark, sf_dir):
     raw = csv_inputs_dir(spark, sf_dir)
-    return clean.clean_ratings(csv_src.read_inputs(spark, raw).ratings)
+    return clean.clean_ratings(csv_src.read_inputs(spark, raw, _stage(spark, "split")).ratings)
 
 
 @register("fact_ratings_staged", with_(q.WAREHOUSE_CTES, "SELECT * FROM fact"))
 def fact_ratings_staged_q(spark, sf_dir):
-    root = _stage(spark, sf_dir, "warehouse")
-    path = wh.write_table(fact_df(spark, sf_dir), root, "fact_ratings", typed=False)
-    back = spark.read.parquet(path)
-    return back.select(*fact_df(spark, sf_dir).columns)
+    fact = fact_df(spark, sf_dir)
+    path = wh.write_table(fact, _stage(spark, "warehouse"), "fact_ratings", typed=False)
+    return spark.read.parquet(path).select(*fact.columns)
+
+
+def _typed_sql(table: str, source: str) -> str:
+    cols = [c.split() for c in WAREHOUSE_DDL[table].split(", ")]
+    names = {"INT": "INTEGER", "STRING": "VARCHAR"}
+    return "SELECT " + ", ".join(f"CAST({c} AS {names.get(t, t)}) AS {c}" for c, t in cols if c != "created_at") + f" FROM {source}"
+
+
+@register("fact_ratings_typed", with_(q.WAREHOUSE_CTES, _typed_sql("fact_ratings", "fact")))
+def fact_ratings_typed_q(spark, sf_dir):
+    """the typed sink, read back with its decimal and small integer columns."""
+    root = _stage(spark, "typed")
+    wh.write_table(fact_df(spark, sf_dir), root, "fact_ratings")
+    return spark.read.schema(wh.table_schema("fact_ratings")).parquet(os.path.join(root, "fact_ratings"))
+
+
+LAST_YEAR = "(SELECT max(year(DATE '1970-01-01' + CAST(floor(\"timestamp\" / 86400) AS INTEGER))) FROM all_ratings)"
+
+
+@register("refresh_twice", with_([q.RAW_RATINGS.replace("raw_ratings AS", "all_ratings AS"), f"""raw_ratings AS (
+  SELECT * FROM all_ratings WHERE year(DATE '1970-01-01' + CAST(floor("timestamp" / 86400) AS INTEGER)) < {LAST_YEAR})""",
+    q.CLEAN_RATINGS, *q.WAREHOUSE_CTES[2:]], _typed_sql("fact_ratings", "fact")))
+def refresh_twice_q(spark, sf_dir):
+    """Two full refreshes into one folder, the second without the last year: the fact that is left."""
+    from ratingsmith.plans import refresh
+    out = _stage(spark, "refresh")
+    inputs = adapters.load_inputs(spark, sf_dir)
+    refresh.refresh(spark, inputs, out, sf_dir, STAR_PARAMS)
+    year = F.year(epoch_to_date("timestamp"))
+    last = inputs.ratings.agg(F.max(year)).first()[0]
+    fewer = dataclasses.replace(inputs, ratings=inputs.ratings.filter(year < last))
+    result = refresh.refresh(spark, fewer, out, sf_dir, STAR_PARAMS)
+    return spark.read.schema(wh.table_schema("fact_ratings")).parquet(result.paths["fact_ratings"])

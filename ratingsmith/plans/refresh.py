@@ -2,17 +2,19 @@
 
 Stages hand over through written tables, which also cuts lineage: a lost
 executor recomputes only from the last written stage, never from the raw
-input.  Every write is an overwrite of the run's own output, so a retried
-refresh gives the same tables.  Only bounded values reach the driver: five
+input.  Every write replaces its whole table, so a retried refresh gives the same
+tables and nothing of an earlier input stays.  Only bounded values reach the driver: five
 fingerprint rows and the quality summary counts.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import time
-from dataclasses import dataclass, field
+from collections.abc import Callable, Mapping
+from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -21,28 +23,42 @@ from ratingsmith.operators import clean
 from ratingsmith.operators import quality as qc
 from ratingsmith.operators import runlog as rl
 from ratingsmith.plans import warehouse as wh
-from ratingsmith.session import read_parquet_or_none, workspace
+from ratingsmith.session import read_parquet_or_none
+from ratingsmith.sources import csv as csv_src
 from ratingsmith.sources.adapters import Inputs
 from ratingsmith.sources.contracts import (
-    WAREHOUSE_KEYS, WAREHOUSE_MAX_LENGTHS, WAREHOUSE_NOT_NULL, WAREHOUSE_TABLES,
+    AUDIT_KEYS, AUDIT_MAX_LENGTHS, AUDIT_NOT_NULL, INPUTS, WAREHOUSE_KEYS, WAREHOUSE_MAX_LENGTHS, WAREHOUSE_NOT_NULL,
+    WAREHOUSE_TABLES,
 )
 
 
-def _key(source: str) -> str:
-    return hashlib.sha1(os.path.abspath(source).encode()).hexdigest()[:12]
+def saved_state(spark: SparkSession, out_dir: str, name: str) -> DataFrame | None:
+    """State of the last success (fingerprints, metadata, settings), kept beside the outputs."""
+    return read_parquet_or_none(spark, os.path.join(out_dir, "_audit", "state", name))
 
 
-def state_path(spark: SparkSession, source: str, *parts: str) -> str:
-    return workspace(spark, "state", _key(source), *parts)
+def settings(spark: SparkSession, source: str, params: wh.StarParams) -> DataFrame:
+    """What the outputs depend on besides the input's content: one row."""
+    row = (source, __version__, json.dumps(asdict(params), sort_keys=True))
+    return spark.createDataFrame([row], "source string, version string, params string")
 
 
-def saved_fingerprints(spark: SparkSession, source: str) -> DataFrame | None:
-    return read_parquet_or_none(spark, state_path(spark, source, "fingerprints"))
+def outputs_stand(spark: SparkSession, out_dir: str, now: DataFrame) -> bool:
+    """Whether the last success had the same settings and all its tables are still there."""
+    old = saved_state(spark, out_dir, "settings")
+    if old is None or [tuple(r) for r in old.collect()] != [tuple(r) for r in now.collect()]:
+        return False
+    return all(read_parquet_or_none(spark, os.path.join(out_dir, "warehouse", t)) is not None for t in WAREHOUSE_TABLES)
 
 
 def quality_suite(tables, raw_ratings: DataFrame, previous_stats: DataFrame | None,
-                  drift_warn_pct: float = 0.20, row_floor: float = 0.90) -> tuple[DataFrame, DataFrame]:
-    """All post-load checks as one DataFrame, plus the drift table."""
+                  drift_warn_pct: float = 0.20, row_floor: float = 0.90, inputs: Inputs | None = None,
+                  audit: Mapping[str, DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
+    """All post-load checks as one DataFrame, plus the drift table.
+
+    ``inputs`` and ``audit`` add the contracts of the raw inputs (warnings) and of the
+    audit tables.
+    """
     counts = qc.row_counts(tables)
     checks = [qc.non_empty(counts),
               qc.row_floor(tables["fact_ratings"], raw_ratings, "fact_ratings", row_floor),
@@ -55,6 +71,9 @@ def quality_suite(tables, raw_ratings: DataFrame, previous_stats: DataFrame | No
     checks += [qc.duplicate_keys(tables[t], k, t) for t, k in WAREHOUSE_KEYS.items()]
     checks += [qc.contract_violations(tables[t], t, WAREHOUSE_NOT_NULL[t],
                                       WAREHOUSE_MAX_LENGTHS.get(t, {})) for t in WAREHOUSE_TABLES]
+    checks += [qc.input_contract(df, INPUTS[name]) for name, df in (inputs.as_dict() if inputs else {}).items()]
+    for t, df in (audit or {}).items():
+        checks += [qc.contract_violations(df, t, AUDIT_NOT_NULL[t], AUDIT_MAX_LENGTHS[t]), qc.duplicate_keys(df, AUDIT_KEYS[t], t)]
     prev = previous_stats if previous_stats is not None else \
         counts.sparkSession.createDataFrame([], "table_name string, row_count bigint")
     return qc.union_all(checks), qc.drift(counts, prev, drift_warn_pct)
@@ -69,81 +88,119 @@ class RefreshResult:
     failed_checks: int = 0
 
 
-def refresh(spark: SparkSession, inputs: Inputs, out_dir: str, source: str,
+def refresh(spark: SparkSession, inputs: Inputs | Callable[[], Inputs], out_dir: str, source: str,
             params: wh.StarParams = wh.StarParams(), force: bool = False,
             source_url: str | None = None, metadata: DataFrame | None = None) -> RefreshResult:
-    """Run the whole batch; skip (and log the skip) when no input changed.
+    """Run the whole batch; skip (and log the skip) when nothing would change.
 
-    ``metadata`` (one row per input: source, etag, last_modified,
-    content_length, e.g. ``sources.csv.input_metadata``) enables the cheap
-    check: when it matches the metadata saved by the last success, the run is
-    skipped without reading any data.  Otherwise content fingerprints decide.
+    A run is skipped only if the last success used the same source, parameters and
+    version, all its tables are there, and the input is unchanged.  ``metadata`` (one row
+    per input: source, etag, last_modified, content_length, e.g.
+    ``sources.csv.input_metadata``) enables the cheap check: when it matches the one
+    saved by the last success, no data is read (pass ``inputs`` as a function, so
+    that not even CSV files are staged).  Otherwise content fingerprints decide.
+
+    All state lies in ``out_dir/_audit``.  Every execution leaves a row in the run log;
+    one that raises leaves ``failed`` and raises on.
     """
     started = time.time()
-    audit = os.path.join(out_dir, "_audit")
-    log_path, stats_path = os.path.join(audit, "pipeline_run_log"), os.path.join(audit, "pipeline_table_stats")
-    fp_path = state_path(spark, source, "fingerprints")
-    meta_path = state_path(spark, source, "metadata")
-
-    if metadata is not None:
-        metadata = metadata.checkpoint(eager=True)
-        if not force and rl.all_match(read_parquet_or_none(spark, meta_path), metadata):
-            run_id = rl.append_run(spark, log_path, None, "skipped", 0,
-                                   int(time.time() - started), source_url, __version__)
-            return RefreshResult(run_id, "skipped")
-
-    # Fingerprints of the inputs (five rows) against the last saved ones.
-    current = rl.fingerprints(inputs.as_dict()).checkpoint(eager=True)
-    fp_rows = sorted(tuple(r) for r in current.collect())
-    dataset_hash = hashlib.sha256(repr(fp_rows).encode()).hexdigest()
-    changed = [r["table_name"] for r in
-               rl.changed_tables(current, saved_fingerprints(spark, source)).filter("changed").collect()]
-    if not changed and not force:
-        if metadata is not None:          # same content under new file metadata
-            metadata.write.mode("overwrite").parquet(meta_path)
-        run_id = rl.append_run(spark, log_path, dataset_hash, "skipped", 0,
-                               int(time.time() - started), source_url, __version__)
-        return RefreshResult(run_id, "skipped")
-
-    # Clean layer, staged and read back (S4, S6); ratings partitioned by year.
-    stage = os.path.join(out_dir, "_staging")
-    ratings = clean.clean_ratings(inputs.ratings)
-    items = clean.clean_items(inputs.movies)
-    tags = clean.clean_tags(inputs.tags)
-    ratings.write.mode("overwrite").partitionBy("rating_year").parquet(os.path.join(stage, "clean_ratings"))
-    items.write.mode("overwrite").parquet(os.path.join(stage, "clean_movies"))
-    tags.write.mode("overwrite").parquet(os.path.join(stage, "clean_tags"))
-    ratings = spark.read.parquet(os.path.join(stage, "clean_ratings"))
-    items = spark.read.parquet(os.path.join(stage, "clean_movies"))
-
-    # An empty fact is an error, checked on the staged layer (cheap limit).
-    if wh.fact_base(ratings, items).limit(1).count() == 0:
-        raise ValueError("fact_ratings: no rows after cleaning and filtering")
-
-    tables = wh.star_tables(ratings, items, inputs.genome_scores, params)
-    wdir = os.path.join(out_dir, "warehouse")
-    paths = wh.write_star(tables, wdir)
-    written = {t: spark.read.parquet(p) for t, p in paths.items()}
-
-    prev = None
-    log = rl.read_log(spark, log_path)
-    stats = rl.read_log(spark, stats_path, rl.TABLE_STATS_SCHEMA)
-    if log.limit(1).count():
-        prev = rl.last_success_stats(log, stats)
-    checks, drift = quality_suite(written, inputs.ratings, prev)
-    checks.write.mode("overwrite").parquet(os.path.join(audit, "quality_latest"))
-    drift.write.mode("overwrite").parquet(os.path.join(audit, "drift_latest"))
-    failed = spark.read.parquet(os.path.join(audit, "quality_latest")).filter(
-        (~F.col("passed")) & (F.col("severity") == qc.ERROR)).count()
-
-    counts = qc.row_counts(written)
-    rows_loaded = written["fact_ratings"].count()
-    status = "success" if failed == 0 else "failed"
-    run_id = rl.append_run(spark, log_path, dataset_hash, status, rows_loaded,
-                           int(time.time() - started), source_url, __version__)
-    rl.append_table_stats(counts, run_id, stats_path)
-    if status == "success":
-        current.write.mode("overwrite").parquet(fp_path)
+    run = _Run(spark, out_dir, source, params, source_url, started)
+    try:
+        return run.execute(inputs, force, metadata)
+    except BaseException:
+        run.log("failed", None, 0)
+        raise
+
+
+def refresh_csv(spark: SparkSession, raw_dir: str, out_dir: str, params: wh.StarParams = wh.StarParams(),
+                force: bool = False) -> RefreshResult:
+    """``refresh`` of a folder of CSV files: malformed lines apart, unchanged files not read."""
+    staged = os.path.join(out_dir, "_staging", "inputs")
+    return refresh(spark, lambda: csv_src.read_inputs(spark, raw_dir, staged), out_dir, raw_dir, params, force,
+                   source_url=raw_dir, metadata=csv_src.input_metadata(spark, raw_dir))
+
+
+@dataclass
+class _Run:
+    spark: SparkSession
+    out_dir: str
+    source: str
+    params: wh.StarParams
+    source_url: str | None
+    started: float
+
+    def path(self, *parts: str) -> str:
+        return os.path.join(self.out_dir, *parts)
+
+    @property
+    def log_path(self) -> str:
+        return self.path("_audit", "pipeline_run_log")
+
+    def log(self, status: str, dataset_hash: str | None, rows: int) -> int:
+        return rl.append_run(self.spark, self.log_path, dataset_hash, status, rows,
+                             int(time.time() - self.started), self.source_url, __version__)
+
+    def save(self, name: str, df: DataFrame) -> None:
+        df.write.mode("overwrite").parquet(self.path("_audit", "state", name))
+
+    def execute(self, inputs, force: bool, metadata: DataFrame | None) -> RefreshResult:
+        spark = self.spark
+        now = settings(spark, self.source, self.params)
+        stand = not force and outputs_stand(spark, self.out_dir, now)
         if metadata is not None:
-            metadata.write.mode("overwrite").parquet(meta_path)
-    return RefreshResult(run_id, status, changed, paths, failed)
+            metadata = metadata.checkpoint(eager=True)
+            if stand and rl.all_match(saved_state(spark, self.out_dir, "metadata"), metadata):
+                return RefreshResult(self.log("skipped", None, 0), "skipped")
+        if callable(inputs):
+            inputs = inputs()
+
+        # Fingerprints of the inputs (five rows) against the last saved ones.
+        current = rl.fingerprints(inputs.as_dict()).checkpoint(eager=True)
+        fp_rows = sorted(tuple(r) for r in current.collect())
+        dataset_hash = hashlib.sha256(repr(fp_rows).encode()).hexdigest()
+        changed = [r["table_name"] for r in
+                   rl.changed_tables(current, saved_state(spark, self.out_dir, "fingerprints")).filter("changed").collect()]
+        if stand and not changed:
+            if metadata is not None:          # same content under new file metadata
+                self.save("metadata", metadata)
+            return RefreshResult(self.log("skipped", dataset_hash, 0), "skipped")
+
+        paths, failed, counts, rows_loaded = self.build(inputs)
+        status = "success" if failed == 0 else "failed"
+        run_id = self.log(status, dataset_hash, rows_loaded)
+        rl.append_table_stats(counts, run_id, self.path("_audit", "pipeline_table_stats"))
+        if status == "success":
+            self.save("fingerprints", current)
+            self.save("settings", now)
+            if metadata is not None:
+                self.save("metadata", metadata)
+        return RefreshResult(run_id, status, changed, paths, failed)
+
+    def build(self, inputs: Inputs) -> tuple[dict[str, str], int, DataFrame, int]:
+        """Clean layer, star, checks; everything written replaces what was there."""
+        spark = self.spark
+        cleaned = clean.clean_ratings(inputs.ratings)
+        ratings = wh.write_table(cleaned, self.path("_staging"), "clean_ratings", typed=False)
+        items, tags = self.path("_staging", "clean_movies"), self.path("_staging", "clean_tags")
+        clean.clean_items(inputs.movies).write.mode("overwrite").parquet(items)
+        clean.clean_tags(inputs.tags).write.mode("overwrite").parquet(tags)
+        ratings, items = spark.read.schema(cleaned.schema).parquet(ratings), spark.read.parquet(items)
+
+        # An empty fact is an error, checked on the staged layer (cheap limit).
+        if wh.fact_base(ratings, items).limit(1).count() == 0:
+            raise ValueError("fact_ratings: no rows after cleaning and filtering")
+
+        tables = wh.star_tables(ratings, items, inputs.genome_scores, self.params)
+        paths = wh.write_star(tables, self.path("warehouse"))
+        written = {t: spark.read.parquet(p) for t, p in paths.items()}
+        log, stats = rl.read_log(spark, self.log_path), rl.read_log(spark, self.path("_audit", "pipeline_table_stats"),
+                                                                    rl.TABLE_STATS_SCHEMA)
+        prev = rl.last_success_stats(log, stats) if log.limit(1).count() else None
+        checks, drift = quality_suite(written, inputs.ratings, prev, inputs=inputs,
+                                      audit={"pipeline_run_log": log, "pipeline_table_stats": stats})
+        latest = self.path("_audit", "quality_latest")
+        checks.write.mode("overwrite").parquet(latest)
+        drift.write.mode("overwrite").parquet(self.path("_audit", "drift_latest"))
+        failed = spark.read.parquet(latest).filter((~F.col("passed")) & (F.col("severity") == qc.ERROR)).count()
+        counts = qc.row_counts(written).checkpoint(eager=True)
+        return paths, failed, counts, counts.filter("table_name = 'fact_ratings'").first()["row_count"]

@@ -1,9 +1,8 @@
 """Star schema build and idempotent sinks.
 
-Tables are lazy DataFrames until a sink writes them.  Every write is an
-overwrite of what the run owns: the fact table is partitioned by year and
-written with dynamic partition overwrite in one job, so a retried run
-replaces exactly the partitions it produces and never duplicates rows.
+Tables are lazy DataFrames until a sink writes them.  Every write replaces its
+table in one job, so a retried run never duplicates rows and leaves nothing of
+an earlier input behind; replacing single years is an explicit mode.
 """
 
 from __future__ import annotations
@@ -13,12 +12,13 @@ from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from ratingsmith.operators import aggregates as agg
 from ratingsmith.operators import clean
 from ratingsmith.operators import similarity as sim
 from ratingsmith.operators import windows as win
-from ratingsmith.sources.contracts import WAREHOUSE_TYPES
+from ratingsmith.sources.contracts import AUDIT_SCHEMAS, WAREHOUSE_DDL, WAREHOUSE_TYPES, table_schema
 
 
 @dataclass
@@ -91,7 +91,7 @@ def star_tables(ratings: DataFrame, items: DataFrame, vectors: DataFrame,
 
     def similarity():
         vecs = vectors
-        if params.sim_top_n:
+        if params.sim_top_n is not None:
             base = fact_base(ratings, items)
             top = agg.top_n_by_count(base, "movieId", params.sim_top_n).select("movieId")
             vecs = sim.restrict_to(vectors, top, "movieId", bound=params.sim_top_n)
@@ -122,7 +122,7 @@ def sink_projection(df: DataFrame, table: str) -> DataFrame:
     return df.select(*cols)
 
 
-PARTITIONING = {"fact_ratings": ["rating_year"]}
+PARTITIONING = {"fact_ratings": ["rating_year"], "clean_ratings": ["rating_year"]}
 # The access paths the reference indexed become file layout.  Sorting is
 # within each write task (no extra shuffle), so Parquet min/max statistics
 # let readers skip row groups on these columns.  A leading '-' sorts descending.
@@ -133,26 +133,29 @@ LOCAL_SORT = {
 }
 
 
-def write_table(df: DataFrame, root: str, table: str, fmt: str = "parquet",
-                typed: bool = True, max_records_per_file: int | None = None) -> str:
-    """Overwrite one table (S4, S5, S9, S12, O8); the fact is partitioned by year.
+def write_table(df: DataFrame, root: str, table: str, fmt: str = "parquet", typed: bool = True,
+                max_records_per_file: int | None = None, incremental: bool = False) -> str:
+    """Replace one table (S4, S5, S9, S12, O8); the fact is partitioned by year.
 
-    ``partitionOverwriteMode=dynamic`` is set on the writer, so partitions
-    absent from this output survive while rewritten ones are replaced.
+    The whole table is replaced, so years that are gone from the data are gone from the
+    table.  ``incremental=True`` replaces only the years in ``df`` (dynamic overwrite).
+
+    A partitioned table is laid out by Spark's rebalancing on its partition columns: a year with much data is split over several tasks, small ones
+    share one, and files follow the data's size rather than tasks times years.
     """
     path = os.path.join(root, table)
     out = sink_projection(df, table) if typed else df
+    parts = PARTITIONING.get(table, [])
+    if parts:
+        out = out.hint("rebalance", *[F.col(c) for c in parts])
     if table in LOCAL_SORT:
         keys = [F.col(k[1:]).desc() if k.startswith("-") else F.col(k) for k in LOCAL_SORT[table]
                 if k.lstrip("-") in out.columns]
-        out = out.sortWithinPartitions(*PARTITIONING.get(table, []), *keys)
-    w = out.write.mode("overwrite").format(fmt).option("partitionOverwriteMode", "dynamic")
+        out = out.sortWithinPartitions(*parts, *keys)
+    w = out.write.mode("overwrite").format(fmt).option("partitionOverwriteMode", "dynamic" if incremental else "static")
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
-    parts = PARTITIONING.get(table)
     if parts:
-        # No repartition by year: a year holding much of the data would become
-        # one task.  Each task writes its own files per year instead.
         w = w.partitionBy(*parts)
     w.save(path)
     return path
@@ -173,11 +176,19 @@ def publish(spark, staged: Mapping[str, str], sink: Callable[[DataFrame, str], N
         sink(sink_projection(spark.read.parquet(path), table), table)
 
 
-def ensure_table(spark, name: str, path: str, schema_ddl: str) -> None:
+def ensure_table(spark, name: str, path: str, schema: StructType) -> None:
     """Idempotent CREATE TABLE IF NOT EXISTS plus additive columns."""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema_ddl}) USING parquet LOCATION '{path}'")
-    have = {f.name for f in spark.table(name).schema.fields}
-    wanted = [c.strip() for c in schema_ddl.split(",")]
-    extra = [c for c in wanted if c.split()[0] not in have]
+    ddl = lambda fields: ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl(schema)}) USING parquet LOCATION '{path}'")
+    have = {f.name for f in spark.table(name).schema}
+    extra = [f for f in schema if f.name not in have]
     if extra:
-        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(extra)})")
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({ddl(extra)})")
+
+
+def ensure_schema(spark, root: str, prefix: str = "") -> list[str]:
+    """All eight tables (star and audit) with their declared types; returns their names."""
+    names = [*WAREHOUSE_DDL, *AUDIT_SCHEMAS]
+    for t in names:
+        ensure_table(spark, prefix + t, os.path.join(root, t), table_schema(t))
+    return [prefix + t for t in names]

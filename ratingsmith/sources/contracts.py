@@ -10,7 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql.types import (
-    FloatType, IntegerType, LongType, StringType, StructField, StructType,
+    FloatType, IntegerType, LongType, StringType, StructField, StructType, TimestampType,
 )
 
 
@@ -109,3 +109,33 @@ WAREHOUSE_TYPES = {
                        "similarity": "decimal(6,4)"},
 }
 WAREHOUSE_TABLES = tuple(WAREHOUSE_KEYS)
+
+# Full column lists of the star schema (fixed names and types), in table order.
+WAREHOUSE_DDL = {
+    "dim_movies": "movie_id INT, title STRING, clean_title STRING, genres STRING, release_year SMALLINT, created_at TIMESTAMP",
+    "dim_users": "user_id INT, created_at TIMESTAMP",
+    "fact_ratings": "user_id INT, movie_id INT, rating DECIMAL(3,1), rating_date DATE, rating_year SMALLINT, "
+                    "cumulative_rating_count INT, cumulative_avg_rating DECIMAL(4,2), rolling_30d_avg DECIMAL(4,2), "
+                    "rolling_30d_count INT",
+    "genre_trends": "genre STRING, rating_year SMALLINT, avg_rating DECIMAL(4,2), rating_count INT",
+    "decade_stats": "movie_id INT, clean_title STRING, decade SMALLINT, avg_rating DECIMAL(4,2), total_ratings INT",
+    "tag_similarity": "movie_id_a INT, movie_id_b INT, similarity DECIMAL(6,4)",
+}
+# Audit tables: columns, keys, NOT NULL columns and string length limits.
+AUDIT_SCHEMAS = {
+    "pipeline_run_log": _s(("run_id", LongType()), ("run_date", TimestampType()), ("dataset_hash", StringType()),
+                           ("status", StringType()), ("rows_loaded", LongType()), ("duration_secs", LongType()),
+                           ("source_url", StringType()), ("pipeline_version", StringType())),
+    "pipeline_table_stats": _s(("run_id", LongType()), ("table_name", StringType()), ("row_count", LongType())),
+}
+AUDIT_KEYS = {"pipeline_run_log": ("run_id",), "pipeline_table_stats": ("run_id", "table_name")}
+AUDIT_NOT_NULL = {"pipeline_run_log": ("run_id",), "pipeline_table_stats": ("run_id", "table_name", "row_count")}
+AUDIT_MAX_LENGTHS = {
+    "pipeline_run_log": {"dataset_hash": 64, "status": 20, "source_url": 500, "pipeline_version": 40},
+    "pipeline_table_stats": {"table_name": 100},
+}
+
+
+def table_schema(table: str) -> StructType:
+    """Declared schema of any of the eight tables."""
+    return AUDIT_SCHEMAS[table] if table in AUDIT_SCHEMAS else StructType.fromDDL(WAREHOUSE_DDL[table])

@@ -1,22 +1,26 @@
 """Typed CSV scans.
 
-Schemas are always declared (never inferred).  Quotes are escaped by
-doubling, as in RFC 4180.  Malformed lines are kept apart instead of being
-silently dropped: ``PERMISSIVE`` mode with a corrupt-record column splits each
-file into parsed rows and rejected lines in one scan, so counts of either
-side are exact whatever columns a later query prunes.
+Schemas are always declared (never inferred).  Quotes are escaped by doubling, as in
+RFC 4180.  A line that does not fit is kept apart, never dropped unseen:
+``stage_inputs`` writes each input once, split by a ``malformed`` flag, and rows,
+rejected lines and all counts are read from that one split.  (A query over the raw
+scan would parse only the columns it uses and judge fewer faults.)
 """
 
 from __future__ import annotations
 
 import os
+import uuid
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
-from ratingsmith.sources.contracts import INPUT_FILES, INPUTS, Contract
+from ratingsmith.operators.runlog import listing_metadata
+from ratingsmith.session import workspace
 from ratingsmith.sources.adapters import Inputs
+from ratingsmith.sources.contracts import INPUT_FILES, INPUTS, Contract
 
 CORRUPT = "_corrupt_record"
 
@@ -26,12 +30,6 @@ def reader(spark: SparkSession, schema: StructType, mode: str = "PERMISSIVE"):
             .option("escape", '"').option("quote", '"'))
 
 
-def read_csv(spark: SparkSession, path: str, contract: Contract,
-             mode: str = "DROPMALFORMED") -> DataFrame:
-    """CSV with the contract schema; malformed lines dropped (reference mode)."""
-    return reader(spark, contract.schema, mode).csv(path)
-
-
 def read_csv_checked(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
     """Every line with a ``malformed`` flag and the raw text of bad lines."""
     schema = StructType(contract.schema.fields + [StructField(CORRUPT, StringType(), True)])
@@ -58,37 +56,48 @@ def stage_csv(spark: SparkSession, path: str, contract: Contract,
     return good, bad
 
 
-def read_inputs(spark: SparkSession, raw_dir: str) -> Inputs:
-    """The five typed inputs (malformed lines dropped)."""
-    frames = {name: read_csv(spark, os.path.join(raw_dir, INPUT_FILES[name]), c)
-              for name, c in INPUTS.items()}
-    return Inputs(**frames)
+@dataclass
+class StagedInput:
+    good: DataFrame
+    bad: DataFrame
+
 
+def stage_inputs(spark: SparkSession, raw_dir: str, out: str) -> dict[str, StagedInput]:
+    """The five inputs, each split once into typed rows and rejected lines below ``out``."""
+    return {name: StagedInput(*stage_csv(spark, os.path.join(raw_dir, INPUT_FILES[name]), c, os.path.join(out, name)))
+            for name, c in INPUTS.items()}
 
-def ingest_report(spark: SparkSession, raw_dir: str) -> DataFrame:
-    """S3 / Q9: table_name, row_count, null_required, malformed — one scan per input."""
+
+def read_inputs(spark: SparkSession, raw_dir: str, out: str | None = None) -> Inputs:
+    """The typed rows of the five inputs, read from their staged split."""
+    staged = stage_inputs(spark, raw_dir, out or workspace(spark, "csv", uuid.uuid4().hex))
+    return Inputs(**{name: s.good for name, s in staged.items()})
+
+
+def ingest_report(staged: dict[str, StagedInput]) -> DataFrame:
+    """S3 / Q9: table_name, row_count, null_required, malformed, from the staged split."""
     rows = []
-    for name, c in INPUTS.items():
-        df = read_csv_checked(spark, os.path.join(raw_dir, INPUT_FILES[name]), c)
-        ok = ~F.col("malformed")
-        any_null = reduce(lambda a, b: a | b, [F.col(x).isNull() for x in c.required])
-        rows.append(df.agg(
-            F.count_if(ok).alias("row_count"),
-            F.count_if(ok & any_null).alias("null_required"),
-            F.count_if(~ok).alias("malformed")).select(F.lit(name).alias("table_name"), "*"))
+    for name, s in staged.items():
+        any_null = reduce(lambda a, b: a | b, [F.col(x).isNull() for x in INPUTS[name].required])
+        both = s.good.select(F.lit(False).alias("bad"), any_null.alias("null")).unionByName(
+            s.bad.select(F.lit(True).alias("bad"), F.lit(False).alias("null")))
+        rows.append(both.agg(F.count_if(~F.col("bad")).alias("row_count"), F.count_if("null").alias("null_required"),
+                             F.count_if("bad").alias("malformed")).select(F.lit(name).alias("table_name"), "*"))
     return reduce(lambda a, b: a.unionByName(b), rows)
 
 
+def write_csv(df: DataFrame, raw_dir: str, name: str, mode: str = "overwrite") -> None:
+    """One input as headed CSV files (a folder of its file name)."""
+    (df.write.mode(mode).option("header", "true").option("escape", '"')
+     .csv(os.path.join(raw_dir, INPUT_FILES[name])))
+
+
 def write_inputs(inputs: Inputs, raw_dir: str) -> None:
-    """Write the five inputs as headed CSV files (one folder per file name)."""
     for name, df in inputs.as_dict().items():
-        (df.write.mode("overwrite").option("header", "true").option("escape", '"')
-         .csv(os.path.join(raw_dir, INPUT_FILES[name])))
+        write_csv(df, raw_dir, name)
 
 
 def input_metadata(spark: SparkSession, raw_dir: str) -> DataFrame:
-    """File metadata (C1) of the five CSV inputs; reads no data columns."""
-    from ratingsmith.operators.runlog import file_metadata
-    frames = [file_metadata(reader(spark, c.schema).csv(os.path.join(raw_dir, INPUT_FILES[name])), name)
-              for name, c in INPUTS.items()]
+    """File metadata (C1) of the five CSV inputs; reads the listing only."""
+    frames = [listing_metadata(spark, os.path.join(raw_dir, INPUT_FILES[name]), name) for name in INPUTS]
     return reduce(lambda a, b: a.unionByName(b), frames)

@@ -1,10 +1,11 @@
 """Incremental CSV ingest with an ``availableNow`` file stream (S1 + C3).
 
-Each run reads only files that arrived since the previous run (tracked in
-the stream checkpoint under the shared checkpoint folder), parses them with
+Each run reads only files that arrived since the previous run, parses them with
 the contract schema and appends parsed rows and rejected lines to a Parquet
-table partitioned by the ``malformed`` flag.  The sink is exactly-once: a
-retried micro-batch rewrites the same files.  Downstream batch steps read the
+table partitioned by the ``malformed`` flag.  The stream's checkpoint lies within
+the target folder, so a target and its progress are never parted: each target has
+its own, and a new session goes on where the last one stopped.  The sink is
+exactly-once: a retried micro-batch rewrites the same files.  Downstream batch steps read the
 staged table, and the fingerprint check decides whether to rebuild.
 """
 
@@ -15,15 +16,14 @@ import os
 from pyspark.sql import SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from ratingsmith.session import workspace
 from ratingsmith.sources.contracts import Contract
 
 CORRUPT = "_corrupt_record"
 
 
 def ingest_new_files(spark: SparkSession, source_dir: str, contract: Contract, target: str,
-                     checkpoint: str | None = None, max_files_per_trigger: int | None = None) -> int:
-    """Ingest files not seen before; returns the number of micro-batches run."""
+                     max_files_per_trigger: int | None = None) -> bool:
+    """Ingest files not seen before; returns whether there were any."""
     schema = StructType(contract.schema.fields + [StructField(CORRUPT, StringType(), True)])
     reader = (spark.readStream.schema(schema).option("header", "true").option("escape", '"')
               .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT))
@@ -32,10 +32,8 @@ def ingest_new_files(spark: SparkSession, source_dir: str, contract: Contract, t
     stream = reader.csv(source_dir)
     rows = stream.select(*contract.schema.fieldNames(), F.col(CORRUPT).alias("line"),
                          F.col(CORRUPT).isNotNull().alias("malformed"))
-    ckpt = checkpoint or workspace(spark, "streams", contract.name + "_" +
-                                   os.path.basename(os.path.normpath(target)))
     query = (rows.writeStream.format("parquet").option("path", target)
-             .option("checkpointLocation", ckpt).partitionBy("malformed")
+             .option("checkpointLocation", os.path.join(target, "_checkpoint")).partitionBy("malformed")
              .trigger(availableNow=True).start())
     query.awaitTermination()
-    return len(query.recentProgress)
+    return any(p["numInputRows"] for p in query.recentProgress)

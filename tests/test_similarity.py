@@ -40,12 +40,14 @@ def test_blocks_equal_brute_force(spark):
     mat = np.abs(rng.normal(size=(60, 8)))
     v = _vecs(spark, {i: dict(enumerate(row)) for i, row in enumerate(mat)})
     one = _pairs(sim.cosine_pairs(v, threshold=0.8, num_blocks=1))
-    many = _pairs(sim.cosine_pairs(v, threshold=0.8, block_size=7))
+    many = _pairs(sim.cosine_pairs(v, threshold=0.8, num_blocks=9))
+    tiled = _pairs(sim.cosine_pairs(v, threshold=0.8, num_blocks=2, tile_bytes=3 * 48 * 8))
     unit = mat / np.linalg.norm(mat, axis=1, keepdims=True)
     cos = unit @ unit.T
     want = {(a, b): round(cos[a, b], 4) for a in range(60) for b in range(a + 1, 60)
             if round(cos[a, b], 4) > 0.8}
-    assert one == many
+    assert one == many == tiled
+    assert one == _pairs(sim.cosine_pairs(v, threshold=0.8))
     assert set(one) == set(want)
     assert all(abs(one[k] - want[k]) < 1e-9 for k in want)
 
@@ -54,7 +56,7 @@ def test_symmetric_and_within_range(spark):
     rng = np.random.default_rng(2)
     mat = rng.normal(size=(30, 5))
     v = _vecs(spark, {i: dict(enumerate(row)) for i, row in enumerate(mat)})
-    got = _pairs(sim.cosine_pairs(v, threshold=None, block_size=4))
+    got = _pairs(sim.cosine_pairs(v, threshold=None, num_blocks=8))
     assert len(got) == 30 * 29 // 2 and all(-1 <= s <= 1 for s in got.values())
     both = sim.symmetric_pairs(sim.cosine_pairs(v, threshold=None)).collect()
     d = {(r.item, r.neighbour): r.similarity for r in both}
@@ -67,3 +69,34 @@ def test_neighbour_lookup(spark):
     items = spark.createDataFrame([(1, "a"), (5, "b"), (9, "c")], "movie_id int, clean_title string")
     top = sim.neighbours(pairs, items, k=1).collect()
     assert sorted((r.movie_id, r.neighbour_id, r["rank"]) for r in top) == [(1, 5, 1), (5, 1, 1), (9, 5, 1)]
+
+
+def test_tile_pruning_loses_no_pair(spark):
+    """Sparse items around different keys: most tile pairs are bounded below the threshold."""
+    rng = np.random.default_rng(8)
+    vecs = {i: {int(10 * (i % 6) + k): float(rng.random() + 0.1) for k in rng.choice(10, 4, replace=False)} for i in range(90)}
+    v = _vecs(spark, vecs)
+    got = _pairs(sim.cosine_pairs(v, threshold=0.7, num_blocks=2, tile_bytes=5 * 48 * 60))
+    dense = np.zeros((90, 60))
+    for i, vec in vecs.items():
+        for k, x in vec.items():
+            dense[i, k] = x
+    unit = dense / np.linalg.norm(dense, axis=1, keepdims=True)
+    cos = unit @ unit.T
+    assert set(got) == {(a, b) for a in range(90) for b in range(a + 1, 90) if round(cos[a, b], 4) > 0.7}
+
+
+def test_repeated_keys_are_summed(spark):
+    rows = [(1, 0, 0.5), (1, 0, 0.5), (1, 1, 1.0), (2, 0, 1.0), (2, 1, 1.0)]
+    assert _pairs(sim.cosine_pairs(spark.createDataFrame(rows, SCHEMA), threshold=None)) == {(1, 2): 1.0}
+
+
+def test_top_k_kernel_keeps_every_neighbour(spark):
+    rng = np.random.default_rng(4)
+    mat = np.round(np.abs(rng.normal(size=(50, 4))), 1)          # coarse values: many ties
+    v = _vecs(spark, {i: dict(enumerate(row + 0.1)) for i, row in enumerate(mat)})
+    items = spark.createDataFrame([(i, f"t{i}") for i in range(50)], "movie_id int, clean_title string")
+    rows = lambda pairs: sorted(map(tuple, sim.neighbours(pairs, items, k=3).collect()))
+    every = sim.cosine_pairs(v, threshold=0.5, sort=False)
+    few = sim.cosine_pairs(v, threshold=0.5, sort=False, top_k=3, num_blocks=3)
+    assert rows(every) == rows(few) and few.count() < every.count()

@@ -1,6 +1,7 @@
 import os
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ratingsmith.sources import csv as csv_src
 from ratingsmith.sources import jdbc
@@ -17,7 +18,7 @@ def _write(path, text):
 def test_csv_quoting(spark, tmp_dir):
     p = os.path.join(tmp_dir, "movies.csv")
     _write(p, 'movieId,title,genres\n1,"Say ""Hi"", You (1999)",A|B\n')
-    rows = csv_src.read_csv(spark, p, MOVIES).collect()
+    rows = csv_src.read_csv_checked(spark, p, MOVIES).collect()
     assert [(r.movieId, r.title, r.genres) for r in rows] == [(1, 'Say "Hi", You (1999)', "A|B")]
 
 
@@ -34,19 +35,28 @@ def test_csv_malformed_split(spark, tmp_dir):
     assert good.select("rating").count() == 2
 
 
-def test_ingest_report(spark, tmp_dir):
+def test_ingest_report_counts_faults_in_every_column(spark, tmp_dir):
+    raw = os.path.join(tmp_dir, "raw")
     for name, text in {
-        "ratings.csv": "userId,movieId,rating,timestamp\n1,2,3.5,100\n,3,4.0,5\nbad,1,1,1\n",
-        "movies.csv": "movieId,title,genres\n2,A (1999),X\n",
-        "tags.csv": "userId,movieId,tag,timestamp\n1,2,good,5\n",
+        "ratings.csv": "userId,movieId,rating,timestamp\n1,2,3.5,100\n,3,4.0,5\nbad,1,1,1\n1,2\n1,1,1.0,soon\n",
+        "movies.csv": "movieId,title,genres\n2,A (1999),X\n5,B\n6,,Y\n",
+        "tags.csv": "userId,movieId,tag,timestamp\n1,2,good,5\n1,3,fine,notanumber\n",
         "genome-scores.csv": "movieId,tagId,relevance\n2,1,0.5\n",
         "genome-tags.csv": "tagId,tag\n1,good\n",
     }.items():
-        _write(os.path.join(tmp_dir, name), text)
-    rep = {r.table_name: (r.row_count, r.null_required, r.malformed)
-           for r in csv_src.ingest_report(spark, tmp_dir).collect()}
-    assert rep["ratings"] == (2, 1, 1)
-    assert rep["movies"] == (1, 0, 0)
+        _write(os.path.join(raw, name), text)
+    staged = csv_src.stage_inputs(spark, raw, os.path.join(tmp_dir, "staged"))
+    rep = {r.table_name: (r.row_count, r.null_required, r.malformed) for r in csv_src.ingest_report(staged).collect()}
+    assert rep == {"ratings": (2, 1, 3), "movies": (2, 1, 1), "tags": (1, 0, 1), "genome_scores": (1, 0, 0),
+                   "genome_tags": (1, 0, 0)}
+    inputs = csv_src.read_inputs(spark, raw, os.path.join(tmp_dir, "again"))
+    assert inputs.ratings.count() == 2 == len(inputs.ratings.collect())
+
+
+def test_registered_csv_ingest_has_faults_in_every_input(spark):
+    from ratingsmith.plans import catalog
+    rows = catalog.QUERIES["csv_ingest"](spark, "/root/testdata/sf0.001").collect()
+    assert len(rows) == 5 and all(r.malformed > 0 and r.null_required > 0 for r in rows)
 
 
 def test_jdbc_round_trip_embedded(spark):
@@ -64,18 +74,30 @@ def test_jdbc_round_trip_embedded(spark):
     assert sorted(r[0] for r in q.collect()) == [2, 3]
 
 
-def test_dynamic_partition_overwrite(spark, tmp_dir):
-    a = spark.createDataFrame([(1, 1, 2000), (2, 1, 2001)], "user_id int, movie_id int, rating_year int")
-    wh.write_table(a, tmp_dir, "fact_ratings", typed=False)
-    b = spark.createDataFrame([(3, 1, 2001)], "user_id int, movie_id int, rating_year int")
-    wh.write_table(b, tmp_dir, "fact_ratings", typed=False)
-    wh.write_table(b, tmp_dir, "fact_ratings", typed=False)
-    got = sorted(tuple(r) for r in spark.read.parquet(os.path.join(tmp_dir, "fact_ratings"))
-                 .select("user_id", "rating_year").collect())
-    assert got == [(1, 2000), (3, 2001)]
+def test_overwrite_replaces_the_table_and_incremental_only_its_years(spark, tmp_dir):
+    cols = "user_id int, movie_id int, rating_year int"
+    both = spark.createDataFrame([(1, 1, 2000), (2, 1, 2001)], cols)
+    one = spark.createDataFrame([(3, 1, 2001)], cols)
+    read = lambda: sorted(tuple(r) for r in spark.read.parquet(os.path.join(tmp_dir, "fact_ratings"))
+                          .select("user_id", "rating_year").collect())
+    wh.write_table(both, tmp_dir, "fact_ratings", typed=False)
+    wh.write_table(one, tmp_dir, "fact_ratings", typed=False, incremental=True)
+    wh.write_table(one, tmp_dir, "fact_ratings", typed=False, incremental=True)
+    assert read() == [(1, 2000), (3, 2001)]
     pruned = spark.read.parquet(os.path.join(tmp_dir, "fact_ratings")).filter(F.col("rating_year") == 2001)
     plan = pruned._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(rating_year" in plan
+    wh.write_table(one, tmp_dir, "fact_ratings", typed=False)
+    assert read() == [(3, 2001)]
+
+
+def test_files_follow_the_data_not_the_tasks(spark, tmp_dir):
+    df = spark.range(40_000, numPartitions=32).select(
+        F.col("id").alias("user_id"), (F.col("id") % 50).alias("movie_id"), F.lit(1.0).alias("rating"),
+        (2000 + F.col("id") % 7).cast("int").alias("rating_year"))
+    path = wh.write_table(df, tmp_dir, "fact_ratings", typed=False)
+    files = [f for _, _, names in os.walk(path) for f in names if f.endswith(".parquet")]
+    assert len(files) <= 14, len(files)                          # 32 tasks times 7 years would be 224
 
 
 def test_sink_projection_types(spark):
@@ -87,14 +109,20 @@ def test_sink_projection_types(spark):
     assert types["cumulative_avg_rating"] == "decimal(4,2)" and types["user_id"] == "int"
 
 
-def test_ensure_table_adds_columns(spark, tmp_dir):
-    path = os.path.join(tmp_dir, "run_log_tbl")
-    spark.sql("DROP TABLE IF EXISTS rs_run_log")
-    wh.ensure_table(spark, "rs_run_log", path, "run_id bigint, status string")
-    wh.ensure_table(spark, "rs_run_log", path, "run_id bigint, status string, source_url string")
-    wh.ensure_table(spark, "rs_run_log", path, "run_id bigint, status string, source_url string")
-    assert [f.name for f in spark.table("rs_run_log").schema] == ["run_id", "status", "source_url"]
-    spark.sql("DROP TABLE rs_run_log")
+def test_ensure_schema_creates_and_extends_all_tables(spark, tmp_dir):
+    try:
+        old = StructType([f for f in wh.table_schema("pipeline_run_log") if f.name != "source_url"])
+        wh.ensure_table(spark, "rs_t_pipeline_run_log", os.path.join(tmp_dir, "pipeline_run_log"), old)
+        for _ in range(2):
+            names = wh.ensure_schema(spark, tmp_dir, "rs_t_")
+        assert len(names) == 8
+        for name in names:
+            want = wh.table_schema(name.removeprefix("rs_t_"))
+            assert {(f.name, f.dataType) for f in spark.table(name).schema} == {(f.name, f.dataType) for f in want}
+        assert dict(spark.table("rs_t_fact_ratings").dtypes)["rating"] == "decimal(3,1)"
+    finally:
+        for name in wh.ensure_schema(spark, tmp_dir, "rs_t_"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def test_publish_and_defaults(spark, tmp_dir):

@@ -18,20 +18,16 @@ def _rows(spark, days_ratings, item=1):
 
 def test_rolling_30_days(spark):
     df = _rows(spark, [(dt.date(2020, 1, 1), 1.0), (dt.date(2020, 1, 20), 2.0), (dt.date(2020, 6, 1), 5.0)])
-    for hot_rows in (None, 10**6):
-        out = win.rolling_stats(df, ["movieId"], "rating_date", "rating",
-                                hot_rows=hot_rows).orderBy("rating_date").collect()
-        assert [r.rolling_30d_avg for r in out] == [1.0, 1.5, 5.0]
-        assert [r.rolling_30d_count for r in out] == [1, 2, 1]
+    out = win.rolling_stats(df, ["movieId"], "rating_date", "rating").orderBy("rating_date").collect()
+    assert [r.rolling_30d_avg for r in out] == [1.0, 1.5, 5.0]
+    assert [r.rolling_30d_count for r in out] == [1, 2, 1]
 
 
 def test_rolling_edges_inclusive(spark):
     d0 = dt.date(2020, 1, 1)
     df = _rows(spark, [(d0, 1.0), (d0 + dt.timedelta(days=30), 1.0), (d0 + dt.timedelta(days=31), 1.0)])
-    for hot_rows in (None, 10**6):
-        out = win.rolling_stats(df, ["movieId"], "rating_date", "rating",
-                                hot_rows=hot_rows).orderBy("rating_date").collect()
-        assert [r.rolling_30d_count for r in out] == [1, 2, 2]
+    out = win.rolling_stats(df, ["movieId"], "rating_date", "rating").orderBy("rating_date").collect()
+    assert [r.rolling_30d_count for r in out] == [1, 2, 2]
 
 
 def _random_ratings(spark, n=3000, seed=7):
@@ -64,10 +60,27 @@ def test_split_running_equals_plain_window(spark):
         got = win.entity_stats(df, ["movieId"], ["rating_date", "timestamp", "userId"], "rating",
                                rolling=("rc", "ra"), hot_rows=hot_rows)
         assert sorted(got.select(cols).collect()) == expected, hot_rows
-        roll = win.rolling_stats(df, ["movieId"], "rating_date", "rating", count_name="rc",
-                                 avg_name="ra", hot_rows=hot_rows)
-        rcols = sorted(df.columns + ["rc", "ra"])
-        assert sorted(roll.select(rcols).collect()) == sorted(want.select(rcols).collect()), hot_rows
+    roll = win.rolling_stats(df, ["movieId"], "rating_date", "rating", count_name="rc", avg_name="ra")
+    rcols = sorted(df.columns + ["rc", "ra"])
+    assert sorted(roll.select(rcols).collect()) == sorted(want.select(rcols).collect())
+
+
+def test_null_keys_and_null_dates_equal_the_plain_window(spark):
+    d = dt.date
+    rows = [(1, None, 1.0, 10, d(2020, 1, 1)), (2, None, 2.0, 20, d(2020, 1, 2)), (3, None, 3.0, 30, d(2020, 3, 5)),
+            (4, 7, 1.0, 5, None), (5, 7, 2.0, 6, None), (6, 7, 5.0, None, d(2020, 1, 1)), (7, 7, None, 9, d(2020, 1, 9)),
+            (8, 7, 4.0, 9, d(2020, 1, 9)), (9, 8, 4.5, 9, d(2020, 1, 9))]
+    df = spark.createDataFrame(rows, "userId int, movieId int, rating double, timestamp long, rating_date date")
+    w = Window.partitionBy("movieId").orderBy("rating_date", "timestamp", "userId").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    r = Window.partitionBy("movieId").orderBy(F.unix_date("rating_date")).rangeBetween(-30, 0)
+    want = df.select("*", F.count("rating").over(w).alias("c"), half_up(F.avg("rating").over(w), 2).alias("a"),
+                     F.count("rating").over(r).alias("rc"), half_up(F.avg("rating").over(r), 2).alias("ra"))
+    expected = sorted(map(tuple, want.collect()), key=str)
+    for hot_rows in (None, 0, 1, 2, 3, 4, 5, 10**6):
+        got = win.entity_stats(df, ["movieId"], ["rating_date", "timestamp", "userId"], "rating", running=("c", "a"),
+                               rolling=("rc", "ra"), hot_rows=hot_rows)
+        assert sorted(map(tuple, got.select(want.columns).collect()), key=str) == expected, hot_rows
 
 
 def test_running_max_equals_group_size(spark):
