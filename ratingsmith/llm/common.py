@@ -11,6 +11,7 @@ import math
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ratingsmith.session import ensure_checkpoint_dir, workspace
@@ -78,6 +79,20 @@ def text_key(text: str | Column) -> Column:
     return F.xxhash64(F.coalesce(col, F.lit("")))
 
 
+def bounded_sample(df: DataFrame, group: str, order: str, most: int, stages: Stages) -> DataFrame:
+    """The first ``most`` rows of each group by ``order`` (a 64-bit hash column), whatever the input's size.
+
+    Rows beyond twice the expected share are dropped by their hash before anything is
+    shuffled, so the ranking sees about ``2 * most`` rows a group.  (For ``most`` in
+    the hundreds or more, fewer than ``most`` would pass only by a freak of the hash.)
+    """
+    sizes = stages.put(df.groupBy(group).agg(F.count("*").alias("_rows")), "group_sizes")
+    share = F.col(order).cast("double") / F.lit(2.0 ** 64) + F.lit(0.5)
+    few = df.join(sizes, group).filter(share * F.col("_rows") <= F.lit(2.0 * most)).drop("_rows")
+    rank = F.row_number().over(W.partitionBy(group).orderBy(order))
+    return few.withColumn("_rank", rank).filter(F.col("_rank") <= most).drop("_rank")
+
+
 def connected_components(edges: DataFrame, stages: Stages, tag: str = "cc") -> DataFrame:
     """``(a, b)`` links -> ``(node, root)`` with root the smallest node reachable.
 

@@ -28,7 +28,6 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -144,9 +143,8 @@ def fit(df: DataFrame, text: str = "text", label: str = "lang", per_label: int =
     order = F.xxhash64(F.col(common.quoted(text))) if order is None else order
     rows = df.select(F.col(common.quoted(label)).cast("string").alias("label"),
                      F.col(common.quoted(text)).alias("text"), order.alias("o")).filter("label IS NOT NULL AND text IS NOT NULL")
-    rank = F.row_number().over(W.partitionBy("label").orderBy("o", "text"))
-    sample = rows.withColumn("rank", rank).filter(F.col("rank") <= per_label).select("label", "text")
     stages = common.Stages(spark, "language")
+    sample = common.bounded_sample(rows, "label", "o", per_label, stages).select("label", "text")
     feats = stages.put(sample.mapInArrow(_sparse, "label string, idx binary, val binary"), "sample")
 
     def presence(tbl: pa.Table) -> pa.Table:

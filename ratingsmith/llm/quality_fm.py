@@ -27,7 +27,6 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -200,8 +199,8 @@ def fit(df: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc
     common.small_batches(spark)
     known = (labels.select(F.col(common.quoted(doc_id)).alias("id"), F.col(common.quoted(label)).cast("int").alias("y"))
              .filter("id IS NOT NULL AND y IN (0, 1)").groupBy("id").agg(F.min("y").alias("y")))
-    rank = F.row_number().over(W.partitionBy("y").orderBy(F.xxhash64("id"), "id"))
-    chosen = known.withColumn("rank", rank).filter(F.col("rank") <= per_class).select("id", "y")
+    stages = common.Stages(spark, "quality")
+    chosen = common.bounded_sample(known.withColumn("o", F.xxhash64("id")), "y", "o", per_class, stages).select("id", "y")
     size = F.col(common.quoted(length)).cast("double") if length else F.lit(None).cast("double")
     rows = df.select(F.col(common.quoted(doc_id)).alias("id"), F.col(common.quoted(text)).alias("text"), size.alias("length"))
     rows = rows.join(F.broadcast(chosen), "id")                     # at most 2 * per_class ids
