@@ -64,22 +64,32 @@ def genre_year_counts(fact: DataFrame, items: DataFrame, item: str = "movie_id",
         "genre", by, F.col("_n").alias("rating_count"))
 
 
+def _by_genre(fact: DataFrame, items: DataFrame, item: str, groups: str, by: str) -> DataFrame:
+    """One row per genre: its yearly counts (an array, one entry a year) and their sum."""
+    return genre_year_counts(fact, items, item, groups, by).groupBy("genre").agg(
+        F.collect_list(F.struct(F.col(by).alias("year"), "rating_count")).alias("years"),
+        F.sum("rating_count").alias("n"), F.max(by).alias("latest"))
+
+
 def genre_growth(fact: DataFrame, items: DataFrame, since_year: int | None = None,
                  item: str = "movie_id", groups: str = "genre_array",
                  by: str = "rating_year") -> DataFrame:
     """Growth of each genre's yearly volume from the first to the last year >= since.
 
-    ``since_year=None`` takes the first year of the latest decade in the data.
+    ``since_year=None`` takes the first year of the latest decade in which any genre
+    was rated.  The fact is read once; the window for that year runs over one row a genre.
     """
-    gy = genre_year_counts(fact, items, item, groups, by)
+    rows = _by_genre(fact, items, item, groups, by)
     if since_year is None:
-        start = (F.floor(fact.agg(F.max(by)).scalar() / 10) * 10).cast("int")
+        start = (F.floor(F.max("latest").over(Window.partitionBy()) / 10) * 10).cast("int")
     else:
         start = F.lit(int(since_year))
-    recent = gy.filter(F.col(by) >= start)
-    g = recent.groupBy("genre").agg(
-        F.min(by).alias("first_year"), F.min_by("rating_count", F.col(by)).alias("first_count"),
-        F.max(by).alias("last_year"), F.max_by("rating_count", F.col(by)).alias("last_count"))
+    rows = rows.withColumn("start", start)
+    recent = F.filter("years", lambda y: y["year"] >= F.col("start"))
+    rows = rows.select("genre", F.array_sort(recent).alias("years")).filter(F.size("years") > 0)
+    first, last = F.element_at("years", 1), F.element_at("years", -1)
+    g = rows.select("genre", first["year"].alias("first_year"), first["rating_count"].alias("first_count"),
+                    last["year"].alias("last_year"), last["rating_count"].alias("last_count"))
     growth = safe_divide(F.col("last_count") - F.col("first_count"), F.col("first_count"))
     return g.select("*", half_up(growth, 4).alias("growth")).orderBy(
         F.col("growth").desc_nulls_last(), "genre")
@@ -89,14 +99,13 @@ def genre_series(fact: DataFrame, items: DataFrame, genres: list[str] | None = N
                  top: int = 3, item: str = "movie_id", groups: str = "genre_array",
                  by: str = "rating_year") -> DataFrame:
     """Yearly volume of chosen genres (default: the ``top`` genres by volume)."""
-    gy = genre_year_counts(fact, items, item, groups, by)
+    rows = _by_genre(fact, items, item, groups, by)
     if genres:
-        chosen = gy.filter(F.col("genre").isin(genres))
+        rows = rows.filter(F.col("genre").isin(genres))
     else:
-        totals = gy.groupBy("genre").agg(F.sum("rating_count").alias("n"))
-        top_g = totals.orderBy(F.col("n").desc(), "genre").limit(top).select("genre")
-        chosen = gy.join(F.broadcast(top_g), "genre", "left_semi")
-    return chosen.orderBy("genre", by)
+        rows = rows.orderBy(F.col("n").desc(), "genre").limit(top)
+    years = rows.select("genre", F.explode("years").alias("y"))
+    return years.select("genre", F.col("y.year").alias(by), F.col("y.rating_count").alias("rating_count")).orderBy("genre", by)
 
 
 def decade_summary(fact: DataFrame, items: DataFrame, item: str = "movie_id",

@@ -558,7 +558,7 @@ SELECT genre, first_year, first_count, last_year, last_count,
 FROM (SELECT genre, min(rating_year) AS first_year, arg_min(rating_count, rating_year) AS first_count,
              max(rating_year) AS last_year, arg_max(rating_count, rating_year) AS last_count
       FROM gy
-      WHERE rating_year >= (SELECT CAST(floor(max(rating_year) / 10) * 10 AS INTEGER) FROM fact_base)
+      WHERE rating_year >= (SELECT CAST(floor(max(rating_year) / 10) * 10 AS INTEGER) FROM gy)
       GROUP BY genre)"""))
 def genre_growth_q(spark, sf_dir):
     return met.genre_growth(fact_base_df(spark, sf_dir), items_mid(spark, sf_dir))
