@@ -59,8 +59,11 @@ STAGES = [("quality", quality), ("near_copies", near_copies), ("passages", passa
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stages = common.Stages(spark, "pipeline")
+    stages, before = common.Stages(spark, "pipeline"), None
     docs = common.table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = stages.put(stage(spark, docs, sf_dir), name)
+        if before:                           # nothing reads it any more
+            stages.drop(before)
+        before = name
     return STAGES[-1][1](spark, docs, sf_dir)

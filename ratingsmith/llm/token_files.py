@@ -141,7 +141,10 @@ def _put(folder: str, name: str, blob: bytes) -> None:
     held = f"{path}/.{name}.{uuid.uuid4().hex}.tmp"
     with files.open_output_stream(held) as out:
         out.write(blob)
-    files.move(held, f"{path}/{name}")
+    if files.get_file_info(f"{path}/{name}").type == pafs.FileType.NotFound:
+        files.move(held, f"{path}/{name}")
+    else:                                    # an earlier attempt of this task wrote the same bytes
+        files.delete_file(held)
 
 
 def write(df: DataFrame, folder: str, path: str, end_id: int, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
