@@ -102,7 +102,7 @@ def main(argv):
     names = argv[2:]
     from ratingsmith.session import get_session
     import __spark_entry__ as entry
-    spark = get_session("oracle-check", master="local[8]",
+    spark = get_session("oracle-check", master=f"local[{os.environ.get('ORACLE_CPUS', '8')}]",
                         conf={"spark.sql.shuffle.partitions": "8"})
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(sf_dir)
