@@ -15,8 +15,10 @@ def half_up(x, scale: int) -> Column:
 
     Going through DECIMAL(38,12) makes the tie rule explicit (1.005 -> 1.01)
     and identical to the SQL form ``round(CAST(x AS DECIMAL(38,12)), s)``.
+    Values from 1e25 on have no fraction to round and would not fit: they stay.
     """
-    return F.round(_col(x).cast(DecimalType(38, 12)), scale).cast("double")
+    v = _col(x).cast("double")
+    return F.when(F.abs(v) < 1e25, F.round(_col(x).cast(DecimalType(38, 12)), scale).cast("double")).otherwise(v)
 
 
 def safe_divide(num, den) -> Column:

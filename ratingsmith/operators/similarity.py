@@ -215,3 +215,20 @@ def neighbours_of(pairs: DataFrame, item_value, a: str = "movie_id_a", b: str =
     """Point lookup of one item's neighbours from both directions of the pair table."""
     both = symmetric_pairs(pairs, a, b, sim)
     return both.filter(F.col("item") == F.lit(item_value)).select("neighbour", sim)
+
+
+def explain_pairs(pairs: DataFrame, vectors: DataFrame, names: DataFrame, k: int = 3, item: str = "movieId",
+                  key: str = "tagId", value: str = "relevance", name: str = "tag", a: str = "movie_id_a",
+                  b: str = "movie_id_b") -> DataFrame:
+    """The ``k`` keys that contribute most to each pair's dot product, with their names.
+
+    Meant for chosen pairs (top neighbours): it joins each pair with the entries of
+    both items.  Ties go to the smaller key.
+    """
+    left = vectors.select(F.col(item).alias(a), F.col(key), F.col(value).cast("double").alias("_va"))
+    right = vectors.select(F.col(item).alias(b), F.col(key), F.col(value).cast("double").alias("_vb"))
+    both = pairs.select(a, b).join(left, a).join(right, [b, key])
+    w = Window.partitionBy(a, b).orderBy(F.col("contribution").desc(), key)
+    top = (both.select(a, b, key, (F.col("_va") * F.col("_vb")).alias("contribution"))
+           .withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k))
+    return top.join(names.select(key, name), key, "left").select(a, b, key, name, "contribution", "rank")

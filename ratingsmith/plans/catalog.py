@@ -213,12 +213,12 @@ SELECT * FROM (
   SELECT decade, movie_id, clean_title, avg_rating, total_ratings,
          CAST(row_number() OVER (PARTITION BY decade
               ORDER BY avg_rating DESC, total_ratings DESC, movie_id) AS INTEGER) AS rank
-  FROM decade_stats) WHERE rank <= {TOP_PER_DECADE}"""))
+  FROM decade_stats WHERE decade IS NOT NULL) WHERE rank <= {TOP_PER_DECADE}"""))
 def top_k_per_decade_q(spark, sf_dir):
     ds = agg.bucket_stats(clean_ratings_df(spark, sf_dir), clean_items_df(spark, sf_dir),
                           min_count=MIN_COUNT, sort=False)
     return win.top_k_per_group(
-        ds, ["decade"], [F.col("avg_rating").desc(), F.col("total_ratings").desc(),
+        ds.filter("decade IS NOT NULL"), ["decade"], [F.col("avg_rating").desc(), F.col("total_ratings").desc(),
                          F.col("movie_id")], TOP_PER_DECADE).select(
         "decade", "movie_id", "clean_title", "avg_rating", "total_ratings", "rank")
 
@@ -291,6 +291,28 @@ def neighbours_q(spark, sf_dir):
     return sim.neighbours(pairs, dim_movies_df(spark, sf_dir), k=NEIGHBOURS)
 
 
+EXPLAINING_TAGS = 3
+_PAIRS_SQL = f"""best AS (SELECT DISTINCT least(item, neighbour) AS movie_id_a, greatest(item, neighbour) AS movie_id_b
+  FROM (SELECT *, row_number() OVER (PARTITION BY item ORDER BY similarity DESC, neighbour) AS rank
+        FROM (SELECT movie_id_a AS item, movie_id_b AS neighbour, similarity FROM sims WHERE similarity > {SIM_THRESHOLD}
+              UNION ALL SELECT movie_id_b, movie_id_a, similarity FROM sims WHERE similarity > {SIM_THRESHOLD}))
+  WHERE rank = 1)"""
+
+
+@register("neighbour_tags", SIM_ALL + ",\n" + _PAIRS_SQL + f"""
+SELECT movie_id_a, movie_id_b, tagId, 'tag_' || tagId AS tag, contribution, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY movie_id_a, movie_id_b ORDER BY contribution DESC, tagId) AS rank
+      FROM (SELECT movie_id_a, movie_id_b, x.tagId, x.relevance * y.relevance AS contribution
+            FROM best JOIN genome x ON x.movieId = movie_id_a JOIN genome y ON y.movieId = movie_id_b AND y.tagId = x.tagId))
+WHERE rank <= {EXPLAINING_TAGS}""")
+def neighbour_tags_q(spark, sf_dir):
+    """Why each item and its nearest neighbour are similar: the tags that contribute most."""
+    best = neighbours_q(spark, sf_dir).filter("rank = 1").select(
+        F.least("movie_id", "neighbour_id").alias("movie_id_a"), F.greatest("movie_id", "neighbour_id").alias("movie_id_b"))
+    return sim.explain_pairs(best.distinct(), vectors_df(spark, sf_dir), adapters.load_inputs(spark, sf_dir).genome_tags,
+                             EXPLAINING_TAGS)
+
+
 # ---- quality checks -----------------------------------------------------------------
 
 STAR_PARAMS = wh.StarParams(min_count=MIN_COUNT, sim_threshold=SIM_THRESHOLD, sim_top_n=None)
