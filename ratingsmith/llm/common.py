@@ -62,9 +62,15 @@ class Stages:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Hash buckets of a packed exchange.  A task sends one row a bucket, so more of them would
+#: leave a few entries in each row; beyond that the buckets grow instead (at 100 TB of text to
+#: some 20 million entries, below 1 GB in a task).
+BUCKETS = 200_000
+
+
 def parts(spark: SparkSession, items: float, per_part: float) -> int:
     """Hash buckets so that each holds about ``per_part`` items, and no fewer than shuffle partitions."""
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(items / per_part), 1)
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(BUCKETS, math.ceil(items / per_part)), 1)
 
 
 def text_bytes(df: DataFrame, text: str | Column) -> int:
