@@ -20,9 +20,12 @@ one order of the shingles, sets that link share a shingle among the first
 
 1. frequent shingles are counted; the at most FREQUENT ones with the highest
    counts are broadcast and ordered last, the others by hash (any choice is
-   correct, as every document sees the same order);
-2. the first shingles of all documents are exchanged (``packed``); documents that
-   share one are connected by star edges, and coarse groups are the components;
+   correct, as every document sees the same order); the first shingles of all
+   documents are exchanged (``packed``), and the documents that share one with
+   another of a fitting size are candidates;
+2. the candidates' infrequent shingles are counted exactly, and the first ones in
+   order of that count (rare ones first) are exchanged; documents that share one are
+   connected by star edges, and coarse groups are the components;
 3. each coarse group is joined by trees, small groups packed together, a large one
    cut into tiles of bounded size;
 4. for a large group, the representatives of the tiles' components are joined in
@@ -61,8 +64,11 @@ FREQUENT = 2_000_000
 TILE, TILE_TOKENS, FLUSH, BUCKET = 1024, 1_000_000, 4_000_000, 1_500_000
 
 COUNTS = packed.schema("h", "c")
-ENTRY = packed.schema("h", "k", "a", "b", "mk", "mn")
+ENTRY = packed.schema("h", "k", "lo", "hi", "a", "b", "mk", "mn")
 FOUND = packed.schema("a", "b", "mk", "mn")
+TOKENS, PLACES = packed.schema("h", "k", "p"), packed.schema("k", "p", "c")
+#: Counts of shingles are exact up to this; frequent ones come after all others.
+MOST = 60_000
 
 
 # ---------------------------------------------------------------- sets
@@ -80,7 +86,8 @@ def sets(buf: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if len(short):
         few = np.array([words.window_hashes(h[first[i]:first[i + 1]], int(n[i]))[0] for i in short], U)
         g, r = np.concatenate((g, few)), np.concatenate((r, short))
-    order = np.lexsort((g, r))
+    order = np.argsort(g)
+    order = order[np.argsort(r[order].astype(np.uint16), kind="stable")]     # a radix sort
     g, r = g[order], r[order]
     new = np.ones(len(g), bool)
     new[1:] = (g[1:] != g[:-1]) | (r[1:] != r[:-1])
@@ -95,10 +102,19 @@ def prefix_sizes(n: np.ndarray, percent: int) -> np.ndarray:
 def _sets_of(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """``(keys, shingles, sizes)`` of runs of rows."""
     keys = np.asarray(batch["k"]).view(U)
-    for at, rows, buf, starts in words.buffers(batch["text"]):
+    for at, rows, buf, starts in words.buffers(batch["text"], most=60_000):
         yield (keys[at:at + rows], *sets(buf, starts))
 
 
+def _prefixes(g: np.ndarray, n: np.ndarray, key: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each row's first shingles in order of ``key``, then hash -> ``(shingles, row)``; ``g`` is sorted in rows."""
+    row = np.repeat(np.arange(len(n)), n)
+    at = np.argsort(key, kind="stable")
+    at = at[np.argsort(row[at].astype(np.uint16), kind="stable")]
+    keep = words.ragged(n) < np.repeat(prefix_sizes(n, percent), n)
+    return g[at][keep], row[keep]
+
+
 def _each_text_once(k: np.ndarray, g: np.ndarray, n: np.ndarray, seen: set[int]):
     """Drops rows whose text this task has already in its present gathering."""
     keep = np.zeros(len(k), bool)
@@ -170,17 +186,30 @@ def frequent(rows: DataFrame, n_buckets: int, stages: common.Stages, most: int)
     return Order(np.asarray(got["h"]).astype(np.int64).view(U), np.asarray(got["level"]))
 
 
-# ---------------------------------------------------------------- 2. coarse groups
+# ---------------------------------------------------------------- 1., 2. candidates and coarse groups
 
-def _stars(h: np.ndarray, k: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Per hash its smallest key, and links of its other keys to that one."""
-    order = np.lexsort((k, h))
-    h, k = h[order], k[order]
-    first = packed.runs(h)
-    low = np.repeat(k[first], packed.run_sizes(first, len(h)))
-    far = k != low
-    a, b = _links(k[far], low[far])
-    return h[first], k[first], a, b
+def _stars(h: np.ndarray, k: np.ndarray, lo: np.ndarray, hi: np.ndarray, percent: int):
+    """Joins the keys of a hash whose sizes can be within the threshold of each other.
+
+    An entry stands for keys of sizes ``lo`` to ``hi``.  Entries of a hash, sorted by size,
+    fall into runs without a gap that no two linked sets can span.  Result: per run its
+    hash, smallest key and sizes, and links from its other keys to that one.
+    """
+    if not len(h):
+        return h, k, lo, hi, k, k
+    order = np.lexsort((lo, h))
+    h, k, lo, hi = h[order], k[order], lo[order].astype(np.int64), hi[order].astype(np.int64)
+    new = np.ones(len(h), bool)
+    new[1:] = h[1:] != h[:-1]
+    base = np.cumsum(new) << 33
+    most = np.maximum.accumulate(hi + base) - base            # largest size so far under this hash
+    new[1:] |= 100 * most[:-1] < percent * lo[1:]
+    first = np.flatnonzero(new)
+    low = np.minimum.reduceat(k, first)
+    rep = np.repeat(low, packed.run_sizes(first, len(h)))
+    far = k != rep
+    a, b = _links(k[far], rep[far])
+    return h[first], low, lo[first], np.maximum.reduceat(hi, first), a, b
 
 
 def _links(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -191,11 +220,11 @@ def _links(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return a[new], b[new]
 
 
-def _rows(n: int, names: tuple[str, ...], h=None, k=None, a=None, b=None, mk=None, mn=None) -> Iterator[pa.RecordBatch]:
+def _rows(n: int, names: tuple[str, ...], entries: dict | None, a, b, mk, mn) -> Iterator[pa.RecordBatch]:
     """Entries by hash, links by their first key, sizes by key; blobs a row lacks are empty."""
     groups = []
-    if h is not None and len(h):
-        groups.append(packed.pack(packed.bucket_of(h, n), {"h": h, "k": k}))
+    if entries and len(entries["h"]):
+        groups.append(packed.pack(packed.bucket_of(entries["h"], n), entries))
     if len(a):
         groups.append(packed.pack((a % U(n)).astype(np.int32), {"a": a, "b": b}))
     if len(mk):
@@ -207,41 +236,56 @@ def _rows(n: int, names: tuple[str, ...], h=None, k=None, a=None, b=None, mk=Non
             names=["bucket", *names])
 
 
-def send_prefixes(n_buckets: int, percent: int, sent):
-    def run(batches):
-        order, names = sent.value, ("h", "k", "a", "b", "mk", "mn")
-        hs, ks, mks, mns, count, seen = [], [], [], [], 0, set()
+class Prefixes:
+    """Gathers the first shingles of texts and sends them with the links among them and the set sizes."""
 
-        def send():
-            h, k, a, b = _stars(np.concatenate(hs), np.concatenate(ks))
-            yield from _rows(n_buckets, names, h, k, a, b, np.concatenate(mks), np.concatenate(mns))
+    def __init__(self, n_buckets: int, percent: int):
+        self.n_buckets, self.percent = n_buckets, percent
+        self.clear()
+
+    def clear(self) -> None:
+        self.h, self.k, self.n, self.keys, self.sizes, self.count, self.seen = [], [], [], [], [], 0, set()
 
+    def add(self, k: np.ndarray, g: np.ndarray, row: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.h.append(g)
+        self.k.append(k[row])
+        self.n.append(n[row].astype(np.uint32))
+        self.keys.append(k)
+        self.sizes.append(n)
+        self.count += len(g)
+        if self.count >= FLUSH:
+            yield from self.send()
+
+    def send(self) -> Iterator[pa.RecordBatch]:
+        if self.keys:
+            n = np.concatenate(self.n)
+            h, k, lo, hi, a, b = _stars(np.concatenate(self.h), np.concatenate(self.k), n, n, self.percent)
+            entries = {"h": h, "k": k, "lo": lo.astype(np.uint32), "hi": (hi - lo).astype(np.uint32)}
+            yield from _rows(self.n_buckets, ("h", "k", "lo", "hi", "a", "b", "mk", "mn"), entries, a, b,
+                             np.concatenate(self.keys), np.concatenate(self.sizes))
+        self.clear()
+
+
+def send_prefixes(n_buckets: int, percent: int, sent):
+    """First shingles by frequency level and hash."""
+    def run(batches):
+        out = Prefixes(n_buckets, percent)
         for batch in batches:
             for k, g, n in _sets_of(batch):
-                k, g, n = _each_text_once(k, g, n, seen)
-                row = np.repeat(np.arange(len(n)), n)
-                at = np.lexsort((g, order.levels(g), row))
-                keep = words.ragged(n) < np.repeat(prefix_sizes(n, percent), n)
-                hs.append(g[at][keep])
-                ks.append(k[row[keep]])
-                mks.append(k)
-                mns.append(n)
-                count += int(keep.sum())
-                if count >= FLUSH:
-                    yield from send()
-                    hs, ks, mks, mns, count, seen = [], [], [], [], 0, set()
-        if mks:
-            yield from send()
+                k, g, n = _each_text_once(k, g, n, out.seen)
+                yield from out.add(k, *_prefixes(g, n, sent.value.levels(g), percent), n)
+        yield from out.send()
     return run
 
 
-def meet(n_buckets: int):
+def meet(n_buckets: int, percent: int):
     """Bucket -> links of keys that share a hash; links and sizes that came along are passed on."""
     def run(tbl: pa.Table) -> pa.Table:
-        _, _, a, b = _stars(packed.unpack(tbl, "h", U), packed.unpack(tbl, "k", U))
+        lo = packed.unpack(tbl, "lo", np.uint32).astype(np.int64)
+        *_, a, b = _stars(packed.unpack(tbl, "h", U), packed.unpack(tbl, "k", U), lo,
+                          lo + packed.unpack(tbl, "hi", np.uint32), percent)
         a, b = _links(np.concatenate((a, packed.unpack(tbl, "a", U))), np.concatenate((b, packed.unpack(tbl, "b", U))))
-        out = list(_rows(n_buckets, ("a", "b", "mk", "mn"), a=a, b=b, mk=packed.unpack(tbl, "mk", U),
-                         mn=packed.unpack(tbl, "mn", np.uint32)))
+        out = list(_rows(n_buckets, ("a", "b", "mk", "mn"), None, a, b, packed.unpack(tbl, "mk", U), packed.unpack(tbl, "mn", np.uint32)))
         kinds = [("bucket", pa.int32()), *((c, pa.binary()) for c in ("a", "b", "mk", "mn"))]
         return pa.Table.from_batches(out, pa.schema(kinds))
     return run
@@ -258,6 +302,67 @@ def settle(tbl: pa.Table) -> pa.Table:
         "n": pa.array([*[None] * len(a), *mn.tolist()], pa.int64())})
 
 
+def send_tokens(n_buckets: int, sent):
+    """All infrequent shingles of distinct texts, with their place in the set."""
+    def run(batches):
+        for batch in batches:
+            held = []
+            for k, g, n in _sets_of(batch):
+                rare = sent.value.levels(g) == 0
+                held.append((g[rare], np.repeat(k, n)[rare], words.ragged(n)[rare].astype(np.uint32)))
+            if held:
+                h, k, p = (np.concatenate(c) for c in zip(*held, strict=True))
+                yield packed.pack(packed.bucket_of(h, n_buckets), {"h": h, "k": k, "p": p})
+    return run
+
+
+def recount(n_buckets: int):
+    """Bucket -> places of shingles that two or more texts have, with their number of texts."""
+    def run(tbl: pa.Table) -> pa.Table:
+        h = packed.unpack(tbl, "h", U)
+        order = np.argsort(h)
+        first = packed.runs(h[order])
+        size = packed.run_sizes(first, len(h))
+        c = np.repeat(size, size)
+        hit = order[c > 1]
+        k = packed.unpack(tbl, "k", U)[hit]
+        out = packed.pack((k % U(n_buckets)).astype(np.int32), {
+            "k": k, "p": packed.unpack(tbl, "p", np.uint32)[hit], "c": np.minimum(c[c > 1], MOST).astype(np.uint16)})
+        return pa.Table.from_batches([out])
+    return run
+
+
+def by_text(tbl: pa.Table) -> pa.Table:
+    """Bucket of keys -> one row a text with places and counts."""
+    k, p, c = packed.unpack(tbl, "k", U), packed.unpack(tbl, "p", np.uint32), packed.unpack(tbl, "c", np.uint16)
+    order = np.argsort(k, kind="stable")
+    k, p, c = k[order], p[order], c[order]
+    cut = packed.cuts(k)
+    return pa.table({"k": pa.array(k[packed.runs(k)].view(np.int64), pa.int64()),
+                     "p": pa.array([p[i:j].tobytes() for i, j in cut], pa.binary()),
+                     "c": pa.array([c[i:j].tobytes() for i, j in cut], pa.binary())})
+
+
+def send_rare_prefixes(n_buckets: int, percent: int, sent):
+    """First shingles by exact count and hash; frequent shingles come last, by level."""
+    def run(batches):
+        out = Prefixes(n_buckets, percent)
+        for batch in batches:
+            places, counts, row = batch["p"], batch["c"], 0
+            for k, g, n in _sets_of(batch):
+                level = sent.value.levels(g)
+                key = np.where(level > 0, MOST + level.astype(np.int64), 1).astype(np.uint16)
+                start = np.cumsum(n) - n
+                for i in range(len(k)):
+                    if places[row + i].is_valid:
+                        p = np.frombuffer(places[row + i].as_buffer(), np.uint32)
+                        key[start[i] + p.astype(np.int64)] = np.frombuffer(counts[row + i].as_buffer(), np.uint16)
+                row += len(k)
+                yield from out.add(k, *_prefixes(g, n, key, percent), n)
+        yield from out.send()
+    return run
+
+
 # ---------------------------------------------------------------- 3. trees
 
 class Forest:
@@ -418,19 +523,27 @@ def components(df: DataFrame, text: str = "text", percent: int = PERCENT, freque
     n = common.parts(spark, common.text_bytes(df, F.col(common.quoted(text))) / 6 * (100 - percent) / 100, BUCKET)
 
     sent = spark.sparkContext.broadcast(frequent(rows, n, stages, frequent_shingles))
-    met = stages.put(rows.mapInArrow(send_prefixes(n, percent, sent), ENTRY)
-                     .groupBy("bucket").applyInArrow(meet(n), FOUND)
-                     .groupBy("bucket").applyInArrow(settle, "a long, b long, n long"), "met")
+    link = "a long, b long, n long"
+    met = stages.put(rows.mapInArrow(send_prefixes(n, percent, sent), ENTRY).groupBy("bucket").applyInArrow(meet(n, percent), FOUND)
+                     .groupBy("bucket").applyInArrow(settle, link), "met")
     sizes = met.filter("b IS NULL").select(F.col("a").alias("k"), "n")
-    coarse = common.connected_components(met.filter("b IS NOT NULL").select("a", "b"), stages, "coarse")
+    touched = met.filter("b IS NOT NULL").select(F.explode(F.array("a", "b")).alias("k")).distinct()
+    once = rows.groupBy("k").agg(F.first("text").alias("text"))
+    candidates = stages.put(once.join(touched, "k"), "candidates")
+    counts = (candidates.mapInArrow(send_tokens(n, sent), TOKENS).groupBy("bucket").applyInArrow(recount(n), PLACES)
+              .groupBy("bucket").applyInArrow(by_text, "k long, p binary, c binary"))
+    close = stages.put(candidates.join(counts, "k", "left").select("k", "text", "p", "c")
+                       .mapInArrow(send_rare_prefixes(n, percent, sent), ENTRY).groupBy("bucket").applyInArrow(meet(n, percent), FOUND)
+                       .groupBy("bucket").applyInArrow(settle, link), "close")
+    coarse = common.connected_components(close.filter("b IS NOT NULL").select("a", "b"), stages, "coarse")
     coarse = coarse.select(F.col("node").alias("k"), "root").join(sizes, "k")
     total = coarse.agg(F.sum("n")).first()[0]
     if not total:
         return sizes.select("k", "n", F.col("k").alias("comp"))
     n_small = int(total // TILE_TOKENS + 1) * 2
     placed = stages.put(_tiles(coarse, 0, n_small), "placed")
-    once = rows.groupBy("k").agg(F.first("text").alias("text"))
-    members = stages.put(once.join(placed, "k"), "members")
+    members = stages.put(candidates.join(placed, "k"), "members")
+    stages.drop("candidates")
     run = tile_join(percent)
     alone = members.withColumns({"comp": F.col("k"), "fresh": F.lit(True)})
     local = stages.put(alone.groupBy("g").applyInArrow(run, TILED), "local")
@@ -461,7 +574,7 @@ def _large_groups(members: DataFrame, local: DataFrame, large: DataFrame, n_smal
         links.append(got.select(F.col("k").alias("a"), F.col("comp").alias("b")).filter("a <> b"))
         reps = stages.put(got.filter("k = comp").select("k"), f"reps{step}")
         before, left = left, reps.count()
-        if one or left >= before:
+        if one or 2 * left > before:         # what is left is handled below
             break
     edges = of_large.select(F.col("k").alias("a"), F.col("comp").alias("b")).filter("a <> b")
     for more in links:
