@@ -20,9 +20,10 @@ one order of the shingles, sets that link share a shingle among the first
 
 1. frequent shingles are counted; the at most FREQUENT ones with the highest
    counts are broadcast and ordered last, the others by hash (any choice is
-   correct, as every document sees the same order); the first shingles of all
-   documents are exchanged (``packed``), and the documents that share one with
-   another of a fitting size are candidates;
+   correct, as every document sees the same order).  With ``l(n) - 1`` further
+   shingles, l(n) = 1 + n // EXTRA, linked sets share at least l(ceil(0.8 n)) of the
+   first ones.  These are exchanged (``packed``), and documents that share so many with
+   others of a fitting size are candidates;
 2. the candidates' infrequent shingles are counted exactly, and the first ones in
    order of that count (rare ones first) are exchanged; documents that share one are
    connected by star edges, and coarse groups are the components;
@@ -56,6 +57,8 @@ from . import common, packed, words
 
 U = np.uint64
 WIDTH, PERCENT = 5, 80
+#: One further shingle is exchanged for this many of a set, to tell chance meetings from likely links.
+EXTRA = 16
 #: Bits of a document's signature, documents of a leaf, children of a node.
 BITS, LEAF, FAN = 4096, 8, 8
 #: Frequent shingles in the broadcast order (9 bytes each).
@@ -64,8 +67,8 @@ FREQUENT = 2_000_000
 TILE, TILE_TOKENS, FLUSH, BUCKET = 1024, 1_000_000, 4_000_000, 1_500_000
 
 COUNTS = packed.schema("h", "c")
-ENTRY = packed.schema("h", "k", "lo", "hi", "a", "b", "mk", "mn")
-FOUND = packed.schema("a", "b", "mk", "mn")
+SHARED, COUNTED = packed.schema("h", "k", "lo", "hi", "f", "ck", "cc", "mk", "mn"), packed.schema("ck", "cc", "mk", "mn")
+ENTRY, FOUND = packed.schema("h", "k", "lo", "hi", "a", "b"), packed.schema("a", "b")
 TOKENS, PLACES = packed.schema("h", "k", "p"), packed.schema("k", "p", "c")
 #: Counts of shingles are exact up to this; frequent ones come after all others.
 MOST = 60_000
@@ -95,8 +98,13 @@ def sets(buf: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return g, np.bincount(r, minlength=len(n))
 
 
-def prefix_sizes(n: np.ndarray, percent: int) -> np.ndarray:
-    return np.where(n > 0, n - (n * percent + 99) // 100 + 1, 0)
+def needed(n: np.ndarray, percent: int) -> np.ndarray:
+    """Least overlap of a set of ``n`` shingles with one it links to, and least size of that one."""
+    return (n * percent + 99) // 100
+
+
+def prefix_sizes(n: np.ndarray, percent: int, further: bool) -> np.ndarray:
+    return np.where(n > 0, n - needed(n, percent) + 1 + (n // EXTRA if further else 0), 0)
 
 
 def _sets_of(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -106,12 +114,12 @@ def _sets_of(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np
         yield (keys[at:at + rows], *sets(buf, starts))
 
 
-def _prefixes(g: np.ndarray, n: np.ndarray, key: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+def _prefixes(g: np.ndarray, n: np.ndarray, key: np.ndarray, percent: int, further: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Each row's first shingles in order of ``key``, then hash -> ``(shingles, row)``; ``g`` is sorted in rows."""
     row = np.repeat(np.arange(len(n)), n)
     at = np.argsort(key, kind="stable")
     at = at[np.argsort(row[at].astype(np.uint16), kind="stable")]
-    keep = words.ragged(n) < np.repeat(prefix_sizes(n, percent), n)
+    keep = words.ragged(n) < np.repeat(prefix_sizes(n, percent, further), n)
     return g[at][keep], row[keep]
 
 
@@ -188,23 +196,27 @@ def frequent(rows: DataFrame, n_buckets: int, stages: common.Stages, most: int)
 
 # ---------------------------------------------------------------- 1., 2. candidates and coarse groups
 
-def _stars(h: np.ndarray, k: np.ndarray, lo: np.ndarray, hi: np.ndarray, percent: int):
-    """Joins the keys of a hash whose sizes can be within the threshold of each other.
+def _fitting_runs(h: np.ndarray, lo: np.ndarray, hi: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order by hash and size, and the starts of runs without a gap that no two linked sets can span.
 
-    An entry stands for keys of sizes ``lo`` to ``hi``.  Entries of a hash, sorted by size,
-    fall into runs without a gap that no two linked sets can span.  Result: per run its
-    hash, smallest key and sizes, and links from its other keys to that one.
+    An entry stands for sets of sizes ``lo`` to ``hi``.
     """
-    if not len(h):
-        return h, k, lo, hi, k, k
     order = np.lexsort((lo, h))
-    h, k, lo, hi = h[order], k[order], lo[order].astype(np.int64), hi[order].astype(np.int64)
+    h, lo, hi = h[order], lo[order], hi[order]
     new = np.ones(len(h), bool)
     new[1:] = h[1:] != h[:-1]
     base = np.cumsum(new) << 33
     most = np.maximum.accumulate(hi + base) - base            # largest size so far under this hash
     new[1:] |= 100 * most[:-1] < percent * lo[1:]
-    first = np.flatnonzero(new)
+    return order, np.flatnonzero(new)
+
+
+def _stars(h: np.ndarray, k: np.ndarray, lo: np.ndarray, hi: np.ndarray, percent: int):
+    """Per run its hash, smallest key and sizes, and links from its other keys to that one."""
+    if not len(h):
+        return h, k, lo, hi, k, k
+    order, first = _fitting_runs(h, lo, hi, percent)
+    h, k, lo, hi = h[order], k[order], lo[order], hi[order]
     low = np.minimum.reduceat(k, first)
     rep = np.repeat(low, packed.run_sizes(first, len(h)))
     far = k != rep
@@ -220,86 +232,113 @@ def _links(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return a[new], b[new]
 
 
-def _rows(n: int, names: tuple[str, ...], entries: dict | None, a, b, mk, mn) -> Iterator[pa.RecordBatch]:
-    """Entries by hash, links by their first key, sizes by key; blobs a row lacks are empty."""
-    groups = []
-    if entries and len(entries["h"]):
-        groups.append(packed.pack(packed.bucket_of(entries["h"], n), entries))
-    if len(a):
-        groups.append(packed.pack((a % U(n)).astype(np.int32), {"a": a, "b": b}))
-    if len(mk):
-        groups.append(packed.pack((mk % U(n)).astype(np.int32), {"mk": mk, "mn": mn.astype(np.uint32)}))
-    for g in groups:
-        has = dict(zip(g.schema.names, g.columns, strict=True))
-        yield pa.RecordBatch.from_arrays(
-            [has["bucket"], *(has.get(c, pa.array([b""] * g.num_rows, pa.binary())) for c in names)],
-            names=["bucket", *names])
-
-
-class Prefixes:
-    """Gathers the first shingles of texts and sends them with the links among them and the set sizes."""
-
-    def __init__(self, n_buckets: int, percent: int):
-        self.n_buckets, self.percent = n_buckets, percent
-        self.clear()
-
-    def clear(self) -> None:
-        self.h, self.k, self.n, self.keys, self.sizes, self.count, self.seen = [], [], [], [], [], 0, set()
-
-    def add(self, k: np.ndarray, g: np.ndarray, row: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-        self.h.append(g)
-        self.k.append(k[row])
-        self.n.append(n[row].astype(np.uint32))
-        self.keys.append(k)
-        self.sizes.append(n)
-        self.count += len(g)
-        if self.count >= FLUSH:
-            yield from self.send()
-
-    def send(self) -> Iterator[pa.RecordBatch]:
-        if self.keys:
-            n = np.concatenate(self.n)
-            h, k, lo, hi, a, b = _stars(np.concatenate(self.h), np.concatenate(self.k), n, n, self.percent)
-            entries = {"h": h, "k": k, "lo": lo.astype(np.uint32), "hi": (hi - lo).astype(np.uint32)}
-            yield from _rows(self.n_buckets, ("h", "k", "lo", "hi", "a", "b", "mk", "mn"), entries, a, b,
-                             np.concatenate(self.keys), np.concatenate(self.sizes))
-        self.clear()
-
-
-def send_prefixes(n_buckets: int, percent: int, sent):
-    """First shingles by frequency level and hash."""
+def _rows(n: int, names: str, *parts: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """Rows for the exchange: each part is cut by its first column; blobs a row lacks are empty."""
+    columns = [c.split()[0] for c in names.split(", ")][1:]
+    for part in parts:
+        key = next(iter(part.values()))
+        if len(key):
+            rows = packed.pack(packed.bucket_of(key, n), part)
+            has = dict(zip(rows.schema.names, rows.columns, strict=True))
+            yield pa.RecordBatch.from_arrays(
+                [has["bucket"], *(has.get(c, pa.array([b""] * rows.num_rows, pa.binary())) for c in columns)],
+                names=["bucket", *columns])
+
+
+def _table(rows: Iterator[pa.RecordBatch], names: str) -> pa.Table:
+    kinds = [("bucket", pa.int32()), *((c.split()[0], pa.binary()) for c in names.split(", ")[1:])]
+    return pa.Table.from_batches(list(rows), pa.schema(kinds))
+
+
+def send_shared(n_buckets: int, percent: int, sent):
+    """First shingles (and the further ones) by frequency level and hash, and the set sizes.
+
+    A run of documents that share a shingle within this task is sent once, marked; its
+    documents are counted here.
+    """
     def run(batches):
-        out = Prefixes(n_buckets, percent)
+        h, k, size, keys, sizes, seen, count = [], [], [], [], [], set(), 0
+
+        def send():
+            hs, ks, n = np.concatenate(h), np.concatenate(k), np.concatenate(size)
+            order, first = _fitting_runs(hs, n, n, percent)
+            hs, ks, n = hs[order], ks[order], n[order]
+            many = packed.run_sizes(first, len(hs))
+            ck, cc = np.unique(ks[np.repeat(many > 1, many)], return_counts=True)
+            top = np.maximum.reduceat(n, first) if len(first) else n
+            low = n[first]
+            yield from _rows(n_buckets, SHARED,
+                             {"h": hs[first], "k": ks[first], "lo": low.astype(np.uint32), "hi": (top - low).astype(np.uint32),
+                              "f": (many > 1).astype(np.uint8)},
+                             {"ck": ck, "cc": cc.astype(np.uint32)},
+                             {"mk": np.concatenate(keys), "mn": np.concatenate(sizes).astype(np.uint32)})
+
         for batch in batches:
-            for k, g, n in _sets_of(batch):
-                k, g, n = _each_text_once(k, g, n, out.seen)
-                yield from out.add(k, *_prefixes(g, n, sent.value.levels(g), percent), n)
-        yield from out.send()
+            for key, g, n in _sets_of(batch):
+                key, g, n = _each_text_once(key, g, n, seen)
+                g, row = _prefixes(g, n, sent.value.levels(g), percent, further=True)
+                h.append(g)
+                k.append(key[row])
+                size.append(n[row])
+                keys.append(key)
+                sizes.append(n)
+                count += len(g)
+                if count >= FLUSH:
+                    yield from send()
+                    h, k, size, keys, sizes, seen, count = [], [], [], [], [], set(), 0
+        if keys:
+            yield from send()
+    return run
+
+
+def count_shared(n_buckets: int, percent: int):
+    """Bucket -> per key the number of its shingles that others of a fitting size share, and the set sizes."""
+    def run(tbl: pa.Table) -> pa.Table:
+        h, k = packed.unpack(tbl, "h", U), packed.unpack(tbl, "k", U)
+        lo = packed.unpack(tbl, "lo", np.uint32).astype(np.int64)
+        hi = lo + packed.unpack(tbl, "hi", np.uint32)
+        f = packed.unpack(tbl, "f", np.uint8)
+        order, first = _fitting_runs(h, lo, hi, percent) if len(h) else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        many = packed.run_sizes(first, len(h))
+        hit = order[np.repeat(many > 1, many)]
+        # a text that lies in several tasks meets itself, which only makes it a candidate
+        ck, cc = _sums(np.concatenate((k[hit[f[hit] == 0]], packed.unpack(tbl, "ck", U))),
+                       np.concatenate((np.ones(int((f[hit] == 0).sum()), np.int64), packed.unpack(tbl, "cc", np.uint32))))
+        return _table(_rows(n_buckets, COUNTED, {"ck": ck, "cc": cc.astype(np.uint32)},
+                            {"mk": packed.unpack(tbl, "mk", U), "mn": packed.unpack(tbl, "mn", np.uint32)}), COUNTED)
     return run
 
 
+def _sums(k: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    k, which = np.unique(k, return_inverse=True)
+    return k, np.bincount(which, c, minlength=len(k)).astype(np.int64)
+
+
+def sizes_and_shares(tbl: pa.Table) -> pa.Table:
+    """Bucket of keys -> rows ``(k, n, shared)``."""
+    ck, cc = _sums(packed.unpack(tbl, "ck", U), packed.unpack(tbl, "cc", np.uint32))
+    mk, at = np.unique(packed.unpack(tbl, "mk", U), return_index=True)
+    shared = np.zeros(len(mk), np.int64)
+    shared[np.searchsorted(mk, ck)] = cc
+    return pa.table({"k": pa.array(mk.view(np.int64), pa.int64()),
+                     "n": pa.array(packed.unpack(tbl, "mn", np.uint32)[at].astype(np.int64), pa.int64()),
+                     "shared": pa.array(shared, pa.int64())})
+
+
 def meet(n_buckets: int, percent: int):
-    """Bucket -> links of keys that share a hash; links and sizes that came along are passed on."""
+    """Bucket -> links of keys that share a hash, and the links that came along."""
     def run(tbl: pa.Table) -> pa.Table:
         lo = packed.unpack(tbl, "lo", np.uint32).astype(np.int64)
         *_, a, b = _stars(packed.unpack(tbl, "h", U), packed.unpack(tbl, "k", U), lo,
                           lo + packed.unpack(tbl, "hi", np.uint32), percent)
         a, b = _links(np.concatenate((a, packed.unpack(tbl, "a", U))), np.concatenate((b, packed.unpack(tbl, "b", U))))
-        out = list(_rows(n_buckets, ("a", "b", "mk", "mn"), None, a, b, packed.unpack(tbl, "mk", U), packed.unpack(tbl, "mn", np.uint32)))
-        kinds = [("bucket", pa.int32()), *((c, pa.binary()) for c in ("a", "b", "mk", "mn"))]
-        return pa.Table.from_batches(out, pa.schema(kinds))
+        return _table(_rows(n_buckets, FOUND, {"a": a, "b": b}), FOUND)
     return run
 
 
 def settle(tbl: pa.Table) -> pa.Table:
-    """Bucket of keys -> rows ``(a, b, n)``: links (n NULL), and sizes (b NULL)."""
     a, b = _links(packed.unpack(tbl, "a", U), packed.unpack(tbl, "b", U))
-    mk, at = np.unique(packed.unpack(tbl, "mk", U), return_index=True)
-    mn = packed.unpack(tbl, "mn", np.uint32)[at]
-    return pa.table({
-        "a": pa.array(np.concatenate((a, mk)).view(np.int64), pa.int64()),
-        "b": pa.array([*b.view(np.int64).tolist(), *[None] * len(mk)], pa.int64()),
-        "n": pa.array([*[None] * len(a), *mn.tolist()], pa.int64())})
+    return pa.table({"a": pa.array(a.view(np.int64), pa.int64()), "b": pa.array(b.view(np.int64), pa.int64())})
 
 
 def send_tokens(n_buckets: int, sent):
@@ -344,9 +383,16 @@ def by_text(tbl: pa.Table) -> pa.Table:
 
 
 def send_rare_prefixes(n_buckets: int, percent: int, sent):
-    """First shingles by exact count and hash; frequent shingles come last, by level."""
+    """First shingles by exact count and hash (frequent ones come last, by level), and the links within the task."""
     def run(batches):
-        out = Prefixes(n_buckets, percent)
+        hs, ks, ns, count = [], [], [], 0
+
+        def send():
+            n = np.concatenate(ns)
+            h, k, lo, hi, a, b = _stars(np.concatenate(hs), np.concatenate(ks), n, n, percent)
+            yield from _rows(n_buckets, ENTRY, {"h": h, "k": k, "lo": lo.astype(np.uint32), "hi": (hi - lo).astype(np.uint32)},
+                             {"a": a, "b": b})
+
         for batch in batches:
             places, counts, row = batch["p"], batch["c"], 0
             for k, g, n in _sets_of(batch):
@@ -358,8 +404,16 @@ def send_rare_prefixes(n_buckets: int, percent: int, sent):
                         p = np.frombuffer(places[row + i].as_buffer(), np.uint32)
                         key[start[i] + p.astype(np.int64)] = np.frombuffer(counts[row + i].as_buffer(), np.uint16)
                 row += len(k)
-                yield from out.add(k, *_prefixes(g, n, key, percent), n)
-        yield from out.send()
+                g, at = _prefixes(g, n, key, percent)
+                hs.append(g)
+                ks.append(k[at])
+                ns.append(n[at])
+                count += len(g)
+                if count >= FLUSH:
+                    yield from send()
+                    hs, ks, ns, count = [], [], [], 0
+        if hs:
+            yield from send()
     return run
 
 
@@ -523,19 +577,20 @@ def components(df: DataFrame, text: str = "text", percent: int = PERCENT, freque
     n = common.parts(spark, common.text_bytes(df, F.col(common.quoted(text))) / 6 * (100 - percent) / 100, BUCKET)
 
     sent = spark.sparkContext.broadcast(frequent(rows, n, stages, frequent_shingles))
-    link = "a long, b long, n long"
-    met = stages.put(rows.mapInArrow(send_prefixes(n, percent, sent), ENTRY).groupBy("bucket").applyInArrow(meet(n, percent), FOUND)
-                     .groupBy("bucket").applyInArrow(settle, link), "met")
-    sizes = met.filter("b IS NULL").select(F.col("a").alias("k"), "n")
-    touched = met.filter("b IS NOT NULL").select(F.explode(F.array("a", "b")).alias("k")).distinct()
+    met = stages.put(rows.mapInArrow(send_shared(n, percent, sent), SHARED)
+                     .groupBy("bucket").applyInArrow(count_shared(n, percent), COUNTED)
+                     .groupBy("bucket").applyInArrow(sizes_and_shares, "k long, n long, shared long"), "met")
+    sizes = met.select("k", "n")
+    other = F.floor((F.col("n") * percent + 99) / 100)           # least size of a set that links
+    likely = stages.put(met.filter((F.col("n") > 0) & (F.col("shared") >= 1 + F.floor(other / EXTRA))).select("k"), "likely")
     once = rows.groupBy("k").agg(F.first("text").alias("text"))
-    candidates = stages.put(once.join(touched, "k"), "candidates")
+    candidates = stages.put(once.join(likely, "k"), "candidates")
     counts = (candidates.mapInArrow(send_tokens(n, sent), TOKENS).groupBy("bucket").applyInArrow(recount(n), PLACES)
               .groupBy("bucket").applyInArrow(by_text, "k long, p binary, c binary"))
     close = stages.put(candidates.join(counts, "k", "left").select("k", "text", "p", "c")
                        .mapInArrow(send_rare_prefixes(n, percent, sent), ENTRY).groupBy("bucket").applyInArrow(meet(n, percent), FOUND)
-                       .groupBy("bucket").applyInArrow(settle, link), "close")
-    coarse = common.connected_components(close.filter("b IS NOT NULL").select("a", "b"), stages, "coarse")
+                       .groupBy("bucket").applyInArrow(settle, "a long, b long"), "close")
+    coarse = common.connected_components(close, stages, "coarse")
     coarse = coarse.select(F.col("node").alias("k"), "root").join(sizes, "k")
     total = coarse.agg(F.sum("n")).first()[0]
     if not total:
