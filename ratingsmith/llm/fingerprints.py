@@ -35,7 +35,7 @@ WIDTH = 5
 #: Kept share of the hash space, as the first hash that is not kept (hexadecimal), and hash length.
 BOUND, DIGITS = "2", 12
 #: Text bytes of one id range, equal-width cells the ids are counted in, and a bound on ranges.
-RANGE_BYTES, CELLS, RANGES = 16 << 20, 4096, 200_000
+RANGE_BYTES, CELLS, RANGES = 4 << 20, 4096, 200_000
 
 
 def hashes(words: Column) -> Column:
