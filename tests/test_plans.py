@@ -32,16 +32,24 @@ def test_top_k_uses_partial_group_limit(spark):
     assert plan.count("WindowGroupLimit") >= 2          # one before and one after the shuffle
 
 
-def test_rows_shuffled_once_by_item_and_split_key(spark):
+def _windows(plan: str, column: str) -> list[str]:
+    return [line for line in plan.splitlines() if " Window [" in line and column in line]
+
+
+def test_running_rows_are_windowed_once_by_entity_and_group(spark):
     plan = _plan(catalog.QUERIES["running_stats"](spark, SF))
-    # one row-level window keyed by (item, split key); cold items have a NULL split key
-    row_windows = [line for line in plan.splitlines()
-                   if "Window [count(rating" in line and "_w_cnt" in line]
-    assert len(row_windows) == 1 and "windowspecdefinition(movieId#" in row_windows[0]
-    assert "_rs_pk" in row_windows[0].split("windowspecdefinition(")[1].split(",")[1]
-    # the offsets meet the rows on the same keys, and the hot list is broadcast
-    assert plan.count("Exchange hashpartitioning(movieId#") >= 2 and "_rs_pk" in plan
-    assert "BroadcastExchange" in plan and "LeftSemi" in plan
+    rows = [w for w in _windows(plan, "windowspecdefinition") if "AS _run_c" in w]
+    assert len(rows) == 1
+    keys = rows[0].split("windowspecdefinition(")[1]
+    assert keys.startswith("_rs_entity") and "_rs_group" in keys.split(",")[1]
+    assert "CartesianProduct" not in plan
+
+
+def test_rolling_windows_run_over_daily_totals_only(spark):
+    plan = _plan(catalog.QUERIES["rolling_30d_stats"](spark, SF))
+    windows = [line for line in plan.splitlines() if " Window [" in line]
+    assert len(windows) == 1 and "_roll_c" in windows[0]
+    assert "HashAggregate" in plan[plan.index(windows[0]):]
 
 
 def test_similarity_has_no_cartesian_product(spark):
