@@ -230,7 +230,7 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", n_tok
 
     rows = _columns(df, text)
     shape = T.StructType([rows.schema["row"], T.StructField("ids", T.BinaryType()), T.StructField("n", T.LongType())])
-    return common.restore(df.drop(text) if text != ids else df, rows.mapInArrow(run, shape), {ids: "ids", n_tokens: "n"})
+    return common.restore(df.drop(text) if text != ids else df, rows.mapInArrow(common.map_batches(run), shape), {ids: "ids", n_tokens: "n"})
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
@@ -247,4 +247,4 @@ def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded")
 
     rows = _columns(df, ids)
     shape = T.StructType([rows.schema["row"], T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.BinaryType())])
-    return common.restore(df, rows.mapInArrow(run, shape), {ids: "ids", decoded: "decoded"})
+    return common.restore(df, rows.mapInArrow(common.map_batches(run), shape), {ids: "ids", decoded: "decoded"})

@@ -7,9 +7,11 @@ read by all of them.
 
 from __future__ import annotations
 
+import ctypes
 import math
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -24,6 +26,34 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system; Python workers stay alive between tasks and would hold it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def map_batches(run):
+    """``run`` for ``mapInArrow``, releasing memory when a task ends."""
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+    return task
+
+
+def map_group(run):
+    """``run`` for ``applyInArrow``, releasing memory after a group."""
+    def group(tbl: pa.Table) -> pa.Table:
+        out = run(tbl)
+        del tbl
+        release_memory()
+        return out
+    return group
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -45,7 +75,7 @@ class Stages:
 
     def __init__(self, spark: SparkSession, name: str):
         ensure_checkpoint_dir(spark)
-        self.spark = spark
+        self.spark, self.names = spark, set()
         self.root = workspace(spark, "llm", f"{name}-{uuid.uuid4().hex}")
 
     def path(self, name: str) -> str:
@@ -54,12 +84,18 @@ class Stages:
     def put(self, df: DataFrame, name: str) -> DataFrame:
         path = self.path(name)
         df.write.option("compression", "zstd").parquet(path)
+        self.names.add(name)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, name: str) -> None:
         jvm = self.spark._jvm
         path = jvm.org.apache.hadoop.fs.Path(self.path(name))
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        self.names.discard(name)
+
+    def drop_others(self, *kept: str) -> None:
+        for name in self.names - set(kept):
+            self.drop(name)
 
 
 #: Hash buckets of a packed exchange.  A task sends one row a bucket, so more of them would

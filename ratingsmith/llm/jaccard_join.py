@@ -63,8 +63,8 @@ EXTRA = 16
 BITS, LEAF, FAN = 4096, 8, 8
 #: Frequent shingles in the broadcast order (9 bytes each).
 FREQUENT = 2_000_000
-#: Documents and shingles of one tile, entries a task gathers, entries of one bucket.
-TILE, TILE_TOKENS, FLUSH, BUCKET = 1024, 1_000_000, 4_000_000, 1_500_000
+#: Documents and shingles of one tile, entries a task gathers (shingles when it only counts), entries of one bucket.
+TILE, TILE_TOKENS, FLUSH, COUNTED_AT_ONCE, BUCKET = 1024, 1_000_000, 1_500_000, 3_000_000, 1_500_000
 
 COUNTS = packed.schema("h", "c")
 SHARED, COUNTED = packed.schema("h", "k", "lo", "hi", "f", "ck", "cc", "mk", "mn"), packed.schema("ck", "cc", "mk", "mn")
@@ -149,7 +149,7 @@ def count_shingles(n_buckets: int):
                 _, g, _ = _each_text_once(k, g, n, seen)
                 held.append(g)
                 count += len(g)
-                if count >= FLUSH:
+                if count >= COUNTED_AT_ONCE:
                     yield send()
                     held, count, seen = [], 0, set()
         if held:
@@ -182,8 +182,8 @@ class Order:
 
 def frequent(rows: DataFrame, n_buckets: int, stages: common.Stages, most: int) -> Order:
     """The at most ``most`` shingles of the highest count levels."""
-    found = stages.put(rows.mapInArrow(count_shingles(n_buckets), COUNTS).groupBy("bucket")
-                       .applyInArrow(add_counts, "h long, level int"), "counts")
+    found = stages.put(rows.mapInArrow(common.map_batches(count_shingles(n_buckets)), COUNTS).groupBy("bucket")
+                       .applyInArrow(common.map_group(add_counts), "h long, level int"), "counts")
     total, least = 0, 99
     for level, n in sorted(((r["level"], r["count"]) for r in found.groupBy("level").count().collect()), reverse=True):
         if total + n > most:
@@ -205,9 +205,9 @@ def _fitting_runs(h: np.ndarray, lo: np.ndarray, hi: np.ndarray, percent: int) -
     h, lo, hi = h[order], lo[order], hi[order]
     new = np.ones(len(h), bool)
     new[1:] = h[1:] != h[:-1]
-    base = np.cumsum(new) << 33
+    base = np.cumsum(new, dtype=np.int64) << 33
     most = np.maximum.accumulate(hi + base) - base            # largest size so far under this hash
-    new[1:] |= 100 * most[:-1] < percent * lo[1:]
+    new[1:] |= 100 * most[:-1] < percent * lo[1:].astype(np.int64)
     return order, np.flatnonzero(new)
 
 
@@ -261,6 +261,7 @@ def send_shared(n_buckets: int, percent: int, sent):
 
         def send():
             hs, ks, n = np.concatenate(h), np.concatenate(k), np.concatenate(size)
+            h.clear(), k.clear(), size.clear()
             order, first = _fitting_runs(hs, n, n, percent)
             hs, ks, n = hs[order], ks[order], n[order]
             many = packed.run_sizes(first, len(hs))
@@ -279,7 +280,7 @@ def send_shared(n_buckets: int, percent: int, sent):
                 g, row = _prefixes(g, n, sent.value.levels(g), percent, further=True)
                 h.append(g)
                 k.append(key[row])
-                size.append(n[row])
+                size.append(n[row].astype(np.int32))
                 keys.append(key)
                 sizes.append(n)
                 count += len(g)
@@ -577,19 +578,19 @@ def components(df: DataFrame, text: str = "text", percent: int = PERCENT, freque
     n = common.parts(spark, common.text_bytes(df, F.col(common.quoted(text))) / 6 * (100 - percent) / 100, BUCKET)
 
     sent = spark.sparkContext.broadcast(frequent(rows, n, stages, frequent_shingles))
-    met = stages.put(rows.mapInArrow(send_shared(n, percent, sent), SHARED)
-                     .groupBy("bucket").applyInArrow(count_shared(n, percent), COUNTED)
-                     .groupBy("bucket").applyInArrow(sizes_and_shares, "k long, n long, shared long"), "met")
+    met = stages.put(rows.mapInArrow(common.map_batches(send_shared(n, percent, sent)), SHARED)
+                     .groupBy("bucket").applyInArrow(common.map_group(count_shared(n, percent)), COUNTED)
+                     .groupBy("bucket").applyInArrow(common.map_group(sizes_and_shares), "k long, n long, shared long"), "met")
     sizes = met.select("k", "n")
     other = F.floor((F.col("n") * percent + 99) / 100)           # least size of a set that links
     likely = stages.put(met.filter((F.col("n") > 0) & (F.col("shared") >= 1 + F.floor(other / EXTRA))).select("k"), "likely")
     once = rows.groupBy("k").agg(F.first("text").alias("text"))
     candidates = stages.put(once.join(likely, "k"), "candidates")
-    counts = (candidates.mapInArrow(send_tokens(n, sent), TOKENS).groupBy("bucket").applyInArrow(recount(n), PLACES)
-              .groupBy("bucket").applyInArrow(by_text, "k long, p binary, c binary"))
+    counts = (candidates.mapInArrow(common.map_batches(send_tokens(n, sent)), TOKENS).groupBy("bucket").applyInArrow(common.map_group(recount(n)), PLACES)
+              .groupBy("bucket").applyInArrow(common.map_group(by_text), "k long, p binary, c binary"))
     close = stages.put(candidates.join(counts, "k", "left").select("k", "text", "p", "c")
-                       .mapInArrow(send_rare_prefixes(n, percent, sent), ENTRY).groupBy("bucket").applyInArrow(meet(n, percent), FOUND)
-                       .groupBy("bucket").applyInArrow(settle, "a long, b long"), "close")
+                       .mapInArrow(common.map_batches(send_rare_prefixes(n, percent, sent)), ENTRY).groupBy("bucket").applyInArrow(common.map_group(meet(n, percent)), FOUND)
+                       .groupBy("bucket").applyInArrow(common.map_group(settle), "a long, b long"), "close")
     coarse = common.connected_components(close, stages, "coarse")
     coarse = coarse.select(F.col("node").alias("k"), "root").join(sizes, "k")
     total = coarse.agg(F.sum("n")).first()[0]
@@ -601,7 +602,7 @@ def components(df: DataFrame, text: str = "text", percent: int = PERCENT, freque
     stages.drop("candidates")
     run = tile_join(percent)
     alone = members.withColumns({"comp": F.col("k"), "fresh": F.lit(True)})
-    local = stages.put(alone.groupBy("g").applyInArrow(run, TILED), "local")
+    local = stages.put(alone.groupBy("g").applyInArrow(common.map_group(run), TILED), "local")
     links = [local.select(F.col("k").alias("a"), F.col("comp").alias("b")).filter("a <> b")]
     large = placed.filter("tiles > 1").select("root", "tiles").distinct()
     if not large.isEmpty():
@@ -625,7 +626,7 @@ def _large_groups(members: DataFrame, local: DataFrame, large: DataFrame, n_smal
         now = members.join(reps, "k", "left_semi").select("k", "text", "root", "n")
         now = _tiles(now, step, n_small).withColumns({"comp": F.col("k"), "fresh": F.lit(True)})
         one = now.filter("tiles > 1").isEmpty()
-        got = stages.put(now.groupBy("g").applyInArrow(run, TILED), f"level{step}")
+        got = stages.put(now.groupBy("g").applyInArrow(common.map_group(run), TILED), f"level{step}")
         links.append(got.select(F.col("k").alias("a"), F.col("comp").alias("b")).filter("a <> b"))
         reps = stages.put(got.filter("k = comp").select("k"), f"reps{step}")
         before, left = left, reps.count()
@@ -653,7 +654,7 @@ def _large_groups(members: DataFrame, local: DataFrame, large: DataFrame, n_smal
                  .select(*cols, "g", "c", F.lit(False).alias("fresh")))
     rest_side = (rest.join(cut, "root").withColumn("c", F.pmod(F.xxhash64("k", F.lit(77)), F.col("cuts")))
                  .drop("g").join(tiles, "root").select(*cols, "g", "c", F.lit(True).alias("fresh")))
-    got = tile_side.unionAll(rest_side).groupBy("g", "c").applyInArrow(run, TILED)
+    got = tile_side.unionAll(rest_side).groupBy("g", "c").applyInArrow(common.map_group(run), TILED)
     links.append(stages.put(got.select(F.col("was").alias("a"), F.col("comp").alias("b")).filter("a <> b"), "cross"))
     return links
 
@@ -675,6 +676,7 @@ def representatives(df: DataFrame, text: str = "text", doc_id: str = "doc_id", p
     keep = (F.col("n") == 0) | F.col("doc").eqNullSafe(F.col("id"))
     rows = (df.select(common.others(df).alias("row"), common.text_key(text).alias("k"), F.col(common.quoted(doc_id)).alias("doc"))
             .join(chosen, "k").filter(keep))
+    stages.drop_others("chosen")
     ties = stages.put(ids.withColumnRenamed("id", "doc").join(chosen.filter("n > 0"), "k").filter(keep)
                       .groupBy("k").count().filter("count > 1").select("k"), "ties")
     if not ties.isEmpty():
@@ -693,6 +695,7 @@ def join(df: DataFrame, text: str = "text", doc_id: str = "doc_id", n_shingles:
     least = (ids.groupBy("k").agg(F.min("id").alias("id")).join(found, "k")
              .groupBy("comp").agg(F.min("id").alias("least")))
     of_text = stages.put(found.join(least, "comp").select("k", "n", "least"), "of_text")
+    stages.drop_others("of_text")
     rows = df.select(common.others(df).alias("row"), common.text_key(text).alias("k")).join(of_text, "k")
     own = F.when(F.col("n") == 0, F.col("row").getField(doc_id)).otherwise(F.col("least"))
     return common.restore(df, rows.select("row", "n", own.alias("least")), {n_shingles: "n", component: "least"})

@@ -145,13 +145,13 @@ def fit(df: DataFrame, text: str = "text", label: str = "lang", per_label: int =
                      F.col(common.quoted(text)).alias("text"), order.alias("o")).filter("label IS NOT NULL AND text IS NOT NULL")
     stages = common.Stages(spark, "language")
     sample = common.bounded_sample(rows, "label", "o", per_label, stages).select("label", "text")
-    feats = stages.put(sample.mapInArrow(_sparse, "label string, idx binary, val binary"), "sample")
+    feats = stages.put(sample.mapInArrow(common.map_batches(_sparse), "label string, idx binary, val binary"), "sample")
 
     def presence(tbl: pa.Table) -> pa.Table:
         return pa.table({"label": tbl["label"][:1], "n": pa.array([tbl.num_rows], pa.int64()),
                          "df": pa.array([(_dense(tbl) > 0).sum(axis=0).astype(np.int64).tobytes()], pa.binary())})
 
-    seen = feats.groupBy("label").applyInArrow(presence, "label string, n long, df binary").collect()
+    seen = feats.groupBy("label").applyInArrow(common.map_group(presence), "label string, n long, df binary").collect()
     docs = sum(r.n for r in seen)
     count = sum((np.frombuffer(r.df, np.int64) for r in seen), np.zeros(DIMS, np.int64))
     idf = (np.log((1 + docs) / (1 + count)) + 1).astype(np.float32)
@@ -163,7 +163,7 @@ def fit(df: DataFrame, text: str = "text", label: str = "lang", per_label: int =
         return pa.table({"label": pa.array([tbl["label"][0].as_py()] * len(c), pa.string()),
                          "centre": pa.array([v.tobytes() for v in c], pa.binary()), "radius": pa.array(radius, pa.float64())})
 
-    found = feats.groupBy("label").applyInArrow(centres, "label string, centre binary, radius double").collect()
+    found = feats.groupBy("label").applyInArrow(common.map_group(centres), "label string, centre binary, radius double").collect()
     stages.drop("sample")
     found.sort(key=lambda r: r.label)
     c = np.stack([np.frombuffer(r.centre, np.float32) for r in found]) if found else np.zeros((0, DIMS), np.float32)
@@ -193,4 +193,4 @@ def predict(df: DataFrame, model: Model, text: str = "text", lang: str = "lang_p
     rows = df.select(common.others(df, text).alias("row"), F.col(common.quoted(text)).alias("text"))
     shape = T.StructType([rows.schema["row"], T.StructField("lang", T.StringType()),
                           T.StructField("score", T.DoubleType()), T.StructField("far", T.BooleanType())])
-    return common.restore(df.drop(text), rows.mapInArrow(run, shape), {lang: "lang", score: "score", rejected: "far"})
+    return common.restore(df.drop(text), rows.mapInArrow(common.map_batches(run), shape), {lang: "lang", score: "score", rejected: "far"})

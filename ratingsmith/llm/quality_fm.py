@@ -204,10 +204,9 @@ def fit(df: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc
     size = F.col(common.quoted(length)).cast("double") if length else F.lit(None).cast("double")
     rows = df.select(F.col(common.quoted(doc_id)).alias("id"), F.col(common.quoted(text)).alias("text"), size.alias("length"))
     rows = rows.join(F.broadcast(chosen), "id")                     # at most 2 * per_class ids
-    feats = rows.mapInArrow(_sample, "id long, y int, idx binary, val binary, stats binary")
+    feats = rows.mapInArrow(common.map_batches(_sample), "id long, y int, idx binary, val binary, stats binary")
     once = feats.groupBy("id").agg(*(F.min(c).alias(c) for c in ("y", "idx", "val", "stats")))
-    got = once.groupBy(F.lit(0).alias("all")).applyInArrow(
-        lambda t: _train_group(t), ", ".join(f"{c} binary" for c in PARTS)).collect()
+    got = once.groupBy(F.lit(0).alias("all")).applyInArrow(common.map_group(_train_group), ", ".join(f"{c} binary" for c in PARTS)).collect()
     if not got:
         return untrained()
     r = got[0]
@@ -235,6 +234,6 @@ def score(df: DataFrame, model: Model, text: str = "text", length: str | None =
     size = F.col(common.quoted(length)).cast("double") if length else F.lit(None).cast("double")
     rows = df.select(common.others(df, text).alias("row"), F.col(common.quoted(text)).alias("text"), size.alias("length"))
     shape = T.StructType([rows.schema["row"], *[rows.schema["text"]] * keep_text, T.StructField("score", T.DoubleType())])
-    out = rows.mapInArrow(run, shape)
+    out = rows.mapInArrow(common.map_batches(run), shape)
     return (common.restore(df, out, {text: "text", score: "score"}) if keep_text
             else common.restore(df.drop(text), out, {score: "score"}))

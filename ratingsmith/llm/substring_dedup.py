@@ -139,8 +139,8 @@ def gather(tbl: pa.Table) -> pa.Table:
 
 def places(sent: DataFrame, n: int) -> DataFrame:
     """Exchanged entries -> ``(k, places)``: where a text has hashes that occur twice or more."""
-    return (sent.groupBy("bucket").applyInArrow(repeated(n), ANSWER)
-            .groupBy("bucket").applyInArrow(gather, "k long, places binary"))
+    return (sent.groupBy("bucket").applyInArrow(common.map_group(repeated(n)), ANSWER)
+            .groupBy("bucket").applyInArrow(common.map_group(gather), "k long, places binary"))
 
 
 class Gathered:
@@ -278,13 +278,13 @@ def remove_repeats(df: DataFrame, text: str = "text", n_words: str = "n_words",
     src = df.select(common.others(df, text).alias("row"), F.col(text).alias("text"),
                     common.text_key(text).alias("k"))
     n = common.parts(spark, common.text_bytes(df, text) / 6 * len(cover) / period, BUCKET)
-    sent = src.select("k", "text").mapInArrow(send_anchors(n, window, period, anchor, cover), ENTRY)
+    sent = src.select("k", "text").mapInArrow(common.map_batches(send_anchors(n, window, period, anchor, cover)), ENTRY)
     cand = stages.put(places(sent, n), "candidates")
-    sent = src.select("k", "text").join(cand, "k").mapInArrow(send_windows(n, window, anchor), ENTRY)
+    sent = src.select("k", "text").join(cand, "k").mapInArrow(common.map_batches(send_windows(n, window, anchor)), ENTRY)
     found = stages.put(places(sent, n), "repeats")
     stages.drop("candidates")
     rows = src.join(found, "k", "left").select("row", "text", "places")
     shape = T.StructType([rows.schema["row"], T.StructField("kept", T.StringType()),
                           T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
-    done = rows.mapInArrow(keep_words(window), shape)
+    done = rows.mapInArrow(common.map_batches(keep_words(window)), shape)
     return common.restore(df, done, {text: "kept", n_words: "n_words", n_removed: "n_removed"})

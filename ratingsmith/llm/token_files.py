@@ -191,7 +191,7 @@ def write(df: DataFrame, folder: str, path: str, end_id: int, text: str = "text"
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)],
                                          names=["part", "seq", "docs", "n_ids", "bytes"])
 
-    return rows.mapInArrow(run, INDEX)
+    return rows.mapInArrow(common.map_batches(run), INDEX)
 
 
 def read(spark: SparkSession, folder: str) -> DataFrame:
@@ -215,7 +215,7 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
                      pa.array(ends - sizes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(crc, pa.int64())],
                     names=["part", "seq", "place", "doc_id", "before", "n_tokens", "ids_crc32"])
 
-    return files.mapInArrow(run, DOCS)
+    return files.mapInArrow(common.map_batches(run), DOCS)
 
 
 def starts(index: DataFrame) -> DataFrame:

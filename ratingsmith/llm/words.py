@@ -21,7 +21,7 @@ MASK = (1 << 64) - 1
 BYTE_MUL = 0x5851F42D4C957F2D
 WORD_MULS = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 #: Bytes of text hashed at once.
-SEGMENT = 1 << 20
+SEGMENT = 1 << 19
 
 _powers: dict[int, np.ndarray] = {}
 
