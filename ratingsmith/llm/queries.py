@@ -125,6 +125,47 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+def _url_sql() -> str:
+    """The same models in SQL: rules, gram counts, interpolation order by order, and the best split."""
+    longest = sorted(URL_RULES, key=lambda r: -len(r[0] + r[1]))
+    fits = [f"WHEN (host = '{h}' OR host LIKE '%.{h}') AND starts_with(path, '{p}') THEN" for h, p, _ in longest]
+    rule = " ".join(f"{f} '{h}{p}'" for f, (h, p, _) in zip(fits, longest, strict=True))
+    given = " ".join(f"{f} '{v}'" for f, (_, _, v) in zip(fits, longest, strict=True))
+    k, m = url_filter.ORDER, url_filter.STRENGTH
+    steps = [f"q AS (SELECT DISTINCT g, {1 / url_filter.ALPHABET}::DOUBLE AS pa, {1 / url_filter.ALPHABET}::DOUBLE AS pb FROM g)"]
+    for j in range(k + 1):
+        before = "q" if j == 0 else f"q{j - 1}"
+        steps.append(f"""q{j} AS (SELECT q.g, (coalesce(n.a, 0) + {m}::DOUBLE * q.pa) / (coalesce(t.a, 0) + {m}::DOUBLE) AS pa,
+               (coalesce(n.b, 0) + {m}::DOUBLE * q.pb) / (coalesce(t.b, 0) + {m}::DOUBLE) AS pb FROM {before} q
+          LEFT JOIN (SELECT substr(g, {k + 1 - j}) AS e, sum(a) AS a, sum(b) AS b FROM c GROUP BY 1) n ON n.e = substr(q.g, {k + 1 - j})
+          LEFT JOIN (SELECT substr(g, {k + 1 - j}, {j}) AS x, sum(a) AS a, sum(b) AS b FROM c GROUP BY 1) t
+                 ON t.x = substr(q.g, {k + 1 - j}, {j}))""")
+    return rf"""
+WITH p AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages),
+h AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM p),
+r AS (SELECT *, host || path AS s, CASE {rule} END AS rule, CASE {given} END AS given FROM h),
+u AS (SELECT s, any_value(given) AS label, ('0x' || substr(md5(s), 1, 8))::BIGINT % 5 AS fold FROM r WHERE s <> '' GROUP BY s),
+g AS (SELECT s, unnest(list_transform(range(1, length(s) + 2), lambda i: substr(repeat(chr(2), {k}) || s || chr(3), i, {k + 1}))) AS g FROM u),
+c AS (SELECT g, count(*) FILTER (WHERE label = 'allow') AS a, count(*) FILTER (WHERE label = 'block') AS b
+      FROM g JOIN u USING (s) WHERE fold > 0 AND label IS NOT NULL GROUP BY g),
+{", ".join(steps)},
+z AS (SELECT s, avg(ln(pa) - ln(pb)) AS score FROM g JOIN q{k} USING (g) GROUP BY s),
+b AS (SELECT floor(score * {url_filter.BINS}) AS bin, count(*) FILTER (WHERE label = 'allow') AS a,
+             count(*) FILTER (WHERE label = 'block') AS b FROM z JOIN u USING (s) WHERE fold = 0 AND label IS NOT NULL GROUP BY 1),
+d AS (SELECT bin, lead(bin) OVER w AS nxt, (sum(a) OVER () - sum(a) OVER w) / sum(a) OVER ()
+             + (sum(b) OVER w) / sum(b) OVER () AS good FROM b WINDOW w AS (ORDER BY bin)),
+y AS (SELECT (min(bin) + 1 + max(nxt)) / 2.0 / {url_filter.BINS} AS least FROM d
+      WHERE good = (SELECT max(good) FROM d) AND nxt IS NOT NULL)
+SELECT page_id, host, path, rule, coalesce(given, CASE WHEN coalesce(score, 0) >= coalesce(least, 0) THEN 'allow' ELSE 'block' END) AS verdict,
+       coalesce(score, 0)::DOUBLE AS score
+FROM r LEFT JOIN z USING (s) CROSS JOIN (SELECT max(least) AS least FROM y)
+"""
+
+
+ORACLE["op3_url_filter"] = _url_sql()
+
+
 @query
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "source", "text")

@@ -54,6 +54,11 @@ def rule_of(host: Column, path: Column, rules: list[Rule]) -> tuple[Column, Colu
     return rule, verdict
 
 
+def fold_of(s: Column) -> Column:
+    """One of five folds by the first 32 bits of MD5; fold 0 is held out."""
+    return F.conv(F.substring(F.md5(s), 1, 8), 16, 10).cast("long") % 5
+
+
 def grams(urls: DataFrame) -> DataFrame:
     """``s, g``: the grams of ORDER + 1 characters that end at each character of a URL, and at its end."""
     padded = F.concat(F.lit("\x02" * ORDER), F.col("s"), F.lit("\x03"))
@@ -102,7 +107,7 @@ def judge(df: DataFrame, rules: list[Rule], url: str = "url") -> DataFrame:
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     rows = rows.withColumns({"rule": rule, "given": verdict, "s": F.concat("host", "path")})
     urls = rows.filter("s <> ''").groupBy("s").agg(F.first("given").alias("label"))
-    urls = stages.put(urls.withColumn("fold", F.pmod(F.xxhash64("s"), F.lit(5))), "urls")
+    urls = stages.put(urls.withColumn("fold", fold_of(F.col("s"))), "urls")
     spread = grams(urls.select("s"))
     train = F.col("fold") > 0
     counted = (grams(urls.filter(train & F.col("label").isNotNull())).join(urls.select("s", "label"), "s")

@@ -85,7 +85,7 @@ def test_scores_equal_brute_force_and_separate_the_classes(spark):
                   | {"http://casino7.net/win", "http://good3.net/news", "http://x.net/é"})
     rules = [("org", "/", "allow"), ("bet", "/", "block")]
     df = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
-    rows = url_filter.judge(df, rules).withColumn("fold", F.pmod(F.xxhash64(F.concat("host", "path")), F.lit(5))).collect()
+    rows = url_filter.judge(df, rules).withColumn("fold", url_filter.fold_of(F.concat("host", "path"))).collect()
     label = {r.host + r.path: r.verdict if r.rule else None for r in rows}
     fold = {r.host + r.path: r.fold for r in rows}
     want = brute_scores(list(label), label, fold)
