@@ -11,6 +11,7 @@ import ctypes
 import math
 import uuid
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -135,6 +136,37 @@ def bounded_sample(df: DataFrame, group: str, order: str, most: int, stages: Sta
     return few.withColumn("_rank", rank).filter(F.col("_rank") <= most).drop("_rank")
 
 
+#: Bits of a key bitmap (8 MB): a fixed size that is sent to every task.
+KEY_BITS = 26
+
+
+def key_bitmap(keys: DataFrame) -> np.ndarray:
+    """Bitmap of the low KEY_BITS bits of ``k``; built in Spark, at most 8 MB reach the driver.
+
+    It tells most texts without a partner from the others before anything is shuffled.
+    A full bitmap only saves less; what passes is joined exactly.
+    """
+    at = F.pmod("k", F.lit(1 << KEY_BITS)) + 1
+    rows = keys.groupBy(F.bitmap_bucket_number(at).alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("m"))
+    out = np.zeros((1 << KEY_BITS) // 8, np.uint8)
+    for r in rows.collect():
+        out[(r.b - 1) * 4096:r.b * 4096] = np.frombuffer(r.m, np.uint8)
+    return out
+
+
+def listed(bitmap: np.ndarray, k: np.ndarray) -> np.ndarray:
+    at = k.astype(np.int64).view(np.uint64) & np.uint64((1 << KEY_BITS) - 1)
+    return (bitmap[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+
+def only_listed(sent):
+    """Batches without the rows whose ``k`` is certainly not in the broadcast bitmap."""
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(listed(sent.value, np.asarray(batch["k"]))))
+    return run
+
+
 def connected_components(edges: DataFrame, stages: Stages, tag: str = "cc") -> DataFrame:
     """``(a, b)`` links -> ``(node, root)`` with root the smallest node reachable.
 

@@ -19,7 +19,8 @@ positions are hashed and exchanged, and
 Scale.  Both exchanges are packed (``packed``): a map task sends each distinct
 hash once (its local repeats are answered locally), so a passage that a third of
 all rows share costs one entry a task, and no pairs are ever formed.  Answers
-return by text key; the text joins read staged answers, so Spark can split the
+return by text key.  A bitmap of the answered keys (8 MB, broadcast) keeps texts that
+have none out of the joins; the joins read staged answers, so Spark can split the
 partition of a text with very many copies.
 
 Defined cases.  NULL text: no words, kept text is empty.  Fewer than 35 words:
@@ -220,12 +221,19 @@ def send_windows(n: int, window: int, anchor: int):
     return run
 
 
-def keep_words(window: int):
-    """Replaces texts by their kept words and adds the counts, given the repeated window starts."""
+def keep_words(window: int, sent=None):
+    """Replaces texts by their kept words and adds the counts, given the repeated window starts.
+
+    With a broadcast bitmap only texts without repeats are handled, the others are left out.
+    """
     def run(batches):
         for batch in batches:
             kept, total, gone = [], [], []
-            marks = batch["places"]
+            if sent is None:
+                marks = batch["places"]
+            else:
+                batch = batch.filter(pa.array(~common.listed(sent.value, np.asarray(batch["k"]))))
+                marks = pa.nulls(batch.num_rows, pa.binary())
             for at, rows, buf, starts in words.buffers(batch["text"]):
                 s, e = words.spans(buf)
                 first = words.per_row(starts, s)
@@ -280,11 +288,16 @@ def remove_repeats(df: DataFrame, text: str = "text", n_words: str = "n_words",
     n = common.parts(spark, common.text_bytes(df, text) / 6 * len(cover) / period, BUCKET)
     sent = src.select("k", "text").mapInArrow(common.map_batches(send_anchors(n, window, period, anchor, cover)), ENTRY)
     cand = stages.put(places(sent, n), "candidates")
-    sent = src.select("k", "text").join(cand, "k").mapInArrow(common.map_batches(send_windows(n, window, anchor)), ENTRY)
-    found = stages.put(places(sent, n), "repeats")
+    texts, kinds = src.select("k", "text"), "k long, text string"
+    bits = spark.sparkContext.broadcast(common.key_bitmap(cand))
+    near = texts.mapInArrow(common.map_batches(common.only_listed(bits)), kinds).join(cand, "k")
+    found = stages.put(places(near.mapInArrow(common.map_batches(send_windows(n, window, anchor)), ENTRY), n), "repeats")
     stages.drop("candidates")
-    rows = src.join(found, "k", "left").select("row", "text", "places")
+    # texts without repeats are finished where they are read; the others meet their places
+    bits = spark.sparkContext.broadcast(common.key_bitmap(found))
+    rows = src.mapInArrow(common.map_batches(common.only_listed(bits)), src.schema).join(found, "k", "left").select("row", "text", "places")
     shape = T.StructType([rows.schema["row"], T.StructField("kept", T.StringType()),
                           T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
-    done = rows.mapInArrow(common.map_batches(keep_words(window)), shape)
+    done = (rows.mapInArrow(common.map_batches(keep_words(window)), shape)
+            .unionAll(src.mapInArrow(common.map_batches(keep_words(window, bits)), shape)))
     return common.restore(df, done, {text: "kept", n_words: "n_words", n_removed: "n_removed"})
