@@ -153,8 +153,8 @@ c AS (SELECT g, count(*) FILTER (WHERE label = 'allow') AS a, count(*) FILTER (W
 z AS (SELECT s, avg(ln(pa) - ln(pb)) AS score FROM g JOIN q{k} USING (g) GROUP BY s),
 b AS (SELECT floor(score * {url_filter.BINS}) AS bin, count(*) FILTER (WHERE label = 'allow') AS a,
              count(*) FILTER (WHERE label = 'block') AS b FROM z JOIN u USING (s) WHERE fold = 0 AND label IS NOT NULL GROUP BY 1),
-d AS (SELECT bin, lead(bin) OVER w AS nxt, (sum(a) OVER () - sum(a) OVER w) / sum(a) OVER ()
-             + (sum(b) OVER w) / sum(b) OVER () AS good FROM b WINDOW w AS (ORDER BY bin)),
+d AS (SELECT bin, lead(bin) OVER w AS nxt, (sum(a) OVER () - sum(a) OVER w) / nullif(sum(a) OVER (), 0)
+             + (sum(b) OVER w) / nullif(sum(b) OVER (), 0) AS good FROM b WINDOW w AS (ORDER BY bin)),
 y AS (SELECT (min(bin) + 1 + max(nxt)) / 2.0 / {url_filter.BINS} AS least FROM d
       WHERE good = (SELECT max(good) FROM d) AND nxt IS NOT NULL)
 SELECT page_id, host, path, rule, coalesce(given, CASE WHEN coalesce(score, 0) >= coalesce(least, 0) THEN 'allow' ELSE 'block' END) AS verdict,
