@@ -16,10 +16,11 @@ positions are hashed and exchanged, and
    the same way, and windows that occur at least twice are repeated;
 3. the words they cover are removed from the texts.
 
-Scale.  Both exchanges are packed (``packed``): a map task sends each distinct
-hash once (its local repeats are answered locally), so a passage that a third of
-all rows share costs one entry a task, and no pairs are ever formed.  Answers
-return by text key.  A bitmap of the answered keys (8 MB, broadcast) keeps texts that
+Scale.  Both exchanges are packed (``packed``): a map task gathers up to FLUSH
+hashes and sends each distinct one once (local repeats are answered locally, each
+place of a text once), so a passage that a third of all rows share costs one entry
+a gathering, and no pairs are ever formed.  Copies of a text that is gathered
+already are only noted, not gathered again.  Answers return by text key.  A bitmap of the answered keys (8 MB, broadcast) keeps texts that
 have none out of the joins; the joins read staged answers, so Spark can split the
 partition of a text with very many copies.
 
@@ -47,16 +48,19 @@ WINDOW, PERIOD, ANCHOR = 35, 21, 15
 COVER = (0, 1, 4, 14, 16)
 #: Entries a map task gathers before it sends them, and the entries of one bucket.
 FLUSH, BUCKET = 1_500_000, 1_500_000
+#: Texts of one gathering, which bounds the keys that tell copies.
+TEXTS = 300_000
 
 ENTRY = packed.schema("h", "g", "k", "r", "lo", "hi", "f", "ek", "ep")
 ANSWER = packed.schema("k", "p")
 
 
-def entries(h: np.ndarray, g: np.ndarray, k: np.ndarray, p: np.ndarray, n: int) -> Iterator[pa.RecordBatch]:
+def entries(h: np.ndarray, g: np.ndarray, k: np.ndarray, p: np.ndarray, n: int,
+            copied: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
     """Rows for the exchange of hashes (h, g) found at place p of text k; g may be empty.
 
-    A hash that this task saw more than once is sent once, marked as repeated;
-    its places are answered at once (columns ek, ep).
+    A hash that this task saw more than once, or in one of the texts ``copied``, is sent
+    once, marked as repeated; its places are answered at once (columns ek, ep).
     """
     if not len(h):
         return
@@ -67,18 +71,21 @@ def entries(h: np.ndarray, g: np.ndarray, k: np.ndarray, p: np.ndarray, n: int)
         new[1:] |= g[order][1:] != g[order][:-1]
     first = np.flatnonzero(new)
     size = packed.run_sizes(first, len(hs))
-    many = np.repeat(size > 1, size)
-    told = order[many]
+    again = size > 1
+    if copied is not None and len(copied):
+        again |= np.logical_or.reduceat(np.isin(k, copied)[order], first)
+    told = order[np.repeat(again, size)]
     rep = order[first]
     flag = np.zeros(len(h), np.uint8)
-    flag[rep] = (size > 1)
+    flag[rep] = again
     rep = np.sort(rep)                      # back in text order, so runs of k compress
     b = packed.bucket_of(h[rep], n)
     order = np.argsort(b, kind="stable")
     rep, b = rep[order], b[order]
-    eb = (k[told] % U(n)).astype(np.int32)
-    told = told[np.argsort(eb, kind="stable")]
-    eb = np.sort(eb)
+    ek, ep = unique_places(k[told], p[told])        # copies of a text tell the same places
+    eb = (ek % U(n)).astype(np.int32)
+    order = np.argsort(eb, kind="stable")
+    ek, ep, eb = ek[order], ep[order], eb[order]
     rows = []
     for i, j in packed.cuts(b):
         at = rep[i:j]
@@ -89,9 +96,8 @@ def entries(h: np.ndarray, g: np.ndarray, k: np.ndarray, p: np.ndarray, n: int)
                      (p[at] & 0xFFFF).astype(np.uint16).tobytes(), (p[at] >> 16).astype(np.uint16).tobytes(),
                      flag[at].tobytes(), b"", b""))
     for i, j in packed.cuts(eb):
-        at = told[i:j]
         rows.append((int(eb[i]), b"", b"", b"", b"", b"", b"", b"",
-                     k[at].tobytes(), p[at].astype(np.uint32).tobytes()))
+                     ek[i:j].tobytes(), ep[i:j].astype(np.uint32).tobytes()))
     cols = list(zip(*rows, strict=True))
     yield pa.RecordBatch.from_arrays(
         [pa.array(cols[0], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[1:])],
@@ -145,23 +151,33 @@ def places(sent: DataFrame, n: int) -> DataFrame:
 
 
 class Gathered:
-    """Collects arrays until there are enough to send."""
+    """Collects arrays until there are enough to send; the entries of equal texts once."""
 
     def __init__(self, n: int):
         self.n, self.count, self.held = n, 0, []
+        self.texts, self.copied = set(), set()
+
+    def fresh(self, key: int) -> bool:
+        """Whether a text is to be gathered; one that was gathered already is noted as copied."""
+        if key in self.texts:
+            self.copied.add(key)
+            return False
+        self.texts.add(key)
+        return True
 
     def add(self, h, g, k, p) -> Iterator[pa.RecordBatch]:
         if len(h):
             self.held.append((h, g, k, p))
             self.count += len(h)
-            if self.count >= FLUSH:
+            if self.count >= FLUSH or len(self.texts) >= TEXTS:
                 yield from self.flush()
 
     def flush(self) -> Iterator[pa.RecordBatch]:
         if self.held:
             cols = [np.concatenate(c) for c in zip(*self.held, strict=True)]
-            self.held, self.count = [], 0
-            yield from entries(*cols, self.n)
+            copied = np.fromiter(self.copied, U, len(self.copied))
+            self.held, self.count, self.texts, self.copied = [], 0, set(), set()
+            yield from entries(*cols, self.n, copied)
 
 
 def _texts(batch: pa.RecordBatch):
@@ -183,7 +199,8 @@ def send_anchors(n: int, window: int, period: int, anchor: int, cover: tuple[int
                 a = words.window_hashes(h, anchor)
                 pos = words.ragged(count)[:len(a)]
                 row = np.repeat(np.arange(rows), count)[:len(a)]
-                ok = (covered[pos % period] & (pos + anchor <= count[row]) & (count[row] >= window))
+                new = np.array([c >= window and out.fresh(key) for c, key in zip(count.tolist(), keys[at:at + rows].tolist(), strict=True)], bool)
+                ok = (covered[pos % period] & (pos + anchor <= count[row]) & new[row])
                 where = np.flatnonzero(ok)
                 yield from out.add(a[where], a[:0], keys[at + row[where]],
                                    pos[where].astype(np.uint32))
@@ -209,7 +226,7 @@ def send_windows(n: int, window: int, anchor: int):
             for at, rows, _, _, _, h, first in _texts(batch):
                 for i in range(rows):
                     count = int(first[i + 1] - first[i])
-                    if count < window:
+                    if count < window or not out.fresh(int(keys[at + i])):
                         continue
                     w = h[first[i]:first[i + 1]]
                     p = np.frombuffer(marks[at + i].as_buffer(), np.uint32)

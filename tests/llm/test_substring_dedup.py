@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from ratingsmith.llm import substring_dedup as op
@@ -85,3 +87,32 @@ def test_cover_is_checked(spark):
         op.remove_repeats(df, cover=(0, 1, 2))
     with pytest.raises(ValueError):
         op.remove_repeats(df, window=36)
+
+
+def sent(batches, name, dtype):
+    return sum(len(x.as_py()) // dtype().itemsize for b in batches for x in b[name])
+
+
+def test_copies_cost_one_entry_a_gathering():
+    words = prose(random.Random(5), 250, 10**6)
+    n, copies = 8, 400
+    h, p = np.arange(216, dtype=np.uint64) << np.uint64(40), np.arange(216, dtype=np.uint32)
+    got = list(op.entries(np.tile(h, copies), h[:0], np.full(216 * copies, 77, np.uint64), np.tile(p, copies), n))
+    assert (sent(got, "h", np.uint64), sent(got, "ek", np.uint64)) == (216, 216)
+    for texts in ([words] * copies, [words]):
+        batch = pa.RecordBatch.from_pydict({"k": pa.array([-5] * len(texts), pa.int64()), "text": texts})
+        got = list(op.send_anchors(n, op.WINDOW, op.PERIOD, op.ANCHOR, op.COVER)([batch, batch]))
+        anchors = sum(i % op.PERIOD in op.COVER for i in range(250 - op.ANCHOR + 1))
+        assert (sent(got, "h", np.uint64), sent(got, "ek", np.uint64)) == (anchors, anchors)
+
+
+@pytest.mark.parametrize("flush", [op.FLUSH, 100])
+def test_copies_among_other_texts(spark, flush, monkeypatch):
+    monkeypatch.setattr(op, "FLUSH", flush)
+    rng = random.Random(6)
+    one, short = prose(rng, 90), prose(rng, 34)
+    texts = [one] * 40 + [short] * 9 + [prose(rng, 60) for _ in range(9)] + ["x " + " ".join(words_of(one)[20:70])]
+    rng.shuffle(texts)
+    got = {r.doc_id: (r.text, r.n_words, r.n_removed)
+           for r in op.remove_repeats(documents(spark, list(enumerate(texts))).repartition(2)).collect()}
+    assert [got[i] for i in range(len(texts))] == brute(texts, op.WINDOW)
