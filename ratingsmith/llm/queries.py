@@ -64,7 +64,7 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
-    return token_files.round_trip(docs, tokenizer_file("byte_bpe_50k.json"), END_ID)
+    return token_files.round_trip(docs, tokenizer_file("byte_bpe_50k.json"), END_ID, added_tokens=True)
 
 
 def _fold(n: int):

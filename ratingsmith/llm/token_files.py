@@ -1,8 +1,7 @@
 """Token-id files with frequency-ranked, byte-aligned variable-length codes (operator 8).
 
-Texts are encoded with the ``tokenizers`` library (no special tokens; their
-strings in a text are ordinary text), one end id is appended to each document,
-and the ids are written in ascending document order to shard files that are
+Texts are encoded with the ``tokenizers`` library (``add_special_tokens=False``), one
+end id is appended to each document, and the ids are written in ascending document order to shard files that are
 complete in themselves.
 
 Format of a shard (little-endian): 8 bytes magic ``RSVB0001``; six uint64: task
@@ -16,7 +15,10 @@ lengths of four values from one table row, and all of it is numpy indexing.
 
 Encoding.  Distinct pieces of the tokenizer's own pre-tokenisation are encoded
 once by the library and reused (``pretokens``); byte-level BPE never merges across
-pieces, so the ids are those of whole texts.
+pieces, so the ids are those of whole texts.  The library cuts texts at the
+tokenizer's added tokens first; a text that holds the string of one is encoded whole.
+With ``added_tokens`` the ids are those of the library as it stands, which gives one id to
+the string of a special token; without, such a string is ordinary text.
 
 Scale.  One shuffle: rows are range-partitioned by document id and sorted, and
 each task encodes and writes its shards of about SHARD ids.  Shards get their
@@ -56,19 +58,45 @@ INDEX = "part int, seq int, docs long, n_ids long, bytes long"
 DOCS = "part int, seq int, place long, doc_id long, before long, n_tokens long, ids_crc32 long"
 
 
-@functools.lru_cache(maxsize=2)
-def encoder(path: str) -> pretokens.Encoder:
-    """One encoder for each Python worker and tokenizer file."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-    tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
+class Encoder:
+    """Encodes texts by their pieces, and those that hold the string of an added token whole."""
 
-    def new(found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        got = [e.ids for e in tok.encode_batch_fast([p.decode("utf-8") for p in found], add_special_tokens=False)]
+    def __init__(self, path: str, added_tokens: bool):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+        self.tok = Tokenizer.from_file(path)
+        self.tok.encode_special_tokens = not added_tokens
+        self.marks = [t.content.encode() for t in self.tok.get_added_tokens_decoder().values() if added_tokens or not t.special]
+        self.pieces = pretokens.Encoder(self.library)
+
+    def library(self, found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """``(ids of all, ids of each)``."""
+        got = [e.ids for e in self.tok.encode_batch_fast([p.decode("utf-8") for p in found], add_special_tokens=False)]
         count = np.array([len(x) for x in got], np.int64)
         return np.array([i for x in got for i in x], np.int32), count
-    return pretokens.Encoder(new)
+
+    def encode(self, raw: bytes, row_bytes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``(ids of all texts, ids per text)`` of texts joined in ``raw``."""
+        if not any(m in raw for m in self.marks):
+            return self.pieces.encode(raw, row_bytes)
+        ends = np.cumsum(row_bytes)
+        texts = [raw[a:b] for a, b in zip((ends - row_bytes).tolist(), ends.tolist(), strict=True)]
+        whole = np.array([any(m in t for m in self.marks) for t in texts])
+        per = np.zeros(len(texts), np.int64)
+        cut, per[~whole] = self.pieces.encode(b"".join(t for t, w in zip(texts, whole, strict=True) if not w), row_bytes[~whole])
+        got = [self.library([t])[0] for t, w in zip(texts, whole, strict=True) if w]
+        per[whole] = [len(x) for x in got]
+        ids, held = np.zeros(int(per.sum()), np.int32), np.repeat(whole, per)
+        ids[~held] = cut
+        if held.any():
+            ids[held] = np.concatenate(got)
+        return ids, per
+
+
+@functools.lru_cache(maxsize=2)
+def encoder(path: str, added_tokens: bool) -> Encoder:
+    """One encoder for each Python worker and tokenizer file."""
+    return Encoder(path, added_tokens)
 
 
 def pack_values(v: np.ndarray) -> tuple[bytes, bytes]:
@@ -147,14 +175,15 @@ def _put(folder: str, name: str, blob: bytes) -> None:
         files.delete_file(held)
 
 
-def write(df: DataFrame, folder: str, path: str, end_id: int, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def write(df: DataFrame, folder: str, path: str, end_id: int, text: str = "text", doc_id: str = "doc_id",
+          added_tokens: bool = False) -> DataFrame:
     """Writes the shards when the result runs; the result has one row for each shard (INDEX)."""
     common.small_batches(df.sparkSession)
     rows = df.select(F.col(common.quoted(doc_id)).cast("long").alias("doc_id"), F.col(common.quoted(text)).alias("text"))
     rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
 
     def run(batches):
-        enc = encoder(path)
+        enc = encoder(path, added_tokens)
         part, seq = TaskContext.get().partitionId(), 0
         files, base = pafs.FileSystem.from_uri(folder)
         files.create_dir(base, recursive=True)
@@ -228,12 +257,12 @@ def starts(index: DataFrame) -> DataFrame:
 
 
 def round_trip(df: DataFrame, path: str, end_id: int, text: str = "text", doc_id: str = "doc_id",
-               folder: str | None = None) -> DataFrame:
+               folder: str | None = None, added_tokens: bool = False) -> DataFrame:
     """Writes all documents to ``folder`` (or a staged one) and returns what its files hold, with global starts."""
     spark = df.sparkSession
     stages = common.Stages(spark, "tokens")
     folder = folder or stages.path("files")
-    index = stages.put(write(df, folder, path, end_id, text, doc_id), "index")
+    index = stages.put(write(df, folder, path, end_id, text, doc_id, added_tokens), "index")
     if index.isEmpty():
         return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids_crc32 long")
     return (read(spark, folder).join(starts(index), ["part", "seq"])

@@ -7,6 +7,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from ratingsmith.llm import queries
 from ratingsmith.llm import token_files as op
 from tests.llm.helpers import documents
 from tests.llm.test_bpe import random_texts
@@ -67,3 +68,12 @@ def test_files_hold_what_the_library_gives(spark, library, tmp_dir, shard, monke
 def test_empty_table(spark):
     got = op.round_trip(documents(spark, []), PATH, 2)
     assert got.columns == ["doc_id", "start", "n_tokens", "ids_crc32"] and got.count() == 0
+
+
+def test_query_gives_the_ids_of_an_unmodified_library(spark, tmp_dir):
+    mark = "<|endoftext|>"
+    texts = ["a b", f"a {mark} x", mark, f"{mark}{mark}\n don't", "", None, f"é  {mark[:-1]} {mark}日本 ", "<|endof", "text|> after", f"end{mark}"]
+    rows = list(enumerate(texts + random_texts(7, 30, 20))) + [(None, mark)]
+    documents(spark, rows).repartition(2).write.parquet(f"{tmp_dir}/added/documents.parquet")
+    got = queries.QUERIES["op8_token_files"](spark, f"{tmp_dir}/added").collect()
+    assert sorted(map(tuple, got), key=lambda r: r[1]) == want(Tokenizer.from_file(PATH), rows, queries.END_ID)
