@@ -9,6 +9,9 @@ uniform p_{-1} up to order ORDER.  The score is the mean log-likelihood differen
 per character, and the threshold is the one that best separates the accepted and
 rejected URLs of a held-out fifth (the middle of the best range of score bins).
 
+Scope.  The models see host and path only, in training and scoring: URLs that differ
+in scheme, query or fragment alone get one score.
+
 Scale.  The models count distinct URLs (host and path).  A model's value depends
 only on the last ORDER + 1 characters, so the counts are aggregated by such grams,
 the log ratio is computed once per distinct gram, and URLs are joined with that
@@ -18,8 +21,8 @@ a hot URL can be split.
 
 Defined cases.  No held-out URL of either kind: the threshold is 0.  NULL URL, or one without ``://``: host and path are empty, no rule
 fits, the score is 0.  No accepted or no rejected URLs: all scores are 0 and the
-threshold is 0, so the verdict is allow.  Repeated rows get equal verdicts.  URLs
-of any length are scored whole.  Other columns pass through; result columns
+threshold is 0, so the verdict is allow.  Repeated rows get equal verdicts.  Host
+and path of any length are scored whole.  Other columns pass through; result columns
 replace input columns of the same name.  Empty table: empty result.
 """
 
