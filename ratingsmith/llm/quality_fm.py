@@ -14,7 +14,7 @@ over the table; the model (about 300 KB) is broadcast.
 
 Defined cases.  NULL text is scored as the empty text, from its statistics.  NULL
 labels are not learned from; with contradicting labels for an id the lowest
-holds.  No labels at all: score 0.5 everywhere; one class only: the score leans
+holds, and of several rows of a labelled id one is learned from, as a whole.  No labels at all: score 0.5 everywhere; one class only: the score leans
 to it.  A NULL length is a feature of its own.  Texts of any length are counted
 whole.  Other columns pass through; result columns replace input columns of the
 same name.
@@ -205,7 +205,7 @@ def fit(df: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc
     rows = df.select(F.col(common.quoted(doc_id)).alias("id"), F.col(common.quoted(text)).alias("text"), size.alias("length"))
     rows = rows.join(F.broadcast(chosen), "id")                     # at most 2 * per_class ids
     feats = rows.mapInArrow(common.map_batches(_sample), "id long, y int, idx binary, val binary, stats binary")
-    once = feats.groupBy("id").agg(*(F.min(c).alias(c) for c in ("y", "idx", "val", "stats")))
+    once = feats.groupBy("id").agg(F.min(F.struct("y", "idx", "val", "stats")).alias("row")).select("id", "row.*")
     got = once.groupBy(F.lit(0).alias("all")).applyInArrow(common.map_group(_train_group), ", ".join(f"{c} binary" for c in PARTS)).collect()
     if not got:
         return untrained()

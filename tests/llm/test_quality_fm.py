@@ -74,3 +74,13 @@ def test_without_labels(spark, tables):
     docs, labels = tables
     model = op.fit(docs, labels.limit(0))
     assert {r.score for r in op.score(docs, model).collect()} == {0.5}
+
+
+def test_one_whole_row_of_a_labelled_id(spark):
+    """Rows of one id with different texts: the model is that of one of them."""
+    texts = ("one two three", "ten ten ten eleven eleven twelve")
+    base = [(i, ("calm river " if i % 2 else "buy $$$ now ") * (1 + i % 3), 10) for i in range(6)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(7)], "doc_id long, quality int")
+    fit = lambda *t: op.fit(spark.createDataFrame(base + [(6, x, 10) for x in t], "doc_id long, text string, n_chars long"), labels)
+    both, single = fit(*texts), [fit(t) for t in texts]
+    assert any(np.array_equal(both.linear, m.linear) and np.array_equal(both.mean, m.mean) for m in single)
