@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (bpe, common, fingerprints, jaccard_join, language_id, mixing, quality_fm, quality_rules, substring_dedup,
-               token_files, url_filter)
+               token_files, url_filter, whitening)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -270,3 +270,9 @@ k AS (SELECT d.doc_id, d.size, p.source_size, p.target, p.rate, p.shift, row_num
       FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source)
 SELECT doc_id, size, source_size, target, (floor(shift + rate * i) - floor(shift + rate * (i - 1)))::BIGINT * size AS taken FROM k
 """
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = common.table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return whitening.whiten(vectors)
