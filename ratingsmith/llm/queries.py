@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, common, fingerprints, jaccard_join, language_id, mixing, quality_fm, quality_rules, substring_dedup,
+from . import (bpe, common, fingerprints, jaccard_join, language_id, mixing, quality_fm, quality_rules, sharding, substring_dedup,
                token_files, url_filter, whitening)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -272,6 +272,39 @@ SELECT doc_id, size, source_size, target, (floor(shift + rate * i) - floor(shift
 """
 
 
+@query
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    docs = common.table(spark, sf_dir, "documents").select(
+        "doc_id", "source", (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
+    order = mixing.hash32(F.concat_ws(":", F.lit(str(sharding.SEED)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
+                                      F.col("text_crc32").cast("string")))
+    out = sharding.assign(docs, order=F.struct(order.alias("h"), F.col("doc_id"), F.col("text_crc32"), F.col("size")))
+    return out.select("doc_id", "size", "text_crc32", F.lit(sharding.LAW).alias("law"), "shard", "slot",
+                      F.lit(None).cast("int").alias("grown_shard"))
+
+
+# DuckDB has no CRC-32, so the CRC of the text is worked out byte by byte over distinct texts.
+ORACLE["op12_sharding"] = r"""
+WITH RECURSIVE poly AS (SELECT range AS i, list_reduce(list_prepend(range::BIGINT, range(0, 8)),
+       lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384::BIGINT, c >> 1) ELSE c >> 1 END) AS v FROM range(0, 256)),
+tab AS (SELECT list(v ORDER BY i) AS t FROM poly),
+u AS (SELECT DISTINCT coalesce(text, '') AS x FROM documents),
+crc AS (SELECT x, xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT,
+              list_transform(range(0, octet_length(encode(x))), lambda i: ('0x' || substr(hex(encode(x)), 2 * i + 1, 2))::BIGINT)),
+              lambda c, b: xor(t[1 + (xor(c, b) & 255)], c >> 8))) AS c FROM u, tab),
+d AS (SELECT doc_id, source, (octet_length(encode(coalesce(text, ''))) + 16)::BIGINT AS size, c AS text_crc32,
+             CASE WHEN source IS NULL THEN 'n' ELSE 'v' || source END AS s FROM documents JOIN crc ON x = coalesce(text, '')),
+h AS (SELECT *, ('0x' || substr(md5('29:' || coalesce(doc_id::VARCHAR, '') || ':' || text_crc32), 1, 8))::BIGINT AS h,
+             floor(('0x' || substr(md5('29:' || s), 1, 8))::BIGINT / 4194304) / 1024.0::DOUBLE AS u FROM d),
+r AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY h, doc_id NULLS FIRST, text_crc32, size) - 1 AS k,
+             count(*) OVER (PARTITION BY s) AS n FROM h),
+p AS (SELECT *, row_number() OVER (ORDER BY (k + u) / n, s, k) - 1 AS place, count(*) OVER () AS total FROM r)
+SELECT doc_id, size, text_crc32, 'rows' AS law, (place * 40 // total)::INTEGER AS shard,
+       (place - (place * 40 // total * total + 39) // 40)::BIGINT AS slot, NULL::INTEGER AS grown_shard FROM p
+"""
+
+
 @query
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = common.table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
