@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, common, fingerprints, jaccard_join, language_id, mixing, quality_fm, quality_rules, sharding, substring_dedup,
-               token_files, url_filter, whitening)
+from . import (bpe, common, fingerprints, jaccard_join, language_id, mixing, prefix_trie, quality_fm, quality_rules, sharding,
+               substring_dedup, token_files, url_filter, whitening)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -272,6 +272,41 @@ SELECT doc_id, size, source_size, target, (floor(shift + rate * i) - floor(shift
 """
 
 
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stages = common.Stages(spark, "trie")
+    turns = prefix_trie.number(common.table(spark, sf_dir, "conversations"), stages)
+    turns = prefix_trie.branch(turns, stages, lead=F.col("conv") - F.col("conv") % 5,
+                               taken=F.crc32(F.col("conv").cast("string").cast("binary")) % 9, most=8)
+    return prefix_trie.ends_digest(prefix_trie.build(turns, stages))
+
+
+# CRC-32 byte by byte over the digits of distinct ids; every node is counted to all its prefixes.
+ORACLE["op11_prefix_trie"] = r"""
+WITH poly AS (SELECT range AS i, list_reduce(list_prepend(range::BIGINT, range(0, 8)),
+       lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384::BIGINT, c >> 1) ELSE c >> 1 END) AS v FROM range(0, 256)),
+tab AS (SELECT list(v ORDER BY i) AS t FROM poly),
+q AS (SELECT conv_id AS c, list(row(coalesce(role, ''), coalesce(text, ''))
+             ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS s
+      FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+h AS (SELECT c, s, xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT,
+             list_transform(range(1, length(c::VARCHAR) + 1), lambda i: ascii(substr(c::VARCHAR, i, 1))::BIGINT)),
+             lambda a, b: xor(t[1 + (xor(a, b) & 255)], a >> 8))) % 9 AS h FROM q, tab),
+r AS (SELECT h.c, coalesce(l.s[1:h.h], []) || coalesce(h.s[h.h + 1:], []) AS s FROM h LEFT JOIN q l ON l.c = h.c - h.c % 5),
+p AS (SELECT c, s, unnest(range(0, len(s) + 1)) AS d FROM r),
+n AS (SELECT s[1:d] AS x, d, min(c) AS conv_id, count(*) AS n_convs, coalesce(octet_length(encode(s[1:d][d][2])), 0) AS bytes,
+             coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE len(s) = d), '') AS ends FROM p GROUP BY s[1:d], d,
+             coalesce(octet_length(encode(s[1:d][d][2])), 0)),
+k AS (SELECT x[1:d - 1] AS x, count(*) AS kids FROM n WHERE d > 0 GROUP BY 1),
+m AS (SELECT n.*, coalesce(kids, 0) AS kids FROM n LEFT JOIN k ON n.x = k.x),
+u AS (SELECT x[1:a] AS x, sum((kids = 0)::INT)::BIGINT AS n_leaves, sum((n_convs - 1) * bytes)::BIGINT AS saved_tokens
+      FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM m) GROUP BY 1)
+SELECT m.conv_id, m.d::BIGINT AS depth, o.conv_id AS parent_conv_id, m.n_convs, m.kids AS n_children, n_leaves, saved_tokens,
+       sha256(m.ends) AS ends_sha256
+FROM m JOIN u ON m.x = u.x LEFT JOIN n o ON m.d > 0 AND o.x = m.x[1:m.d - 1]
+"""
+
+
 @query
 def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
