@@ -3,7 +3,7 @@
 Ratings are reduced per item before they meet the item dimension, so the
 join and the genre explode see one row per (item, group) instead of one row
 per rating.  Sums of half-star ratings are exact, so the pre-aggregated
-averages equal a direct ``avg``.
+averages equal a direct ``avg``.  Every function also takes ``year_totals`` in place of the ratings.
 """
 
 from __future__ import annotations
@@ -14,6 +14,9 @@ from ratingsmith.functions import decade_of, half_up, safe_divide
 
 
 def _reduce(df: DataFrame, keys, measure: str) -> DataFrame:
+    """Count and sum per key, from rows or from ``year_totals``."""
+    if {"n", "total"} <= set(df.columns):
+        return df.groupBy(*keys).agg(F.sum("n").alias("_n"), F.sum("total").alias("_s"))
     return df.groupBy(*keys).agg(F.count(measure).alias("_n"),
                                  F.sum(F.col(measure).cast("double")).alias("_s"))
 
@@ -35,6 +38,11 @@ def group_trends(ratings: DataFrame, items: DataFrame, item: str = "movieId",
     return out.orderBy(group_name, by) if sort else out
 
 
+def year_totals(ratings: DataFrame, item: str = "movieId", by: str = "rating_year", measure: str = "rating") -> DataFrame:
+    """``item, by, n, total``: additive state that trends, item statistics and counts can be worked out from."""
+    return ratings.groupBy(item, by).agg(F.count(measure).alias("n"), F.sum(F.col(measure).cast("double")).alias("total"))
+
+
 def item_stats(ratings: DataFrame, item: str = "movieId", measure: str = "rating") -> DataFrame:
     """Exact per-item count and sum, the base of every per-item report."""
     return _reduce(ratings, [item], measure)
@@ -59,7 +67,8 @@ def bucket_stats(ratings: DataFrame, items: DataFrame, item: str = "movieId",
 
 def top_n_by_count(df: DataFrame, item: str, n: int, count_name: str = "rating_count") -> DataFrame:
     """The ``n`` items with most rows, ties by item id."""
-    counts = df.groupBy(item).agg(F.count(F.lit(1)).alias(count_name))
+    rows = F.sum("n") if {"n", "total"} <= set(df.columns) else F.count(F.lit(1))
+    counts = df.groupBy(item).agg(rows.alias(count_name))
     return counts.orderBy(F.col(count_name).desc(), F.col(item)).limit(n)
 
 

@@ -1,17 +1,20 @@
 """Run log, table statistics and change detection.
 
-The log is an append-only table; reports over it are small aggregates.
+The log is an append-only table, one file an entry; reports over it are small aggregates.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
+import os
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DecimalType, StructType
 
 from ratingsmith.functions import half_up
+from ratingsmith.sources import files
 from ratingsmith.sources.contracts import AUDIT_SCHEMAS
 
 RUN_LOG_SCHEMA = AUDIT_SCHEMAS["pipeline_run_log"]
@@ -166,26 +169,39 @@ def changed_tables(current: DataFrame, saved: DataFrame | None) -> DataFrame:
 
 # ---- appends (L1, L2, L6) ----------------------------------------------------------
 
+def _entry(path: str, number: int) -> str:
+    return os.path.join(path, f"{number:012d}.json")
+
+
 def read_log(spark: SparkSession, path: str, schema: StructType = RUN_LOG_SCHEMA) -> DataFrame:
-    """The log table, or an empty one before the first append."""
-    from ratingsmith.session import read_parquet_or_none
-    df = read_parquet_or_none(spark, path, schema)
-    return df if df is not None else spark.createDataFrame([], schema)
+    """The log table, or an empty one before the first append.  An entry is one file of JSON lines."""
+    if not files.names(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("pathGlobFilter", "*.json").json(path)
 
 
 def append_run(spark: SparkSession, path: str, dataset_hash: str | None, status: str,
                rows_loaded: int | None, duration_secs: int | None,
                source_url: str | None = None, pipeline_version: str = "unknown") -> int:
-    """Append one run row; the run id is the previous maximum + 1."""
-    prev = read_log(spark, path).agg(F.max("run_id").alias("m")).first()["m"]
-    run_id = int(prev or 0) + 1
-    row = [(run_id, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), dataset_hash, status,
-            rows_loaded, duration_secs, source_url, pipeline_version)]
-    spark.createDataFrame(row, RUN_LOG_SCHEMA).coalesce(1).write.mode("append").parquet(path)
-    return run_id
+    """Append one run row; the run id is the next free number.
+
+    The entry's file is named by the id and only written if it is not there, so of several
+    appends at once each gets its own id and none is lost.
+    """
+    have = files.names(spark, path)
+    run_id = int(have[-1].split(".")[0]) + 1 if have else 1
+    while True:
+        at = dt.datetime.now(dt.timezone.utc).isoformat()
+        row = dict(zip(RUN_LOG_SCHEMA.fieldNames(), (run_id, at, dataset_hash, status, rows_loaded, duration_secs, source_url,
+                                                     pipeline_version), strict=True))
+        if files.put_if_absent(spark, _entry(path, run_id), json.dumps(row)):
+            return run_id
+        run_id += 1
 
 
 def append_table_stats(counts: DataFrame, run_id: int, path: str) -> None:
-    """L2: append per-table row counts of one run."""
-    counts.select(F.lit(run_id).cast("bigint").alias("run_id"), "table_name",
-                  F.col("row_count").cast("bigint")).coalesce(1).write.mode("append").parquet(path)
+    """L2: per-table row counts of one run (one row a table), as the entry of that run."""
+    rows = [json.dumps({"run_id": run_id, "table_name": r["table_name"], "row_count": int(r["row_count"])})
+            for r in counts.select("table_name", "row_count").collect()]
+    if not files.put_if_absent(counts.sparkSession, _entry(path, run_id), "\n".join(rows)):
+        raise FileExistsError(f"{path}: run {run_id} has its statistics already")

@@ -69,9 +69,12 @@ def _earlier_totals(groups: DataFrame, upper: Sequence[str]) -> DataFrame:
     return acc.select(_ENTITY, _key(upper).alias(_GROUP), plus("_c").alias("_off_c"), plus("_s").alias("_off_s"))
 
 
-def _daily_frames(df: DataFrame, date_col: str, measure: str, days: int) -> DataFrame:
-    """``entity, day, _roll_c, _roll_s``: totals of the days ``[day - days, day]``."""
+def _daily_frames(df: DataFrame, date_col: str, measure: str, days: int, recent: DataFrame | None = None) -> DataFrame:
+    """``entity, day, _roll_c, _roll_s``: totals of the days ``[day - days, day]``; ``recent`` has more daily totals."""
     daily = _totals(df.select(_ENTITY, day_number(date_col).alias(_DAY), measure), [_ENTITY, _DAY], measure)
+    if recent is not None:
+        older = recent.select(_ENTITY, day_number(date_col).alias(_DAY), F.col("n").alias(_C), F.col("total").alias(_S))
+        daily = daily.unionByName(older).groupBy(_ENTITY, _DAY).agg(F.sum(_C).alias(_C), F.sum(_S).alias(_S))
     frame = Window.partitionBy(_ENTITY).orderBy(_DAY).rangeBetween(-days, 0)
     return daily.select(_ENTITY, F.struct(_DAY).alias(_DAY), F.sum(_C).over(frame).alias("_roll_c"),
                         F.sum(_S).over(frame).alias("_roll_s"))
@@ -81,9 +84,14 @@ def entity_stats(df: DataFrame, partition: Sequence[str], order: Sequence[str],
                  running: tuple[str, str] | None = ("cumulative_rating_count",
                                                     "cumulative_avg_rating"),
                  rolling: tuple[str, str] | None = None, rolling_days: int = 30,
-                 scale: int = 2, hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
+                 scale: int = 2, hot_rows: int | None = DEFAULT_HOT_ROWS,
+                 before: DataFrame | None = None, recent: DataFrame | None = None) -> DataFrame:
     """Append running and/or day-range rolling count and average columns.
 
+    Rows that are ordered before all of ``df``'s rows of an entity may be given as state instead:
+    ``before`` has their totals (``partition``, ``n``, ``total``), ``recent`` the daily totals of at
+    least the last ``rolling_days`` days (``daily_totals``).
+
     ``order[0]`` must be a DATE column when ``rolling`` is requested; the rolling
     frame covers ``[order[0] - rolling_days, order[0]]`` inclusive and includes
     every row of the same day.  ``hot_rows=None`` splits every entity.
@@ -114,16 +122,59 @@ def entity_stats(df: DataFrame, partition: Sequence[str], order: Sequence[str],
         rows = rows.join(earlier, [_ENTITY, _GROUP], "left")
         count = F.col("_run_c") + F.coalesce("_off_c", F.lit(0))
         total = F.coalesce("_run_s", F.lit(0.0)) + F.coalesce("_off_s", F.lit(0.0))
+        if before is not None:
+            state = before.select(_key(partition).alias(_ENTITY), F.col("n").alias("_bef_c"), F.col("total").alias("_bef_s"))
+            rows = rows.join(state, _ENTITY, "left")
+            count = count + F.coalesce("_bef_c", F.lit(0))
+            total = total + F.coalesce("_bef_s", F.lit(0.0))
         out_cols += [count.cast("bigint").alias(running[0]),
                      half_up(safe_divide(total, count), scale).alias(running[1])]
     if rolling is not None:
-        frames = _daily_frames(df.withColumn(_ENTITY, _key(partition)), order[0], measure, rolling_days)
+        if recent is not None:
+            recent = recent.withColumn(_ENTITY, _key(partition))
+        frames = _daily_frames(df.withColumn(_ENTITY, _key(partition)), order[0], measure, rolling_days, recent)
         rows = rows.withColumn(_DAY, F.struct(day_number(order[0]).alias(_DAY))).join(frames, [_ENTITY, _DAY], "left")
         out_cols += [F.col("_roll_c").cast("bigint").alias(rolling[0]),
                      half_up(safe_divide(F.col("_roll_s"), F.col("_roll_c")), scale).alias(rolling[1])]
     return rows.select(*out_cols)
 
 
+def daily_totals(df: DataFrame, partition: Sequence[str], date_col: str, measure: str) -> DataFrame:
+    """``partition, date_col, n, total``: the state that ``extend_stats`` goes on from."""
+    return _totals(df, [*partition, date_col], measure).withColumnsRenamed({_C: "n", _S: "total"})
+
+
+def merge_daily(a: DataFrame, b: DataFrame, partition: Sequence[str], date_col: str) -> DataFrame:
+    """State of both sets of rows."""
+    return a.unionByName(b).groupBy(*partition, date_col).agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+
+
+def extend_stats(done: DataFrame, daily: DataFrame, new: DataFrame, partition: Sequence[str], order: Sequence[str],
+                 measure: str, running: tuple[str, str] = ("cumulative_rating_count", "cumulative_avg_rating"),
+                 rolling: tuple[str, str] = ("rolling_30d_count", "rolling_30d_avg"), rolling_days: int = 30,
+                 scale: int = 2, hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
+    """``entity_stats`` of old and new rows together, from the old result and its state.
+
+    ``done`` is the result for the old rows and ``daily`` their ``daily_totals``.  Of an entity with new
+    rows, only those from its earliest new day on are worked out again, whether the new rows are late or not; what
+    lies before enters as totals, and the last ``rolling_days`` days as daily totals.  All other rows
+    pass through without a shuffle of their own (one join on the entity, against one row for each
+    entity with new rows).  A NULL date sorts first, so a new one has all its entity's rows worked out again.
+    """
+    partition, order = list(partition), list(order)
+    day = order[0]
+    since = new.groupBy(_key(partition).alias(_ENTITY)).agg(
+        F.min(day).alias("_from"), F.coalesce(F.bool_or(F.col(day).isNull()), F.lit(False)).alias("_all"))
+    later = F.coalesce(F.col("_all") | (F.col(day) >= F.col("_from")), F.lit(False))
+    flagged = done.withColumn(_ENTITY, _key(partition)).join(since, _ENTITY, "left")
+    rows = flagged.filter(later).select(*new.columns).unionByName(new)
+    state = daily.withColumn(_ENTITY, _key(partition)).join(since, _ENTITY).filter(~later)
+    before = state.groupBy(*partition).agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+    recent = state.filter(F.col(day) >= F.date_sub("_from", rolling_days)).select(*partition, day, "n", "total")
+    again = entity_stats(rows, partition, order, measure, running, rolling, rolling_days, scale, hot_rows, before, recent)
+    return flagged.filter(~later).select(*done.columns).unionByName(again.select(*done.columns))
+
+
 def running_stats(df: DataFrame, partition: Sequence[str], order: Sequence[str], measure: str,
                   count_name: str = "cumulative_rating_count",
                   avg_name: str = "cumulative_avg_rating", scale: int = 2,

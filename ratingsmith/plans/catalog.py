@@ -23,7 +23,9 @@ from ratingsmith.operators import runlog as rl
 from ratingsmith.operators import similarity as sim
 from ratingsmith.operators import windows as win
 from ratingsmith.plans import oracle_sql as q
+from ratingsmith.plans import refresh
 from ratingsmith.plans import staging
+from ratingsmith.plans import versions
 from ratingsmith.plans import warehouse as wh
 from ratingsmith.plans.oracle_sql import R, with_
 from ratingsmith.session import workspace
@@ -822,13 +824,48 @@ LAST_YEAR = "(SELECT max(year(DATE '1970-01-01' + CAST(floor(\"timestamp\" / 864
   SELECT * FROM all_ratings WHERE year(DATE '1970-01-01' + CAST(floor("timestamp" / 86400) AS INTEGER)) < {LAST_YEAR})""",
     q.CLEAN_RATINGS, *q.WAREHOUSE_CTES[2:]], _typed_sql("fact_ratings", "fact")))
 def refresh_twice_q(spark, sf_dir):
-    """Two full refreshes into one folder, the second without the last year: the fact that is left."""
-    from ratingsmith.plans import refresh
+    """Two full refreshes into one folder, the second without the last year, and between them a run whose checks fail
+    after it wrote other tables (half of the users, titles too long): the fact that is left."""
     out = _stage(spark, "refresh")
     inputs = adapters.load_inputs(spark, sf_dir)
     refresh.refresh(spark, inputs, out, sf_dir, STAR_PARAMS)
+    wrong = dataclasses.replace(inputs, ratings=inputs.ratings.filter("userId % 2 = 0"),
+                                movies=inputs.movies.withColumn("title", F.rpad("title", 600, "x")))
+    broken = refresh.refresh(spark, wrong, out, sf_dir, STAR_PARAMS)
+    again = refresh.refresh(spark, inputs, out, sf_dir, STAR_PARAMS)
+    if (broken.status, again.status) != ("failed", "skipped"):
+        raise RuntimeError(f"expected a failed and a skipped run, not {broken.status} and {again.status}")
+    refresh.refresh(spark, _without_last_year(inputs), out, sf_dir, STAR_PARAMS)
+    return versions.read_table(spark, out, "fact_ratings")
+
+
+def _without_last_year(inputs):
     year = F.year(epoch_to_date("timestamp"))
     last = inputs.ratings.agg(F.max(year)).first()[0]
-    fewer = dataclasses.replace(inputs, ratings=inputs.ratings.filter(year < last))
-    result = refresh.refresh(spark, fewer, out, sf_dir, STAR_PARAMS)
-    return spark.read.schema(wh.table_schema("fact_ratings")).parquet(result.paths["fact_ratings"])
+    return dataclasses.replace(inputs, ratings=inputs.ratings.filter(year < last))
+
+
+@register("refresh_partial", with_(q.WAREHOUSE_CTES, _typed_sql("fact_ratings", "fact")))
+def refresh_partial_q(spark, sf_dir):
+    """A run without the last year, then one with it that rebuilds changed years only: the fact of the last version."""
+    out = _stage(spark, "partial")
+    inputs = adapters.load_inputs(spark, sf_dir)
+    for part in (_without_last_year(inputs), inputs):
+        refresh.refresh(spark, part, out, sf_dir, STAR_PARAMS, incremental=True)
+    return versions.read_table(spark, out, "fact_ratings")
+
+
+@register("fact_extended", with_(q.WAREHOUSE_CTES, "SELECT * FROM fact"))
+def fact_extended_q(spark, sf_dir):
+    """W1-W4 in two parts: the statistics of some rows, extended by the last year and by late rows of every year."""
+    rows = wh.fact_base(staged_ratings(spark, sf_dir), staged_items(spark, sf_dir))
+    last = rows.agg(F.max("rating_year")).first()[0]
+    late = (F.col("userId") % 6 == 0) | (F.col("rating_year") == last)
+    old, new = rows.filter(~late), rows.filter(late)
+    done = win.entity_stats(old, ["movieId"], ORDER, "rating", rolling=("rolling_30d_count", "rolling_30d_avg"))
+    folder, parts = _stage(spark, "extended"), {}
+    for name, df in (("done", done), ("daily", win.daily_totals(old, ["movieId"], "rating_date", "rating"))):
+        df.write.parquet(os.path.join(folder, name))
+        parts[name] = spark.read.parquet(os.path.join(folder, name))
+    out = win.extend_stats(parts["done"], parts["daily"], new, ["movieId"], ORDER, "rating")
+    return out.withColumnsRenamed({"userId": "user_id", "movieId": "movie_id"}).drop("timestamp")

@@ -11,14 +11,17 @@ import os
 from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 from pyspark.sql.types import StructType
 
 from ratingsmith.operators import aggregates as agg
 from ratingsmith.operators import clean
+from ratingsmith.operators import quality as qc
 from ratingsmith.operators import similarity as sim
 from ratingsmith.operators import windows as win
-from ratingsmith.sources.contracts import AUDIT_SCHEMAS, WAREHOUSE_DDL, WAREHOUSE_TYPES, table_schema
+from ratingsmith.sources.contracts import (
+    AUDIT_SCHEMAS, WAREHOUSE_DDL, WAREHOUSE_MAX_LENGTHS, WAREHOUSE_NOT_NULL, WAREHOUSE_TYPES, table_schema,
+)
 
 
 @dataclass
@@ -47,13 +50,17 @@ def fact_base(ratings: DataFrame, items: DataFrame, item: str = "movieId") -> Da
 
 
 def fact_ratings(ratings: DataFrame, items: DataFrame, user: str = "userId",
-                 item: str = "movieId", rolling_days: int = 30) -> DataFrame:
-    """P6 + W1-W4: fact grain with running and 30-day rolling columns."""
+                 item: str = "movieId", rolling_days: int = 30,
+                 before: DataFrame | None = None, recent: DataFrame | None = None) -> DataFrame:
+    """P6 + W1-W4: fact grain with running and 30-day rolling columns.
+
+    ``before`` and ``recent`` are the state of earlier ratings (``windows.entity_stats``).
+    """
     base = fact_base(ratings, items, item)
     stats = win.entity_stats(base, [item], ["rating_date", "timestamp", user], "rating",
                              running=("cumulative_rating_count", "cumulative_avg_rating"),
                              rolling=("rolling_30d_count", "rolling_30d_avg"),
-                             rolling_days=rolling_days)
+                             rolling_days=rolling_days, before=before, recent=recent)
     return stats.select(F.col(user).alias("user_id"), F.col(item).alias("movie_id"), "rating",
                         "rating_date", "rating_year", "cumulative_rating_count",
                         "cumulative_avg_rating", "rolling_30d_avg", "rolling_30d_count")
@@ -122,7 +129,8 @@ def sink_projection(df: DataFrame, table: str) -> DataFrame:
     return df.select(*cols)
 
 
-PARTITIONING = {"fact_ratings": ["rating_year"], "clean_ratings": ["rating_year"]}
+PARTITIONING = {"fact_ratings": ["rating_year"], "clean_ratings": ["rating_year"],
+                "item_years": ["rating_year"], "user_years": ["rating_year"]}
 # The access paths the reference indexed become file layout.  Sorting is
 # within each write task (no extra shuffle), so Parquet min/max statistics
 # let readers skip row groups on these columns.  A leading '-' sorts descending.
@@ -134,16 +142,19 @@ LOCAL_SORT = {
 
 
 def write_table(df: DataFrame, root: str, table: str, fmt: str = "parquet", typed: bool = True,
-                max_records_per_file: int | None = None, incremental: bool = False) -> str:
+                max_records_per_file: int | None = None, incremental: bool = False, version: str | None = None,
+                observe: Observation | None = None, metrics: Mapping[str, Column] | None = None) -> str:
     """Replace one table (S4, S5, S9, S12, O8); the fact is partitioned by year.
 
     The whole table is replaced, so years that are gone from the data are gone from the
     table.  ``incremental=True`` replaces only the years in ``df`` (dynamic overwrite).
+    With ``version`` it is written beside earlier versions (``plans.versions``).
+    ``metrics`` are collected by ``observe`` from the rows that are written, without a scan.
 
     A partitioned table is laid out by Spark's rebalancing on its partition columns: a year with much data is split over several tasks, small ones
     share one, and files follow the data's size rather than tasks times years.
     """
-    path = os.path.join(root, table)
+    path = os.path.join(root, table, f"v={version}") if version else os.path.join(root, table)
     out = sink_projection(df, table) if typed else df
     parts = PARTITIONING.get(table, [])
     if parts:
@@ -152,6 +163,8 @@ def write_table(df: DataFrame, root: str, table: str, fmt: str = "parquet", type
         keys = [F.col(k[1:]).desc() if k.startswith("-") else F.col(k) for k in LOCAL_SORT[table]
                 if k.lstrip("-") in out.columns]
         out = out.sortWithinPartitions(*parts, *keys)
+    if observe is not None:
+        out = out.observe(observe, *[c.alias(name) for name, c in metrics.items()])
     w = out.write.mode("overwrite").format(fmt).option("partitionOverwriteMode", "dynamic" if incremental else "static")
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
@@ -161,9 +174,24 @@ def write_table(df: DataFrame, root: str, table: str, fmt: str = "parquet", type
     return path
 
 
-def write_star(tables: Mapping[str, DataFrame], root: str, fmt: str = "parquet") -> dict[str, str]:
-    """Write every table; returns table -> path."""
-    return {name: write_table(tables[name], root, name, fmt) for name in tables}
+#: Checked against [0, 1] while the table is written.
+BOUNDED = {"tag_similarity": "similarity"}
+#: Columns of the NULL check while the table is written.
+NULL_KEYS = {"dim_movies": ["movie_id"], "dim_users": ["user_id"], "fact_ratings": ["movie_id", "user_id", "rating"]}
+
+
+def write_star(tables: Mapping[str, DataFrame], root: str, fmt: str = "parquet", version: str | None = None,
+               metrics: dict[str, dict] | None = None) -> dict[str, str]:
+    """Write every table; returns table -> path.  ``metrics`` receives what the writes observed."""
+    paths = {}
+    for name in tables:
+        watch = Observation(name) if metrics is not None else None
+        wanted = qc.write_metrics(WAREHOUSE_NOT_NULL[name], WAREHOUSE_MAX_LENGTHS.get(name, {}), NULL_KEYS.get(name, ()),
+                                  BOUNDED.get(name)) if watch else None
+        paths[name] = write_table(tables[name], root, name, fmt, version=version, observe=watch, metrics=wanted)
+        if watch:
+            metrics[name] = watch.get
+    return paths
 
 
 def publish(spark, staged: Mapping[str, str], sink: Callable[[DataFrame, str], None]) -> None:
