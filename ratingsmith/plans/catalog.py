@@ -13,6 +13,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from ratingsmith.functions import epoch_to_date
 from ratingsmith.operators import aggregates as agg
@@ -21,6 +22,7 @@ from ratingsmith.operators import metrics as met
 from ratingsmith.operators import quality as qc
 from ratingsmith.operators import runlog as rl
 from ratingsmith.operators import similarity as sim
+from ratingsmith.operators import sparse_similarity as sparse
 from ratingsmith.operators import windows as win
 from ratingsmith.plans import oracle_sql as q
 from ratingsmith.plans import refresh
@@ -277,6 +279,17 @@ def tag_similarity_top_n_q(spark, sf_dir):
     return sim.cosine_pairs(vecs, threshold=SIM_THRESHOLD)
 
 
+# Entries of the embeddings below this are left out, which leaves a few keys of each item.
+SPARSE_ABOVE = 0.2
+
+
+@register("sparse_similarity", with_([q.GENOME, f"sparse_genome AS (SELECT * FROM genome WHERE relevance >= {SPARSE_ABOVE})",
+                                      cosine_sql("sparse_genome").strip().rstrip(",")], SIM_ALL_BODY))
+def sparse_similarity_q(spark, sf_dir):
+    vectors = vectors_df(spark, sf_dir).filter(F.col("relevance") >= SPARSE_ABOVE)
+    return sparse.cosine_join(vectors, threshold=SIM_THRESHOLD).pairs
+
+
 @register("neighbours", SIM_ALL + ",\n" + q.RAW_MOVIES + ",\n" + q.CLEAN_ITEMS + f"""
 SELECT item AS movie_id, neighbour AS neighbour_id, ci.clean_title AS neighbour_title,
        similarity, rank
@@ -869,3 +882,30 @@ def fact_extended_q(spark, sf_dir):
         parts[name] = spark.read.parquet(os.path.join(folder, name))
     out = win.extend_stats(parts["done"], parts["daily"], new, ["movieId"], ORDER, "rating")
     return out.withColumnsRenamed({"userId": "user_id", "movieId": "movie_id"}).drop("timestamp")
+
+
+@register("movie_report", with_(q.WAREHOUSE_CTES, """
+SELECT f.movie_id, d.clean_title, count(*) AS ratings, avg(f.rating) AS mean_rating, max(f.rating_date) AS last_rated
+FROM fact f JOIN dim_movies d ON d.movie_id = f.movie_id GROUP BY f.movie_id, d.clean_title"""))
+def movie_report_q(spark, sf_dir):
+    """Fact and dimension bucketed by movie; neither the join nor the grouping moves the fact."""
+    return wh.movie_report(*(wh.bucketed(spark, df, f"{t}_{uuid.uuid4().hex}", _stage(spark, "bucketed", t), "movie_id")
+                             for t, df in (("fact_ratings", fact_df(spark, sf_dir)), ("dim_movies", dim_movies_df(spark, sf_dir)))))
+
+
+@register("evolved_table", with_(q.ITEM_CTES, """
+SELECT CAST(movieId AS INTEGER) AS movie_id, title, CASE WHEN movieId % 2 = 0 THEN 'unrated' ELSE clean_title END AS note,
+       CAST(CASE WHEN movieId % 2 = 0 THEN -1 ELSE release_year END AS SMALLINT) AS release_year FROM clean_items"""))
+def evolved_table_q(spark, sf_dir):
+    """Rows written before and after two columns with defaults were added, read back as one table."""
+    name, path = f"evolved_{uuid.uuid4().hex}", _stage(spark, "evolved")
+    items = staged_items(spark, sf_dir)
+    old = StructType.fromDDL("movie_id INT, title STRING")
+    wh.ensure_table(spark, name, path, old)
+    items.filter("movieId % 2 = 0").select(F.col("movieId").cast("int"), "title").write.insertInto(name)
+    new = StructType.fromDDL("movie_id INT, title STRING, note STRING, release_year SMALLINT")
+    for _ in range(2):                       # again: nothing left to add
+        wh.ensure_table(spark, name, path, new, defaults={"note": "'unrated'", "release_year": "-1"})
+    items.filter("movieId % 2 <> 0").select(F.col("movieId").cast("int"), "title", "clean_title",
+                                            F.col("release_year").cast("smallint")).write.insertInto(name)
+    return spark.table(name)

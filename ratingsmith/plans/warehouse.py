@@ -204,14 +204,39 @@ def publish(spark, staged: Mapping[str, str], sink: Callable[[DataFrame, str], N
         sink(sink_projection(spark.read.parquet(path), table), table)
 
 
-def ensure_table(spark, name: str, path: str, schema: StructType) -> None:
-    """Idempotent CREATE TABLE IF NOT EXISTS plus additive columns."""
-    ddl = lambda fields: ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl(schema)}) USING parquet LOCATION '{path}'")
+def bucketed(spark, df: DataFrame, name: str, path: str, key: str, buckets: int | None = None) -> DataFrame:
+    """``df`` as a catalog table at ``path``, bucketed and sorted by ``key``.
+
+    Tables with the same number of buckets join and group on the key without an exchange.  The default number is that
+    of shuffle partitions; take one so that a bucket of the largest table fits a task.
+    """
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (df.repartition(n, key).write.mode("overwrite").format("parquet").option("path", path)
+     .bucketBy(n, key).sortBy(key).saveAsTable(name))
+    return spark.table(name)
+
+
+def movie_report(fact: DataFrame, movies: DataFrame) -> DataFrame:
+    """Ratings, mean and last day of every rated movie of the dimension."""
+    stats = fact.groupBy("movie_id").agg(F.count(F.lit(1)).alias("ratings"), F.avg("rating").alias("mean_rating"),
+                                         F.max("rating_date").alias("last_rated"))
+    return stats.join(movies.select("movie_id", "clean_title"), "movie_id").select(
+        "movie_id", "clean_title", "ratings", "mean_rating", "last_rated")
+
+
+def ensure_table(spark, name: str, path: str, schema: StructType, defaults: Mapping[str, str] | None = None) -> None:
+    """Idempotent CREATE TABLE IF NOT EXISTS plus additive columns.
+
+    ``defaults`` (column -> SQL literal) are what rows read as that were written before the column was added,
+    and what an insert without the column writes; without one they read as NULL.
+    """
+    ddl = lambda fields, given: ", ".join(
+        f"`{f.name}` {f.dataType.simpleString()}" + (f" DEFAULT {given[f.name]}" if f.name in given else "") for f in fields)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl(schema, {})}) USING parquet LOCATION '{path}'")
     have = {f.name for f in spark.table(name).schema}
     extra = [f for f in schema if f.name not in have]
     if extra:
-        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({ddl(extra)})")
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({ddl(extra, defaults or {})})")
 
 
 def ensure_schema(spark, root: str, prefix: str = "") -> list[str]:

@@ -68,10 +68,24 @@ def stage_inputs(spark: SparkSession, raw_dir: str, out: str) -> dict[str, Stage
             for name, c in INPUTS.items()}
 
 
+class StagedInputs(Inputs):
+    """The typed rows of CSV inputs; each is staged when it is first asked for."""
+
+    def __init__(self, spark: SparkSession, raw_dir: str, out: str):
+        self._at, self._done = (spark, raw_dir, out), {}
+
+    def __getattribute__(self, name):
+        if name not in INPUTS:
+            return super().__getattribute__(name)
+        if name not in self._done:
+            spark, raw_dir, out = self._at
+            self._done[name] = stage_csv(spark, os.path.join(raw_dir, INPUT_FILES[name]), INPUTS[name], os.path.join(out, name))[0]
+        return self._done[name]
+
+
 def read_inputs(spark: SparkSession, raw_dir: str, out: str | None = None) -> Inputs:
-    """The typed rows of the five inputs, read from their staged split."""
-    staged = stage_inputs(spark, raw_dir, out or workspace(spark, "csv", uuid.uuid4().hex))
-    return Inputs(**{name: s.good for name, s in staged.items()})
+    """The typed rows of the five inputs, each read from its staged split; what nobody asks for is not staged."""
+    return StagedInputs(spark, raw_dir, out or workspace(spark, "csv", uuid.uuid4().hex))
 
 
 def ingest_report(staged: dict[str, StagedInput]) -> DataFrame:

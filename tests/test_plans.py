@@ -56,3 +56,26 @@ def test_similarity_has_no_cartesian_product(spark):
     plan = _plan(catalog.QUERIES["tag_similarity"](spark, SF))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "FlatMapGroupsInPandas" in plan
+
+
+def test_bucketed_fact_is_not_exchanged(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = catalog.QUERIES["movie_report"](spark, SF)
+        assert "Exchange" not in _plan(df) and "SortMergeJoin" in _plan(df)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_only_the_csv_input_that_is_read_is_staged(spark, tmp_dir):
+    import os
+
+    from ratingsmith.sources import adapters
+    from ratingsmith.sources import csv as csv_src
+    raw, out = os.path.join(tmp_dir, "raw"), os.path.join(tmp_dir, "out")
+    csv_src.write_inputs(adapters.load_inputs(spark, SF), raw)
+    inputs = csv_src.read_inputs(spark, raw, out)
+    assert not os.path.exists(out)
+    assert inputs.ratings.count() == adapters.ratings(spark, SF).count()
+    assert inputs.ratings is inputs.ratings and os.listdir(out) == ["ratings"]

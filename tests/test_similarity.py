@@ -100,3 +100,36 @@ def test_top_k_kernel_keeps_every_neighbour(spark):
     every = sim.cosine_pairs(v, threshold=0.5, sort=False)
     few = sim.cosine_pairs(v, threshold=0.5, sort=False, top_k=3, num_blocks=3)
     assert rows(every) == rows(few) and few.count() < every.count()
+
+
+def _sparse_rows(seed, items=120, keys=60, per=6):
+    import random
+    rng = random.Random(seed)
+    rows = [(i, k, rng.choice([1, 1, 2, -1]) * rng.random()) for i in range(items) for k in rng.sample(range(keys), per)]
+    rows += [(200 + i, k, 0.5) for i in range(6) for k in range(5)]                      # equal vectors
+    rows += [(300, 1, 0.0), (301, 2, None), (None, 3, 1.0), (302, 4, 1.0), (303, 4, 2.0), (303, 4, 1.0)]
+    return rows
+
+
+def test_sparse_join_equals_all_pairs_and_compares_few(spark):
+    from ratingsmith.operators import similarity as sim
+    from ratingsmith.operators import sparse_similarity as sparse
+    rows = _sparse_rows(1)
+    df = spark.createDataFrame(rows, "movieId int, tagId int, relevance double")
+    for threshold in (0.3, 0.8):
+        got = sparse.cosine_join(df, threshold=threshold)
+        want = sim.cosine_pairs(df.dropna(), threshold=threshold, num_blocks=2)
+        as_set = lambda d: {(r[0], r[1], round(r[2], 4)) for r in d.collect()}
+        assert as_set(got.pairs) == as_set(want) and want.count() >= 16
+        items = len({r[0] for r in rows})
+        assert got.compared.count() < 0.2 * items * (items - 1) / 2
+        assert got.compared.count() <= got.candidates.count()
+
+
+def test_sparse_join_needs_a_threshold_and_takes_no_rows(spark):
+    import pytest
+    from ratingsmith.operators import sparse_similarity as sparse
+    empty = spark.createDataFrame([], "movieId int, tagId string, relevance double")
+    assert sparse.cosine_join(empty, threshold=0.5).pairs.collect() == []
+    with pytest.raises(ValueError):
+        sparse.cosine_join(empty, threshold=0.0)
