@@ -670,18 +670,19 @@ def representatives(df: DataFrame, text: str = "text", doc_id: str = "doc_id", p
     order = F.struct(F.col("id").isNull().alias("unknown"), F.col("id"), F.col("k"))
     least = (ids.groupBy("k").agg(F.min("id").alias("id")).join(found.filter("n > 0"), "k")
              .groupBy("comp").agg(F.min(order).alias("least")))
-    chosen = stages.put(least.select(F.col("least.k").alias("k"), F.col("least.id").alias("id"))
-                        .unionAll(found.filter("n = 0").select("k", F.lit(None).cast(df.schema[doc_id].dataType).alias("id")))
-                        .join(found.select("k", "n"), "k"), "chosen")
-    keep = (F.col("n") == 0) | F.col("doc").eqNullSafe(F.col("id"))
-    rows = (df.select(common.others(df).alias("row"), common.text_key(text).alias("k"), F.col(common.quoted(doc_id)).alias("doc"))
-            .join(chosen, "k").filter(keep))
-    stages.drop_others("chosen")
-    ties = stages.put(ids.withColumnRenamed("id", "doc").join(chosen.filter("n > 0"), "k").filter(keep)
-                      .groupBy("k").count().filter("count > 1").select("k"), "ties")
+    chosen = stages.put(least.select(F.col("least.k").alias("k"), F.col("least.id").alias("id")), "chosen")
+    empty = stages.put(found.filter("n = 0").select("k"), "empty")
+    stages.drop_others("chosen", "empty")
+    # joined on text and id, so that the copies of one text spread over their ids
+    same = lambda r: (r["k"] == chosen["k"]) & r["doc"].eqNullSafe(chosen["id"])
+    named = ids.withColumnRenamed("id", "doc")
+    ties = stages.put(named.join(chosen, same(named), "left_semi").groupBy("k").count().filter("count > 1").select("k"), "ties")
+    rows = df.select(common.others(df).alias("row"), common.text_key(text).alias("k"), F.col(common.quoted(doc_id)).alias("doc"))
+    kept = rows.join(chosen, same(rows), "left_semi")
     if not ties.isEmpty():
-        rows = (rows.join(ties, "k", "left_anti").select("row")
-                .unionAll(rows.join(ties, "k", "left_semi").dropDuplicates(["k"]).select("row")))
+        kept = (kept.join(ties, "k", "left_anti").select("row")
+                .unionAll(kept.join(ties, "k", "left_semi").dropDuplicates(["k"]).select("row")))
+    rows = kept.select("row").unionAll(rows.join(empty, "k", "left_semi").select("row"))
     return common.restore(df, rows.select("row"), {})
 
 

@@ -8,7 +8,7 @@ Code points fall into four classes (letter, number, white space, other), and a
 piece is a run of one class with three amendments: one blank joins the run that
 follows it, the last character of longer white space before a word is cut off,
 and an apostrophe run of length one takes its contraction suffix along.
-Distinct pieces are told apart by 64-bit hashes, so that each is encoded once.
+Distinct pieces are told apart by two 64-bit hashes, so that each is encoded once.
 """
 
 from __future__ import annotations
@@ -86,22 +86,10 @@ def pieces(raw: bytes, row_bytes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at_byte[first], per
 
 
-def piece_hashes(buf: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """Hash of each piece of a buffer that the pieces fill."""
-    out = np.zeros(len(start), U)
+def piece_hashes(buf: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent hashes of each piece of a buffer that the pieces fill."""
     end = np.append(start[1:], len(buf))
-    i = 0
-    while i < len(start):                       # segments bound the working memory
-        j = max(i + 1, int(np.searchsorted(end, start[i] + words.SEGMENT, side="right")))
-        a, b = int(start[i]), int(end[j - 1])
-        seg = buf[a:b]
-        m = len(seg)
-        pre = np.zeros(m + 1, U)
-        np.cumsum((seg.astype(U) + U(1)) * words.powers(words.BYTE_MUL, m)[:m], out=pre[1:])
-        s, e = start[i:j] - a, end[i:j] - a
-        out[i:j] = words.mix((pre[e] - pre[s]) * words.powers(words.inverse(words.BYTE_MUL), m)[s] + (e - s).astype(U))
-        i = j
-    return out
+    return words.span_hashes(buf, start, end), words.span_hashes(buf, start, end, 1)
 
 
 class Encoder:
@@ -118,26 +106,28 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        none = (np.zeros(0, U), np.zeros(0, np.int32), np.zeros(0, np.int32))
-        self.old, self.young = none, none                 # hash (sorted), place of the ids, their number
+        none = (np.zeros(0, U), np.zeros(0, U), np.zeros(0, np.int32), np.zeros(0, np.int32))
+        self.old, self.young = none, none                 # hash (sorted), second hash, place of the ids, their number
         self.ids, self.used = np.zeros(1 << 16, np.int32), 0
 
-    def _find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Place and number of ids per hash; number -1 if unknown."""
-        at, count = np.zeros(len(h), np.int64), np.full(len(h), -1, np.int64)
-        for keys, where, size in (self.old, self.young):
+    def _find(self, h: np.ndarray, check: np.ndarray) -> tuple[np.ndarray, np.ndarray, bool]:
+        """Place and number of ids per hash, number -1 if unknown; and whether a second hash differs."""
+        at, count, clash = np.zeros(len(h), np.int64), np.full(len(h), -1, np.int64), False
+        for keys, second, where, size in (self.old, self.young):
             if len(keys):
                 i = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
                 hit = keys[i] == h
-                at[hit], count[hit] = where[i[hit]], size[i[hit]]
-        return at, count
+                i = i[hit]
+                clash |= bool((second[i] != check[hit]).any())
+                at[hit], count[hit] = where[i], size[i]
+        return at, count, clash
 
-    def _add(self, h: np.ndarray, ids: np.ndarray, count: np.ndarray) -> None:
+    def _add(self, h: np.ndarray, check: np.ndarray, ids: np.ndarray, count: np.ndarray) -> None:
         need = self.used + len(ids)
         if need > len(self.ids):
             self.ids = np.concatenate((self.ids, np.zeros(max(need - len(self.ids), len(self.ids) // 2), np.int32)))
         self.ids[self.used:need] = ids
-        fresh = (h, (self.used + np.cumsum(count) - count).astype(np.int32), count.astype(np.int32))
+        fresh = (h, check, (self.used + np.cumsum(count) - count).astype(np.int32), count.astype(np.int32))
         self.used = need
         self.young = _merged(self.young, fresh)
         if 4 * len(self.young[0]) > len(self.old[0]):
@@ -149,22 +139,27 @@ class Encoder:
         if not len(start):
             return np.zeros(0, np.int32), per
         buf = np.frombuffer(raw, np.uint8)
-        h, where, which = np.unique(piece_hashes(buf, start), return_index=True, return_inverse=True)
-        at, count = self._find(h)
+        first, second = piece_hashes(buf, start)
+        h, where, which = np.unique(first, return_index=True, return_inverse=True)
+        check = second[where]
+        end = np.append(start[1:], len(raw))
+        cut = np.concatenate(([0], np.cumsum(per)))
+        piece = lambda at: [raw[a:b] for a, b in zip(start[at].tolist(), end[at].tolist(), strict=True)]
+        if (check[which] != second).any():       # two pieces with one hash: none of them goes through the cache
+            ids, count = self.encode_new(piece(np.arange(len(start))))
+            return ids, np.diff(np.concatenate(([0], np.cumsum(count)))[cut])
+        at, count, clash = self._find(h, check)
         fresh = np.flatnonzero(count < 0)
-        if len(fresh):
-            if len(self.old[0]) + len(self.young[0]) + len(fresh) > self.keep and self.used:
+        if len(fresh) or clash:
+            if clash or (len(self.old[0]) + len(self.young[0]) + len(fresh) > self.keep and self.used):
                 self.forget()
                 fresh = np.arange(len(h))
-            end = np.append(start[1:], len(raw))
-            ids, n = self.encode_new([raw[a:b] for a, b in zip(start[where[fresh]].tolist(), end[where[fresh]].tolist(), strict=True)])
-            self._add(h[fresh], ids, n)
-            at, count = self._find(h)
+            ids, n = self.encode_new(piece(where[fresh]))
+            self._add(h[fresh], check[fresh], ids, n)
+            at, count, _ = self._find(h, check)
         at, count = at[which], count[which]
         ids = self.ids[np.repeat(at, count) + words.ragged(count)]
-        ends = np.concatenate(([0], np.cumsum(count)))
-        cut = np.concatenate(([0], np.cumsum(per)))
-        return ids, np.diff(ends[cut])
+        return ids, np.diff(np.concatenate(([0], np.cumsum(count)))[cut])
 
 
 def _merged(a: tuple, b: tuple) -> tuple:

@@ -5,9 +5,10 @@ windows) and tested against document rules.  The failures of each rule are
 counted by domain, and a domain's failure rate is shrunk towards the mean rate
 with a beta prior fitted to all domains by the method of moments: with mean m and
 variance v of the domains' rates the prior has strength s = m (1 - m) / v - 1,
-and the shrunk rate is (failures + m s) / (rows + s).  A domain whose shrunk rate of
-any rule is above HOST_RATE is rejected whole; a document is kept if it passes the
-base rules and its domain is not rejected.
+and the shrunk rate is (failures + m s) / (rows + s).  A domain is rejected whole if its shrunk rate of
+any rule is above that rule's bound: HOST_SD standard deviations of the fitted prior, sqrt(m (1 - m) / (s + 1)),
+above its mean, and HOST_RATE at most.  A document is kept if it passes the
+base rules and its domain is not rejected.  Domains that differ by chance only stay within the bound.
 
 Scale.  Measuring is one map without the text in its result, staged and read
 twice.  Domains are counted with partial aggregates, so a domain with a third of
@@ -16,13 +17,15 @@ left to Spark's own size check (broadcast or a join whose hot side it splits).
 
 Defined cases.  NULL text: no words, so it fails the base rules.  NULL domain: a
 domain of its own.  One domain, or equal rates: no shrinking is needed and the
-strength is capped at STRENGTH.  Texts of any length are measured whole.  Repeated
+strength is capped at STRENGTH and the bound is HOST_RATE.  Texts of any length are measured whole.  Repeated
 rows count as often as they occur.  Other columns pass through; result columns
 replace input columns of the same name.  Empty table: empty result.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,7 +34,7 @@ from . import common
 #: Characters that count as symbols (fixed by the operator's contract).
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
-HOST_RATE, STRENGTH = 0.5, 1e6
+HOST_RATE, HOST_SD, STRENGTH = 0.5, 3.0, 1e6
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -94,8 +97,8 @@ def rules() -> dict[str, Column]:
 BASE = ("short", "repeats")
 
 
-def host_rates(failed: DataFrame, domain: str, names: list[str]) -> DataFrame:
-    """One row a domain: ``domain, rows, <rule>_rate`` with shrunk rates."""
+def host_rates(failed: DataFrame, domain: str, names: list[str], host_rate: float = HOST_RATE, host_sd: float = HOST_SD) -> DataFrame:
+    """One row a domain: ``domain, rows, <rule>_rate`` with shrunk rates, and ``<rule>_bound``."""
     by = failed.groupBy(F.col(domain).alias("domain")).agg(
         F.count("*").alias("rows"), *(F.sum(F.col(f"fail_{r}").cast("long")).alias(r) for r in names))
     raw = [F.col(r) / F.col("rows") for r in names]
@@ -106,18 +109,21 @@ def host_rates(failed: DataFrame, domain: str, names: list[str]) -> DataFrame:
         m, v = prior[f"m_{r}"] or 0.0, prior[f"v_{r}"] or 0.0
         s = min(STRENGTH, max(0.0, m * (1 - m) / v - 1)) if v > 0 else STRENGTH
         out.append(((F.col(r) + F.lit(m * s)) / (F.col("rows") + F.lit(s))).alias(f"{r}_rate"))
+        outlier = m + host_sd * (m * (1 - m) / (s + 1)) ** 0.5 if s < STRENGTH else host_rate
+        out.append(F.lit(min(host_rate, outlier)).alias(f"{r}_bound"))
     return by.select("domain", "rows", *out)
 
 
-def judge(df: DataFrame, text: str = "text", domain: str = "source", host_rate: float = HOST_RATE) -> DataFrame:
+def judge(df: DataFrame, text: str = "text", domain: str = "source", host_rate: float = HOST_RATE,
+          host_sd: float = HOST_SD) -> DataFrame:
     """``df`` without its text, with MEASURES, ``base_failed`` and ``kept``."""
     stages = common.Stages(df.sparkSession, "rules")
     names = list(rules())
     plain = measure(df, text)
     seen = stages.put(plain.select(common.others(plain, *MEASURES).alias("row"), F.col(common.quoted(domain)).alias("domain_"),
                                    *MEASURES, *(c.alias(f"fail_{r}") for r, c in rules().items())), "measured")
-    rates = host_rates(seen, "domain_", names)
-    bad = F.greatest(*(F.col(f"{r}_rate") for r in names)) > host_rate
+    rates = host_rates(seen, "domain_", names, host_rate, host_sd)
+    bad = reduce(lambda a, b: a | b, (F.col(f"{r}_rate") > F.col(f"{r}_bound") for r in names))
     verdicts = stages.put(rates.withColumn("rejected", bad).select("domain", "rejected"), "verdicts")
     base = F.col(f"fail_{BASE[0]}") | F.col(f"fail_{BASE[1]}")
     rows = seen.join(verdicts, F.col("domain_").eqNullSafe(F.col("domain")), "left")

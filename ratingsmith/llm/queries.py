@@ -141,10 +141,10 @@ def _url_sql() -> str:
           LEFT JOIN (SELECT substr(g, {k + 1 - j}, {j}) AS x, sum(a) AS a, sum(b) AS b FROM c GROUP BY 1) t
                  ON t.x = substr(q.g, {k + 1 - j}, {j}))""")
     return rf"""
-WITH p AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages),
-h AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+WITH p AS (SELECT page_id, coalesce(url, '') AS s, CASE WHEN contains(url, '://') THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages),
+h AS (SELECT page_id, s, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
              regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM p),
-r AS (SELECT *, host || path AS s, CASE {rule} END AS rule, CASE {given} END AS given FROM h),
+r AS (SELECT *, CASE {rule} END AS rule, CASE {given} END AS given FROM h),
 u AS (SELECT s, any_value(given) AS label, ('0x' || substr(md5(s), 1, 8))::BIGINT % 5 AS fold FROM r WHERE s <> '' GROUP BY s),
 g AS (SELECT s, unnest(list_transform(range(1, length(s) + 2), lambda i: substr(repeat(chr(2), {k}) || s || chr(3), i, {k + 1}))) AS g FROM u),
 c AS (SELECT g, count(*) FILTER (WHERE label = 'allow') AS a, count(*) FILTER (WHERE label = 'block') AS b
@@ -194,7 +194,9 @@ h AS (SELECT source, rule, sum(hit::INT)::DOUBLE AS bad, count(*) AS n FROM
                 unnest([short, repeats, symbols, lines]) AS hit FROM f) GROUP BY source, rule),
 p AS (SELECT rule, avg(bad / n) AS mean, var_pop(bad / n) AS v FROM h GROUP BY rule),
 q AS (SELECT rule, mean, CASE WHEN v > 0 THEN least(1e6, greatest(0, mean * (1 - mean) / v - 1)) ELSE 1e6 END AS s FROM p),
-z AS (SELECT source, max((bad + mean * s) / (n + s)) > 0.5 AS rejected FROM h JOIN q USING (rule) GROUP BY source)
+z AS (SELECT source, max(((bad + mean * s) / (n + s) > least(0.5, CASE WHEN s < 1e6 THEN mean + 3 * sqrt(mean * (1 - mean) / (s + 1))
+                                                                ELSE 0.5 END))::INT) = 1 AS rejected
+      FROM h JOIN q USING (rule) GROUP BY source)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, short OR repeats AS base_failed,
        NOT (short OR repeats) AND NOT rejected AS kept
 FROM f JOIN z ON f.source IS NOT DISTINCT FROM z.source

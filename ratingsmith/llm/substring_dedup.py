@@ -28,7 +28,8 @@ Defined cases.  NULL text: no words, kept text is empty.  Fewer than 35 words:
 nothing is removed.  Repeated rows are occurrences of their own: each of two equal
 rows of 35 words or more is removed whole.  NULLs in other columns and extra
 columns pass through; result columns replace input columns of the same name.  Empty
-table: empty result.  One text is held by one task at a time, with 8 bytes a word.
+table: empty result.  Answers are joined back by a 64-bit hash of the text (some 3 colliding pairs are to be expected at
+10^10 distinct texts; a collision could cut words at another text's places).  One text is held by one task at a time, with 8 bytes a word.
 """
 
 from __future__ import annotations
@@ -238,9 +239,11 @@ def send_windows(n: int, window: int, anchor: int):
     return run
 
 
-def keep_words(window: int, sent=None):
+def keep_words(window: int, sent=None, layout: bool = False):
     """Replaces texts by their kept words and adds the counts, given the repeated window starts.
 
+    With ``layout`` only the removed spans are cut, and texts without any stay as they are.
+
     With a broadcast bitmap only texts without repeats are handled, the others are left out.
     """
     def run(batches):
@@ -265,11 +268,16 @@ def keep_words(window: int, sent=None):
                         np.add.at(cover, p, 1)
                         np.add.at(cover, p + window, -1)
                         keep = np.cumsum(cover[:count]) == 0
-                    kept.append(join_words(buf, s[a:b], e[a:b], keep))
+                    if not layout:
+                        kept.append(join_words(buf, s[a:b], e[a:b], keep))
+                    elif keep.all():
+                        kept.append(batch["text"][at + i].as_py())
+                    else:
+                        kept.append(cut_words(buf, s[a:b], e[a:b], keep, int(starts[i]), int(starts[i + 1]) - 1))
                     total.append(count)
                     gone.append(count - int(keep.sum()))
             yield pa.RecordBatch.from_arrays(
-                [batch["row"], pa.array(kept, pa.binary()).cast(pa.string()),
+                [batch["row"], pa.array(kept, pa.string()) if layout else pa.array(kept, pa.binary()).cast(pa.string()),
                  pa.array(total, pa.int64()), pa.array(gone, pa.int64())],
                 names=["row", "kept", "n_words", "n_removed"])
     return run
@@ -289,10 +297,28 @@ def join_words(buf: np.ndarray, s: np.ndarray, e: np.ndarray, keep: np.ndarray)
     return np.where(words.is_space(part), np.uint8(32), part).tobytes()
 
 
+def cut_words(buf: np.ndarray, s: np.ndarray, e: np.ndarray, keep: np.ndarray, start: int, stop: int) -> str:
+    """The text without its removed words and the white space after them (before them at the end); '' if none is kept."""
+    if not keep.any():
+        return ""
+    edge = np.flatnonzero(np.diff(keep.astype(np.int8), prepend=1, append=1))
+    out, at = [], start
+    for a, b in zip(edge[0::2].tolist(), edge[1::2].tolist(), strict=True):
+        last = b == len(keep)
+        out.append(buf[at:int(e[a - 1]) if last else int(s[a])].tobytes())
+        at = int(e[b - 1]) if last else int(s[b])
+    out.append(buf[at:stop].tobytes())
+    return b"".join(out).decode("utf-8")
+
+
 def remove_repeats(df: DataFrame, text: str = "text", n_words: str = "n_words",
                    n_removed: str = "n_removed", window: int = WINDOW, period: int = PERIOD,
-                   anchor: int = ANCHOR, cover: tuple[int, ...] = COVER) -> DataFrame:
-    """``df`` with the kept words in place of each text, and ``n_words``, ``n_removed``."""
+                   anchor: int = ANCHOR, cover: tuple[int, ...] = COVER, layout: bool = False) -> DataFrame:
+    """``df`` with the kept words in place of each text, and ``n_words``, ``n_removed``.
+
+    ``layout=True`` keeps the white space: texts without repeats (NULL too) are untouched, from others only the removed
+    spans are cut.
+    """
     if period - 1 + anchor != window:
         raise ValueError("period - 1 + anchor must equal the window")
     if {(a - b) % period for a in cover for b in cover} != set(range(period)):
@@ -315,6 +341,6 @@ def remove_repeats(df: DataFrame, text: str = "text", n_words: str = "n_words",
     rows = src.mapInArrow(common.map_batches(common.only_listed(bits)), src.schema).join(found, "k", "left").select("row", "text", "places")
     shape = T.StructType([rows.schema["row"], T.StructField("kept", T.StringType()),
                           T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
-    done = (rows.mapInArrow(common.map_batches(keep_words(window)), shape)
-            .unionAll(src.mapInArrow(common.map_batches(keep_words(window, bits)), shape)))
+    done = (rows.mapInArrow(common.map_batches(keep_words(window, layout=layout)), shape)
+            .unionAll(src.mapInArrow(common.map_batches(keep_words(window, bits, layout)), shape)))
     return common.restore(df, done, {text: "kept", n_words: "n_words", n_removed: "n_removed"})

@@ -22,7 +22,8 @@ the string of a special token; without, such a string is ordinary text.
 
 Scale.  One shuffle: rows are range-partitioned by document id and sorted, and
 each task encodes and writes its shards of about SHARD ids.  Shards get their
-final name by a rename, and a task that runs again writes the same bytes to the same names.  Only
+final name by a rename, and a task that runs again writes the same bytes to the same names.  A folder holds
+one write: ``write`` refuses a folder that has shards.  Only
 shard totals (one row a shard) are summed up for the global starts, in two
 levels.  Files are written through the file system of the folder's address and
 read back with Spark's ``binaryFile`` source.
@@ -30,7 +31,7 @@ read back with Spark's ``binaryFile`` source.
 Defined cases.  NULL or empty text: only the end id.  NULL document ids come
 first, ties are ordered by text.  A document is never cut: a very long one makes
 one larger shard.  Repeated rows are documents of their own.  Empty table: no
-files, empty result.  Extra columns are not written.
+files, empty result.  Extra columns are not written.  A folder that holds shards: FileExistsError, nothing is written.
 """
 
 from __future__ import annotations
@@ -175,9 +176,18 @@ def _put(folder: str, name: str, blob: bytes) -> None:
         files.delete_file(held)
 
 
+def _shards(folder: str) -> bool:
+    files, path = pafs.FileSystem.from_uri(folder)
+    if files.get_file_info(path).type != pafs.FileType.Directory:
+        return False
+    return any(f.base_name.startswith("part-") for f in files.get_file_info(pafs.FileSelector(path)))
+
+
 def write(df: DataFrame, folder: str, path: str, end_id: int, text: str = "text", doc_id: str = "doc_id",
           added_tokens: bool = False) -> DataFrame:
     """Writes the shards when the result runs; the result has one row for each shard (INDEX)."""
+    if _shards(folder):
+        raise FileExistsError(f"{folder} holds token shards already; give every write a folder of its own")
     common.small_batches(df.sparkSession)
     rows = df.select(F.col(common.quoted(doc_id)).cast("long").alias("doc_id"), F.col(common.quoted(text)).alias("text"))
     rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")

@@ -9,20 +9,20 @@ uniform p_{-1} up to order ORDER.  The score is the mean log-likelihood differen
 per character, and the threshold is the one that best separates the accepted and
 rejected URLs of a held-out fifth (the middle of the best range of score bins).
 
-Scope.  The models see host and path only, in training and scoring: URLs that differ
-in scheme, query or fragment alone get one score.
+Scope.  Rules look at host and path; the models see the whole URL, scheme, query and fragment
+included, in training and scoring.
 
-Scale.  The models count distinct URLs (host and path).  A model's value depends
+Scale.  The models count distinct URLs.  A model's value depends
 only on the last ORDER + 1 characters, so the counts are aggregated by such grams,
 the log ratio is computed once per distinct gram, and URLs are joined with that
 table, which Spark broadcasts only if it is small enough by its own size check.
 Judged URLs are staged before they are joined back to the rows, so the partition of
 a hot URL can be split.
 
-Defined cases.  No held-out URL of either kind: the threshold is 0.  NULL URL, or one without ``://``: host and path are empty, no rule
-fits, the score is 0.  No accepted or no rejected URLs: all scores are 0 and the
-threshold is 0, so the verdict is allow.  Repeated rows get equal verdicts.  Host
-and path of any length are scored whole.  Other columns pass through; result columns
+Defined cases.  No held-out URL of either kind: the threshold is 0.  NULL or empty URL: host and path are empty, no rule
+fits, the score is 0.  A URL without ``://``: host and path are empty, no rule fits, the models score it.  No accepted or no rejected URLs: all scores are 0 and the
+threshold is 0, so the verdict is allow.  Repeated rows get equal verdicts.  URLs
+of any length are scored whole.  Other columns pass through; result columns
 replace input columns of the same name.  Empty table: empty result.
 """
 
@@ -91,8 +91,7 @@ def threshold(scored: DataFrame) -> float:
     """Best split of held-out accepted and rejected URLs (0 if there are none of either); scores from it on are accepted."""
     bins = scored.groupBy(F.floor(F.col("score") * BINS).alias("bin")).agg(
         F.count(F.when(F.col("label") == "allow", 1)).alias("a"), F.count(F.when(F.col("label") == "block", 1)).alias("b"))
-    bins = bins.filter(F.abs("bin") <= 100 * BINS)
-    upto = W.orderBy("bin")                     # at most 200 * BINS bins
+    upto = W.orderBy("bin")                     # a mean of log ratios of smoothed counts has few bins of 1 / BINS
     every = W.partitionBy()
     good = (F.try_divide(F.sum("a").over(every) - F.sum("a").over(upto), F.sum("a").over(every))
             + F.try_divide(F.sum("b").over(upto), F.sum("b").over(every)))
@@ -106,9 +105,10 @@ def judge(df: DataFrame, rules: list[Rule], url: str = "url") -> DataFrame:
     """``df`` with ``host, path, rule, verdict`` and the model's ``score``."""
     stages = common.Stages(df.sparkSession, "urls")
     host, path = parts(F.col(common.quoted(url)))
-    rows = df.select(common.others(df).alias("row"), host.alias("host"), path.alias("path"))
+    whole = F.coalesce(F.col(common.quoted(url)), F.lit(""))
+    rows = df.select(common.others(df).alias("row"), host.alias("host"), path.alias("path"), whole.alias("s"))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    rows = rows.withColumns({"rule": rule, "given": verdict, "s": F.concat("host", "path")})
+    rows = rows.withColumns({"rule": rule, "given": verdict})
     urls = rows.filter("s <> ''").groupBy("s").agg(F.first("given").alias("label"))
     urls = stages.put(urls.withColumn("fold", fold_of(F.col("s"))), "urls")
     spread = grams(urls.select("s"))

@@ -1,8 +1,9 @@
 """Vectorised word and window hashing over Arrow text batches (numpy only).
 
 Words are maximal runs of bytes other than space and ``\\t \\n \\v \\f \\r``.
-A word's hash is a polynomial over its bytes, finished by an avalanche mix; a
-window's hash is a polynomial over its words' hashes.  All of it is computed
+A word's hash takes its bytes in blocks of eight, each mixed into a state before the next
+(a plain polynomial modulo 2**64 would give some constructible words equal hashes); words of more than
+LONG bytes are hashed by BLAKE2.  A window's hash is a polynomial over its words' hashes, computed
 with prefix sums, so the cost does not depend on the window's length.  A text
 is worked on in segments cut at white space, so the working memory does not
 grow with a text's length (only the eight bytes a word for its hash do).
@@ -10,6 +11,7 @@ grow with a text's length (only the eight bytes a word for its hash do).
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,8 +19,8 @@ import pyarrow as pa
 
 U = np.uint64
 MASK = (1 << 64) - 1
-#: Odd multipliers of the byte and the two word polynomials.
-BYTE_MUL = 0x5851F42D4C957F2D
+#: Seeds of the two hashes of bytes, bytes hashed block by block, odd multipliers of the two word polynomials.
+SEEDS, LONG = (0x243F6A8885A308D3, 0x13198A2E03707344), 256
 WORD_MULS = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 #: Bytes of text hashed at once.
 SEGMENT = 1 << 19
@@ -51,6 +53,33 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
+def span_hashes(buf: np.ndarray, s: np.ndarray, e: np.ndarray, which: int = 0) -> np.ndarray:
+    """Hash of the bytes from each ``s`` to ``e``."""
+    size = (e - s).astype(np.int64)
+    h = mix(size.astype(U) * U(0x9E3779B97F4A7C15) + U(SEEDS[which]))
+    if not len(h):
+        return h
+    wide = np.concatenate((buf, np.zeros(8, np.uint8)))
+    blocks = np.ndarray(len(buf) + 1, "<u8", wide, strides=(1,))       # the eight bytes from every place
+    at, rest = s.astype(np.int64), size.copy()
+    live = np.flatnonzero((rest > 0) & (size <= LONG))
+    while len(live):
+        some = live if len(live) < len(h) else slice(None)
+        left = rest[some]
+        block = blocks[at[some]]
+        short = left < 8
+        if short.any():
+            block = block & np.where(short, (U(1) << (U(8) * np.minimum(left, 7).astype(U))) - U(1), U(MASK))
+        h[some] = mix((h[some] ^ block) * U(0xD6E8FEB86659FD93) + U(0x9E3779B97F4A7C15))
+        at[some] += 8
+        rest[some] -= 8
+        live = live[rest[live] > 0]
+    for i in np.flatnonzero(size > LONG).tolist():
+        got = hashlib.blake2b(buf[s[i]:e[i]].tobytes(), digest_size=8, salt=b"%d" % which).digest()
+        h[i] = U(int.from_bytes(got, "little"))
+    return h
+
+
 def is_space(buf: np.ndarray) -> np.ndarray:
     return (buf == 32) | ((buf >= 9) & (buf <= 13))
 
@@ -90,10 +119,7 @@ def word_hashes(buf: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.nd
         s, e = spans(seg)
         if not len(s):
             continue
-        n = len(seg)
-        pre = np.zeros(n + 1, U)
-        np.cumsum((seg.astype(U) + U(1)) * powers(BYTE_MUL, n)[:n], out=pre[1:])
-        h = mix((pre[e] - pre[s]) * powers(inverse(BYTE_MUL), n)[s] + (e - s).astype(U))
+        h = span_hashes(seg, s, e)
         out.append((s + at, e + at, h))
     if not out:
         none = np.zeros(0, np.int64)

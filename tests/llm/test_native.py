@@ -85,13 +85,19 @@ def test_scores_equal_brute_force_and_separate_the_classes(spark):
                   | {"http://casino7.net/win", "http://good3.net/news", "http://x.net/é"})
     rules = [("org", "/", "allow"), ("bet", "/", "block")]
     df = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
-    rows = url_filter.judge(df, rules).withColumn("fold", url_filter.fold_of(F.concat("host", "path"))).collect()
-    label = {r.host + r.path: r.verdict if r.rule else None for r in rows}
-    fold = {r.host + r.path: r.fold for r in rows}
+    rows = url_filter.judge(df, rules).withColumn("fold", url_filter.fold_of(F.col("url"))).collect()
+    label = {r.url: r.verdict if r.rule else None for r in rows}
+    fold = {r.url: r.fold for r in rows}
     want = brute_scores(list(label), label, fold)
-    assert all(abs(r.score - want[r.host + r.path]) < 1e-9 for r in rows)
+    assert all(abs(r.score - want[r.url]) < 1e-9 for r in rows)
     got = {r.url: r.verdict for r in rows}
     assert got["http://casino7.net/win"] == "block" and got["http://good3.net/news"] == "allow"
+    # the query and the fragment count, and a URL without a host is scored
+    more = [*urls, "http://good3.net/news?ref=casino", "http://good3.net/news#spin", "casino9.bet/spin/8"]
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(more)], "page_id long, url string")
+    score = {r.url: r.score for r in url_filter.judge(df, rules).collect()}
+    assert len({score[u] for u in score if u.startswith("http://good3.net/news")}) == 3
+    assert score["casino9.bet/spin/8"] < 0
 
 
 # ---------------------------------------------------------------- quality rules
@@ -130,6 +136,21 @@ def test_host_verdicts(spark):
     assert quality_rules.judge(df.limit(0)).count() == 0
 
 
+def test_outlying_host_is_rejected_by_the_fitted_prior(spark):
+    rng = random.Random(5)
+    share = {f"s{h}": 3 for h in range(30)} | {"odd": 18}                # failures of 40 rows, below one half
+    rows = [(h, prose(rng, 80, 10**6) if k >= n else "a b") for h, n in share.items() for k in range(40)]
+    rows += [("small", "a b" if k == 0 else prose(rng, 80, 10**6)) for k in range(4)]
+    df = documents(spark, [(i, h, t) for i, (h, t) in enumerate(rows)], "doc_id long, source string, text string")
+    got = quality_rules.judge(df).collect()
+    fine = [r for r in got if not r.base_failed]
+    assert {r.source for r in fine if not r.kept} == {"odd"}
+    rates = {r.domain: r for r in quality_rules.host_rates(spark.createDataFrame(
+        [(h, t == "a b") for h, t in rows], "h string, fail_x boolean"), "h", ["x"]).collect()}
+    assert rates["odd"].x_rate > rates["odd"].x_bound > max(r.x_rate for h, r in rates.items() if h != "odd")
+    assert rates["small"].x_rate < 0.25                                  # one failure of four rows is shrunk
+
+
 def test_shrinking_pulls_small_hosts_to_the_mean(spark):
     rows = [(h, k < n * r) for h, n, r in (("a", 100, 0.1), ("b", 100, 0.2), ("c", 100, 0.15), ("d", 2, 1.0)) for k in range(n)]
     df = spark.createDataFrame([(h, f) for h, f in rows], "h string, fail_x boolean")

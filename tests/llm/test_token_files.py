@@ -77,3 +77,13 @@ def test_query_gives_the_ids_of_an_unmodified_library(spark, tmp_dir):
     documents(spark, rows).repartition(2).write.parquet(f"{tmp_dir}/added/documents.parquet")
     got = queries.QUERIES["op8_token_files"](spark, f"{tmp_dir}/added").collect()
     assert sorted(map(tuple, got), key=lambda r: r[1]) == want(Tokenizer.from_file(PATH), rows, queries.END_ID)
+
+
+def test_a_folder_takes_one_write(spark, tmp_dir):
+    path = queries.tokenizer_file("byte_bpe_50k.json")
+    folder = f"{tmp_dir}/shards"
+    first = op.round_trip(documents(spark, [(1, "a b"), (2, "c")]), path, 2, folder=folder)
+    assert sorted(r.doc_id for r in first.collect()) == [1, 2]
+    with pytest.raises(FileExistsError):
+        op.round_trip(documents(spark, [(7, "x")]), path, 2, folder=folder)
+    assert sorted(r.doc_id for r in first.collect()) == [1, 2]
