@@ -8,13 +8,13 @@ all words; it is found from the sorted ratios of cap to weight.
 A document's expected copies are target / size of its source, at most 3.  They are
 summed up along the source, a random offset in [0, 1) is added, and a document is
 emitted once for each integer boundary that its interval crosses.  Documents are
-ordered by size class, so the words taken come near the target too.  The offset comes
+ordered by size class, within it in parts of about CELL rows by the id's hash, so the words taken come near the target too.  The offset comes
 from the seed and the source's name, so reruns agree.
 
-Scale.  The prefix sums are built in three levels: rows within a cell (source, size
-class, hash part of at most about CELL rows), cells within a size class, size
-classes within a source.  A source with a third of all rows is spread over its
-cells; only the last level has few rows.  Rows are shuffled once, by cell, with
+Scale.  The documents before one in its source are its place in a global order (source, size class, hash part, size, id),
+which a range exchange and the sizes of its partitions give (``common.placed``): no window holds a source, and
+one id or row that a third of all rows share spreads over partitions too, as rows that are
+equal are told apart by where they were read.  Rows are shuffled once, with
 the columns the caller selected.  Sources are one row each; they are ranked
 in one window.
 
@@ -76,21 +76,16 @@ def sample(df: DataFrame, size: Column, source: str = "source", doc_id: str = "d
         F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0).alias("rate"),
         F.ceil(F.col("docs") / CELL).alias("cut")), "plan")
     part = F.pmod(hash32(F.coalesce(F.col("id").cast("string"), F.lit(""))), F.col("cut"))
-    celled = (rows.join(plan, "s")
-              .withColumns({"class": F.length(F.bin("size")), "part": part}))
-    cell = ["s", "class", "part"]
-    # levels two and three: documents before each cell
-    counts = celled.groupBy(*cell).agg(F.count("*").alias("n"))
-    of_class = counts.groupBy("s", "class").agg(F.sum("n").alias("n"))
-    of_class = of_class.select("s", "class", (F.sum("n").over(W.partitionBy("s").orderBy("class")) - F.col("n")).alias("class_before"))
-    counts = counts.select(*cell, (F.sum("n").over(W.partitionBy("s", "class").orderBy("part")) - F.col("n")).alias("part_before"))
-    cells = stages.put(counts.join(of_class, ["s", "class"])
-                       .select(*cell, (F.col("class_before") + F.col("part_before")).alias("before")), "cells")
-    inner = W.partitionBy(*cell).orderBy("size", F.asc_nulls_first("id"), F.xxhash64("row"))
-    placed = celled.withColumn("inner", F.row_number().over(inner)).join(cells, cell)
-    upto = F.col("before") + F.col("inner")
+    ordered = rows.join(plan.select("s", "cut"), "s").select(
+        "row", "s", "size", "id", F.length(F.bin("size")).alias("class"), part.alias("part"), F.xxhash64("row").alias("tie"),
+        F.monotonically_increasing_id().alias("read"))
+    by = ["s", "class", "part", "size", F.asc_nulls_first("id"), "tie", "read"]
+    placed = common.placed(ordered.repartitionByRange(*by).sortWithinPartitions(*by).select("row", "s", "size"), stages, "placed")
+    firsts = placed.groupBy("s").agg(F.min("place").alias("first"))
+    plan = stages.put(plan.join(firsts, "s").select("s", "first", "source_size", "target", "offset", "rate"), "firsts")
+    upto = F.col("place") - F.col("first") + 1
     copies = (F.floor(F.col("offset") + F.col("rate") * upto) - F.floor(F.col("offset") + F.col("rate") * (upto - 1)))
-    done = placed.withColumn("copies", copies.cast("long"))
+    done = placed.join(plan, "s").withColumn("copies", copies.cast("long"))
     return common.restore(df, done, {c: c for c in ("size", "source_size", "target", "copies")})
 
 
