@@ -801,6 +801,21 @@ def csv_ingest_q(spark, sf_dir):
     return csv_src.ingest_report(csv_src.stage_inputs(spark, csv_inputs_dir(spark, sf_dir), _stage(spark, "split")))
 
 
+def _faults_sql(table, source) -> str:
+    (wrong, _, rows), _, (width, cut) = CSV_FAULTS[table]
+    names = INPUTS[table].schema.fieldNames()
+    both = [(wrong, "type", rows), (names[width], "fields", cut)]
+    return " UNION ALL ".join(f"SELECT '{table}' AS table_name, '{c}' AS column_name, '{r}' AS reason, "
+                              f"CAST(count_if({cond}) AS BIGINT) AS lines FROM {source}" for c, r, cond in both)
+
+
+@register("csv_faults", "SELECT * FROM (" + with_(FINGERPRINT_CTES, " UNION ALL ".join(_faults_sql(t, source) for t, source in (
+    ("ratings", "raw_ratings"), ("movies", "raw_movies"), ("tags", "raw_tags"), ("genome_scores", "genome"),
+    ("genome_tags", "raw_genome_tags")))) + ") WHERE lines > 0")
+def csv_faults_q(spark, sf_dir):
+    return csv_src.fault_report(csv_src.stage_inputs(spark, csv_inputs_dir(spark, sf_dir), _stage(spark, "split")))
+
+
 @register("clean_ratings_from_csv", with_(q.RATINGS_CTES, """
 SELECT CAST(userId AS INTEGER) AS userId, CAST(movieId AS INTEGER) AS movieId, rating, "timestamp",
        rating_date, rating_year FROM clean_ratings"""))

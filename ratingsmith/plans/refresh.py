@@ -204,7 +204,7 @@ class _Run:
             inputs = inputs()
 
         # Fingerprints of the inputs (five rows) against the last saved ones.
-        current = rl.fingerprints(inputs.as_dict()).checkpoint(eager=True)
+        current = rl.fingerprints(inputs.as_dict(), rl.native_digest).checkpoint(eager=True)
         fp_rows = sorted(tuple(r) for r in current.collect())
         dataset_hash = hashlib.sha256(repr(fp_rows).encode()).hexdigest()
         changed = [r["table_name"] for r in
@@ -267,7 +267,7 @@ class _Run:
             tables = wh.star_tables(ratings, items, inputs.genome_scores, self.params)
         metrics: dict[str, dict] = {}
         wh.write_star({t: tables[t] for t in WAREHOUSE_TABLES if kept.get(t) is not True}, self.path("warehouse"),
-                      version=self.token, metrics=metrics)
+                      version=self.token, metrics=metrics, max_records_per_file=self.params.max_records_per_file)
         for t in WAREHOUSE_TABLES:
             out.tables[t] = base.tables[t] if kept.get(t) is True else self.entry("warehouse", t, table_schema(t), kept.get(t, []))
         written = {t: out.read(spark, self.out_dir, t) for t in WAREHOUSE_TABLES}

@@ -31,6 +31,7 @@ class StarParams:
     sim_threshold: float = 0.85
     sim_top_n: int | None = 500
     sim_norms: str = "full"
+    max_records_per_file: int | None = None
 
 
 def dim_movies(items: DataFrame, item: str = "movieId") -> DataFrame:
@@ -181,14 +182,15 @@ NULL_KEYS = {"dim_movies": ["movie_id"], "dim_users": ["user_id"], "fact_ratings
 
 
 def write_star(tables: Mapping[str, DataFrame], root: str, fmt: str = "parquet", version: str | None = None,
-               metrics: dict[str, dict] | None = None) -> dict[str, str]:
+               metrics: dict[str, dict] | None = None, max_records_per_file: int | None = None) -> dict[str, str]:
     """Write every table; returns table -> path.  ``metrics`` receives what the writes observed."""
     paths = {}
     for name in tables:
         watch = Observation(name) if metrics is not None else None
         wanted = qc.write_metrics(WAREHOUSE_NOT_NULL[name], WAREHOUSE_MAX_LENGTHS.get(name, {}), NULL_KEYS.get(name, ()),
                                   BOUNDED.get(name)) if watch else None
-        paths[name] = write_table(tables[name], root, name, fmt, version=version, observe=watch, metrics=wanted)
+        paths[name] = write_table(tables[name], root, name, fmt, version=version, observe=watch, metrics=wanted,
+                                  max_records_per_file=max_records_per_file)
         if watch:
             metrics[name] = watch.get
     return paths

@@ -100,6 +100,33 @@ def ingest_report(staged: dict[str, StagedInput]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), rows)
 
 
+def fault_reasons(bad: DataFrame, contract: Contract) -> DataFrame:
+    """Each rejected ``line`` with ``column_name`` and ``reason``.
+
+    ``fields``: the line has too few or too many fields; the column is the one after the last that has a value (NULL
+    if all have one).  ``type``: the first column whose value cannot be cast to its type.  ``other``: anything else
+    that the parser rejects, without a column.
+    """
+    names = contract.schema.fieldNames()
+    shape = ", ".join(f"f{i} string" for i in range(len(names))) + f", {CORRUPT} string"
+    split = bad.select("line", F.from_csv("line", shape, {"escape": '"', "quote": '"', "columnNameOfCorruptRecord": CORRUPT}).alias("f"))
+    given = [F.col("f").getField(f"f{i}") for i in range(len(names))]
+    last = F.greatest(*(F.when(v.isNotNull(), F.lit(i)).otherwise(F.lit(-1)) for i, v in enumerate(given)))
+    after = F.get(F.array(*(F.lit(n) for n in names)), last + 1)
+    wrong = F.coalesce(*(F.when(v.isNotNull() & v.try_cast(f.dataType).isNull(), F.lit(f.name))
+                         for v, f in zip(given, contract.schema.fields, strict=True)))
+    width = F.col("f").getField(CORRUPT).isNotNull()
+    return split.select("line", F.when(width, after).otherwise(wrong).alias("column_name"),
+                        F.when(width, F.lit("fields")).when(wrong.isNotNull(), F.lit("type")).otherwise(F.lit("other")).alias("reason"))
+
+
+def fault_report(staged: dict[str, StagedInput]) -> DataFrame:
+    """S3: table_name, column_name, reason, lines: what was wrong with the rejected lines of every input."""
+    rows = [fault_reasons(s.bad, INPUTS[name]).groupBy("column_name", "reason").agg(F.count(F.lit(1)).alias("lines"))
+            .select(F.lit(name).alias("table_name"), "column_name", "reason", "lines") for name, s in staged.items()]
+    return reduce(lambda a, b: a.unionByName(b), rows)
+
+
 def write_csv(df: DataFrame, raw_dir: str, name: str, mode: str = "overwrite") -> None:
     """One input as headed CSV files (a folder of its file name)."""
     (df.write.mode(mode).option("header", "true").option("escape", '"')

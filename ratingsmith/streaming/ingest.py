@@ -16,6 +16,7 @@ import os
 from pyspark.sql import SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from ratingsmith.sources import files
 from ratingsmith.sources.contracts import Contract
 
 CORRUPT = "_corrupt_record"
@@ -32,8 +33,10 @@ def ingest_new_files(spark: SparkSession, source_dir: str, contract: Contract, t
     stream = reader.csv(source_dir)
     rows = stream.select(*contract.schema.fieldNames(), F.col(CORRUPT).alias("line"),
                          F.col(CORRUPT).isNotNull().alias("malformed"))
+    commits = os.path.join(target, "_checkpoint", "commits")
+    before = set(files.names(spark, commits))
     query = (rows.writeStream.format("parquet").option("path", target)
              .option("checkpointLocation", os.path.join(target, "_checkpoint")).partitionBy("malformed")
              .trigger(availableNow=True).start())
     query.awaitTermination()
-    return any(p["numInputRows"] for p in query.recentProgress)
+    return bool(set(files.names(spark, commits)) - before)

@@ -133,6 +133,11 @@ def test_fingerprint_sees_values_moved_past_nulls(spark):
     assert fp(rows) == fp(rows[::-1])
     for other in ([(1, None, "x", "yz"), rows[1]], [(None, 1, "xy", "z"), rows[1]], [rows[0], (2, 3, "", None)], rows + rows[:1]):
         assert fp(rows) != fp(other)
+    # the digest of refreshes sees the same
+    native = lambda rows: rl.fingerprint(spark.createDataFrame(rows, cols), "t", rl.native_digest).first().fingerprint
+    assert native(rows) == native(rows[::-1])
+    for other in ([(1, None, "x", "yz"), rows[1]], [rows[0], (2, 3, "", None)], [rows[0], (2, None, None, "")], rows + rows[:1]):
+        assert native(rows) != native(other)
 
 
 def test_empty_etag_counts_as_absent(spark):

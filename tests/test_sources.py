@@ -134,3 +134,13 @@ def test_publish_and_defaults(spark, tmp_dir):
     out = seen["dim_movies"]
     assert dict(out.dtypes)["movie_id"] == "int" and dict(out.dtypes)["release_year"] == "smallint"
     assert "created_at" in out.columns and out.first().created_at is not None
+
+
+def test_rejected_lines_carry_column_and_reason(spark):
+    from ratingsmith.sources import csv as csv_src
+    from ratingsmith.sources.contracts import INPUTS
+    lines = {"1,2,3.5,soon": ("timestamp", "type"), "x,2,y,4": ("userId", "type"), "1,2": ("rating", "fields"),
+             "1,2,3.5,4,5": (None, "fields"), "": (None, "other"), ",,,": (None, "other")}
+    bad = spark.createDataFrame([(x,) for x in lines], "line string")
+    got = {r.line: (r.column_name, r.reason) for r in csv_src.fault_reasons(bad, INPUTS["ratings"]).collect()}
+    assert got == lines
