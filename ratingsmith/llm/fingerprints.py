@@ -9,20 +9,22 @@ texts compare directly, and the sketch of a union is the union of the sketches
 of MD5 in hexadecimal; a fingerprint is the sorted hashes joined.
 
 ``neighbours`` pairs every row with the next one in descending id order without a
-global sort in one task: ids are cut into ranges of bounded size, the head of
+global sort in one task: rows are cut into ranges of ids at weighted quantiles, the head of
 each range is appended to the range before it, and a window looks ahead within
 a range.  Texts are shuffled once.  Only the heads' ids are broadcast (one row a
-range, at most about 200,000).
+range, at most about 400,000).
 
 Defined cases.  NULL text counts as empty.  Empty sketches are alike only among
 themselves (likeness 1).  NULL ids come last, ties are ordered by a hash of the text,
 then the text.  After the last row comes the first, so a single row is its own next.
-NULL text comes back as empty.  Repeated rows are rows of their own; the rows of one id stay in one range.  Texts of any length are used whole.  Empty
+NULL text comes back as empty.  Repeated rows are rows of their own; copies of one text under one
+id stay in one range, other rows of a repeated id spread over several.  Texts of any length are used whole.  Empty
 table: empty result.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -34,8 +36,8 @@ from . import common
 WIDTH = 5
 #: Kept share of the hash space, as the first hash that is not kept (hexadecimal), and hash length.
 BOUND, DIGITS = "2", 12
-#: Text bytes of one id range, equal-width cells the ids are counted in, and a bound on ranges.
-RANGE_BYTES, CELLS, RANGES = 4 << 20, 4096, 200_000
+#: Bytes of one id range (texts, and so much for a row itself), marks drawn for one range, and a bound on ranges.
+RANGE_BYTES, ROW_BYTES, MARKS, RANGES = 4 << 20, 64, 16, 200_000
 
 
 def hashes(words: Column) -> Column:
@@ -91,37 +93,44 @@ def merge(a: Column, b: Column) -> Column:
     return F.array_join(F.when(F.size(low) > 0, low).otherwise(F.slice(every, 1, 1)), "")
 
 
-def id_ranges(df: DataFrame, doc_id: str, size: Column, tie: Column) -> Column:
-    """Range number of an id, falling with the id; a range holds about RANGE_BYTES of ``size``.
+def _cuts_below(cuts: list[str], kind: str, x: Column, equal: bool) -> Column:
+    """How many of the sorted ``cuts`` lie below ``x`` (or equal it): first among every width-th one, then in one block."""
+    width = math.isqrt(len(cuts)) + 1
+    array = lambda values: F.split(F.lit("\x01".join(values)), "\x01").cast(f"array<{kind}>")
+    count = lambda values: F.size(F.filter(values, lambda v: v <= x if equal else v < x))
+    blocks = count(array(cuts[::width]))
+    start = F.greatest(blocks - 1, F.lit(0)) * width
+    return F.when(blocks == 0, F.lit(0)).otherwise(start + count(F.slice(array(cuts), start + 1, F.lit(width))))
+
 
-    Ids are summed up in CELLS equal-width cells, and full cells are cut further;
-    there are at most RANGES + CELLS ranges, so they grow beyond RANGE_BYTES for very
-    large tables.  NULL ids form the last ranges, cut by ``tie`` (a 64-bit hash).  The
-    driver holds one number a cell.
+def id_ranges(df: DataFrame, doc_id: str, size: Column, tie: Column) -> Column:
+    """Range number of a row, falling with (id, tie); a range holds about RANGE_BYTES of ``size``.
+
+    Ranges are cut at quantiles of the ids, weighted by size, so their widths follow the ids, outlying ones
+    too.  The quantiles come from marks that rows draw in proportion to their size, MARKS a range: they
+    place the cuts only, every row gets its range from its id.  An id that several quantiles fall on (a
+    repeated one) has as many ranges, cut by ``tie`` (a 64-bit hash); so have NULL ids, which come last.
+    There are at most about RANGES of either, so ranges grow beyond RANGE_BYTES for very large tables.
+    The driver holds the cuts.
     """
-    at = F.col(common.quoted(doc_id)).cast("double")
-    low, high = df.agg(F.min(at), F.max(at)).first()
-    low, high = (0.0, 0.0) if low is None else (low, high)
-    width = max((high - low) / CELLS, 1e-9) * (1 + 1e-9)
-    cell = F.floor((at - F.lit(low)) / F.lit(width)).cast("int")
-    full = {r["c"]: r["s"] or 0 for r in df.groupBy(cell.alias("c")).agg(F.sum(size).alias("s")).collect()}
-    most = max(RANGE_BYTES, sum(full.values()) // RANGES)
-    cuts, first, number, held = [], [], 0, 0
-    for c in range(CELLS + 1):                  # small cells share a range, full ones have several
-        amount = full.get(c, 0)
-        n = int(amount // most) + 1
-        if n > 1 or held + amount > most:
-            number, held = number + 1, 0
-        cuts.append(n)
-        first.append(number)
-        held += amount
-        if n > 1:
-            number, held = number + n, 0
-    inside = F.floor((at - F.lit(low) - cell * F.lit(width)) / F.lit(width) * F.get(F.lit(cuts), cell))
-    found = F.get(F.lit(first), cell) + F.greatest(F.lit(0), F.least(inside, F.get(F.lit(cuts), cell) - 1))
-    nulls = int(full.get(None, 0) // most) + 1
-    last = F.floor((F.lit(0.5) - tie.cast("double") / F.lit(2.0 ** 64)) * nulls)
-    return F.coalesce(-found.cast("long"), F.lit(1 << 40) + last)
+    at, weight = F.col(common.quoted(doc_id)), size.cast("double") + ROW_BYTES
+    known, unknown = df.agg(F.sum(F.when(at.isNotNull(), weight)), F.sum(F.when(at.isNull(), weight))).first()
+    number, nulls = (min(RANGES, int((total or 0) // RANGE_BYTES) + 1) for total in (known, unknown))
+    part = tie.cast("double") / F.lit(2.0 ** 64) + F.lit(0.5)
+    place = F.lit(0)
+    if number > 1:
+        marks = F.floor(weight * F.lit(MARKS * number / known) + F.rand(1))
+        drawn = df.select(at.alias("id"), marks.alias("marks")).filter("id IS NOT NULL AND marks > 0").groupBy("id").agg(F.sum("marks").alias("marks"))
+        upto = F.sum("marks").over(W.orderBy("id").rowsBetween(W.unboundedPreceding, W.currentRow))    # MARKS rows a range
+        crossed = F.floor(F.col("upto") / MARKS) - F.floor((F.col("upto") - F.col("marks")) / MARKS)
+        found = drawn.withColumn("upto", upto).select("id", crossed.alias("n")).filter("n > 0").orderBy("id")
+        cuts = [r.id for r in found.select(F.col("id").cast("string").alias("id"), "n").collect() for _ in range(r.n)]
+        if cuts:
+            kind = df.select(at.alias("id")).schema["id"].dataType.simpleString()
+            less, upto = _cuts_below(cuts, kind, at, False), _cuts_below(cuts, kind, at, True)
+            place = less + F.least(F.floor(part * (upto - less + 1)), upto - less)
+    last = F.floor((1 - part) * nulls)
+    return F.when(at.isNotNull(), -place.cast("long")).otherwise(F.lit(1 << 40) + last)
 
 
 def neighbours(df: DataFrame, doc_id: str = "doc_id", text: str = "text",

@@ -200,6 +200,38 @@ def test_neighbours_with_ties_and_nulls(spark, size, monkeypatch):
     assert fingerprints.neighbours(documents(spark, [])).count() == 0
 
 
+def _range_sizes(spark, df):
+    sized = df.select(fingerprints.id_ranges(df, "doc_id", F.octet_length(F.coalesce("text", F.lit(""))),
+                                             fingerprints.common.text_key("text")).alias("range"))
+    return sorted(r["count"] for r in sized.groupBy("range").count().collect())
+
+
+def test_ranges_follow_outlying_repeated_and_null_ids(spark, monkeypatch):
+    monkeypatch.setattr(fingerprints, "RANGE_BYTES", 100 * (fingerprints.ROW_BYTES + 8))
+    numbers = list(range(1999)) + [2 ** 60, 2 ** 60 + 1, -2 ** 62]              # beyond a double's digits too
+    spread = _range_sizes(spark, documents(spark, [(i, f"text{i:04d}"[:8]) for i in numbers]))
+    assert len(spread) >= 15 and spread[-1] <= 300
+    rows = [(7 if i % 3 else None if i % 2 else i, f"t{i:07d}") for i in range(2000)]
+    spread = _range_sizes(spark, documents(spark, rows))
+    assert len(spread) >= 15 and spread[-1] <= 300
+    words = documents(spark, [(f"id {i}", f"text{i:04d}") for i in range(2000)], "doc_id string, text string")
+    assert _range_sizes(spark, words)[-1] <= 300
+
+
+def test_neighbours_of_repeated_ids_are_one_cycle(spark, monkeypatch):
+    """Each text differs, so following ``next_text`` from any row meets all of them, ids falling."""
+    monkeypatch.setattr(fingerprints, "RANGE_BYTES", 5 * (fingerprints.ROW_BYTES + 8))
+    rows = [(7 if i % 3 else None if i % 2 else 2 ** 60 + i, f"t{i:07d}") for i in range(300)]
+    ahead = {r.text: r.next_text for r in fingerprints.neighbours(documents(spark, rows)).collect()}
+    ids = {t: -1 if i is None else i for i, t in rows}
+    top = max((t for t in ids), key=ids.get)
+    walk = [top]
+    while ahead[walk[-1]] != top:
+        walk.append(ahead[walk[-1]])
+        assert len(walk) <= len(rows)
+    assert len(walk) == len(rows) and all(ids[a] >= ids[b] for a, b in zip(walk, walk[1:]))
+
+
 def test_likeness_containment_and_merge(spark):
     rng = random.Random(10)
     long = prose(rng, 4000, 10**6)
