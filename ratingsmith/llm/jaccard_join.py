@@ -30,9 +30,11 @@ one order of the shingles, sets that link share a shingle among the first
 3. each coarse group is joined by trees, small groups packed together, a large one
    cut into tiles of bounded size;
 4. for a large group, the representatives of the tiles' components are joined in
-   turn; then every document outside the group's largest component is joined
-   against all tiles.  Two documents that are not connected by then have been compared or
-   lie in one component, so no link is lost, while a group of near copies costs
+   turn; then every document outside the group's largest component is routed, by its
+   first shingles (rare ones first) and its size, to those tiles of documents of like size
+   that can hold a partner, and joined with them by a tree.  Two documents that are not
+   connected by then have been compared, lie in one component, or share no first
+   shingle, so no link is lost, while a group of near copies costs
    one comparison a document instead of one a pair.
 
 Equal texts are one member throughout.  A task sends a shingle once, with star
@@ -606,7 +608,7 @@ def components(df: DataFrame, text: str = "text", percent: int = PERCENT, freque
     links = [local.select(F.col("k").alias("a"), F.col("comp").alias("b")).filter("a <> b")]
     large = placed.filter("tiles > 1").select("root", "tiles").distinct()
     if not large.isEmpty():
-        links += _large_groups(members, local, large, n_small, run, stages)
+        links += _large_groups(members, local, large, n_small, percent, sent, stages)
     edges = links[0]
     for more in links[1:]:
         edges = edges.unionAll(more)
@@ -615,9 +617,9 @@ def components(df: DataFrame, text: str = "text", percent: int = PERCENT, freque
             .select("k", "n", F.coalesce("root", "k").alias("comp")))
 
 
-def _large_groups(members: DataFrame, local: DataFrame, large: DataFrame, n_small: int, run, stages) -> list[DataFrame]:
+def _large_groups(members: DataFrame, local: DataFrame, large: DataFrame, n_small: int, percent: int, sent, stages) -> list[DataFrame]:
     """Links across the tiles of groups that need more than one."""
-    links = []
+    run, links = tile_join(percent), []
     of_large = local.join(large.select("root"), "root", "left_semi")
     reps = stages.put(of_large.filter("k = comp").select("k"), "reps0")
     left, step = reps.count(), 0
@@ -642,23 +644,63 @@ def _large_groups(members: DataFrame, local: DataFrame, large: DataFrame, n_smal
     known = stages.put(known, "known")
     share = known.groupBy("root", "comp").agg(F.count("*").alias("docs"))
     bulk = share.groupBy("root").agg(F.max(F.struct("docs", "comp")).alias("m")).select("root", F.col("m.comp").alias("bulk"))
-    rest = known.join(bulk, "root").filter("comp <> bulk").drop("bulk")
+    rest = known.join(bulk, "root").filter("comp <> bulk").select("k", "text", "root", "n", "comp")
     rest = stages.put(rest, "rest")
     if rest.isEmpty():
         return links
-    cut = rest.groupBy("root").agg(F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum("n") / TILE_TOKENS)).alias("cuts"))
+    known = stages.put(_size_tiles(known.join(rest.select("root").distinct(), "root", "left_semi"), percent), "sized")
+    ways = stages.put(routes(known, rest, percent, sent), "ways")
+    cut = ways.groupBy("g").agg(F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum("n") / TILE_TOKENS)).alias("cuts"))
+    cut = stages.put(cut, "cuts")
     cols = ["k", "text", "root", "comp"]
-    # every tile of a group meets every cut of the rest; keys (g, c) are one group each
-    tiles = known.select("root", "g").distinct()
-    tile_side = (known.join(cut, "root").withColumn("c", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cuts") - 1)))
+    # a tile meets the documents routed to it in cuts; keys (g, c) are one group each
+    tile_side = (known.join(cut, "g").withColumn("c", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cuts") - 1)))
                  .select(*cols, "g", "c", F.lit(False).alias("fresh")))
-    rest_side = (rest.join(cut, "root").withColumn("c", F.pmod(F.xxhash64("k", F.lit(77)), F.col("cuts")))
-                 .drop("g").join(tiles, "root").select(*cols, "g", "c", F.lit(True).alias("fresh")))
+    rest_side = (rest.join(ways.drop("n").join(cut, "g"), "k").withColumn("c", F.pmod(F.xxhash64("k", F.lit(77)), F.col("cuts")))
+                 .select(*cols, "g", "c", F.lit(True).alias("fresh")))
     got = tile_side.unionAll(rest_side).groupBy("g", "c").applyInArrow(common.map_group(run), TILED)
     links.append(stages.put(got.select(F.col("was").alias("a"), F.col("comp").alias("b")).filter("a <> b"), "cross"))
     return links
 
 
+def _size_tiles(members: DataFrame, percent: int) -> DataFrame:
+    """Tiles ``g`` of documents of like size: sets of bands that are not neighbours differ too much to link."""
+    sized = members.drop("g").withColumn("band", F.floor(F.log(F.col("n")) / F.log(F.lit(100 / percent))))
+    full = sized.groupBy("root", "band").agg(F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum("n") / TILE_TOKENS)).alias("tiles"))
+    tile = F.xxhash64("root", "band", F.pmod(F.xxhash64("k", F.lit(55)), F.col("tiles")))
+    return sized.join(full, ["root", "band"]).withColumn("g", tile).drop("band", "tiles")
+
+
+def send_first_shingles(percent: int, sent):
+    """One row for each first shingle of a text: ``(root, g, k, n, h)``."""
+    def run(batches):
+        for batch in batches:
+            at = 0
+            for _, g, n in _sets_of(batch):
+                h, row = _prefixes(g, n, sent.value.levels(g), percent)
+                for i in range(0, len(h), FLUSH):
+                    rows = pa.array(row[i:i + FLUSH] + at)
+                    yield pa.RecordBatch.from_arrays([batch[c].take(rows) for c in ("root", "g", "k", "n")]
+                                                     + [pa.array(h[i:i + FLUSH].view(np.int64))], names=["root", "g", "k", "n", "h"])
+                at += len(n)
+    return run
+
+
+def routes(known: DataFrame, rest: DataFrame, percent: int, sent) -> DataFrame:
+    """``(g, k, n)``: the tiles of ``known`` that each document of ``rest`` must be compared with.
+
+    Sets that link share one of their first shingles, rare ones first, and have fitting sizes; a tile is
+    passed over when none of its documents does both.
+    """
+    form = "root long, g long, k long, n long, h long"
+    first = lambda df: df.mapInArrow(common.map_batches(send_first_shingles(percent, sent)), form)
+    there = (first(known.select("k", "text", "root", "g", "n")).groupBy("root", "h", "g")
+             .agg(F.min("n").alias("least"), F.max("n").alias("most")))
+    asks = first(rest.select("k", "text", "root", F.lit(0).cast("long").alias("g"), "n")).drop("g")
+    fits = (100 * F.col("most") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("least"))
+    return asks.join(there, ["root", "h"]).filter(fits).select("g", "k", "n").distinct()
+
+
 def representatives(df: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = PERCENT) -> DataFrame:
     """The rows of ``df`` that stay when one document of each component is kept: that of the smallest id.
 

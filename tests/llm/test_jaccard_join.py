@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from ratingsmith.llm import jaccard_join as op
 from tests.llm.helpers import documents, near, prose, words_of
@@ -98,6 +99,28 @@ def test_tree_prunes_but_loses_nothing():
             for i in range(len(rows))] == [c for _, c in want]
 
 
+def test_routes_keep_every_partner_and_skip_tiles(spark, monkeypatch):
+    """Documents of one group in tiles of like size: each meets the tiles of its partners, and far from all tiles."""
+    rng = random.Random(13)
+    passage = prose(rng, 20)
+    texts = []
+    for i in range(40):
+        base = prose(rng, rng.choice([15, 25, 45, 90, 180]), 10**5) + " " + passage
+        texts += [base, near(rng, base, 0.01)]
+    texts = sorted(set(texts))
+    rows = [(i, t, 1, len(shingles(t))) for i, t in enumerate(texts)]
+    known = spark.createDataFrame(rows, "k long, text string, root long, n long").withColumn("g", F.lit(0).cast("long"))
+    monkeypatch.setattr(op, "TILE", 4)
+    tiled = op._size_tiles(known, 80)
+    tile_of = {r.k: r.g for r in tiled.select("k", "g").collect()}
+    sent = spark.sparkContext.broadcast(op.frequent(known.select("k", "text"), 3, op.common.Stages(spark, "routes"), 1000))
+    got = {(r.g, r.k) for r in op.routes(tiled, tiled, 80, sent).collect()}
+    sets = [shingles(t) for t in texts]
+    partners = {(tile_of[j], i) for i, a in enumerate(sets) for j, b in enumerate(sets) if 100 * len(a & b) >= 80 * len(a | b)}
+    assert len(partners) > len(texts) and partners <= got
+    assert len(got) < 0.5 * len(texts) * len(set(tile_of.values()))
+
+
 def test_odd_rows(spark):
     text = " ".join(f"w{i}" for i in range(20))
     rows = [(None, text, "x"), (5, text, None), (5, text, None), (9, None, "y"), (None, None, "z"), (4, "w0", "q")]
