@@ -1,3 +1,6 @@
+import math
+import unicodedata
+
 import duckdb
 import numpy as np
 import pyarrow as pa
@@ -42,6 +45,62 @@ def test_predictions_and_defined_cases(spark, model):
     assert op.predict(df.limit(0), model).count() == 0
 
 
+def plain_counts(text):
+    """Hashed dimension -> occurrences of letters, pairs and triples, and the number of letters, one character at a time."""
+    low = [ord(c.lower()) if len(c.lower()) == 1 else ord(c) for c in text]
+    z = [0] + [x if unicodedata.category(c)[0] == "L" else 0 for x, c in zip(low, text, strict=True)] + [0, 0]
+    counts, seen = {}, 0
+    for i in range(1, len(text) + 2):                    # one past the end: the last letter's pair with the gap behind it
+        a, b, c = z[i - 1], z[i], z[i + 1] if i + 1 < len(z) else 0
+        grams = []
+        if b:
+            seen += 1
+            grams.append(b * 0x9E3779B97F4A7C15)
+            grams.append(a * 0xFF51AFD7ED558CCD + b * 0xC4CEB9FE1A85EC53 + c * 0x2545F4914F6CDD1D)
+        if a or b:
+            grams.append(a * 0xC2B2AE3D27D4EB4F + b * 0x165667B19E3779F9)
+        for g in grams:
+            dim = int(words.mix(np.array([g % 2**64], np.uint64))[0]) % op.DIMS
+            counts[dim] = counts.get(dim, 0) + 1
+    return counts, seen
+
+
+def plain_prediction(model, text):
+    counts, seen = plain_counts(text or "")
+    weights = {d: math.log1p(n) * float(model.idf[d]) for d, n in counts.items()}
+    norm = math.sqrt(sum(w * w for w in weights.values()))
+    if not seen:
+        return "und", 0.0, False
+    cosines = [sum(w * float(c[d]) for d, w in weights.items()) / norm for c in model.centroids]
+    best = max(range(len(cosines)), key=lambda i: (cosines[i], -i))
+    return model.labels[best], cosines[best], 1 - cosines[best] > op.REJECT * model.radius[best]
+
+
+def test_predictions_equal_brute_force(spark, model):
+    texts = ["the cat and the dog", "der Hund IST nicht im Garten!", "Grüße, señor! déjà-vu 123", "зима и лето", "x", "İstanbul ﬁn",
+             "中文 text", None, "", "123", "the cat und die katze " * 40, "a\nb\tc  d", "the cat and the dog"]
+    got = by_id(op.predict(documents(spark, list(enumerate(texts))).repartition(3), model).collect())
+    assert len(got) == len(texts)
+    for i, t in enumerate(texts):
+        lang, score, far = plain_prediction(model, t)
+        assert (got[i].lang_pred, got[i].rejected) == (lang, far) and abs(got[i].score - score) < 1e-5, t
+    assert got[0][1:] == got[len(texts) - 1][1:]         # repeated rows alike
+
+
+def test_weights_equal_brute_force(spark):
+    rows = [(1, "one fish two fish", "en"), (2, "ein fisch", "de"), (3, "zwei fische", "de"), (4, "one fish two fish", "en"), (5, "no label", None)]
+    model = op.fit(documents(spark, rows, "doc_id long, text string, lang string"), clusters=1)
+    held = [set(plain_counts(t)[0]) for _, t, lang in rows if lang]
+    want = [math.log(5 / (1 + sum(d in h for h in held))) + 1 for d in range(op.DIMS)]
+    assert np.allclose(model.idf, want, atol=1e-5)
+
+
+def test_equal_cosines_go_to_the_first_language(spark, model):
+    same = op.Model(["aa", "bb", "bb"], np.repeat(model.centroids[:1], 3, axis=0), np.repeat(model.radius[:1], 3), model.idf)
+    got = op.predict(documents(spark, [(1, "der hund"), (1, "der hund")]), same).collect()
+    assert [r.lang_pred for r in got] == ["aa", "aa"] and got[0] == got[1]
+
+
 def test_no_labelled_rows(spark):
     df = documents(spark, [(1, "a b", None)], "doc_id long, text string, lang string")
     got = op.predict(df, op.fit(df)).first()
