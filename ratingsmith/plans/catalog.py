@@ -22,7 +22,7 @@ from ratingsmith.operators import metrics as met
 from ratingsmith.operators import quality as qc
 from ratingsmith.operators import runlog as rl
 from ratingsmith.operators import similarity as sim
-from ratingsmith.operators import sparse_similarity as sparse
+from ratingsmith.operators import nearest, sparse_similarity as sparse
 from ratingsmith.operators import windows as win
 from ratingsmith.plans import oracle_sql as q
 from ratingsmith.plans import refresh
@@ -290,7 +290,7 @@ def sparse_similarity_q(spark, sf_dir):
     return sparse.cosine_join(vectors, threshold=SIM_THRESHOLD).pairs
 
 
-@register("neighbours", SIM_ALL + ",\n" + q.RAW_MOVIES + ",\n" + q.CLEAN_ITEMS + f"""
+NEIGHBOURS_SQL = SIM_ALL + ",\n" + q.RAW_MOVIES + ",\n" + q.CLEAN_ITEMS + f"""
 SELECT item AS movie_id, neighbour AS neighbour_id, ci.clean_title AS neighbour_title,
        similarity, rank
 FROM (SELECT *, CAST(row_number() OVER (PARTITION BY item ORDER BY similarity DESC, neighbour)
@@ -300,12 +300,23 @@ FROM (SELECT *, CAST(row_number() OVER (PARTITION BY item ORDER BY similarity DE
             UNION ALL
             SELECT movie_id_b, movie_id_a, similarity FROM sims WHERE similarity > {SIM_THRESHOLD}))
 LEFT JOIN clean_items ci ON ci.movieId = neighbour
-WHERE rank <= {NEIGHBOURS}""")
+WHERE rank <= {NEIGHBOURS}"""
+
+
+@register("neighbours", NEIGHBOURS_SQL)
 def neighbours_q(spark, sf_dir):
     pairs = sim.cosine_pairs(vectors_df(spark, sf_dir), threshold=SIM_THRESHOLD, sort=False, top_k=NEIGHBOURS)
     return sim.neighbours(pairs, dim_movies_df(spark, sf_dir), k=NEIGHBOURS)
 
 
+@register("neighbours_by_floors", NEIGHBOURS_SQL)
+def neighbours_by_floors_q(spark, sf_dir):
+    top = nearest.top_k(vectors_df(spark, sf_dir), NEIGHBOURS, threshold=SIM_THRESHOLD).top
+    names = dim_movies_df(spark, sf_dir).select(F.col("movie_id").alias("neighbour"), F.col("clean_title").alias("neighbour_title"))
+    return top.join(names, "neighbour", "left").select(
+        F.col("item").alias("movie_id"), F.col("neighbour").alias("neighbour_id"), "neighbour_title", "similarity", "rank")
+
+
 EXPLAINING_TAGS = 3
 _PAIRS_SQL = f"""best AS (SELECT DISTINCT least(item, neighbour) AS movie_id_a, greatest(item, neighbour) AS movie_id_b
   FROM (SELECT *, row_number() OVER (PARTITION BY item ORDER BY similarity DESC, neighbour) AS rank
