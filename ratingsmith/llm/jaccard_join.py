@@ -52,7 +52,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common, packed, words
@@ -571,12 +571,16 @@ def _tiles(members: DataFrame, salt: int, n_small: int) -> DataFrame:
 # ---------------------------------------------------------------- the join
 
 def components(df: DataFrame, text: str = "text", percent: int = PERCENT, frequent_shingles: int = FREQUENT,
-               stages: common.Stages | None = None) -> DataFrame:
-    """``(k, n, comp)``: every distinct text's key, set size, and component (the smallest key in it)."""
+               stages: common.Stages | None = None, key: Column | None = None) -> DataFrame:
+    """``(k, n, comp)``: every distinct text's key, set size, and component (the smallest key in it).
+
+    ``key`` is the ``distinct_key`` of the texts, if the caller has it.
+    """
     spark = df.sparkSession
     common.small_batches(spark)
     stages = stages or common.Stages(spark, "jaccard")
-    rows = df.select(common.text_key(text).alias("k"), F.coalesce(F.col(common.quoted(text)), F.lit("")).alias("text"))
+    key = common.distinct_key(df, text) if key is None else key
+    rows = df.select(key.alias("k"), F.coalesce(F.col(common.quoted(text)), F.lit("")).alias("text"))
     n = common.parts(spark, common.text_bytes(df, F.col(common.quoted(text))) / 6 * (100 - percent) / 100, BUCKET)
 
     sent = spark.sparkContext.broadcast(frequent(rows, n, stages, frequent_shingles))
@@ -707,8 +711,9 @@ def representatives(df: DataFrame, text: str = "text", doc_id: str = "doc_id", p
     Documents with an empty set stay.  Of equal rows that tie for the smallest id, one stays.
     """
     stages = common.Stages(df.sparkSession, "representatives")
-    found = stages.put(components(df, text, percent, stages=stages), "components")
-    ids = df.select(common.text_key(text).alias("k"), F.col(common.quoted(doc_id)).alias("id"))
+    key = common.distinct_key(df, text)
+    found = stages.put(components(df, text, percent, stages=stages, key=key), "components")
+    ids = df.select(key.alias("k"), F.col(common.quoted(doc_id)).alias("id"))
     order = F.struct(F.col("id").isNull().alias("unknown"), F.col("id"), F.col("k"))
     least = (ids.groupBy("k").agg(F.min("id").alias("id")).join(found.filter("n > 0"), "k")
              .groupBy("comp").agg(F.min(order).alias("least")))
@@ -719,7 +724,7 @@ def representatives(df: DataFrame, text: str = "text", doc_id: str = "doc_id", p
     same = lambda r: (r["k"] == chosen["k"]) & r["doc"].eqNullSafe(chosen["id"])
     named = ids.withColumnRenamed("id", "doc")
     ties = stages.put(named.join(chosen, same(named), "left_semi").groupBy("k").count().filter("count > 1").select("k"), "ties")
-    rows = df.select(common.others(df).alias("row"), common.text_key(text).alias("k"), F.col(common.quoted(doc_id)).alias("doc"))
+    rows = df.select(common.others(df).alias("row"), key.alias("k"), F.col(common.quoted(doc_id)).alias("doc"))
     kept = rows.join(chosen, same(rows), "left_semi")
     if not ties.isEmpty():
         kept = (kept.join(ties, "k", "left_anti").select("row")
@@ -732,13 +737,14 @@ def join(df: DataFrame, text: str = "text", doc_id: str = "doc_id", n_shingles:
          component: str = "component_id", percent: int = PERCENT) -> DataFrame:
     """``df`` with its set size and component id (the smallest ``doc_id`` reachable by links)."""
     stages = common.Stages(df.sparkSession, "jaccard")
-    found = stages.put(components(df, text, percent, stages=stages), "components")
-    ids = df.select(common.text_key(text).alias("k"), F.col(common.quoted(doc_id)).alias("id"))
+    key = common.distinct_key(df, text)
+    found = stages.put(components(df, text, percent, stages=stages, key=key), "components")
+    ids = df.select(key.alias("k"), F.col(common.quoted(doc_id)).alias("id"))
     # least id of each text first (hot texts collapse before the join), then of each component
     least = (ids.groupBy("k").agg(F.min("id").alias("id")).join(found, "k")
              .groupBy("comp").agg(F.min("id").alias("least")))
     of_text = stages.put(found.join(least, "comp").select("k", "n", "least"), "of_text")
     stages.drop_others("of_text")
-    rows = df.select(common.others(df).alias("row"), common.text_key(text).alias("k")).join(of_text, "k")
+    rows = df.select(common.others(df).alias("row"), key.alias("k")).join(of_text, "k")
     own = F.when(F.col("n") == 0, F.col("row").getField(doc_id)).otherwise(F.col("least"))
     return common.restore(df, rows.select("row", "n", own.alias("least")), {n_shingles: "n", component: "least"})

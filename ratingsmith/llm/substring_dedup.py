@@ -28,8 +28,8 @@ Defined cases.  NULL text: no words, kept text is empty.  Fewer than 35 words:
 nothing is removed.  Repeated rows are occurrences of their own: each of two equal
 rows of 35 words or more is removed whole.  NULLs in other columns and extra
 columns pass through; result columns replace input columns of the same name.  Empty
-table: empty result.  Answers are joined back by a 64-bit hash of the text (some 3 colliding pairs are to be expected at
-10^10 distinct texts; a collision could cut words at another text's places).  One text is held by one task at a time, with 8 bytes a word.
+table: empty result.  Answers are joined back by a 64-bit key in which all
+texts differ (``common.distinct_key``).  One text is held by one task at a time, with 8 bytes a word.
 """
 
 from __future__ import annotations
@@ -327,7 +327,7 @@ def remove_repeats(df: DataFrame, text: str = "text", n_words: str = "n_words",
     common.small_batches(spark)
     stages = common.Stages(spark, "substring")
     src = df.select(common.others(df, text).alias("row"), F.col(text).alias("text"),
-                    common.text_key(text).alias("k"))
+                    common.distinct_key(df, text).alias("k"))
     n = common.parts(spark, common.text_bytes(df, text) / 6 * len(cover) / period, BUCKET)
     sent = src.select("k", "text").mapInArrow(common.map_batches(send_anchors(n, window, period, anchor, cover)), ENTRY)
     cand = stages.put(places(sent, n), "candidates")
