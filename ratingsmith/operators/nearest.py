@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from ratingsmith.operators.similarity import BLOCK_ENTRIES, TILE_BYTES
+from ratingsmith.operators.similarity import BLOCK_ENTRIES, TILE_BYTES, _rounded
 
 # Pivot entries that go to every task (16 bytes each).
 PIVOT_ENTRIES = 1_000_000
@@ -140,13 +140,6 @@ def _bounds(tile_bytes):
     return kernel
 
 
-def _rounded(cos, scale):
-    """As ``functions.half_up``: to 12 places, then half away from zero."""
-    grain = 10 ** (12 - scale)
-    whole = np.rint(np.abs(cos) * 1e12).astype(np.int64)
-    return np.sign(cos) * ((whole + grain // 2) // grain) / 10.0 ** scale
-
-
 def _best(ids, others, sim, floors, k):
     """Of a matrix of similarities, each row's ``k`` best that reach its floor, and ties with the last of them."""
     sim = np.where(sim >= floors[:, None], sim, -np.inf)

@@ -133,3 +133,28 @@ def test_sparse_join_needs_a_threshold_and_takes_no_rows(spark):
     assert sparse.cosine_join(empty, threshold=0.5).pairs.collect() == []
     with pytest.raises(ValueError):
         sparse.cosine_join(empty, threshold=0.0)
+
+
+def _group(vectors, lo=0, hi=0):
+    import pyarrow as pa
+    n, keys = vectors.shape
+    return pa.RecordBatch.from_pydict({"movieId": pa.array(range(n), pa.int32()), "keys": [list(range(keys))] * n, "vals": vectors.tolist(),
+                                       "_blk": [lo if i < n // 2 else hi for i in range(n)], "_blo": [lo] * n, "_bhi": [hi] * n})
+
+
+def test_pairs_leave_a_task_a_few_tiles_at_a_time(monkeypatch):
+    """However many pairs pass, a task holds those of a few tiles."""
+    monkeypatch.setattr(sim, "ROWS_SENT", 100)
+    group = _group(np.ones((60, 4)))
+    for top_k, pairs in ((None, 60 * 59 // 2), (3, 3 * 57 + 3)):
+        sent = list(sim._pair_kernel("movieId", 0.5, False, 1e-4, top_k, 8 * 48 * 4, 4)(iter([group])))
+        assert sum(len(b) for b in sent) == pairs and len(sent) >= 2 and max(len(b) for b in sent) <= 100
+
+
+def test_top_k_of_equal_vectors_sends_no_more_than_k_pairs_an_item(spark):
+    v = _vecs(spark, {i: {0: 1, 1: 2} for i in range(60)})
+    items = spark.createDataFrame([(i, f"t{i}") for i in range(60)], "movie_id int, clean_title string")
+    few = sim.cosine_pairs(v, threshold=0.5, sort=False, top_k=3, num_blocks=2)
+    assert few.count() <= 3 * 60 * 2
+    rows = lambda pairs: sorted(map(tuple, sim.neighbours(pairs, items, k=3).collect()))
+    assert rows(few) == rows(sim.cosine_pairs(v, threshold=0.5, sort=False))
