@@ -158,3 +158,17 @@ def test_top_k_of_equal_vectors_sends_no_more_than_k_pairs_an_item(spark):
     assert few.count() <= 3 * 60 * 2
     rows = lambda pairs: sorted(map(tuple, sim.neighbours(pairs, items, k=3).collect()))
     assert rows(few) == rows(sim.cosine_pairs(v, threshold=0.5, sort=False))
+
+
+def test_sparse_join_moves_vectors_and_no_candidates(spark, monkeypatch):
+    """A key's vectors meet block by block, and a pair with several shared keys in one group only."""
+    from ratingsmith.operators import sparse_similarity as sparse
+    df = spark.createDataFrame(_sparse_rows(2), "movieId int, tagId int, relevance double")
+    as_list = lambda d: sorted(tuple(r) for r in d.collect())
+    whole = sparse.cosine_join(df, threshold=0.4)
+    monkeypatch.setattr(sparse, "KEY_ITEMS", 4)
+    cut = sparse.cosine_join(df, threshold=0.4)
+    assert as_list(cut.pairs) == as_list(whole.pairs) and as_list(cut.compared) == as_list(whole.compared)
+    assert cut.candidates.count() == cut.candidates.select("a", "b").distinct().count() == whole.candidates.count()
+    plan = cut.pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapGroupsInArrow" in plan and "Aggregate [a" not in plan and "Aggregate [ia" not in plan
