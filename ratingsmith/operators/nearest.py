@@ -9,6 +9,8 @@
    emits ``k`` rows an item.  The ``k``-th of them is the item's floor: its true ``k``-th best is no lower.
 4. The second round compares only block pairs whose bound reaches the lowest floor of a block that has not met the
    other, and emits only rows that reach their item's floor.  The other pairs are listed in ``skipped`` and never built.
+   Blocks go to the tasks of this round in groups of at most ``GROUP_ENTRIES`` entries, so that a vector is sent once for
+   each group that its own meets, not once for each block.
 
 An item sends at most ``k`` rows from a task, ties included, since rows are ranked by (similarity, smaller
 neighbour) where they arise.  Skipping depends on the data: vectors that lie in groups skip most pairs, directions
@@ -31,6 +33,8 @@ from ratingsmith.operators.similarity import BLOCK_ENTRIES, TILE_BYTES, _rounded
 PIVOT_ENTRIES = 1_000_000
 # Blocks whose bounds are worked out together.
 BLOCK_TILE = 512
+# Entries of a group of blocks that is sent to a task as a whole (16 bytes each, and as much again in the task).
+GROUP_ENTRIES = 4_000_000
 # Rounding of sums in double precision.
 EPS = 1e-9
 
@@ -184,6 +188,26 @@ def _compare(k, threshold, scale, tile_bytes, both):
     return kernel
 
 
+def _compare_groups(k, threshold, scale, tile_bytes):
+    """``_compare`` both ways of the block pairs ``pairs`` between two groups of blocks, whose vectors are ``rows``."""
+    compare = _compare(k, threshold, scale, tile_bytes, True)
+
+    def kernel(rows, pairs):
+        blocks = {b: part for b, part in rows.groupby("block")}
+        found, size = [], 0
+        for lo, hi, due in zip(pairs["lo"], pairs["hi"], pairs["due"]):
+            # a block that is not due takes part as partner only: no similarity reaches its floor of 3
+            ends = [blocks[b] if b in due else blocks[b].assign(floor=3.0) for b in (lo, hi)]
+            found.append(compare(pd.concat(ends).assign(a=lo)))
+            size += len(found[-1])
+            if size > 2 * k * len(rows):
+                found = [_ranked(found, k)]
+                size = len(found[0])
+        return _ranked(found, k) if found else pd.DataFrame({"item": [], "neighbour": [], "similarity": []})
+
+    return kernel
+
+
 def top_k(vectors: DataFrame, k: int, item: str = "movieId", key: str = "tagId", value: str = "relevance",
           threshold: float | None = None, scale: int = 4, probe: int = 2, block_items: int | None = None,
           tile_bytes: int = TILE_BYTES) -> Nearest:
@@ -251,15 +275,19 @@ def top_k(vectors: DataFrame, k: int, item: str = "movieId", key: str = "tagId",
     met = reach.select(F.least("a", "block").alias("lo"), F.greatest("a", "block").alias("hi"), "a").filter("lo <> hi")
     due = (sides.join(met.withColumnRenamed("a", "block"), ["lo", "hi", "block"], "left_anti").join(lowest, "block")
            .filter(F.col("bound") + F.lit(half) >= F.col("least")).select("lo", "hi", F.col("block").alias("due")))
-    # a block that is not due takes part as partner only: no similarity reaches its floor of 3
-    ends = (due.groupBy("lo", "hi").agg(F.collect_set("due").alias("due"))
-            .select("lo", "hi", "due", F.explode(F.array("lo", "hi")).alias("block"))
-            .select(F.col("lo").alias("a"), "hi", "block", F.array_contains("due", F.col("block")).alias("due"))).checkpoint(eager=True)
-    sent = floors.join(ends, "block").withColumn("floor", F.when(F.col("due"), F.col("floor")).otherwise(3.0))
-    more = sent.groupBy("a", "hi").applyInPandas(_compare(k, threshold, scale, tile_bytes, True), rows)
+    ends = due.groupBy("lo", "hi").agg(F.collect_set("due").alias("due")).checkpoint(eager=True)
+    # groups of blocks meet, and in them the blocks that are due; at least four pairs of groups for each task slot
+    slots = spark.sparkContext.defaultParallelism
+    parties = max(math.ceil(size.n * size.long / GROUP_ENTRIES), math.ceil((math.sqrt(32 * slots + 1) - 1) / 2))
+    party = lambda c: F.pmod(F.xxhash64(c), F.lit(parties)).cast("int")
+    pairs = ends.withColumns({"glo": F.least(party("lo"), party("hi")), "ghi": F.greatest(party("lo"), party("hi"))})
+    goes = pairs.select(F.col("glo").alias("one"), F.col("ghi").alias("other"), F.explode(F.array("lo", "hi")).alias("block")).distinct()
+    sent = floors.join(goes, "block").select("one", "other", "item", "keys", "vals", "block", "floor")
+    more = sent.groupBy("one", "other").cogroup(pairs.groupBy("glo", "ghi")).applyInPandas(
+        _compare_groups(k, threshold, scale, tile_bytes), rows)
     emitted = found.unionByName(more).checkpoint(eager=True)
     rank = Window.partitionBy("item").orderBy(F.col("similarity").desc(), "neighbour")
     top = emitted.withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= k)
-    seen = ends.select(F.col("a").alias("lo"), "hi").union(met.select("lo", "hi")).union(bounds.filter("lo = hi").select("lo", "hi"))
+    seen = ends.select("lo", "hi").union(met.select("lo", "hi")).union(bounds.filter("lo = hi").select("lo", "hi"))
     compared = bounds.join(seen, ["lo", "hi"], "left_semi")
     return Nearest(top, compared, bounds.join(seen, ["lo", "hi"], "left_anti"), emitted)

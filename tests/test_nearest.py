@@ -86,3 +86,25 @@ def test_names_as_ids_and_keys(spark):
     df = spark.createDataFrame([("b", "x", 1.0), ("a", "x", 2.0), ("c", "y", 1.0), ("c", "x", 1.0)], "item string, block string, n double")
     got = nearest.top_k(df, 1, item="item", key="block", value="n").top
     assert sorted((r.item, r.neighbour, r.similarity) for r in got.collect()) == [("a", "b", 1.0), ("b", "a", 1.0), ("c", "a", 0.7071)]
+
+
+def test_second_round_sends_a_vector_once_a_group_of_blocks(spark, monkeypatch):
+    """Directions spread evenly: every block meets every other, but vectors move once for each group."""
+    sent = []
+    make = nearest._compare_groups
+
+    def watch(*args):
+        sent.append(args)
+        return make(*args)
+
+    monkeypatch.setattr(nearest, "_compare_groups", watch)
+    mat = np.random.default_rng(3).normal(size=(240, 6))
+    df = spark.createDataFrame([(i, j, float(x)) for i, row in enumerate(mat) for j, x in enumerate(row)],
+                               "movieId int, tagId int, relevance double")
+    got = nearest.top_k(df, 4, block_items=5)
+    unit = mat / np.linalg.norm(mat, axis=1, keepdims=True)
+    cos = np.round(unit @ unit.T, 4)
+    np.fill_diagonal(cos, -9)
+    want = {(i, int(j)) for i in range(240) for j in np.lexsort((np.arange(240), -cos[i]))[:4]}
+    assert {(r.item, r.neighbour) for r in got.top.collect()} == want
+    assert len(sent) == 1 and got.compared.count() > 240 // 5 * 3
