@@ -61,7 +61,7 @@ def fact_ratings(ratings: DataFrame, items: DataFrame, user: str = "userId",
     stats = win.entity_stats(base, [item], ["rating_date", "timestamp", user], "rating",
                              running=("cumulative_rating_count", "cumulative_avg_rating"),
                              rolling=("rolling_30d_count", "rolling_30d_avg"),
-                             rolling_days=rolling_days, before=before, recent=recent)
+                             rolling_days=rolling_days, before=before, recent=recent, sized=ratings)
     return stats.select(F.col(user).alias("user_id"), F.col(item).alias("movie_id"), "rating",
                         "rating_date", "rating_year", "cumulative_rating_count",
                         "cumulative_avg_rating", "rolling_30d_avg", "rolling_30d_count")

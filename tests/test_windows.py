@@ -105,3 +105,50 @@ def test_top_k_per_group(spark):
     df = spark.createDataFrame([(g, i, float(i)) for g in range(3) for i in range(10)], "g int, i int, v double")
     out = win.top_k_per_group(df, ["g"], [F.col("v").desc(), F.col("i")], 2).collect()
     assert sorted((r.g, r.i, r["rank"]) for r in out) == [(g, i, 10 - i) for g in range(3) for i in (8, 9)]
+
+
+def test_state_rows_and_hot_entities_equal_the_plain_window(spark):
+    """Rows given as state enter running totals and day frames, whether an entity is split or not."""
+    df = _random_ratings(spark, 600, seed=5).withColumn("rating", F.when(F.col("userId") % 7 > 0, F.col("rating")))
+    order, cut = ["rating_date", "timestamp", "userId"], dt.date(1970, 1, 25)
+    want = _plain(df).filter(F.col("rating_date") >= cut)
+    expected = sorted(map(tuple, want.collect()), key=str)
+    old, new = df.filter(F.col("rating_date") < cut), df.filter(F.col("rating_date") >= cut)
+    daily = win.daily_totals(old, ["movieId"], "rating_date", "rating")
+    before = daily.groupBy("movieId").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+    for hot_rows in (None, 100, 10**9):
+        got = win.entity_stats(new, ["movieId"], order, "rating", running=("c", "a"), rolling=("rc", "ra"),
+                               hot_rows=hot_rows, before=before, recent=daily, sized=df)
+        assert sorted(map(tuple, got.select(want.columns).collect()), key=str) == expected, hot_rows
+
+
+def _plain(df):
+    w = Window.partitionBy("movieId").orderBy("rating_date", "timestamp", "userId").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    r = Window.partitionBy("movieId").orderBy(F.unix_date("rating_date")).rangeBetween(-30, 0)
+    return df.select("*", F.count("rating").over(w).alias("c"), half_up(F.avg("rating").over(w), 2).alias("a"),
+                     F.count("rating").over(r).alias("rc"), half_up(F.avg("rating").over(r), 2).alias("ra"))
+
+
+def _around_the_row_window(spark, **kw) -> tuple[list[str], str]:
+    """Operators above the window over the rows, and the exchange nearest below it, where nothing is broadcast by size."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = win.entity_stats(_random_ratings(spark, 200), ["movieId"], ["rating_date", "timestamp", "userId"], "rating", **kw)
+        lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    at = next(i for i, x in enumerate(lines) if " Window [" in x and "AS _run_c" in x)
+    depth = lambda x: next(i for i, c in enumerate(x) if c.isalnum())
+    above, least = [], depth(lines[at])
+    for x in reversed(lines[:at]):
+        if depth(x) < least:
+            above, least = [x.strip(" :+-"), *above], depth(x)
+    return above, next(x for x in lines[at:] if "Exchange hash" in x)
+
+
+def test_rows_with_both_statistics_move_once(spark):
+    above, below = _around_the_row_window(spark, rolling=("rc", "ra"))
+    assert not [x for x in above if x.startswith(("Exchange", "Sort "))]
+    assert "hashpartitioning(_rs_entity" in below and "_rs_group" in below
