@@ -53,7 +53,7 @@ def _key(cols: Sequence[str]) -> Column:
     return F.struct(*[F.col(c) for c in cols])
 
 
-def _earlier_totals(groups: DataFrame, upper: Sequence[str]) -> DataFrame:
+def _earlier_totals(groups: DataFrame, partition: Sequence[str], upper: Sequence[str]) -> DataFrame:
     """``entity, group, _off_c, _off_s``: totals of all rows ordered before each group.
 
     ``groups`` has one row per entity and ``upper`` values; coarser levels are rolled
@@ -61,7 +61,7 @@ def _earlier_totals(groups: DataFrame, upper: Sequence[str]) -> DataFrame:
     """
     acc = None
     for i, col in enumerate(upper):
-        outer = [_ENTITY, *upper[:i]]
+        outer = [*partition, *upper[:i]]
         level = groups if i == len(upper) - 1 else groups.groupBy(*outer, col).agg(
             F.sum(_C).alias(_C), F.sum(_S).alias(_S))
         before = Window.partitionBy(*outer).orderBy(col).rowsBetween(Window.unboundedPreceding, -1)
@@ -73,24 +73,20 @@ def _earlier_totals(groups: DataFrame, upper: Sequence[str]) -> DataFrame:
             prev = acc.select(_key(outer).alias("_k"), *[c for c in acc.columns if c not in outer])
             acc = level.withColumn("_k", _key(outer)).join(prev, "_k", "left").drop("_k")
     plus = lambda p: sum((F.col(f"{p}{i}") for i in range(1, len(upper))), F.col(f"{p}0"))
-    return acc.select(_ENTITY, _key(upper).alias(_GROUP), plus("_c").alias("_off_c"), plus("_s").alias("_off_s"))
+    return acc.select(_key(partition).alias(_ENTITY), _key(upper).alias(_GROUP), plus("_c").alias("_off_c"),
+                      plus("_s").alias("_off_s"))
 
 
-def _frames(daily: DataFrame, days: int) -> DataFrame:
-    """``entity, day, _roll_c, _roll_s``: totals of the days ``[day - days, day]``, from one row per entity and day."""
+def _daily_frames(daily: DataFrame, date_col: str, days: int, recent: DataFrame | None = None) -> DataFrame:
+    """``entity, day, _roll_c, _roll_s``: totals of the days ``[day - days, day]``; ``recent`` has more daily totals."""
+    if recent is not None:
+        older = recent.select(_ENTITY, day_number(date_col).alias(_DAY), F.col("n").alias(_C), F.col("total").alias(_S))
+        daily = daily.unionByName(older).groupBy(_ENTITY, _DAY).agg(F.sum(_C).alias(_C), F.sum(_S).alias(_S))
     frame = Window.partitionBy(_ENTITY).orderBy(_DAY).rangeBetween(-days, 0)
     return daily.select(_ENTITY, F.struct(_DAY).alias(_DAY), F.sum(_C).over(frame).alias("_roll_c"),
                         F.sum(_S).over(frame).alias("_roll_s"))
 
 
-def _daily(totals: DataFrame, date_col: str, recent: DataFrame | None = None) -> DataFrame:
-    """Totals per entity and day; ``recent`` has more daily totals."""
-    parts = totals.select(_ENTITY, day_number(date_col).alias(_DAY), _C, _S)
-    if recent is not None:
-        parts = parts.unionByName(recent.select(_ENTITY, day_number(date_col).alias(_DAY), F.col("n").alias(_C), F.col("total").alias(_S)))
-    return parts.groupBy(_ENTITY, _DAY).agg(F.sum(_C).alias(_C), F.sum(_S).alias(_S))
-
-
 def entity_stats(df: DataFrame, partition: Sequence[str], order: Sequence[str], measure: str,
                  running: tuple[str, str] | None = ("cumulative_rating_count",
                                                     "cumulative_avg_rating"),
@@ -118,7 +114,8 @@ def entity_stats(df: DataFrame, partition: Sequence[str], order: Sequence[str],
     average = lambda total, count: half_up(safe_divide(total, count), scale)
     out_cols = [F.col(c) for c in df.columns]
     if running is None:
-        frames = _frames(_daily(_totals(rows, [_ENTITY, order[0]], measure), order[0], recent), rolling_days)
+        daily = _totals(rows.select(_ENTITY, day_number(order[0]).alias(_DAY), measure), [_ENTITY, _DAY], measure)
+        frames = _daily_frames(daily, order[0], rolling_days, recent)
         rows = rows.withColumn(_DAY, F.struct(day_number(order[0]).alias(_DAY))).join(frames, [_ENTITY, _DAY], "left")
         return rows.select(*out_cols, F.col("_roll_c").cast("bigint").alias(rolling[0]),
                            average(F.col("_roll_s"), F.col("_roll_c")).alias(rolling[1]))
@@ -146,10 +143,13 @@ def entity_stats(df: DataFrame, partition: Sequence[str], order: Sequence[str],
         moved, by = moved.withColumn(_DAY, day_number(order[0])), [_DAY, *order[1:]]
     moved = moved.repartition(_ENTITY, _GROUP)
 
-    groups = _totals(hot, [_ENTITY, *upper], measure)
-    sides = _earlier_totals(groups, upper)
+    # Grouped by the columns, not by the struct that was joined: a hot entity's groups spread over the tasks.
+    groups = _totals(hot, [*partition, *upper], measure)
+    sides = _earlier_totals(groups, partition, upper)
     if rolling is not None:
-        frames = _frames(_daily(groups, order[0], recent), rolling_days).withColumnsRenamed(
+        daily = groups.groupBy(_key(partition).alias(_ENTITY), day_number(order[0]).alias(_DAY)).agg(
+            F.sum(_C).alias(_C), F.sum(_S).alias(_S))
+        frames = _daily_frames(daily, order[0], rolling_days, recent).withColumnsRenamed(
             {"_roll_c": "_day_c", "_roll_s": "_day_s"})
         sides = sides.withColumn(_DAY, F.struct(day_number(F.col(_GROUP)[order[0]]).alias(_DAY))).join(
             frames, [_ENTITY, _DAY], "left").drop(_DAY)

@@ -152,3 +152,9 @@ def test_rows_with_both_statistics_move_once(spark):
     above, below = _around_the_row_window(spark, rolling=("rc", "ra"))
     assert not [x for x in above if x.startswith(("Exchange", "Sort "))]
     assert "hashpartitioning(_rs_entity" in below and "_rs_group" in below
+
+
+def test_rows_of_split_entities_are_spread_by_group(spark):
+    above, below = _around_the_row_window(spark, hot_rows=26)
+    assert not [x for x in above if x.startswith(("Exchange", "Sort "))]
+    assert "hashpartitioning(_rs_entity" in below and "_rs_group" in below
