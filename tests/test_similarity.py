@@ -172,3 +172,18 @@ def test_sparse_join_moves_vectors_and_no_candidates(spark, monkeypatch):
     assert cut.candidates.count() == cut.candidates.select("a", "b").distinct().count() == whole.candidates.count()
     plan = cut.pairs._jdf.queryExecution().optimizedPlan().toString()
     assert "FlatMapGroupsInArrow" in plan and "Aggregate [a" not in plan and "Aggregate [ia" not in plan
+
+
+def test_pairs_leave_a_task_rounded_and_without_a_decimal_each(spark):
+    v = _vecs(spark, {1: {0: 1, 1: 0}, 2: {0: 1, 1: 1}, 3: {0: 1, 1: 0.001}, 4: {0: 0, 1: 0}})
+    for norms in ("full", "shared"):
+        pairs = sim.cosine_pairs(v, threshold=0.5, sort=False, norms=norms)
+        plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+        assert "decimal" not in plan and "Filter (similarity" not in plan
+        assert _pairs(pairs) == {(1, 2): 0.7071, (1, 3): 1.0, (2, 3): 0.7078}
+    # neither NULL items nor vectors without a norm have pairs, and no norm is less than any threshold
+    rows = [(None, 0, 1.0), (1, 0, 1.0), (2, 0, -1.0), (3, 0, 0.0)]
+    low = sim.cosine_pairs(spark.createDataFrame(rows, SCHEMA), threshold=-2.0, sort=False)
+    assert _pairs(low) == {(1, 2): -1.0}
+    every = sim.cosine_pairs(spark.createDataFrame(rows, SCHEMA), threshold=None, sort=False, top_k=2)
+    assert _pairs(every) == {(1, 2): -1.0, (1, 3): None, (2, 3): None}
