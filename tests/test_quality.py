@@ -1,3 +1,5 @@
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from ratingsmith.operators import quality as qc
@@ -63,3 +65,43 @@ def test_changed_tables(spark):
     old = spark.createDataFrame([("r", 1, "10"), ("m", 2, "21")], "table_name string, row_count long, fingerprint string")
     assert {r.table_name: r.changed for r in rl.changed_tables(cur, old).collect()} == {"r": False, "m": True}
     assert all(r.changed for r in rl.changed_tables(cur, None).collect())
+
+
+def test_hashed_duplicate_keys_count_as_the_plain_ones(spark, monkeypatch):
+    """Only rows that may share a key are grouped; NULLs are equal, and any number of rows may share keys."""
+    monkeypatch.setattr(qc, "HASHES", 50)
+    pairs = [(i % 40, i // 40) for i in range(400)]
+    for more in ([], [(3, 4), (3, 4), (7, 0)], [(None, 4), (None, 4), (4, None)], pairs[:300] + [(None, None)] * 3):
+        df = spark.createDataFrame(pairs + more, "a int, b int").repartition(5)
+        plain, hashed = (qc.duplicate_keys(df, ["a", "b"], "t", hashed=h).collect() for h in (False, True))
+        assert plain == hashed
+    unique = spark.createDataFrame(pairs, "a int, b int")
+    assert qc.repeated_cells(unique, ["a", "b"]).count() == 0
+    assert qc.duplicate_keys(unique.limit(0), ["a", "b"], "t", hashed=True).first().observed == 0
+
+
+def _tables(spark, root):
+    """A few rows of every input table of the star."""
+    write = lambda t, rows, ddl: spark.createDataFrame(rows, ddl).write.parquet(f"{root}/{t}.parquet")
+    n = range(1, 41)
+    day = dt.datetime(2020, 1, 1)
+    write("lineitem", [(i, i % 9 + 1, float(i % 11 + 1), day + dt.timedelta(days=i)) for i in n],
+          "l_orderkey long, l_partkey long, l_quantity double, l_shipdate timestamp_ntz")
+    write("orders", [(i, i % 7, "F", 10.0 * i, day) for i in n],
+          "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz")
+    write("part", [(i, f"red part{i}", "BRASS", i) for i in range(1, 10)], "p_partkey long, p_name string, p_type string, p_size int")
+    write("events", [(i, day, i, "view") for i in n], "event_id long, ts timestamp_ntz, user_id long, event_type string")
+    write("embeddings", [(i, [1.0, float(i % 3)]) for i in range(12)], "vec_id long, embedding array<float>")
+
+
+def test_pairs_of_items_are_not_written_for_a_check(spark, tmp_dir):
+    from ratingsmith.plans import catalog, staging
+    _tables(spark, tmp_dir)
+    before = set(staging._written)
+    for name in ("row_counts", "drift", "contract_check", "pk_check"):
+        got = {r.table_name: r for r in catalog.QUERIES[name](spark, tmp_dir).collect()}
+        assert len(got) == 6
+        if name == "row_counts":
+            assert got["tag_similarity"].row_count == 12 * 11 // 2 - 16        # all but those of the first and last direction
+    written = {name for _, name, _ in set(staging._written) - before}
+    assert "star_fact_ratings" in written and "star_tag_similarity" not in written
